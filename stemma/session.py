@@ -62,5 +62,5 @@ def spread(df: DataFrame, bytes_per_slot: int = 32 << 20) -> DataFrame:
     large tables are never shuffled here.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(slots) if size < slots * bytes_per_slot else df
