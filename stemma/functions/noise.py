@@ -8,34 +8,40 @@ from stemma.functions import patterns as P
 from stemma.functions.text import strip_blank
 
 _LOW = P.LOWER_FR
-_LETTERS = f"a-zA-Z{P.LOWER_FR[3:]}{P.UPPER_FR[3:]}"
+_LETTERS = P.LOWER_FR + P.UPPER_FR
 
 
 # --- tokens ------------------------------------------------------------------
 
-def garble_tokens(c: Column) -> Column:
-    """Runs of two or more Latin letters and apostrophes."""
-    return F.regexp_extract_all(c, F.lit(f"([{_TOKEN}]{{2,}})"), F.lit(1))
+_TOKEN = P.letters("A-Za-zÀ-ÿ'’")
+_CONSONANTS = "bcdfghjklmnpqrstvwxzçñBCDFGHJKLMNPQRSTVWXZÇÑ"
 
 
-def garble_token_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(f"[{_TOKEN}]{{2,}}"))
+def _without(chars: str) -> str:
+    return "".join(c for c in _TOKEN if c not in chars)
 
 
-_TOKEN = "A-Za-zÀ-ÿ'’"
-_CONSONANTS = "bcdfghjklmnpqrstvwxzçñBCDFGHJKLMNPQRSTVWXZÇÑ"
 # One scan of the text finds the few tokens worth testing: those with a capital
-# after the first letter, a consonant run, an apostrophe inside, or no vowel.
+# or an apostrophe after the first letter, a consonant run, or no vowel. The
+# loops are possessive, so each token is passed over once per alternative.
 _SUSPECT = (
     f"(?<![{_TOKEN}])("
-    f"(?=[{_TOKEN}]+[{P.UPPER_WIDE}]"
-    f"|[{_TOKEN}&&[^{P.VOWELS}{P.VOWELS.upper()}]]{{4,}}+(?![{_TOKEN}])"
-    f"|[{_TOKEN}]*?(?:[{_CONSONANTS}]['’×÷]*){{5}}"
-    f"|[{_TOKEN}]*?['’][{_TOKEN}]{{4}})"
-    f"[{_TOKEN}]{{2,}})"
+    f"(?=[{_without(P.VOWELS + P.VOWELS.upper())}]{{4,}}+(?![{_TOKEN}])"
+    f"|[{_TOKEN}][{_without(P.UPPER_WIDE + chr(39) + '’')}]*+[{P.UPPER_WIDE}'’]"
+    f"|(?:[{_CONSONANTS}]{{0,4}}+[{_without(_CONSONANTS)}]++)*+[{_CONSONANTS}]{{5}})"
+    f"[{_TOKEN}]++)"
 )
 
 
+def garble_tokens(c: Column) -> Column:
+    """Runs of two or more Latin letters and apostrophes."""
+    return F.regexp_extract_all(c, F.lit(f"([{_TOKEN}]{{2,}})"), F.lit(1))
+
+
+def garble_token_count(c: Column) -> Column:
+    return F.regexp_count(c, F.lit(f"[{_TOKEN}]{{2,}}"))
+
+
 def suspect_tokens(c: Column) -> Column:
     """Every token that ``is_garbled`` could accept, and some more."""
     return F.regexp_extract_all(c, F.lit(_SUSPECT), F.lit(1))
@@ -81,7 +87,14 @@ def ledger_line_patterns(broad_marks: bool = False) -> dict[str, str]:
     }
 
 
+def has_mixed_token(line: Column, pattern: str = P.MIXED_TOKEN) -> Column:
+    """A token mixing letters and digits; only lines with a digit are searched."""
+    return line.rlike(P.DIGIT) & line.rlike(pattern)
+
+
 def count_lines_matching(lines: Column, pattern: str) -> Column:
+    if pattern == P.MIXED_TOKEN:
+        return F.size(F.filter(lines, lambda l: has_mixed_token(l)))
     return F.size(F.filter(lines, lambda l: l.rlike(pattern)))
 
 
@@ -116,7 +129,7 @@ def line_flags(line: Column) -> Column:
         ("LEAD-MD", line.rlike(P.LEAD_MARK_BROAD)),
         ("CARET", line.rlike(P.CARET)),
         ("BRACKET", line.rlike(P.BRACKET) & ~line.contains("![") & ~line.contains("](")),
-        ("MIX-AD", line.rlike(P.MIXED_TOKEN_CASED)),
+        ("MIX-AD", has_mixed_token(line, P.MIXED_TOKEN_CASED)),
         ("LONG-TOK", line.rlike(P.LONG_WORD)),
         ("BACK-MATTER", line.rlike(P.BACK_MATTER_CUES)),
     ]
@@ -153,20 +166,29 @@ _MARKER = "^(?:" + "|".join(
 ) + ")"
 
 
-def _line_facts(line: Column) -> Column:
-    """Token counts of one line, as a struct read by ``_noise_verdict``."""
-    text = F.regexp_replace(strip_blank(line), r"(?U)^(?:\|\s*)+", "")
-    runs = F.regexp_extract_all(text, F.lit(f"([{_LETTERS}]+)"), F.lit(1))
-    return F.struct(
-        line.alias("line"),
-        text.alias("text"),
-        F.filter(runs, lambda r: r.rlike(f"^[{P.UPPER_FR}]?[{_LOW}]{{3,}}$")).alias("real"),
-        F.exists(runs, lambda r: r.isin(P.PROSE_WORDS_FR)).alias("hit"),
-        F.length(F.regexp_replace(text, f"[^{_LETTERS}]", "")).alias("letters"),
-        F.regexp_count(text, F.lit(r"(?U)(?<!\S)\S*\p{L}\S*")).alias("tokens"),
-        line.rlike(P.NOT_BLANK).alias("inked"),
-        strip_blank(line).rlike("^(?:---|```)").alias("fence"),
-    )
+def _line_facts(lines: Column) -> Column:
+    """Token counts of each line, as structs read by ``_noise_verdict``.
+
+    Built in stages, because a lambda evaluates each use of a sub-expression anew.
+    """
+    staged = F.transform(lines, lambda l: F.struct(l.alias("line"), strip_blank(l).alias("bare")))
+    staged = F.transform(staged, lambda s: F.struct(
+        s["line"].alias("line"),
+        s["bare"].alias("bare"),
+        F.when(s["bare"].startswith("|"), F.regexp_replace(s["bare"], r"(?U)^(?:\|\s*)+", ""))
+        .otherwise(s["bare"]).alias("text"),
+    ))
+    staged = F.transform(staged, lambda s: F.struct(
+        *[s[c].alias(c) for c in ("line", "bare", "text")],
+        F.regexp_extract_all(s["text"], F.lit(f"([{_LETTERS}]+)"), F.lit(1)).alias("runs"),
+    ))
+    return F.transform(staged, lambda s: F.struct(
+        *[s[c].alias(c) for c in ("line", "bare", "text")],
+        F.filter(s["runs"], lambda r: r.rlike(f"^[{P.UPPER_FR}]?[{_LOW}]{{3,}}$")).alias("real"),
+        F.exists(s["runs"], lambda r: r.isin(P.PROSE_WORDS_FR)).alias("hit"),
+        F.aggregate(s["runs"], F.lit(0), lambda n, r: n + F.length(r)).alias("letters"),
+        F.regexp_count(s["text"], F.lit(r"(?U)(?<!\S)[^\s\p{L}]*+\p{L}")).alias("tokens"),
+    ))
 
 
 def _noise_verdict(f: Column) -> Column:
@@ -178,7 +200,7 @@ def _noise_verdict(f: Column) -> Column:
         return F.exists(f["real"], lambda w: F.length(w) >= k)
 
     return (
-        F.when(~f["inked"] | f["fence"], False)
+        F.when((f["bare"] == "") | f["bare"].rlike("^(?:---|```)"), False)
         .when(size == 0, True)
         .when(f["text"].rlike(_MARKER), True)
         .when(f["text"].rlike(r"(?U)^\d{1,4}$"), True)
@@ -194,9 +216,8 @@ def _noise_verdict(f: Column) -> Column:
 
 def split_noise(lines: Column) -> Column:
     """Lines with their verdict: array of struct(line, noise)."""
-    facts = F.transform(lines, _line_facts)
     return F.transform(
-        facts, lambda f: F.struct(f["line"].alias("line"), _noise_verdict(f).alias("noise"))
+        _line_facts(lines), lambda f: F.struct(f["line"].alias("line"), _noise_verdict(f).alias("noise"))
     )
 
 
@@ -275,7 +296,8 @@ def heal_hyphens(body: Column) -> Column:
 
 def heal_page_numbers(body: Column) -> Column:
     """Join words cut by a page number at a line end."""
-    return F.regexp_replace(body, _NUMBER_BREAK, "$1")
+    healed = F.regexp_replace(body, _NUMBER_BREAK, "$1")
+    return F.when(body.rlike(r"(?U)\d\s*\n"), healed).otherwise(body)
 
 
 def count_hyphen_breaks(body: Column) -> Column:

@@ -6,18 +6,36 @@ on the exact members. Patterns are Java regular expressions; ``PY_WORD`` and
 "whitespace" so that accented letters count as letters.
 """
 
+def letters(spec: str) -> str:
+    """Spell out the ranges of a character class.
+
+    Java tests a class of single Latin characters with one table lookup, but a
+    class of ranges with a chain of comparisons.
+    """
+    out, i = [], 0
+    while i < len(spec):
+        if i + 2 < len(spec) and spec[i + 1] == "-":
+            out += [chr(n) for n in range(ord(spec[i]), ord(spec[i + 2]) + 1)]
+            i += 3
+        else:
+            out.append(spec[i])
+            i += 1
+    return "".join(dict.fromkeys(out))
+
+
 # A word character: any letter or number of any script, or underscore.
 PY_WORD = r"[\p{L}\p{N}_]"
 # Whitespace of any script, including the four ASCII separators.
 BLANK = r"(?U)[\s\x1c-\x1f]"
 NOT_BLANK = r"(?U)[^\s\x1c-\x1f]"
+BLANK_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + letters("\u2000-\u200a")
 # Every line separator a text may carry.
 ANY_LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 
 # --- fixed values: letters -------------------------------------------------
-LOWER_FR = "a-zàâçéèêëîïôûùüÿñæœ"
-UPPER_FR = "A-ZÀÂÇÉÈÊËÎÏÔÛÙÜŸÑÆŒ"
-UPPER_WIDE = "A-ZÀÂÄÇÉÈÊËÎÏÔÖÛÙÜŸÑÆŒ"
+LOWER_FR = letters("a-zàâçéèêëîïôûùüÿñæœ")
+UPPER_FR = letters("A-ZÀÂÇÉÈÊËÎÏÔÛÙÜŸÑÆŒ")
+UPPER_WIDE = letters("A-ZÀÂÄÇÉÈÊËÎÏÔÖÛÙÜŸÑÆŒ")
 VOWELS = "aeiouyàâäéèêëîïôöûùüÿœæ"
 ELISION_LETTERS = "cdjlmnst"
 
@@ -105,11 +123,14 @@ FRENCH_ORDINALS = (
 SERIES_ROMANS = "I II III IV V VI VII VIII IX X XI XII XIII XIV XV".split()
 SECTION_SEGMENTS = {"about": "a-propos", "authors": "auteurs", "works": "oeuvres", "cahiers": "cahiers"}
 
-# A letter run mixed with digits, in either order. The second form of the
-# pattern is the one used where upper-case accented letters count as well.
+# A letter run mixed with digits, in either order; lines without a digit need
+# not be searched. Every letter of these classes counts in both cases in the
+# first pattern; in the second, accented capitals do not.
+DIGIT = r"\p{Nd}"
 MIXED_TOKEN = (
-    rf"(?iuU)(?<!{PY_WORD})[{LOWER_FR}]+\d|(?<!{PY_WORD})\d+[{LOWER_FR}]{{2,}}"
+    rf"(?U)(?<!{PY_WORD})[{LOWER_FR}{LOWER_FR.upper()}]+\d"
+    rf"|(?<!{PY_WORD})\d+[{LOWER_FR}{LOWER_FR.upper()}]{{2,}}"
 )
 MIXED_TOKEN_CASED = (
-    rf"(?U)(?<!{PY_WORD})[A-Z{LOWER_FR}]+\d|(?<!{PY_WORD})\d+[A-Z{LOWER_FR}]{{2,}}"
+    rf"(?U)(?<!{PY_WORD})[{letters('A-Z')}{LOWER_FR}]+\d|(?<!{PY_WORD})\d+[{letters('A-Z')}{LOWER_FR}]{{2,}}"
 )

@@ -27,10 +27,12 @@ _SPELLED = {
     if len(_base(chr(n))) > 1
 }
 
+_NON_ASCII = r"[^\x00-\x7f]"
+
 
 def fold_accents(c: Column) -> Column:
     """Replace each accented letter by its base letter; the length stays the same."""
-    return F.translate(c, _FOLD_FROM, _FOLD_TO)
+    return F.when(c.rlike(_NON_ASCII), F.translate(c, _FOLD_FROM, _FOLD_TO)).otherwise(c)
 
 
 def strip_accents(c: Column) -> Column:
@@ -38,7 +40,11 @@ def strip_accents(c: Column) -> Column:
     folded = F.translate(c, _FOLD_FROM + _MARKS, _FOLD_TO)
     pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in _SPELLED.items()])
     spelled = F.aggregate(pairs, folded, lambda acc, p: F.replace(acc, p["k"], p["v"]))
-    return F.when(folded.rlike("[" + "".join(_SPELLED) + "]"), spelled).otherwise(folded)
+    return (
+        F.when(~c.rlike(_NON_ASCII), c)
+        .when(c.rlike("[" + "".join(_SPELLED) + "]"), spelled)
+        .otherwise(folded)
+    )
 
 
 def straight_quotes(c: Column) -> Column:
@@ -91,7 +97,7 @@ def overlap(a: Column, b: Column) -> Column:
 
 def strip_blank(c: Column) -> Column:
     """Trim whitespace of any script at both ends."""
-    return F.regexp_replace(c, rf"^(?:{P.BLANK})+|(?:{P.BLANK})+$", "")
+    return F.trim(c, F.lit(P.BLANK_CHARS))
 
 
 def word_count(c: Column) -> Column:

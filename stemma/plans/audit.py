@@ -157,13 +157,13 @@ def flag_lines(docs: DataFrame) -> DataFrame:
     """Suspect lines: ``doc, line_no, flags, text``; header lines are passed over."""
     lines = docs.select(
         "doc",
-        F.size(T.any_lines_of(F.col("body"))).alias("_total"),
         F.size(F.split(T.header_of(F.col("body")), "\n")).alias("_head"),
         F.posexplode(T.any_lines_of(F.col("body"))).alias("line_no", "text"),
     )
     lines = lines.filter((F.col("line_no") >= F.col("_head") - 1) & F.col("text").rlike(P.NOT_BLANK))
-    flagged = lines.withColumn("_flags", N.line_flags(F.col("text"))).filter(F.size("_flags") > 0)
-    return flagged.select(
+    # exploding an array of none or one keeps the flags from being computed twice
+    found = F.filter(F.array(N.line_flags(F.col("text"))), lambda f: F.size(f) > 0)
+    return lines.select("doc", "line_no", "text", F.explode(found).alias("_flags")).select(
         "doc",
         (F.col("line_no") + 1).alias("line_no"),
         F.array_join("_flags", ",").alias("flags"),
@@ -172,10 +172,11 @@ def flag_lines(docs: DataFrame) -> DataFrame:
 
 
 def flagged_line_counts(docs: DataFrame) -> DataFrame:
-    """Flagged lines per document, without exploding: ``doc, n``; clean documents have no row."""
-    lines = T.any_lines_of(T.body_of(F.col("body")))
-    n = F.size(F.filter(lines, lambda l: l.rlike(P.NOT_BLANK) & (F.size(N.line_flags(l)) > 0)))
-    return docs.select("doc", n.alias("n")).filter(F.col("n") > 0)
+    """Flagged lines per document: ``doc, n``; clean documents have no row.
+
+    Lines of a document sit in one partition, so they are counted before the shuffle.
+    """
+    return flag_lines(docs).groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- prose audit -------------------------------------------------------------
