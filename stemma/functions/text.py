@@ -136,7 +136,7 @@ def drop_header(c: Column) -> Column:
 
 def header_of(c: Column) -> Column:
     """The leading ``---`` block with its delimiters, or an empty string."""
-    return F.regexp_extract(c, r"(?s)\A(---\n.*?\n---\n|---\n---\n)", 1)
+    return F.regexp_extract(c, r"(?s)\A(---\n.*?\n---\n)", 1)
 
 
 def body_of(c: Column) -> Column:

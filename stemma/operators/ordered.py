@@ -107,3 +107,17 @@ def first_per_group(df: DataFrame, group: Sequence[str], by: Column, n: int) ->
     """
     w = Window.partitionBy(*group).orderBy(by)
     return df.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= n)
+
+
+def carry_forward(placed: DataFrame, column: str, name: str) -> DataFrame:
+    """Add ``name``: the value of ``column``, or the last one before it that is not null."""
+    within = Window.partitionBy(_PART).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, 0)
+    rows = placed.withColumn("_here", F.last(column, ignorenulls=True).over(within))
+    lasts = placed.groupBy(_PART).agg(
+        F.max_by(column, F.when(F.col(column).isNotNull(), F.col(_SLOT))).alias("_last")
+    )
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select(_PART, F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    return rows.join(F.broadcast(carried), _PART).withColumn(
+        name, F.coalesce("_here", "_carried")
+    ).drop("_here", "_carried")
