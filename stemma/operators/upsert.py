@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stemma.operators.ordered import number_within
+
 
 def merge_duplicates(pieces: DataFrame, rules: DataFrame) -> DataFrame:
     """Drop the listed duplicates and retitle the rows kept.
@@ -76,8 +78,9 @@ def apply_corrections(pieces: DataFrame, rules: DataFrame) -> tuple[DataFrame, D
         pieces.select("cahier", "piece_slug"), ["cahier", "piece_slug"], "left_anti"
     )
     ends = pieces.groupBy("cahier").agg(F.max("pos").alias("_end"))
+    adds = number_within(adds.dropDuplicates(["cahier", "piece_slug"]), ["cahier"], ["piece_slug"], "_turn")
     adds = adds.join(ends, "cahier", "left").select(
-        "cahier", "piece_slug", (F.coalesce("_end", F.lit(-1)) + 1).cast("int").alias("pos"),
+        "cahier", "piece_slug", (F.coalesce("_end", F.lit(-1)) + F.col("_turn")).alias("pos"),
         F.col("to").alias("title"), F.col("from").alias("author"),
     )
     log = log.unionByName(adds.select(

@@ -227,16 +227,19 @@ def opening_anchors(docs: DataFrame, catalog: DataFrame) -> DataFrame:
     """
     rows = docs.join(catalog, "cahier")
     heads = F.transform(sections_of(F.concat(F.lit("\n"), F.col("body")), strict=False), lambda s: F.struct(
-        s["body"].alias("body"), T.normalise(s["head"]).alias("norm"), T.significant_tokens(s["head"]).alias("toks")
+        s["head"].alias("head"), s["body"].alias("body"), T.normalise(s["head"]).alias("norm"), T.significant_tokens(s["head"]).alias("toks")
     ))
     rows = rows.withColumn("_heads", heads).withColumn("_want", F.transform("pieces", lambda p: F.struct(
         T.normalise(p["title"]).alias("norm"), T.significant_tokens(p["title"]).alias("toks")
     )))
-    # the rest of the text from each heading on, so an opening may run past the next heading
+
+    # the text from each heading on, so an opening may run past the next heading
     def opening(i: Column) -> Column:
         later = F.slice("_heads", i + 2, F.greatest(F.size("_heads"), F.lit(1)))
-        tail = F.concat(F.get("_heads", i)["body"], F.array_join(F.transform(later, lambda h: h["body"]), "\n"))
-        prose = F.regexp_replace(tail, r"(?U)\A(?:[^\S\n]*(?:\*[^\n]*\*[^\S\n]*)?\n)+", "")
+        tail = F.concat(F.get("_heads", i)["body"], F.array_join(
+            F.transform(later, lambda h: F.concat(F.lit("## "), h["head"], F.lit("\n"), h["body"])), ""
+        ))
+        prose = F.regexp_replace(tail, r"(?U)\A(?:[^\S\n]*(?:\*(?:[^\n]*\*)?[^\S\n]*)?\n)+", "")
         return F.when(T.strip_blank(prose) != "", F.substring(prose, 1, ANCHOR_CHARS))
 
     def anchor(w: Column) -> Column:
