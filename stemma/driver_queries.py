@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stemma.functions import noise as N, text as T
-from stemma.plans import audit as A
+from stemma.functions import html as H, text as T, urls as U
+from stemma.operators import upsert as X
+from stemma.operators.lookup import resolve_names as resolve
+from stemma.plans import audit as A, cleaning as C, leaves as L, migration as M, planning as G, reading as R
+from stemma.plans import segmentation as S
 from stemma.session import spread
 
 QUERIES: dict = {}
@@ -136,3 +139,236 @@ def word_counts(spark, sf):
         T.word_count(F.col("text")).cast("bigint").alias("words"),
         T.token_count(F.col("text")).cast("bigint").alias("tokens"),
     )
+
+
+# --- document audit: pairs of documents stand for the two languages of a piece ---
+
+def paired(spark, sf):
+    d = texts(spark, sf)
+    pair = F.floor(F.col("doc_id") / 2)
+    return d.select(
+        "doc_id", F.concat(F.lit("c"), (pair % 37).cast("string")).alias("cahier"),
+        F.concat(F.lit("d"), pair.cast("string")).alias("piece_slug"),
+        F.when(F.col("doc_id") % 2 == 0, "fr").otherwise("en").alias("lang"), "source", "n_chars",
+        F.col("text").alias("body"),
+    )
+
+
+def declared_from_labels(spark, sf):
+    docs = paired(spark, sf).select("doc_id", "cahier", "piece_slug", first_words(F.col("body"), 6).alias("title"))
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    rows = docs.join(lab, "doc_id").groupBy("cahier", "piece_slug").agg(
+        F.min_by("title", "doc_id").alias("title"),
+        F.concat(F.lit("a"), F.min_by("quality", "doc_id").cast("string")).alias("listed_author"),
+        F.min("doc_id").alias("pos"),
+    )
+    return rows.withColumn("split_suspect", F.col("title").rlike(r"^(La|The|Is) "))
+
+
+SURNAMES = [
+    ("Then", "a1", 1, False), ("ea ", "a0", 2, False), ("The", "a1", 3, True), ("eau", "a9", 4, False),
+    ("tion", "a1", 5, False), ("ung", "a0", 6, False),
+]
+
+
+def document_audit_rows(spark, sf):
+    docs = paired(spark, sf)
+    lab = table(spark, sf, "labels").filter("toxic = 1").select("doc_id", F.lit(1).alias("bad"))
+    upstream = docs.filter("n_chars > 6000").select("doc_id", "cahier").join(lab, "doc_id", "left").select(
+        "cahier", F.when(F.col("bad") == 1, "placeholder").otherwise("full").alias("status")
+    )
+    surnames = rules(spark, SURNAMES, "surname string, slug string, ord int, subject_only boolean")
+    return A.audit_declared(declared_from_labels(spark, sf), docs, upstream, surnames)
+
+
+@query
+def audit_documents(spark, sf):
+    a = document_audit_rows(spark, sf)
+    return a.select(
+        "cahier", "piece_slug", "title", "listed_author", F.col("fr_prose").cast("bigint").alias("fr_prose"),
+        F.bround("fr_ratio", 2).alias("fr_ratio"), F.col("en_prose").cast("bigint").alias("en_prose"),
+        F.bround("en_ratio", 2).alias("en_ratio"), "flags",
+    )
+
+
+@query
+def flag_histogram(spark, sf):
+    return A.flag_histogram(document_audit_rows(spark, sf))
+
+
+@query
+def flag_report_top50(spark, sf):
+    a = document_audit_rows(spark, sf).withColumn("doc", F.concat_ws("--", "cahier", "piece_slug"))
+    a = a.withColumn("line", F.concat("doc", F.lit(": "), "title"))
+    return A.flag_report(a).select("section", F.col("pos").cast("bigint").alias("pos"), "line")
+
+
+@query
+def declared_vs_files(spark, sf):
+    """Labelled documents against long documents: both, only declared, only found."""
+    lab = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("declared"))
+    files = table(spark, sf, "documents").filter("n_chars > 1500").select("doc_id", F.lit(True).alias("found"))
+    rows = lab.join(files, "doc_id", "full_outer")
+    state = F.when(F.col("declared").isNull(), "ORPHAN_FILE").when(F.col("found").isNull(), "NO_FILE").otherwise("OK")
+    return rows.select("doc_id", state.alias("state"))
+
+
+@query
+def missing_references(spark, sf):
+    """Orders whose customer and labels whose document do not resolve (keys shifted to make some fail)."""
+    from stemma.sources.catalog import missing_references as missing
+
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_custkey") * 2).alias("customer"), (F.col("o_custkey") % 150).alias("supplier")
+    )
+    return missing(orders, "o_orderkey", {
+        "customer": (table(spark, sf, "customer"), "c_custkey"),
+        "supplier": (table(spark, sf, "supplier"), "s_suppkey"),
+    })
+
+
+@query
+def lang_pivot(spark, sf):
+    docs = paired(spark, sf).withColumn("lang", F.when(F.col("n_chars") > 900, F.col("lang")).otherwise("xx"))
+    p = R.language_pivot(docs.select("cahier", "piece_slug", "lang"))
+    fr, en = F.col("fr"), F.col("en")
+    return p.select(
+        "cahier", "piece_slug", "fr", "en",
+        R.primary_language(fr, en, "en").alias("primary_en"), R.other_language(fr, en, "en").alias("other_en"),
+        R.primary_language(fr, en, "fr").alias("primary_fr"), R.other_language(fr, en, "fr").alias("other_fr"),
+        (~fr & ~en).alias("is_pending"),
+    )
+
+
+# --- planning ------------------------------------------------------------------------
+
+@query
+def source_inventory(spark, sf):
+    d = texts(spark, sf)
+    noisy = F.replace(F.replace(F.replace(
+        F.col("text"), F.lit("tion "), F.lit("tion-\n")), F.lit("er "), F.lit("er7\n")), F.lit(". "), F.lit(" [?] "))
+    docs = d.select(F.col("source").alias("cahier"), F.lit("org-piece").alias("type"),
+                    F.concat(F.lit("pieces/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), noisy.alias("text"))
+    pages = spread(table(spark, sf, "pages")).select(
+        F.concat(F.lit("src"), (F.col("page_id") % 20).cast("string")).alias("cahier"), F.lit("com-cahier").alias("type"),
+        F.concat(F.lit("texts/"), F.col("page_id").cast("string"), F.lit(".md")).alias("path"), F.col("html").alias("text"))
+    conv = table(spark, sf, "conversations").select(
+        F.concat(F.lit("src"), (F.col("conv_id") % 20).cast("string")).alias("cahier"), F.lit("slug-fallback").alias("type"),
+        F.concat(F.lit("raw/"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"), F.lit("-"),
+                 F.col("role"), F.lit(".txt")).alias("path"), F.col("text"))
+    out = G.source_inventory(docs, pages, conv, skip="-(system|extra)")
+    ints = ["lines", "hyph_end", "pgnum_end", "weird", "qmark", "bytes"]
+    return out.select("cahier", "type", *[F.col(c).cast("bigint").alias(c) for c in ints], "path")
+
+
+TIERS = [("src0", "T1"), ("src1", "T1"), ("src2", "T2"), ("src3", "T2"), ("src4", "T2")]
+URL_RULES = [
+    ("src1", "and-the", "contains", "Page_A", "proofread", "use-wikisource", 1),
+    ("src1", "tion", "contains", "Page_B", "validated", "use-wikisource", 2),
+    ("src3", "the", "contains", "Page_C", "proofread", "use-wikisource", 3),
+    ("src1", "c5", "issue", "Page_D", "validated", "use-wikisource-jc", 4),
+    ("src2", "c1", "issue", "Page_E", "validated", "use-wikisource-jc", 5),
+]
+SKIP_TITLES = [("src0", "The", 1), ("src0", "er ", 2), ("src1", "Of", 3)]
+DEFAULTS = [("src0", "verify-first"), ("src1", "verify-second")]
+
+
+def source_plan_rows(spark, sf):
+    d = table(spark, sf, "documents")
+    docs = d.select(
+        F.col("doc_id").alias("doc"), F.concat(F.lit("c"), (F.col("doc_id") % 7).cast("string")).alias("cahier"),
+        T.slugify(first_words(F.col("text"), 4)).alias("piece_slug"), F.col("source").alias("author"),
+        first_words(F.col("text"), 6).alias("title"),
+    )
+    schema = "author string, key string, match string, url string, status string, action string, ord int"
+    exact = docs.join(
+        table(spark, sf, "labels").filter("quality = 1 AND toxic = 1").select(F.col("doc_id").alias("doc")), "doc"
+    ).select(
+        "author", F.col("piece_slug").alias("key"), F.lit("exact").alias("match"),
+        F.concat(F.lit("Doc_"), F.col("doc").cast("string")).alias("url"), F.lit("validated").alias("status"),
+        F.lit("use-wikisource").alias("action"), F.col("doc").cast("int").alias("ord"),
+    )
+    return G.source_plan(
+        docs, rules(spark, TIERS, "author string, tier string"),
+        rules(spark, URL_RULES, schema).unionByName(exact),
+        rules(spark, SKIP_TITLES, "author string, words string, ord int"),
+        rules(spark, DEFAULTS, "author string, action string"), "https://example.org/wiki/",
+    )
+
+
+@query
+def source_plan(spark, sf):
+    return source_plan_rows(spark, sf)
+
+
+@query
+def plan_counts(spark, sf):
+    return G.category_counts(source_plan_rows(spark, sf), "tier", "action", "status")
+
+
+@query
+def candidate_verdicts(spark, sf):
+    """benchmark passages as wanted titles, documents sharing five words in a row as candidates."""
+    def grams(rows, key):
+        toks = F.filter(F.split(F.lower("text"), r"\s+"), lambda t: t != "")
+        rows = rows.select(key, toks.alias("toks")).filter(F.size("toks") >= 5)
+        runs = F.transform(F.sequence(F.lit(1), F.size("toks") - 4), lambda i: F.array_join(F.slice("toks", i, 5), " "))
+        return rows.select(key, F.explode(runs).alias("g"))
+
+    bench = table(spark, sf, "benchmark")
+    wanted = bench.select(F.col("item_id").alias("wanted"), F.regexp_extract("text", r"^[^.\n]*", 0).alias("title"))
+    want_grams = grams(bench, "item_id").distinct()
+    doc_grams = grams(texts(spark, sf), "doc_id")
+    pairs = doc_grams.join(want_grams, "g").select("item_id", "doc_id").distinct()
+    quality = table(spark, sf, "labels").select("doc_id", F.when(
+        F.col("quality") == 1, F.array(F.lit("Textes validés"))).otherwise(F.array(F.lit("Textes corrigés"))).alias("categories"))
+    cands = pairs.join(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").join(quality, "doc_id", "left")
+    cands = cands.select(
+        F.col("item_id").alias("wanted"), F.col("doc_id").alias("rank"), F.col("text").alias("title"),
+        T.token_count(F.col("text")).alias("word_count"), "categories", "doc_id",
+    )
+    out = G.candidate_verdicts(wanted, cands.withColumn("categories", F.coalesce("categories", F.array().cast("array<string>"))))
+    return out.select("wanted", "verdict", F.md5("best").alias("best_md5"), F.col("verdict_order").cast("bigint").alias("verdict_order"))
+
+
+@query
+def resolve_names(spark, sf):
+    """customer names with near variants against supplier names as the register."""
+    c = table(spark, sf, "customer")
+    key = F.col("c_custkey").cast("bigint")
+    plain = c.select(F.replace("c_name", F.lit("C"), F.lit("Ç")).alias("name"), (key * 4).alias("ord"))
+    near = c.filter("c_nationkey > 12").select(
+        F.concat(F.lower("c_name"), F.substring("c_mktsegment", 1, 2)).alias("name"), (key * 4 + 1).alias("ord"))
+    far = c.filter("c_nationkey < 6").select(
+        F.concat(F.replace(F.substring("c_name", 9, 12), F.lit("#"), F.lit("Supplier#")), F.lit("-")).alias("name"),
+        (key * 4 + 2).alias("ord"))
+    blank = c.filter("c_acctbal < 0").select(F.lit(" ").alias("name"), (key * 4 + 3).alias("ord"))
+    s = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("name"), F.concat(F.lit("s-"), F.col("s_suppkey").cast("string")).alias("slug"),
+        F.col("s_suppkey").alias("ord"))
+    return resolve(plain.unionByName(near).unionByName(far).unionByName(blank), s)
+
+
+@query
+def slug_dedupe(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_brand", "p_name")
+    return M.number_slugs(p, "p_brand", "p_name", "p_partkey").select("p_partkey", "p_brand", "slug")
+
+
+@query
+def url_views(spark, sf):
+    p = table(spark, sf, "pages")
+    path = F.regexp_extract("url", r"^https?://[^/]+([^?#]*)", 1)
+    title = F.replace(F.regexp_extract("html", r"<title>([^<]*)</title>", 1), F.lit(" "), F.lit("_"))
+    wiki = F.concat(F.lit("https://w.example.org/wiki/"), F.url_encode(title))
+    section = F.element_at(F.array(F.lit("about"), F.lit("authors"), F.lit("works"), F.lit("cahiers"), F.lit("x")),
+                           (F.col("page_id") % 5 + 1).cast("int"))
+    inner = F.concat(F.lit("/"), section, F.lit("/"), F.col("page_id").cast("string"))
+    fr = U.is_fr_path(path)
+    key = F.col("page_id").cast("string")
+    return p.select(
+        "page_id", path.alias("path"), fr.alias("is_fr"), U.to_fr(path).alias("fr_path"), U.to_en(path).alias("en_path"),
+        U.to_fr(inner).alias("fr_inner"), U.to_en(U.to_fr(inner)).alias("en_inner"), U.page_title(wiki).alias("title"),
+        U.piece_url(F.lit("s01-c01"), key, F.lit("fr"), fr).alias("piece_url"), U.cahier_url(key, fr).alias("cahier_url"),
+        U.author_url(key, fr).alias("author_url"), U.work_url(key, fr).alias("work_url"),
+    )

@@ -172,3 +172,175 @@ FROM p"""
 
 ORACLES["word_counts"] = r"""SELECT doc_id, len(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS words,
   len(list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> '')) AS tokens FROM documents"""
+
+# --- document audit ------------------------------------------------------------------
+
+PAIRED = """SELECT doc_id, 'c' || ((doc_id // 2) % 37) AS cahier, 'd' || (doc_id // 2) AS piece_slug,
+    CASE WHEN doc_id % 2 = 0 THEN 'fr' ELSE 'en' END AS plang, n_chars, text FROM documents"""
+
+FIRST6 = "array_to_string(string_split(string_split(text, chr(10))[1], ' ')[1:6], ' ')"
+
+AUDIT = f"""
+  paired AS ({PAIRED}),
+  stats AS ({prose('paired', 'cahier, piece_slug, plang', 'text', 'plang')}),
+  ratios AS (SELECT *, CASE WHEN n_lines = 0 THEN 0.0::DOUBLE ELSE prose_lines::DOUBLE / n_lines END AS ratio FROM stats),
+  files AS (SELECT cahier, piece_slug,
+      max(prose_lines) FILTER (plang = 'fr') AS fr_prose, max(ratio) FILTER (plang = 'fr') AS fr_ratio,
+      max(prose_lines) FILTER (plang = 'en') AS en_prose, max(ratio) FILTER (plang = 'en') AS en_ratio
+    FROM ratios GROUP BY ALL),
+  declared AS (SELECT cahier, piece_slug, min_by({FIRST6}, doc_id) AS title,
+      'a' || min_by(quality, doc_id) AS listed_author FROM paired JOIN labels USING (doc_id) GROUP BY ALL),
+  upstream AS (SELECT cahier, max(coalesce(toxic, 0)) AS bad FROM paired LEFT JOIN labels USING (doc_id)
+      WHERE n_chars > 6000 GROUP BY ALL),
+  known AS (SELECT d.*, u.bad,
+      CASE WHEN contains(title, 'Then') THEN 'a1' WHEN contains(title, 'ea ') THEN 'a0' WHEN contains(title, 'eau') THEN 'a9'
+           WHEN contains(title, 'tion') THEN 'a1' WHEN contains(title, 'ung') THEN 'a0' END AS expected
+    FROM declared d LEFT JOIN upstream u USING (cahier)),
+  audit AS (SELECT coalesce(k.cahier, f.cahier) AS cahier, coalesce(k.piece_slug, f.piece_slug) AS piece_slug,
+      coalesce(title, '') AS title, coalesce(listed_author, '') AS listed_author,
+      CASE WHEN k.cahier IS NOT NULL THEN coalesce(fr_prose, 0) END AS fr_prose,
+      CASE WHEN k.cahier IS NOT NULL THEN round_even(fr_ratio, 2) END AS fr_ratio,
+      CASE WHEN k.cahier IS NOT NULL THEN coalesce(en_prose, 0) END AS en_prose,
+      CASE WHEN k.cahier IS NOT NULL THEN round_even(en_ratio, 2) END AS en_ratio,
+      CASE WHEN k.cahier IS NULL THEN 'ORPHAN_FILE' ELSE array_to_string(list_filter([
+        CASE WHEN bad IS NULL THEN 'COM_MISSING' WHEN bad = 1 THEN 'COM_PLACEHOLDER' END,
+        CASE WHEN regexp_matches(title, '^(La|The|Is) ') THEN 'SPLIT_SUSPECT' END,
+        CASE WHEN fr_prose IS NULL THEN 'NO_FR' WHEN fr_prose = 0 THEN 'EMPTY_FR' WHEN fr_ratio < 0.5 THEN 'LOW_PROSE_FR' END,
+        CASE WHEN en_prose IS NULL THEN 'NO_EN' WHEN en_prose = 0 THEN 'EMPTY_EN' WHEN en_ratio < 0.5 THEN 'LOW_PROSE_EN' END,
+        CASE WHEN expected <> listed_author THEN 'AUTHOR_MISMATCH(' || listed_author || '→' || expected || ')' END],
+        lambda f: f IS NOT NULL), '|') END AS flags
+    FROM known k FULL JOIN files f ON k.cahier = f.cahier AND k.piece_slug = f.piece_slug),
+  each AS (SELECT cahier || '--' || piece_slug AS doc, title, string_split(unnest(string_split(flags, '|')), '(')[1] AS flag
+    FROM audit WHERE flags <> '')"""
+
+ORACLES["audit_documents"] = f"WITH {AUDIT} SELECT * FROM audit"
+
+ORACLES["flag_histogram"] = f"WITH {AUDIT} SELECT flag, count(*) AS n FROM each GROUP BY flag"
+
+ORACLES["flag_report_top50"] = f"""WITH {AUDIT},
+  numbered AS (SELECT flag AS section, row_number() OVER (PARTITION BY flag ORDER BY doc) AS pos,
+      '- ' || doc || ': ' || title AS line, count(*) OVER (PARTITION BY flag) AS n FROM each)
+SELECT section, pos, line FROM numbered WHERE pos <= 50
+UNION ALL SELECT DISTINCT section, 51, '- ... and ' || (n - 50) || ' more' FROM numbered WHERE n > 50"""
+
+ORACLES["declared_vs_files"] = """SELECT coalesce(l.doc_id, d.doc_id) AS doc_id,
+  CASE WHEN l.doc_id IS NULL THEN 'ORPHAN_FILE' WHEN d.doc_id IS NULL THEN 'NO_FILE' ELSE 'OK' END AS state
+FROM labels l FULL JOIN (SELECT doc_id FROM documents WHERE n_chars > 1500) d ON l.doc_id = d.doc_id"""
+
+ORACLES["missing_references"] = """
+SELECT o_orderkey, 'customer' AS field, o_custkey * 2 AS ref FROM orders
+WHERE o_custkey * 2 NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT o_orderkey, 'supplier', o_custkey % 150 FROM orders
+WHERE o_custkey % 150 NOT IN (SELECT s_suppkey FROM supplier)"""
+
+ORACLES["lang_pivot"] = f"""WITH p AS (SELECT cahier, piece_slug,
+    bool_or(n_chars > 900 AND plang = 'fr') AS fr, bool_or(n_chars > 900 AND plang = 'en') AS en
+  FROM ({PAIRED}) GROUP BY ALL)
+SELECT *, CASE WHEN en THEN 'en' WHEN fr THEN 'fr' END AS primary_en, CASE WHEN fr AND en THEN 'fr' END AS other_en,
+  CASE WHEN fr THEN 'fr' WHEN en THEN 'en' END AS primary_fr, CASE WHEN fr AND en THEN 'en' END AS other_fr,
+  NOT fr AND NOT en AS is_pending FROM p"""
+
+# --- planning ------------------------------------------------------------------------
+
+ORACLES["source_inventory"] = rf"""WITH src AS (
+  SELECT source AS cahier, 'org-piece' AS type, 'pieces/' || doc_id || '.md' AS path,
+    replace(replace(replace(text, 'tion ', 'tion-' || chr(10)), 'er ', 'er7' || chr(10)), '. ', ' [?] ') AS text FROM documents
+  UNION ALL SELECT 'src' || (page_id % 20), 'com-cahier', 'texts/' || page_id || '.md', html FROM pages
+  UNION ALL SELECT 'src' || (conv_id % 20), 'slug-fallback', 'raw/' || conv_id || '-' || turn || '-' || role || '.txt', text
+    FROM conversations WHERE NOT regexp_matches(conv_id || '-' || turn || '-' || role, '-(system|extra)'))
+SELECT cahier, type, path,
+  len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '\S'))) AS lines,
+  len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[{LOW}]-\s*$'))) AS hyph_end,
+  len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[{LOW}]\d{{1,4}}\s*$'))) AS pgnum_end,
+  len(regexp_extract_all(text, '{NW}[{LOW}]+[''"\\][a-zA-Z0-9]')) AS weird,
+  len(regexp_extract_all(text, '\[\?\]')) AS qmark, strlen(text) AS bytes FROM src"""
+
+PLAN = f"""
+  docs AS (SELECT doc_id AS doc, 'c' || (doc_id % 7) AS cahier, {slug(FIRST4)} AS piece_slug, source AS author,
+      {FIRST6} AS title FROM documents),
+  tiers(author, tier) AS (VALUES ('src0', 'T1'), ('src1', 'T1'), ('src2', 'T2'), ('src3', 'T2'), ('src4', 'T2')),
+  exact AS (SELECT author, piece_slug, 'Doc_' || min(doc) AS url FROM docs JOIN labels ON doc_id = doc
+      WHERE quality = 1 AND toxic = 1 GROUP BY ALL),
+  chosen AS (SELECT d.doc, d.cahier, d.piece_slug, d.author, coalesce(t.tier, 'T3') AS tier, CASE
+      WHEN e.url IS NOT NULL THEN {{'u': e.url, 's': 'validated', 'a': 'use-wikisource'}}
+      WHEN (d.author = 'src0' AND (contains(title, 'The') OR contains(title, 'er '))) OR (d.author = 'src1' AND contains(title, 'Of'))
+        THEN {{'u': '', 's': '', 'a': 'skip-editorial'}}
+      WHEN d.author = 'src1' AND contains(d.piece_slug, 'and-the') THEN {{'u': 'Page_A', 's': 'proofread', 'a': 'use-wikisource'}}
+      WHEN d.author = 'src1' AND contains(d.piece_slug, 'tion') THEN {{'u': 'Page_B', 's': 'validated', 'a': 'use-wikisource'}}
+      WHEN d.author = 'src3' AND contains(d.piece_slug, 'the') THEN {{'u': 'Page_C', 's': 'proofread', 'a': 'use-wikisource'}}
+      WHEN d.author = 'src1' AND d.cahier = 'c5' THEN {{'u': 'Page_D', 's': 'validated', 'a': 'use-wikisource-jc'}}
+      WHEN d.author = 'src2' AND d.cahier = 'c1' THEN {{'u': 'Page_E', 's': 'validated', 'a': 'use-wikisource-jc'}}
+      ELSE {{'u': '', 's': '', 'a': CASE WHEN d.author = 'src0' THEN 'verify-first' WHEN d.author = 'src1' THEN 'verify-second'
+        WHEN t.tier = 'T2' THEN 'check-wikisource' ELSE 'skip' END}} END AS c
+    FROM docs d LEFT JOIN tiers t ON t.author = d.author
+    LEFT JOIN exact e ON e.author = d.author AND e.piece_slug = d.piece_slug),
+  plan AS (SELECT doc, cahier, piece_slug, author, tier,
+      CASE WHEN c.u = '' THEN '' ELSE 'https://example.org/wiki/' || c.u END AS url, c.s AS status, c.a AS action FROM chosen)"""
+
+ORACLES["source_plan"] = f"WITH {PLAN} SELECT * FROM plan"
+ORACLES["plan_counts"] = f"""WITH {PLAN}
+SELECT 'tier' AS category, tier AS value, count(*) AS n FROM plan GROUP BY ALL
+UNION ALL SELECT 'action', action, count(*) FROM plan GROUP BY ALL
+UNION ALL SELECT 'status', status, count(*) FROM plan GROUP BY ALL"""
+
+ORACLES["candidate_verdicts"] = r"""WITH
+  toks AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda t: t <> '') AS ts FROM documents),
+  btoks AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda t: t <> '') AS ts FROM benchmark),
+  dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ts) - 3), lambda i: array_to_string(ts[i:i+4], ' '))) AS g FROM toks),
+  bg AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(ts) - 3), lambda i: array_to_string(ts[i:i+4], ' '))) AS g FROM btoks),
+  pairs AS (SELECT DISTINCT item_id, doc_id FROM dg JOIN bg USING (g)),
+  want AS (SELECT item_id, list_distinct(regexp_extract_all(lower(regexp_extract(text, '^[^.\n]*')), '[\p{L}\p{N}_]{4,}')) AS w FROM benchmark),
+  cand AS (SELECT p.item_id, p.doc_id, d.text, quality,
+      len(list_filter(regexp_split_to_array(d.text, '\s+'), lambda t: t <> '')) AS wc,
+      len(list_intersect(w, list_distinct(regexp_extract_all(lower(d.text), '[\p{L}\p{N}_]{4,}'))))::DOUBLE / greatest(len(w), 1) AS share
+    FROM pairs p JOIN want USING (item_id) JOIN documents d ON d.doc_id = p.doc_id LEFT JOIN labels l ON l.doc_id = p.doc_id),
+  hit AS (SELECT item_id, min_by(text, doc_id) AS best, min_by(CASE WHEN quality = 1 THEN 'FOUND-validated'
+      WHEN quality = 0 THEN 'FOUND-proofread' ELSE 'FOUND-maybe' END, doc_id) AS verdict
+    FROM cand WHERE wc > 300 AND share >= 0.5 GROUP BY item_id)
+SELECT b.item_id AS wanted, coalesce(verdict, 'NONE') AS verdict, md5(coalesce(best, '')) AS best_md5,
+  CASE coalesce(verdict, 'NONE') WHEN 'FOUND-validated' THEN 0 WHEN 'FOUND-proofread' THEN 1 WHEN 'FOUND-maybe' THEN 2 ELSE 3 END::BIGINT AS verdict_order
+FROM benchmark b LEFT JOIN hit h USING (item_id)"""
+
+ORACLES["resolve_names"] = rf"""WITH RECURSIVE
+  arrivals AS (
+    SELECT replace(c_name, 'C', 'Ç') AS name, c_custkey * 4 AS ord FROM customer
+    UNION ALL SELECT lower(c_name) || c_mktsegment[1:2], c_custkey * 4 + 1 FROM customer WHERE c_nationkey > 12
+    UNION ALL SELECT replace(c_name[9:20], '#', 'Supplier#') || '-', c_custkey * 4 + 2 FROM customer WHERE c_nationkey < 6
+    UNION ALL SELECT 'Anonymous', c_custkey * 4 + 3 FROM customer WHERE c_acctbal < 0),
+  spelled AS (SELECT name, lower(strip_accents(name)) AS norm, min(ord) AS ord FROM arrivals GROUP BY ALL),
+  entries AS (
+    SELECT lower(s_name) AS norm, 0 AS late, s_suppkey AS spot, 's-' || s_suppkey AS slug, NULL AS name FROM supplier
+    UNION ALL SELECT norm, 1, min(ord), NULL, min_by(name, ord) FROM spelled
+      WHERE norm NOT IN (SELECT lower(s_name) FROM supplier) GROUP BY norm),
+  trims AS (SELECT DISTINCT norm, norm[1 + a : len(norm) - b] AS part
+    FROM entries, (SELECT a, b FROM range(4) r(a), range(4) q(b) WHERE a + b BETWEEN 1 AND 3)),
+  pairs AS (SELECT l.norm AS a, s.norm AS b, l.late AS la, l.spot AS ta, s.late AS lb, s.spot AS tb
+    FROM trims t JOIN entries s ON s.norm = t.part JOIN entries l ON l.norm = t.norm WHERE l.norm <> s.norm),
+  looks AS (SELECT a AS me, la, ta, b AS other, lb, tb FROM pairs UNION SELECT b, lb, tb, a, la, ta FROM pairs),
+  up AS (SELECT me, arg_min(other, (lb, tb, other)) AS other FROM looks
+    WHERE la = 1 AND (lb, tb, other) < (la, ta, me) GROUP BY me),
+  walk AS (
+    SELECT norm, norm AS spot FROM entries
+    UNION ALL SELECT w.norm, u.other FROM walk w JOIN up u ON u.me = w.spot),
+  roots AS (SELECT norm, spot FROM walk WHERE spot NOT IN (SELECT me FROM up))
+SELECT s.name, coalesce(e.slug, {slug('e.name')}) AS slug, (e.slug IS NULL AND r.norm = r.spot) AS is_new
+FROM (SELECT DISTINCT name, norm FROM spelled) s JOIN roots r ON r.norm = s.norm JOIN entries e ON e.norm = r.spot"""
+
+ORACLES["slug_dedupe"] = f"""WITH b AS (SELECT p_partkey, p_brand, {slug('p_name')} AS base FROM part),
+  n AS (SELECT *, row_number() OVER (PARTITION BY p_brand, base ORDER BY p_partkey) AS k FROM b)
+SELECT p_partkey, p_brand, CASE WHEN k = 1 THEN base ELSE base || '-' || k END AS slug FROM n"""
+
+ORACLES["url_views"] = r"""WITH p AS (SELECT page_id, regexp_extract(url, '^https?://[^/]+([^?#]*)', 1) AS path,
+    replace(regexp_extract(html, '<title>([^<]*)</title>', 1), ' ', '_') AS title,
+    ['about', 'authors', 'works', 'cahiers', 'x'][page_id % 5 + 1] AS en_seg,
+    ['a-propos', 'auteurs', 'oeuvres', 'cahiers', 'x'][page_id % 5 + 1] AS fr_seg FROM pages),
+  q AS (SELECT *, path IN ('/fr', '/fr/') OR path LIKE '/fr/%' AS is_fr,
+    array_to_string(list_filter(string_split(path, '/'), lambda s: s <> ''), '/') AS parts,
+    array_to_string(list_filter(string_split(regexp_replace(path, '^/fr', ''), '/'), lambda s: s <> ''), '/') AS bare FROM p)
+SELECT page_id, path, is_fr, CASE WHEN path IN ('', '/') THEN '/fr/' WHEN is_fr THEN path ELSE '/fr/' || parts END AS fr_path,
+  CASE WHEN is_fr THEN '/' || bare ELSE path END AS en_path, '/fr/' || fr_seg || '/' || page_id AS fr_inner,
+  '/' || en_seg || '/' || page_id AS en_inner, title,
+  CASE WHEN is_fr THEN '/fr' ELSE '' END || '/cahiers/s01-c01/' || page_id || '/fr' AS piece_url,
+  CASE WHEN is_fr THEN '/fr' ELSE '' END || '/cahiers/' || page_id AS cahier_url,
+  CASE WHEN is_fr THEN '/fr/auteurs/' ELSE '/authors/' END || page_id AS author_url,
+  CASE WHEN is_fr THEN '/fr/oeuvres/' ELSE '/works/' END || page_id AS work_url FROM q"""
