@@ -372,3 +372,394 @@ def url_views(spark, sf):
         U.piece_url(F.lit("s01-c01"), key, F.lit("fr"), fr).alias("piece_url"), U.cahier_url(key, fr).alias("cahier_url"),
         U.author_url(key, fr).alias("author_url"), U.work_url(key, fr).alias("work_url"),
     )
+
+
+# --- reading views: orders as issues, customers as authors -----------------------------
+
+def order_issues(spark, sf, dated: bool = False):
+    """orders as issues: the priority is the series; unfinished ones have no date."""
+    date = F.date_format("o_orderdate", "yyyy-MM-dd")
+    if not dated:
+        date = F.when(F.col("o_orderstatus") != "P", date)
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("slug"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("series"),
+        F.col("o_orderkey").alias("issue"), F.col("o_orderpriority").alias("label"), date.alias("date"),
+    )
+
+
+@query
+def river(spark, sf):
+    return R.river(order_issues(spark, sf)).select(
+        "river_no", "series", "slug", "issue", "date", "is_series_start", "series_roman", "series_year"
+    )
+
+
+@query
+def river_dated(spark, sf):
+    return R.river(order_issues(spark, sf, dated=True)).select("river_no", "series", "slug", "is_series_start")
+
+
+@query
+def issue_neighbours(spark, sf):
+    return R.issue_neighbours(order_issues(spark, sf))
+
+
+@query
+def series_overview(spark, sf):
+    return R.series_overview(order_issues(spark, sf))
+
+
+def order_pieces(spark, sf):
+    """orders as declared pieces of their customer's issue; some authors are unknown."""
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("k"), F.col("o_custkey").cast("string")).alias("cahier"), F.col("o_orderkey").alias("pos"),
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("piece_slug"), F.col("o_orderpriority").alias("title"),
+        F.concat(F.lit("s"), (F.col("o_custkey") % 1200).cast("string")).alias("author"),
+        (F.col("o_orderstatus") == "P").alias("is_notice"), "o_orderstatus",
+    )
+
+
+def order_texts(spark, sf):
+    """Finished orders have a French text, open ones an English one, partial ones both; cheap ones none."""
+    p = order_pieces(spark, sf).join(
+        table(spark, sf, "orders").filter("o_totalprice > 60000").select(F.col("o_orderkey").alias("pos")), "pos")
+    langs = F.when(F.col("o_orderstatus") == "P", F.array(F.lit("fr"), F.lit("en"))).when(
+        F.col("o_orderstatus") == "F", F.array(F.lit("fr"))).otherwise(F.array(F.lit("en")))
+    return p.withColumn("lang", F.explode(langs))
+
+
+def customer_issues(spark, sf):
+    return table(spark, sf, "customer").select(
+        F.concat(F.lit("k"), F.col("c_custkey").cast("string")).alias("slug"), F.col("c_nationkey").alias("series"),
+        F.col("c_custkey").alias("issue"), F.col("c_name").alias("label"),
+    )
+
+
+def supplier_authors(spark, sf):
+    return table(spark, sf, "supplier").select(
+        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("slug"), F.col("s_name").alias("name"),
+        (F.col("s_acctbal") > 5000).alias("is_editor"),
+    )
+
+
+@query
+def cahier_view(spark, sf):
+    return R.cahier_view(
+        customer_issues(spark, sf), order_pieces(spark, sf).drop("o_orderstatus"), order_texts(spark, sf),
+        supplier_authors(spark, sf))
+
+
+@query
+def piece_view(spark, sf):
+    return R.piece_view(
+        order_texts(spark, sf).select("cahier", "piece_slug", "lang", "author"), order_pieces(spark, sf),
+        customer_issues(spark, sf), supplier_authors(spark, sf))
+
+
+def contributions(spark, sf):
+    return R.author_contributions(
+        supplier_authors(spark, sf), customer_issues(spark, sf), order_pieces(spark, sf), order_texts(spark, sf))
+
+
+@query
+def author_contributions(spark, sf):
+    return contributions(spark, sf)
+
+
+@query
+def contribution_counts(spark, sf):
+    return R.contribution_counts(contributions(spark, sf))
+
+
+@query
+def author_index(spark, sf):
+    c = table(spark, sf, "customer")
+    authors = c.select(
+        F.concat(F.lit("k"), F.col("c_custkey").cast("string")).alias("slug"), F.col("c_name").alias("name"),
+        F.when(F.col("c_nationkey") > 3, T.sort_name(F.replace("c_name", F.lit("#"), F.lit(" ")))).otherwise("").alias("name_sort"),
+        F.when(F.col("c_acctbal") > 0, (F.floor(F.col("c_acctbal") / 10) + 1000).cast("string")).alias("born"),
+        F.when(F.col("c_nationkey") > 10, (F.col("c_nationkey") + 1900).cast("string")).alias("died"),
+        (F.col("c_mktsegment") == "BUILDING").alias("is_editor"))
+    return R.author_index(authors).select("slug", "name", "sort_key", "is_editor", "years")
+
+
+@query
+def notice_targets(spark, sf):
+    texts_ = order_texts(spark, sf).withColumn(
+        "introduces_piece", F.when(F.col("is_notice"), F.concat(F.lit("o"), (F.col("pos") + F.col("pos") % 7 - 3).cast("string"))))
+    one_issue = F.concat(F.lit("g"), F.floor(F.col("pos") / 20).cast("string"))
+    declared = order_pieces(spark, sf).withColumn("cahier", one_issue)
+    return R.notice_targets(texts_.withColumn("cahier", one_issue), declared)
+
+
+@query
+def work_parts(spark, sf):
+    conv = table(spark, sf, "conversations").withColumn("key", F.col("conv_id") * 10 + F.col("turn"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), "o_custkey")
+    parts = conv.join(orders, "key", "left").select(
+        F.concat(F.lit("w"), F.col("conv_id").cast("string")).alias("work"), F.col("turn").alias("pos"),
+        F.when(F.col("role") == "user", F.concat(F.lit("k"), F.col("o_custkey").cast("string"))).otherwise("k?").alias("cahier"),
+        F.concat(F.lit("o"), F.col("key").cast("string")).alias("piece_slug"),
+        F.when(F.col("role") == "system", F.lit("Prologue")).alias("label"),
+    )
+    return R.work_view(parts, customer_issues(spark, sf), order_pieces(spark, sf), order_texts(spark, sf))
+
+
+@query
+def works_of_issues(spark, sf):
+    parts = table(spark, sf, "orders").select(
+        F.concat(F.lit("k"), F.col("o_custkey").cast("string")).alias("cahier"),
+        F.concat(F.lit("w"), F.col("o_orderkey").cast("string")).alias("work"))
+    works = table(spark, sf, "conversations").filter("turn = 0").select(
+        F.concat(F.lit("w"), F.col("conv_id").cast("string")).alias("slug"), first_words(F.col("text"), 3).alias("title"))
+    return R.works_of_issues(parts, works)
+
+
+# --- corrections and merges --------------------------------------------------------------
+
+def document_pieces(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select(
+        F.col("source").alias("cahier"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("piece_slug"),
+        F.col("doc_id").alias("pos"), first_words(F.col("text"), 5).alias("title"), F.col("lang").alias("author"))
+
+
+@query
+def apply_corrections(spark, sf):
+    return corrected(spark, sf)[0]
+
+
+@query
+def correction_log(spark, sf):
+    return corrected(spark, sf)[1]
+
+
+def corrected(spark, sf):
+    pieces = document_pieces(spark, sf)
+    lab = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    slug = F.concat(F.lit("d"), F.col("doc_id").cast("string"))
+    none = F.lit(None).cast("string")
+    set_author = lab.filter("toxic = 1").select(
+        F.col("source").alias("cahier"), slug.alias("piece_slug"), F.lit("author").alias("field"), none.alias("from"),
+        F.lit("toxic").alias("to"), F.lit("set").alias("op"))
+    swap = lab.filter("quality = 0").select(
+        F.col("source").alias("cahier"), slug.alias("piece_slug"), F.lit("title").alias("field"), F.lit("e").alias("from"),
+        F.lit("E").alias("to"), F.lit("replace").alias("op"))
+    issue = rules(spark, [("src1", None, "title", "The", "A", "replace"), ("src2", None, "title", "tion", "-", "replace")],
+                  "cahier string, piece_slug string, field string, from string, to string, op string")
+    adds = lab.filter("toxic = 1").select(
+        F.col("source").alias("cahier"),
+        F.explode(F.array(slug, F.concat(F.lit("new-"), slug))).alias("piece_slug"), F.lit("piece").alias("field"),
+        F.lit("added").alias("from"), F.concat(F.lit("Added "), slug).alias("to"), F.lit("append").alias("op"))
+    return X.apply_corrections(pieces, set_author.unionByName(swap).unionByName(issue).unionByName(adds))
+
+
+def duplicate_rules(spark, sf):
+    """Exact copies within a language: the first is kept."""
+    d = texts(spark, sf).select("doc_id", "lang", F.md5("text").alias("h"))
+    first = d.groupBy("lang", "h").agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = d.join(first, ["lang", "h"]).filter(F.col("doc_id") != F.col("keep"))
+    return copies.select(
+        F.col("lang").alias("cahier"), F.concat(F.lit("d"), F.col("keep").cast("string")).alias("keep_slug"),
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("drop_slug"),
+        F.concat(F.lit("Kept of "), F.col("n").cast("string")).alias("new_title"))
+
+
+@query
+def merge_duplicates(spark, sf):
+    pieces = document_pieces(spark, sf).withColumn("cahier", F.col("author")).drop("author")
+    return X.merge_duplicates(pieces, duplicate_rules(spark, sf))
+
+
+@query
+def drop_documents(spark, sf):
+    docs = document_pieces(spark, sf).select(F.col("author").alias("cahier"), "piece_slug")
+    return X.drop_documents(docs, duplicate_rules(spark, sf))
+
+
+# --- leaves ------------------------------------------------------------------------------
+
+def part_ranges(spark, sf):
+    first, last = F.col("p_size"), F.col("p_size") + F.col("p_partkey") % 60
+    spec = F.when(F.col("p_partkey") % 60 == 0, first.cast("string")).otherwise(
+        F.concat(first.cast("string"), F.lit("-"), last.cast("string")))
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), spec.alias("leaves"), first.cast("int").alias("first"), last.cast("int").alias("last"))
+
+
+@query
+def leaf_manifest(spark, sf):
+    stored = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("id"), F.col("l_quantity").cast("int").alias("leaf"))
+    return L.leaf_manifest(part_ranges(spark, sf).select("id", "leaves"), stored)
+
+
+@query
+def batch_ranges(spark, sf):
+    return L.batch_ranges(part_ranges(spark, sf).select("id", "first", "last"))
+
+
+@query
+def batch_status(spark, sf):
+    results = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"), (F.col("l_orderkey") % 4 + 1).cast("int").alias("batches"),
+        (F.col("l_returnflag") != "R").alias("ok"), (F.col("l_discount") > 0.08).alias("blocked"))
+    return L.batch_status(results).select("id", "batches", "parts_saved", "status")
+
+
+# --- cleaning ------------------------------------------------------------------------------
+
+def noisy_documents(spark, sf):
+    """documents with word breaks, page numbers, margin marks and noise lines put in."""
+    body = F.col("text")
+    for old, new in [("tion ", "tion-\n"), ("er ", "er12\n\n"), (". ", ". 4\n"), (", ", ", k 5e ")]:
+        body = F.replace(body, F.lit(old), F.lit(new))
+    body = F.concat(F.lit("[leaf 12]\n145\n\n\n"), body, F.lit("\n1903, 12.50\n"), F.substring("text", 1, 30),
+                    F.lit(" RU I] '42 52 | M. x\n#> de la\n\n"))
+    return texts(spark, sf).select(F.col("doc_id").alias("doc"), body.alias("body"))
+
+
+@query
+def denoise(spark, sf):
+    return C.denoise(noisy_documents(spark, sf)).select(
+        "doc", "body", F.col("kept").cast("bigint").alias("kept"), F.col("dropped").cast("bigint").alias("dropped"))
+
+
+@query
+def denoise_preview(spark, sf):
+    return C.denoise_preview(noisy_documents(spark, sf)).select(
+        "doc", *[F.col(c).cast("bigint").alias(c) for c in
+                 ("lines_before", "words_before", "lines_after", "words_after", "dropped")])
+
+
+@query
+def heal_breaks(spark, sf):
+    return C.heal_report(noisy_documents(spark, sf)).select("doc", "body")
+
+
+AD_CLASSES = ["ad", "sidebar"]
+
+
+def wrapped_pages(spark, sf):
+    """pages with the furniture of a library page put in."""
+    html = F.replace("html", F.lit("<p>"), F.lit('<span class="x pagenum y" id="p">12</span><p>'))
+    html = F.replace(html, F.lit("</p>"), F.lit('<sup id="r" class="reference">3</sup>[see](http://x.y/z) {.cls}</p><table><tr><td>n</td></tr></table>'))
+    return spread(table(spark, sf, "pages")).select("page_id", html.alias("html"))
+
+
+@query
+def clean_html(spark, sf):
+    return C.page_texts(wrapped_pages(spark, sf), div_classes=AD_CLASSES).select(
+        "page_id", "text", T.word_count(F.col("text")).cast("bigint").alias("words"))
+
+
+@query
+def clean_html_nested(spark, sf):
+    """The subtree-aware variant; counted only, as SQL cannot follow nesting."""
+    return C.page_texts(wrapped_pages(spark, sf), nested=True).select(
+        "page_id", "text", T.word_count(F.col("text")).cast("bigint").alias("words"))
+
+
+@query
+def drop_leading_lines(spark, sf):
+    t = C.page_texts(wrapped_pages(spark, sf), div_classes=AD_CLASSES)
+    return t.select("page_id", H.drop_leading_lines(F.col("text"), r"^- [A-Z]").alias("text"))
+
+
+@query
+def import_pages(spark, sf):
+    pages = spread(table(spark, sf, "pages")).select(
+        F.floor(F.col("page_id") / 3 * 2).cast("bigint").alias("doc"), F.col("page_id").alias("pos"), "html")
+    docs = table(spark, sf, "documents").filter("lang <> 'es'").select(
+        F.col("doc_id").alias("doc"), F.col("n_chars").alias("word_count"))
+    lab = table(spark, sf, "labels")
+    plan = lab.select(
+        F.col("doc_id").alias("doc"),
+        F.when(F.col("doc_id") % 11 == 0, "").otherwise(F.concat(F.lit("https://x.org/wiki/P%C3%A9_"), F.col("doc_id").cast("string"))).alias("url"),
+        F.lit("validated").alias("status"), F.when(F.col("quality") == 1, "use-wikisource").otherwise("skip").alias("action"))
+    out = C.import_pages(docs, pages, plan, "2026-01-01", to_text=lambda p: C.page_texts(p, div_classes=AD_CLASSES))
+    return out.select("doc", F.col("segment").cast("bigint").alias("segment"), "body",
+                      F.col("word_count").cast("bigint").alias("word_count"), "status", "message", "provenance")
+
+
+# --- segmentation ----------------------------------------------------------------------------
+
+def spaced(spark, sf):
+    """documents with each line as a paragraph."""
+    return texts(spark, sf).select(F.col("doc_id").alias("doc"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("body"))
+
+
+@query
+def split_at_anchor(spark, sf):
+    lines = F.split("text", "\n")
+    middle = F.get(lines, F.floor(F.size(lines) / 2).cast("int"))
+    rule = texts(spark, sf).join(table(spark, sf, "labels"), "doc_id").select(
+        F.col("doc_id").alias("doc"),
+        F.when(F.col("toxic") == 1, "no such anchor").otherwise(F.substring_index(middle, " ", 3)).alias("anchor"),
+        F.when(F.col("quality") == 1, "before").otherwise("after").alias("side"), F.lit("one").alias("part1"), F.lit("two").alias("part2"))
+    return S.split_at_anchor(spaced(spark, sf), rule).select(
+        "doc", "part", "body", F.col("words").cast("bigint").alias("words"))
+
+
+@query
+def chunk_words(spark, sf):
+    return S.chunk(spaced(spark, sf), 60).select(
+        "doc", *[F.col(c).cast("bigint").alias(c) for c in ("idx", "total", "words")], "text")
+
+
+@query
+def reassemble(spark, sf):
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("idx"), "role", "text")
+    return S.reassemble(c, c.filter("role <> 'system'")).select(
+        "doc", F.col("segment").cast("bigint").alias("segment"), "body", F.col("missing").cast("bigint").alias("missing"))
+
+
+@query
+def seam_join(spark, sf):
+    """Turns of a conversation as transcription parts, cut at seams."""
+    from stemma.operators.assembly import seam_join as seams
+
+    parts = F.split(F.replace(F.replace("text", F.lit("tion "), F.lit("tion-|")), F.lit(", "), F.lit("| ")), r"\|")
+    return table(spark, sf, "conversations").select("conv_id", "turn", seams(parts).alias("body"))
+
+
+def headed(spark, sf):
+    """Each line of a document as a section headed by its first words; every second one is a piece."""
+    lines = F.filter(F.split("text", "\n"), lambda l: l.rlike(r"\S"))
+    d = texts(spark, sf).select(F.col("doc_id").alias("cahier"), lines.alias("ls")).filter("size(ls) > 0")
+    body = F.array_join(F.transform("ls", lambda l: F.concat(
+        F.lit("## "), F.substring_index(l, " ", 2), F.lit("\n"), l)), "\n")
+    piece = F.transform(F.filter("ls", lambda l, i: i % 2 == 0), lambda l, i: F.struct(
+        T.slugify_keep_accents(F.substring_index(l, " ", 2)).alias("slug"), F.substring_index(l, " ", 2).alias("title")))
+    return d.select("cahier", body.alias("body")), d.select("cahier", piece.alias("pieces"))
+
+
+@query
+def route_sections(spark, sf):
+    docs, catalog = headed(spark, sf)
+    return S.route_sections(docs, catalog).select(
+        "cahier", F.col("pos").cast("bigint").alias("pos"), "piece_slug", "body", "matched_by")
+
+
+@query
+def route_sections_one_to_one(spark, sf):
+    """First-come matching; sequential, so checked by unit tests and row counts."""
+    docs, catalog = headed(spark, sf)
+    return S.route_sections(docs, catalog, "one_to_one").select("cahier", "pos", "piece_slug", "body", "matched_by")
+
+
+@query
+def segment_by_anchor(spark, sf):
+    """Every third line of a document opens a piece; the headed text differs in accents and punctuation."""
+    d = texts(spark, sf).select(F.col("doc_id").alias("cahier"), "text", F.split("text", "\n").alias("ls"))
+    opens = F.filter("ls", lambda l, i: i % 3 == 0)
+    noisy = F.array_join(F.transform(opens, lambda l, i: F.concat(
+        F.format_string("## Part %04d\n*by someone*\n\n", i), F.replace(F.replace(l, F.lit("é"), F.lit("e")), F.lit("."), F.lit(" ;"))
+    )), "\n")
+    pieces = F.transform(opens, lambda l, i: F.struct(
+        F.concat(F.lit("p"), i.cast("string")).alias("slug"), F.format_string("Part %04d", i).alias("title")))
+    anchors = S.opening_anchors(d.select("cahier", noisy.alias("body")), d.select("cahier", pieces.alias("pieces")))
+    out = S.segment_by_anchor(d.select("cahier", "text"), anchors)
+    return out.select("cahier", F.col("pos").cast("bigint").alias("pos"), "piece_slug",
+                      F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"), "body", "warning")

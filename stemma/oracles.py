@@ -309,8 +309,8 @@ ORACLES["resolve_names"] = rf"""WITH RECURSIVE
     UNION ALL SELECT 'Anonymous', c_custkey * 4 + 3 FROM customer WHERE c_acctbal < 0),
   spelled AS (SELECT name, lower(strip_accents(name)) AS norm, min(ord) AS ord FROM arrivals GROUP BY ALL),
   entries AS (
-    SELECT lower(s_name) AS norm, 0 AS late, s_suppkey AS spot, 's-' || s_suppkey AS slug, NULL AS name FROM supplier
-    UNION ALL SELECT norm, 1, min(ord), NULL, min_by(name, ord) FROM spelled
+    SELECT lower(s_name) AS norm, 0 AS late, s_suppkey AS spot, 's-' || s_suppkey AS slug, NULL::VARCHAR AS name FROM supplier
+    UNION ALL SELECT norm, 1, min(ord), NULL::VARCHAR, min(name) FROM spelled
       WHERE norm NOT IN (SELECT lower(s_name) FROM supplier) GROUP BY norm),
   trims AS (SELECT DISTINCT norm, norm[1 + a : len(norm) - b] AS part
     FROM entries, (SELECT a, b FROM range(4) r(a), range(4) q(b) WHERE a + b BETWEEN 1 AND 3)),
@@ -344,3 +344,360 @@ SELECT page_id, path, is_fr, CASE WHEN path IN ('', '/') THEN '/fr/' WHEN is_fr
   CASE WHEN is_fr THEN '/fr' ELSE '' END || '/cahiers/' || page_id AS cahier_url,
   CASE WHEN is_fr THEN '/fr/auteurs/' ELSE '/authors/' END || page_id AS author_url,
   CASE WHEN is_fr THEN '/fr/oeuvres/' ELSE '/works/' END || page_id AS work_url FROM q"""
+
+# --- reading views --------------------------------------------------------------------
+
+ISSUES = """SELECT 'o' || o_orderkey AS slug, o_orderpriority[1]::INT AS series, o_orderkey AS issue,
+    CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date FROM orders"""
+ROMAN = "['I', 'II', 'III', 'IV', 'V'][series]"
+
+ORACLES["river"] = f"""WITH i AS ({ISSUES}),
+  f AS (SELECT *, last_value(date IGNORE NULLS) OVER (ORDER BY series, issue ROWS UNBOUNDED PRECEDING) AS od FROM i),
+  n AS (SELECT *, row_number() OVER (ORDER BY od NULLS FIRST, series, issue) AS river_no FROM f),
+  y AS (SELECT series, min_by(date[1:4], river_no) FILTER (date IS NOT NULL) AS series_year FROM n GROUP BY series)
+SELECT river_no, n.series, slug, issue, date,
+  (lag(n.series) OVER (ORDER BY river_no)) IS DISTINCT FROM n.series AS is_series_start,
+  {ROMAN.replace('series', 'n.series')} AS series_roman, series_year FROM n JOIN y USING (series)"""
+
+ORACLES["river_dated"] = """WITH n AS (SELECT 'o' || o_orderkey AS slug, o_orderpriority[1]::INT AS series,
+    row_number() OVER (ORDER BY o_orderdate, o_orderpriority[1], o_orderkey) AS river_no FROM orders)
+SELECT river_no, series, slug, (lag(series) OVER (ORDER BY river_no)) IS DISTINCT FROM series AS is_series_start FROM n"""
+
+ORACLES["issue_neighbours"] = f"""SELECT slug, lag(slug) OVER w AS prev_slug, lead(slug) OVER w AS next_slug
+FROM ({ISSUES}) WINDOW w AS (ORDER BY series, issue)"""
+
+ORACLES["series_overview"] = f"""SELECT series, min_by(slug, issue) AS first_slug,
+  min_by(date[1:4], issue) FILTER (date IS NOT NULL) AS year, {ROMAN} AS roman FROM ({ISSUES}) GROUP BY series"""
+
+VIEWS = """
+  declared AS (SELECT 'k' || o_custkey AS cahier, o_orderkey AS pos, 'o' || o_orderkey AS piece_slug,
+      o_orderpriority AS title, 's' || (o_custkey % 1200) AS author, o_orderstatus = 'P' AS is_notice,
+      o_orderstatus, o_totalprice FROM orders),
+  langs AS (SELECT cahier, piece_slug, o_orderstatus IN ('F', 'P') AS fr, o_orderstatus NOT IN ('F') AS en
+      FROM declared WHERE o_totalprice > 60000),
+  issues AS (SELECT 'k' || c_custkey AS slug, c_nationkey AS series, c_custkey AS issue, c_name AS label FROM customer),
+  authors AS (SELECT 's' || s_suppkey AS slug, s_name AS name, s_acctbal > 5000 AS is_editor FROM supplier)"""
+
+ORACLES["cahier_view"] = f"""WITH {VIEWS},
+  nb AS (SELECT slug, lag(slug) OVER w AS prev, lead(slug) OVER w AS next FROM issues WINDOW w AS (ORDER BY series, issue))
+SELECT d.cahier, d.pos, d.piece_slug, coalesce(a.name, d.author) AS author_name,
+  CASE WHEN l.en THEN 'en' WHEN l.fr THEN 'fr' END AS primary_lang, CASE WHEN l.en AND l.fr THEN 'fr' END AS other_lang,
+  l.fr IS NULL AS is_pending, prev, next
+FROM declared d LEFT JOIN authors a ON a.slug = d.author LEFT JOIN langs l USING (cahier, piece_slug)
+LEFT JOIN nb ON nb.slug = d.cahier"""
+
+ORACLES["piece_view"] = f"""WITH {VIEWS},
+  nb AS (SELECT cahier, piece_slug, lag(piece_slug) OVER w AS prev_piece, lead(piece_slug) OVER w AS next_piece
+      FROM declared WINDOW w AS (PARTITION BY cahier ORDER BY pos)),
+  texts AS (SELECT d.cahier, piece_slug, author, fr AND en AS both_langs, unnest(list_filter([CASE WHEN fr THEN 'fr' END,
+      CASE WHEN en THEN 'en' END], lambda x: x IS NOT NULL)) AS lang FROM declared d JOIN langs USING (cahier, piece_slug))
+SELECT t.cahier, i.label, t.piece_slug, t.lang, coalesce(a.name, t.author) AS author_name,
+  t.both_langs AS other_lang_exists, prev_piece, next_piece
+FROM texts t JOIN nb USING (cahier, piece_slug) LEFT JOIN authors a ON a.slug = t.author LEFT JOIN issues i ON i.slug = t.cahier"""
+
+CONTRIB = f"""{VIEWS},
+  contrib AS (SELECT a.slug AS author, CASE WHEN d.cahier IS NULL THEN NULL WHEN is_editor AND is_notice THEN 'notice'
+      ELSE 'writing' END AS kind, series, issue, d.cahier, pos, d.piece_slug,
+      CASE WHEN d.cahier IS NOT NULL THEN coalesce(fr, false) END AS fr, CASE WHEN d.cahier IS NOT NULL THEN coalesce(en, false) END AS en
+    FROM authors a LEFT JOIN declared d ON d.author = a.slug LEFT JOIN langs l ON l.cahier = d.cahier AND l.piece_slug = d.piece_slug
+    LEFT JOIN issues i ON i.slug = d.cahier)"""
+
+ORACLES["author_contributions"] = f"WITH {CONTRIB} SELECT * FROM contrib"
+ORACLES["contribution_counts"] = f"""WITH {CONTRIB}
+SELECT author, count(piece_slug) AS n, count(*) FILTER (kind = 'notice') AS n_notices FROM contrib GROUP BY author"""
+
+ORACLES["author_index"] = """SELECT 'k' || c_custkey AS slug, c_name AS name,
+  CASE WHEN c_nationkey > 3 THEN split_part(c_name, '#', 2) || ', ' || split_part(c_name, '#', 1) ELSE c_name END AS sort_key,
+  c_mktsegment = 'BUILDING' AS is_editor,
+  CASE WHEN c_acctbal > 0 OR c_nationkey > 10 THEN
+    coalesce(CASE WHEN c_acctbal > 0 THEN (floor(c_acctbal / 10)::BIGINT + 1000)::VARCHAR END, '?') || '–' ||
+    coalesce(CASE WHEN c_nationkey > 10 THEN (c_nationkey + 1900)::VARCHAR END, '?') END AS years FROM customer"""
+
+ORACLES["notice_targets"] = """WITH d AS (SELECT o_orderkey AS k, 'g' || (o_orderkey // 20) AS cahier, o_orderpriority AS title,
+    o_orderstatus = 'P' AND o_totalprice > 60000 AS notice FROM orders)
+SELECT a.cahier, 'o' || a.k AS piece_slug, 'o' || b.k AS target, b.title AS target_title
+FROM d a JOIN d b ON a.cahier = b.cahier AND b.k = a.k + a.k % 7 - 3 WHERE a.notice"""
+
+ORACLES["work_parts"] = f"""WITH {VIEWS},
+  parts AS (SELECT 'w' || conv_id AS work, turn, CASE WHEN role = 'user' THEN 'k' || o_custkey ELSE 'k?' END AS cahier,
+      'o' || (conv_id * 10 + turn) AS piece_slug, CASE WHEN role = 'system' THEN 'Prologue' END AS label
+    FROM conversations LEFT JOIN orders ON o_orderkey = conv_id * 10 + turn)
+SELECT work, turn + 1 AS part_no, coalesce(p.label, d.title, p.piece_slug) AS title, i.label AS cahier_label, p.cahier,
+  p.piece_slug, coalesce(l.fr, false) AS fr, coalesce(l.en, false) AS en
+FROM parts p LEFT JOIN declared d USING (cahier, piece_slug) LEFT JOIN langs l USING (cahier, piece_slug)
+LEFT JOIN issues i ON i.slug = p.cahier"""
+
+ORACLES["works_of_issues"] = """SELECT 'k' || o_custkey AS cahier, 'w' || conv_id AS work,
+  array_to_string(string_split(string_split(text, chr(10))[1], ' ')[1:3], ' ') AS title
+FROM orders JOIN conversations ON conv_id = o_orderkey WHERE turn = 0"""
+
+# --- corrections and merges -----------------------------------------------------------
+
+FIRST5 = "array_to_string(string_split(string_split(text, chr(10))[1], ' ')[1:5], ' ')"
+CORRECT = f"""
+  p AS (SELECT source AS cahier, 'd' || doc_id AS piece_slug, doc_id AS pos, {FIRST5} AS title, lang AS author,
+      quality, toxic FROM documents LEFT JOIN labels USING (doc_id)),
+  c AS (SELECT *, CASE WHEN quality = 0 THEN replace(title, 'e', 'E') WHEN cahier = 'src1' THEN replace(title, 'The', 'A')
+      WHEN cahier = 'src2' THEN replace(title, 'tion', '-') ELSE title END AS new_title,
+      CASE WHEN toxic = 1 THEN 'toxic' ELSE author END AS new_author FROM p),
+  ends AS (SELECT cahier, max(pos) AS last FROM p GROUP BY cahier),
+  adds AS (SELECT cahier, 'new-' || piece_slug AS piece_slug,
+      last + row_number() OVER (PARTITION BY cahier ORDER BY 'new-' || piece_slug) AS pos, 'Added ' || piece_slug AS title,
+      'added' AS author FROM p JOIN ends USING (cahier) WHERE toxic = 1)"""
+ORACLES["apply_corrections"] = f"""WITH {CORRECT}
+SELECT cahier, piece_slug, pos, new_title AS title, new_author AS author FROM c
+UNION ALL SELECT cahier, piece_slug, pos, title, author FROM adds"""
+ORACLES["correction_log"] = f"""WITH {CORRECT}
+SELECT cahier, piece_slug, 'title' AS field, title AS old, new_title AS new FROM c WHERE title <> new_title
+UNION ALL SELECT cahier, piece_slug, 'author', author, new_author FROM c WHERE author <> new_author
+UNION ALL SELECT cahier, piece_slug, 'piece', NULL, title FROM adds"""
+
+COPIES = """first AS (SELECT lang, md5(text) AS h, min(doc_id) AS keep, count(*) AS n FROM documents GROUP BY ALL HAVING count(*) > 1)"""
+ORACLES["merge_duplicates"] = f"""WITH {COPIES}
+SELECT d.lang AS cahier, 'd' || doc_id AS piece_slug, doc_id AS pos, coalesce('Kept of ' || n, {FIRST5}) AS title
+FROM documents d LEFT JOIN first f ON f.lang = d.lang AND f.h = md5(text) WHERE keep IS NULL OR keep = doc_id"""
+ORACLES["drop_documents"] = f"""WITH {COPIES}
+SELECT d.lang AS cahier, 'd' || doc_id AS piece_slug
+FROM documents d LEFT JOIN first f ON f.lang = d.lang AND f.h = md5(text) WHERE keep IS NULL OR keep = doc_id"""
+
+# --- leaves -----------------------------------------------------------------------------
+
+ORACLES["leaf_manifest"] = """WITH w AS (SELECT p_partkey AS id, p_size AS first,
+    unnest(range(p_size, p_size + p_partkey % 60 + 1)) AS leaf FROM part)
+SELECT id, leaf::INT AS leaf, ((leaf - first) // 26 + 1)::INT AS batch FROM w
+WHERE (id, leaf) NOT IN (SELECT (l_partkey, l_quantity::BIGINT) FROM lineitem)"""
+
+ORACLES["batch_ranges"] = """WITH w AS (SELECT p_partkey AS id, p_size + p_partkey % 60 AS last, p_size AS f,
+    unnest(range(0, (p_partkey % 60) // 26 + 1)) AS k, ((p_partkey % 60) // 26 + 1)::INT AS batches FROM part WHERE p_partkey % 60 > 0)
+SELECT id, (k + 1)::INT AS batch, (f + k * 26)::INT AS first, least(f + k * 26 + 25, last)::INT AS last, batches FROM w"""
+
+ORACLES["batch_status"] = """SELECT l_orderkey AS id, (l_orderkey % 4 + 1)::INT AS batches,
+  count(*) FILTER (l_returnflag <> 'R') AS parts_saved,
+  CASE WHEN count(*) FILTER (l_returnflag <> 'R' AND NOT l_discount > 0.08) = l_orderkey % 4 + 1 THEN 'done'
+       WHEN bool_or(l_discount > 0.08) THEN 'filter-blocked' ELSE 'batch-failed' END AS status
+FROM lineitem GROUP BY l_orderkey"""
+
+# --- cleaning -----------------------------------------------------------------------------
+
+NOISY = r"""SELECT doc_id AS doc, '[leaf 12]' || chr(10) || '145' || repeat(chr(10), 3) ||
+    replace(replace(replace(replace(text, 'tion ', 'tion-' || chr(10)), 'er ', 'er12' || chr(10) || chr(10)),
+      '. ', '. 4' || chr(10)), ', ', ', k 5e ') || chr(10) || '1903, 12.50' || chr(10) || text[1:30] ||
+    ' RU I] ''42 52 | M. x' || chr(10) || '#> de la' || repeat(chr(10), 2) AS body FROM documents"""
+BRK = r"[ \t]*\n(?:[ \t]*\n)*"
+NUM = (
+    rf"([{LOW}]{{3}})\d{{1,4}}{BRK}([{LOW}])|([{LOW}]{{2}})\d{{1,4}}{BRK}([{LOW}]{{2}})|([{LOW}])\d{{1,4}}{BRK}([{LOW}]{{3}})"
+)
+
+
+def repeat_replace(expr: str, pattern: str, to: str, times: int) -> str:
+    for _ in range(times):
+        expr = f"regexp_replace({expr}, '{pattern}', '{to}', 'g')"
+    return expr
+
+
+HYPH = rf"([{LOW}]{{2}})-{BRK}([{LOW}]{{2}})"
+HEALED = f"""noisy AS ({NOISY}),
+  numbered AS (SELECT doc, body AS raw, {repeat_replace('body', NUM, r'\1\2\3\4\5\6', 4)} AS body FROM noisy),
+  healed AS (SELECT doc, raw, {repeat_replace('body', HYPH, r'\1\2', 3)} AS body FROM numbered)"""
+
+ORACLES["heal_breaks"] = f"WITH {HEALED} SELECT doc, body FROM healed"
+
+LET = LOW + UP
+PROSE_FR = quoted((
+    "le la les l un une des du de et ou mais donc car ni que qui quoi dans sur sous avec sans pour par vers chez entre "
+    "il elle ils elles on nous vous je tu moi toi lui leur son sa ses mon ma mes ton ta tes notre votre nos vos "
+    "ce cette ces cet est était sont étaient fut furent sera seront avait avaient ont avez avons "
+    "pas ne plus déjà encore toujours jamais comme quand où puis alors ainsi aussi même très bien tant tout tous toute toutes "
+    "fait faire dit dire voir vu homme femme enfant jour nuit temps année vie monde pays "
+    "père mère fils fille frère sœur christophe olivier antoinette rolland"
+).split())
+ONE_OK = quoted("a à y o ô é è ê ï ù".split())
+TWO_OK = quoted((
+    "le la de du et ou ce se me te ne ni on en au si il je tu ma ta sa où oh ah eh ai as es an un à y").split())
+TAIL = (
+    rf"\s+[*\-–—|:;,.]?\s*(?:[0-9][0-9{LET}]{{0,2}}|[{LET}][0-9][0-9{LET}]?|[{LET}]{{2}}[0-9]|"
+    rf"[b-xzB-XZ{LET[3:].replace('A-Z', '').replace('à', '').replace('À', '')}])[.,;:!?]?"
+)
+DENOISED = rf"""{HEALED},
+  lines AS (SELECT doc, unnest(string_split(regexp_replace(body, '\n$', ''), chr(10))) AS line,
+      generate_subscripts(string_split(regexp_replace(body, '\n$', ''), chr(10)), 1) AS i FROM healed),
+  bare AS (SELECT *, trim(line) AS b, regexp_replace(trim(line), '^(?:\|\s*)+', '') AS t FROM lines),
+  runs AS (SELECT *, regexp_extract_all(t, '[{LET}]+') AS rs,
+      len(list_filter(string_split(t, ' '), lambda w: regexp_matches(w, '\p{{L}}'))) AS toks FROM bare),
+  facts AS (SELECT *, list_filter(rs, lambda r: regexp_full_match(r, '[{UP}]?[{LOW}]{{3,}}')) AS real,
+      len(list_filter(rs, lambda r: r IN ({PROSE_FR}))) > 0 AS hit, len(array_to_string(rs, '')) AS letters FROM runs),
+  verdict AS (SELECT *, CASE WHEN b = '' OR b LIKE '---%' OR b LIKE '```%' THEN false WHEN t = '' THEN true
+      WHEN starts_with(t, '[leaf') OR starts_with(t, '[COLOPHON') OR starts_with(t, '[BACK-MATTER')
+        OR starts_with(t, '[GUIEYSSE') OR starts_with(t, '[p.') THEN true
+      WHEN regexp_full_match(t, '\d{{1,4}}') THEN true WHEN regexp_full_match(t, '[\d\s.,\-–—]+') THEN false
+      WHEN letters = 0 THEN true WHEN toks >= 5 AND len(real)::DOUBLE / toks < 0.4 THEN true
+      WHEN len(real) >= 3 AND letters::DOUBLE / len(t) >= 0.55 AND (hit OR len(list_filter(real, lambda w: len(w) >= 5)) > 0) THEN false
+      WHEN len(real) >= 2 AND hit AND letters::DOUBLE / len(t) >= 0.5 THEN false
+      WHEN len(real) >= 1 AND hit AND letters::DOUBLE / len(t) >= 0.65 AND len(t) <= 40
+        AND len(list_filter(real, lambda w: len(w) >= 4)) > 0 THEN false ELSE true END AS noise FROM facts),
+  marks AS (SELECT doc, i, list_filter(string_split(regexp_replace(regexp_replace(line, '^\d{{1,3}}\s+([{UP}])', '\1'), '^[#>]+\s*', ''), ' '),
+      lambda w: w = '' OR NOT CASE
+        WHEN regexp_matches(w, '\d') AND regexp_matches(w, '\p{{L}}') AND len(w) <= 5 THEN true
+        WHEN regexp_full_match(w, '[''‘’`]\d{{1,4}}[.,;:''‘’`]?') THEN true
+        WHEN len(w) = 2 AND regexp_matches(w, '\p{{L}}') AND regexp_matches(w, '[^\p{{L}}\p{{N}}.]') THEN true
+        WHEN contains(w, '.') THEN false
+        WHEN NOT regexp_matches(w, '[\p{{L}}\d]') THEN w NOT IN (',', ';', ':', '!', '?', '—', '–', '-', '…', '«', '»', '(', ')')
+        WHEN len(w) = 1 AND regexp_matches(w, '\p{{L}}') THEN lower(w) NOT IN ({ONE_OK})
+        WHEN len(w) = 2 AND regexp_full_match(w, '\p{{L}}{{2}}') THEN lower(w) NOT IN ({TWO_OK}) ELSE false END) AS ws
+    FROM verdict WHERE NOT noise),
+  tidy AS (SELECT doc, i, regexp_replace(trim(regexp_replace(regexp_replace(array_to_string(ws, ' '), ' {{2,}}', ' ', 'g'),
+      '\s+([.,;:!?])', '\1', 'g')), '(?:{TAIL}){{0,4}}\s*$', '') AS l FROM marks),
+  joined AS (SELECT doc, regexp_replace(regexp_replace(string_agg(l, chr(10) ORDER BY i), '\n{{3,}}', chr(10) || chr(10), 'g'),
+      '^\n+|\n+$', '', 'g') AS body FROM tidy GROUP BY doc),
+  denoised AS (SELECT v.doc, coalesce(j.body, '') || chr(10) AS body,
+      CASE WHEN coalesce(j.body, '') = '' THEN 0 ELSE len(string_split(j.body, chr(10))) END AS kept, dropped
+    FROM (SELECT doc, count(*) FILTER (noise) AS dropped FROM verdict GROUP BY doc) v LEFT JOIN joined j USING (doc))"""
+
+ORACLES["denoise"] = f"WITH {DENOISED} SELECT doc, body, kept, dropped FROM denoised"
+ORACLES["denoise_preview"] = rf"""WITH {DENOISED}
+SELECT doc, len(string_split(n.body, chr(10))) AS lines_before, len(regexp_extract_all(n.body, '[\p{{L}}\p{{N}}_]+')) AS words_before,
+  kept AS lines_after, len(regexp_extract_all(d.body, '[\p{{L}}\p{{N}}_]+')) AS words_after, dropped
+FROM noisy n JOIN denoised d USING (doc)"""
+
+
+def chain(expr: str, steps: list[tuple[str, str]]) -> str:
+    for pattern, to in steps:
+        p, t = pattern.replace("'", "''"), to.replace("'", "''")
+        expr = f"regexp_replace({expr}, '{p}', '{t}', 'g')"
+    return expr
+
+
+FURNITURE = [
+    (r"(?s)<table.*?</table>", ""),
+    (r'(?s)<div[^>]*class="[^"]*(?:ad|sidebar)[^"]*".*?</div>', ""),
+    (r"(?s)<style.*?</style>", ""),
+    (r'(?s)<sup[^>]*class="[^"]*reference[^"]*".*?</sup>', ""),
+    (r'(?s)<span[^>]*class="[^"]*pagenum[^"]*"[^>]*>.*?</span>', ""),
+]
+MARKUP = [
+    (r"(?s)<script.*?</script>|<!--.*?-->|<head>.*?</head>", ""),
+    (r"(?i)<h1[^>]*>", "\n\n# "), (r"(?i)<h2[^>]*>", "\n\n## "), (r"(?i)<h3[^>]*>", "\n\n### "), (r"(?i)<h4[^>]*>", "\n\n#### "),
+    (r"(?i)<br[^>]*>", "\n"), (r"(?i)<hr[^>]*>", "\n\n* * *\n\n"), (r"(?i)<li[^>]*>", "\n- "),
+    (r"(?i)</?(?:p|h[1-6]|div|ul|ol|table|tr|blockquote|article|nav|header|footer|section)(?:\s[^>]*)?>", "\n\n"),
+    (r"<[^>]+>", ""),
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
+]
+TIDY = [
+    (r"\{[^}]*\}", ""), (r"\[([^\]]*)\]\([^)]*\)", r"\1"), (r"(?m)^:::.*$", ""), (r"(?m)^[\\\s\[\]]*$", ""),
+    (r"(?m) *\\$", ""), (r"\n{3,}", "\n\n"),
+]
+TEXT_OF = "trim(" + chain("{html}", FURNITURE + MARKUP + TIDY) + ", ' ' || chr(10) || chr(9))"
+
+
+def page_text(html: str) -> str:
+    return TEXT_OF.replace("{html}", html)
+
+
+WRAPPED = (
+    "replace(replace(html, '<p>', '<span class=\"x pagenum y\" id=\"p\">12</span><p>'), '</p>', "
+    "'<sup id=\"r\" class=\"reference\">3</sup>[see](http://x.y/z) {.cls}</p><table><tr><td>n</td></tr></table>')"
+)
+PAGE_TEXTS = f"page_texts AS (SELECT page_id, {page_text(WRAPPED)} AS text FROM pages)"
+ORACLES["clean_html"] = rf"""WITH {PAGE_TEXTS}
+SELECT page_id, text, len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) AS words FROM page_texts"""
+
+ORACLES["drop_leading_lines"] = rf"""WITH {PAGE_TEXTS},
+  ls AS (SELECT page_id, string_split(text, chr(10)) AS ls FROM page_texts),
+  cut AS (SELECT page_id, ls[coalesce(list_position(list_transform(ls, lambda l: regexp_matches(l, '^- [A-Z]')), true), 0) + 1 :] AS ls FROM ls),
+  opened AS (SELECT page_id, ls, list_position(list_transform(ls, lambda l: trim(l) <> '' AND (starts_with(trim(l), '#')
+      OR len(trim(l)) >= 70 OR regexp_matches(trim(l), '[.!?…»]$'))), true) AS k FROM cut)
+SELECT page_id, CASE WHEN k > 0 THEN trim(array_to_string(ls[k:], chr(10)), ' ' || chr(10)) ELSE '' END AS text FROM opened"""
+
+ORACLES["import_pages"] = rf"""WITH
+  plan AS (SELECT doc_id AS doc, CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'Pé_' || doc_id END AS title FROM labels WHERE quality = 1),
+  txt AS (SELECT floor(page_id / 3 * 2)::BIGINT AS doc, page_id AS pos, {page_text('html')} AS text FROM pages),
+  grp AS (SELECT doc, string_agg(text, chr(10) || chr(10) || '* * *' || chr(10) || chr(10) ORDER BY pos) AS body, count(*) AS pages,
+      sum(len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')))::BIGINT AS word_count FROM txt GROUP BY doc),
+  held AS (SELECT doc_id AS doc, n_chars AS old FROM documents WHERE lang <> 'es'),
+  st AS (SELECT p.doc, title, body, word_count, old, CASE WHEN title = '' THEN 'skip' WHEN h.doc IS NULL OR word_count IS NULL THEN 'error'
+      WHEN pages = 1 AND old > 1000 AND word_count < old * 0.3::DOUBLE THEN 'skip' ELSE 'ok' END AS status, h.doc IS NULL AS absent
+    FROM plan p LEFT JOIN grp g USING (doc) LEFT JOIN held h ON h.doc = p.doc)
+SELECT doc, 0::BIGINT AS segment, CASE WHEN status = 'ok' THEN body END AS body, word_count, status,
+  CASE WHEN title = '' THEN 'no URL' WHEN absent THEN 'no existing document' WHEN word_count IS NULL THEN 'no stored page'
+    WHEN status = 'skip' THEN 'size guard: new=' || word_count || 'w vs existing=' || old || 'w (<30%)' ELSE 'wrote ' || word_count || 'w' END AS message,
+  CASE WHEN status = 'ok' THEN 'Wikisource (' || title || ', status=validated); pulled 2026-01-01' END AS provenance FROM st"""
+
+# --- segmentation -----------------------------------------------------------------------------
+
+WORDS = r"len(regexp_extract_all({0}, '[\p{{L}}\p{{N}}_]+'))"
+ORACLES["split_at_anchor"] = f"""WITH
+  r AS (SELECT doc_id AS doc, string_split(text, chr(10)) AS ls, quality, toxic FROM documents JOIN labels USING (doc_id)),
+  a AS (SELECT *, CASE WHEN toxic = 1 THEN 'no such anchor' ELSE array_to_string(string_split(ls[len(ls) // 2 + 1], ' ')[1:3], ' ') END AS anchor FROM r),
+  h AS (SELECT *, list_position(list_transform(ls, lambda l: contains(l, anchor)), true) AS k FROM a),
+  c AS (SELECT *, CASE WHEN quality = 1 THEN k - 1 ELSE k END AS cut FROM h)
+SELECT doc, 'one' AS part, array_to_string(ls[1:cut], chr(10) || chr(10)) AS body,
+  {WORDS.format("array_to_string(ls[1:cut], ' ')")} AS words FROM c WHERE k > 0
+UNION ALL SELECT doc, 'two', array_to_string(ls[cut + 1:], chr(10) || chr(10)), {WORDS.format("array_to_string(ls[cut + 1:], ' ')")} FROM c WHERE k > 0
+UNION ALL SELECT doc, NULL, NULL, NULL FROM c WHERE k IS NULL OR k = 0"""
+
+ORACLES["chunk_words"] = r"""WITH RECURSIVE
+  p AS (SELECT doc_id AS doc, unnest(string_split(trim(text, ' ' || chr(10)), chr(10))) AS para,
+      generate_subscripts(string_split(trim(text, ' ' || chr(10)), chr(10)), 1) AS i FROM documents),
+  w AS (SELECT *, len(list_filter(regexp_split_to_array(para, '\s+'), lambda t: t <> '')) AS n FROM p),
+  f AS (SELECT doc, i, 0 AS idx, n AS filled FROM w WHERE i = 1
+    UNION ALL SELECT w.doc, w.i, CASE WHEN f.filled + w.n > 60 THEN f.idx + 1 ELSE f.idx END,
+      CASE WHEN f.filled + w.n > 60 THEN w.n ELSE f.filled + w.n END FROM f JOIN w ON w.doc = f.doc AND w.i = f.i + 1)
+SELECT f.doc, f.idx::BIGINT AS idx, max(f.idx + 1) OVER (PARTITION BY f.doc)::BIGINT AS total, sum(n)::BIGINT AS words,
+  string_agg(para, chr(10) || chr(10) ORDER BY f.i) AS text FROM f JOIN w USING (doc, i) GROUP BY f.doc, f.idx"""
+
+ORACLES["reassemble"] = """SELECT conv_id AS doc, 0::BIGINT AS segment, string_agg(CASE WHEN role = 'system'
+    THEN '[[MISSING CHUNK ' || turn || ']]' ELSE trim(text, ' ' || chr(10)) END, chr(10) || chr(10) ORDER BY turn) AS body,
+  count(*) FILTER (role = 'system') AS missing FROM conversations GROUP BY conv_id"""
+
+ORACLES["seam_join"] = r"""WITH p AS (SELECT conv_id, turn, list_filter(list_transform(
+      string_split(replace(replace(text, 'tion ', 'tion-|'), ', ', '| '), '|'), lambda x: trim(x)), lambda x: true) AS ps FROM conversations)
+SELECT conv_id, turn, list_reduce(ps, lambda acc, x: CASE WHEN acc = '' THEN x
+    WHEN regexp_matches(acc, '\p{L}-$') AND regexp_matches(x, '^\p{Ll}') THEN acc[1:len(acc) - 1] || x
+    WHEN NOT regexp_matches(acc, '[.!?…»:;]$') AND regexp_matches(x, '^\p{Ll}') THEN acc || ' ' || x
+    ELSE acc || chr(10) || chr(10) || x END) AS body FROM p"""
+
+KEEP_SLUG = (
+    r"regexp_replace(regexp_replace(trim(regexp_replace(translate(lower({0}), '‘’“”', ''), "
+    r"'[^\p{{L}}\p{{N}}_\s-]', ' ', 'g')), '\s+', '-', 'g'), '-+', '-', 'g')"
+)
+FIRST2 = "array_to_string(string_split(l, ' ')[1:2], ' ')"
+ORACLES["route_sections"] = rf"""WITH
+  d AS (SELECT doc_id AS cahier, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '\S')) AS ls FROM documents),
+  s AS (SELECT cahier, ls, (len(ls) + 1) // 2 AS n, list_transform(ls, lambda l: {KEEP_SLUG.format(FIRST2)}) AS slugs,
+      list_transform(ls, lambda l: '## ' || trim({FIRST2}) || chr(10) || chr(10) || trim(l)) AS secs FROM d WHERE len(ls) > 0),
+  p AS (SELECT *, list_transform(range(0, n), lambda k: slugs[2 * k + 1]) AS ps FROM s),
+  m AS (SELECT *, list_transform(slugs, lambda g: coalesce(list_position(list_transform(ps, lambda q: contains(q, g) OR contains(g, q)), true), 0)) AS ats FROM p),
+  x AS (SELECT cahier, n, ps, secs, ats, unnest(range(0, n)) AS pos FROM m),
+  y AS (SELECT *, list_transform(list_filter(range(1, len(secs) + 1), lambda k: ats[k] = pos + 1), lambda k: secs[k]) AS mine,
+      CASE WHEN pos = n - 1 THEN list_transform(list_filter(range(1, len(secs) + 1), lambda k: ats[k] = 0), lambda k: secs[k]) ELSE [] END AS rest FROM x)
+SELECT cahier, pos, ps[pos + 1] AS piece_slug,
+  CASE WHEN n = 1 THEN array_to_string(secs, chr(10) || chr(10)) ELSE array_to_string(list_concat(mine, rest), chr(10) || chr(10)) END AS body,
+  CASE WHEN n = 1 THEN 'single' WHEN len(mine) > 0 THEN 'slug' ELSE 'rest' END AS matched_by
+FROM y WHERE n = 1 OR len(mine) > 0 OR len(rest) > 0"""
+
+NORM = r"trim(regexp_replace(lower(strip_accents({0})), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))"
+ORACLES["segment_by_anchor"] = rf"""WITH
+  d AS (SELECT doc_id AS cahier, text, string_split(text, chr(10)) AS ls FROM documents),
+  o AS (SELECT cahier, text, (len(ls) + 2) // 3 AS n, list_transform(range(0, (len(ls) + 2) // 3),
+      lambda k: replace(replace(ls[3 * k + 1], 'é', 'e'), '.', ' ;')) AS ops FROM d),
+  hd AS (SELECT *, array_to_string(list_transform(range(0, n), lambda k: '## Part ' || lpad(k::VARCHAR, 4, '0') || chr(10) ||
+      '*by someone*' || chr(10) || chr(10) || ops[k + 1]), chr(10)) AS headed,
+      regexp_replace(lower(strip_accents(text)), '[^\p{{L}}\p{{N}}_]', ' ', 'g') AS flat, {NORM.format('text')} AS norm FROM o),
+  pc AS (SELECT cahier, text, n, flat, norm, headed, unnest(range(0, n)) AS pos FROM hd),
+  tl AS (SELECT *, ltrim(headed[strpos(headed, '## Part ' || lpad(pos::VARCHAR, 4, '0')) + 13 + 14 :], ' ' || chr(10)) AS tail FROM pc),
+  raw AS (SELECT * EXCLUDE (headed), {NORM.format('tail[1:120]')} AS a, tail = '' AS no_anchor FROM tl),
+  pr AS (SELECT *, CASE WHEN len(a) < 40 THEN [{{'at': 0, 'w': a}}]
+      ELSE list_transform(range(0, len(a) - 39, 20), lambda k: {{'at': k::INT, 'w': a[k + 1 : k + 40]}}) END AS probes FROM raw),
+  ht AS (SELECT *, list_filter(probes, lambda q: contains(norm, q.w))[1] AS hit FROM pr),
+  og AS (SELECT *, CASE WHEN hit IS NOT NULL THEN greatest(strpos(flat,
+      ltrim(regexp_extract(flat, CASE WHEN hit.w[1] = ' ' THEN '[^ ]' ELSE '' END || replace(hit.w, ' ', ' +'))))
+      - 1 - least(hit.at, 50), 0) END AS off0, regexp_extract(flat, CASE WHEN hit.w[1] = ' ' THEN '[^ ]' ELSE '' END || replace(hit.w, ' ', ' +')) AS m FROM ht),
+  og2 AS (SELECT *, CASE WHEN hit IS NOT NULL THEN greatest(strpos(flat, m) - 1
+      + CASE WHEN hit.w[1] = ' ' THEN 1 ELSE 0 END - least(hit.at, 50), 0) END AS off FROM og),
+  ord AS (SELECT *, coalesce(bool_or(off < prev) OVER (PARTITION BY cahier), false) AS bad FROM
+      (SELECT *, max(off) OVER (PARTITION BY cahier ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM og2)),
+  fin AS (SELECT *, CASE WHEN NOT bad THEN off END AS start, CASE WHEN NOT bad AND off IS NOT NULL THEN
+      coalesce(min(off) OVER (PARTITION BY cahier ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), len(text)) END AS stop FROM ord)
+SELECT cahier, pos, 'p' || pos AS piece_slug, start::BIGINT AS start, stop::BIGINT AS "end",
+  CASE WHEN start IS NOT NULL THEN trim(text[start + 1 : stop], ' ' || chr(10)) || chr(10) END AS body,
+  CASE WHEN bad THEN 'offsets out of order' WHEN no_anchor THEN 'anchor missing' WHEN off IS NULL THEN 'anchor not found' END AS warning FROM fin"""
