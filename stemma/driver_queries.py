@@ -656,7 +656,7 @@ def clean_html(spark, sf):
 
 @query
 def clean_html_nested(spark, sf):
-    """The subtree-aware variant; counted only, as SQL cannot follow nesting."""
+    """The subtree-aware variant."""
     return C.page_texts(wrapped_pages(spark, sf), nested=True).select(
         "page_id", "text", T.word_count(F.col("text")).cast("bigint").alias("words"))
 
@@ -724,14 +724,18 @@ def seam_join(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", seams(parts).alias("body"))
 
 
-def headed(spark, sf):
-    """Each line of a document as a section headed by its first words; every second one is a piece."""
+def headed(spark, sf, shift: bool = False):
+    """Each line of a document as a section headed by its first words; every second one is a piece.
+
+    With ``shift`` every third title is taken from the line's end, so that some sections match no piece.
+    """
     lines = F.filter(F.split("text", "\n"), lambda l: l.rlike(r"\S"))
     d = texts(spark, sf).select(F.col("doc_id").alias("cahier"), lines.alias("ls")).filter("size(ls) > 0")
     body = F.array_join(F.transform("ls", lambda l: F.concat(
         F.lit("## "), F.substring_index(l, " ", 2), F.lit("\n"), l)), "\n")
     piece = F.transform(F.filter("ls", lambda l, i: i % 2 == 0), lambda l, i: F.struct(
-        T.slugify_keep_accents(F.substring_index(l, " ", 2)).alias("slug"), F.substring_index(l, " ", 2).alias("title")))
+        T.slugify_keep_accents(F.substring_index(l, " ", 2)).alias("slug"),
+        F.when((i % 3 == 0) & F.lit(shift), F.substring_index(l, " ", -2)).otherwise(F.substring_index(l, " ", 2)).alias("title")))
     return d.select("cahier", body.alias("body")), d.select("cahier", piece.alias("pieces"))
 
 
@@ -744,9 +748,9 @@ def route_sections(spark, sf):
 
 @query
 def route_sections_one_to_one(spark, sf):
-    """First-come matching; sequential, so checked by unit tests and row counts."""
-    docs, catalog = headed(spark, sf)
-    return S.route_sections(docs, catalog, "one_to_one").select("cahier", "pos", "piece_slug", "body", "matched_by")
+    docs, catalog = headed(spark, sf, True)
+    return S.route_sections(docs, catalog, "one_to_one").select(
+        "cahier", F.col("pos").cast("bigint").alias("pos"), "piece_slug", "body", "matched_by")
 
 
 @query
@@ -763,3 +767,167 @@ def segment_by_anchor(spark, sf):
     out = S.segment_by_anchor(d.select("cahier", "text"), anchors)
     return out.select("cahier", F.col("pos").cast("bigint").alias("pos"), "piece_slug",
                       F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"), "body", "warning")
+
+
+# --- sources and sinks ---------------------------------------------------------------------------
+
+@query
+def file_keys(spark, sf):
+    from stemma.sources.catalog import file_keys as keys
+
+    d = table(spark, sf, "documents")
+    name = F.format_string("s%02d-c%02d--%s.%s.md", (F.col("doc_id") % 15 + 1).cast("int"), (F.col("doc_id") % 120).cast("int"),
+                           T.slugify(first_words(F.col("text"), 3)), F.col("lang"))
+    keyed, rejected = keys(d.select("doc_id", name.alias("name")))
+    return keyed.unionByName(rejected, allowMissingColumns=True)
+
+
+def headers(spark, sf):
+    """customers as documents with a header block: quotes, colons in values, a repeated key."""
+    c = table(spark, sf, "customer")
+    text = F.concat(
+        F.lit("---\ncahier: k"), F.col("c_custkey").cast("string"), F.lit("\ntitle: first\npieceSlug:   '"), F.col("c_name"),
+        F.lit("'\nauthor: \"n: "), F.col("c_nationkey").cast("string"), F.lit("\"\nword count: 3\nno value here\ntitle: \""),
+        F.col("c_mktsegment"), F.lit("\"\nwordCount: "), F.when(F.col("c_acctbal") < 0, "many").otherwise(F.floor("c_acctbal").cast("string")),
+        F.lit("\n---\n\nBody of "), F.col("c_name"), F.lit("\n---\nend\n"))
+    return c.select("c_custkey", F.when(F.col("c_nationkey") == 0, F.substring(text, 2, F.length(text))).otherwise(text).alias("text"))
+
+
+@query
+def parse_headers(spark, sf):
+    from stemma.sources import catalog as K
+
+    rows = headers(spark, sf)
+    for style in ("word", "colon", "raw"):
+        fields = {f"{style}_{k}": v for k, v in {"slug": "pieceSlug", "title": "title", "author": "author", "count": "word count"}.items()}
+        rows = K.with_header(rows, fields, style)
+    out = K.with_header(rows, {"wc": "wordCount"}, "colon")
+    return out.withColumn("wc", F.col("wc").try_cast("bigint")).drop("text")
+
+
+@query
+def validate_rows(spark, sf):
+    from stemma.sources import catalog as K
+
+    c = table(spark, sf, "customer")
+    piece = F.struct(F.col("c_name").alias("slug"), F.lit("t").alias("title_fr"), F.lit(None).cast("string").alias("title_en"),
+                     F.when(F.col("c_nationkey") != 7, F.col("c_mktsegment")).alias("author"),
+                     F.lit(None).cast("string").alias("pages"), F.lit(False).alias("is_notice"))
+    rows = c.select(
+        "c_custkey", F.col("c_name").alias("slug"), F.col("c_nationkey").alias("series"),
+        F.floor(F.col("c_acctbal") / 100).cast("int").alias("issue"), F.col("c_mktsegment").alias("label"),
+        F.when(F.col("c_nationkey") != 3, F.lit("t")).alias("title_fr"),
+        F.when(F.col("c_nationkey") == 4, "not a url").when(F.col("c_nationkey") != 5, "https://example.org/x").alias("source_url"),
+        F.when(F.col("c_nationkey") != 6, F.array(piece)).alias("pieces"))
+    checked = K.validate(rows, K.cahier_rules())
+    return checked.select("c_custkey", F.array_join("violations", "|").alias("violations"))
+
+
+@query
+def render_documents(spark, sf):
+    from stemma.sources.sinks import render_piece
+
+    d = texts(spark, sf)
+    return render_piece(d.select(
+        F.col("source").alias("cahier"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("piece_slug"), "lang",
+        F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit('a "b": '), F.col("source"))).otherwise(first_words(F.col("text"), 3)).alias("title"),
+        F.col("source").alias("author"), (F.col("doc_id") % 2 == 0).alias("is_notice"), F.col("text").alias("body")))
+
+
+@query
+def catalog_records(spark, sf):
+    """Issue records as literal text, five parts per blob, descriptions with escaped quotes."""
+    from stemma.sources.catalog import catalog_records as records
+
+    p = table(spark, sf, "part")
+    rec = F.concat(
+        F.lit("{ series: "), F.col("p_size").cast("string"), F.lit(", issue: "), F.col("p_partkey").cast("string"),
+        F.lit(",\n  label: '"), F.col("p_brand"), F.lit("', url: 'https://e.org/"), F.col("p_partkey").cast("string"),
+        F.lit("', description: 'L\\'"), F.col("p_name"), F.lit(" d\\'"), F.col("p_type"), F.lit(". (\\\\)' },\n"))
+    blobs = p.withColumn("rec", rec).groupBy(F.floor(F.col("p_partkey") / 5).alias("b")).agg(
+        F.concat(F.lit("const catalog = ["), F.array_join(F.array_sort(F.collect_list("rec")), ""), F.lit("];")).alias("text"))
+    return records(blobs)
+
+
+@query
+def description_pieces(spark, sf):
+    p = table(spark, sf, "part")
+    upper = F.upper(F.replace("p_name", F.lit(" "), F.lit(" ET ")))
+    desc = F.concat(
+        F.when(F.col("p_size") > 25, "(Gallica) ").otherwise(""),
+        F.when(F.col("p_size") % 3 == 0, F.concat(F.initcap(F.lower("p_type")), F.lit(" lead. "))).otherwise(""),
+        F.when(F.col("p_size") % 4 > 0, F.concat(upper, F.lit(". First "), F.col("p_name"), F.lit(". Second. "))).otherwise("Plain "),
+        F.when(F.col("p_size") % 5 > 0, F.concat(F.upper("p_type"), F.lit(". Third title."))).otherwise("end."))
+    rows = p.select("p_partkey", F.posexplode(M.description_pieces(desc)).alias("pos", "z"))
+    return rows.select("p_partkey", F.col("pos").cast("bigint").alias("pos"), "z.title", "z.author")
+
+
+@query
+def name_fields(spark, sf):
+    """Sort names, life years, issue keys and titles."""
+    c = table(spark, sf, "customer")
+    name = F.concat(F.initcap(F.lower("c_mktsegment")), F.when(F.col("c_nationkey") % 3 == 0, " et Jean ").otherwise(" "),
+                    F.replace("c_name", F.lit("#"), F.lit("-")))
+    year = (F.col("c_custkey") % 900 + 1000).cast("string")
+    dates = F.concat(year, F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("–"), F.col("c_nationkey").cast("string"), year)).otherwise("—?"),
+                     F.lit(" / 1900–1901"))
+    born, died = T.life_years(dates)
+    series, issue = F.col("c_nationkey"), F.col("c_custkey") % 30
+    return c.select("c_custkey", T.sort_name(name).alias("sort_name"), born.alias("born"), died.alias("died"),
+                    T.issue_key(series, issue).alias("issue_key"), T.issue_title(series, issue).alias("issue_title"),
+                    T.roman(series).alias("roman"), T.is_notice_title(F.col("c_mktsegment")).alias("is_notice"))
+
+
+@query
+def find_piece(spark, sf):
+    """Keywords per brand against part names; the first part of the brand otherwise."""
+    p = table(spark, sf, "part")
+    declared = p.select(F.col("p_brand").alias("cahier"), F.col("p_partkey").alias("pos"),
+                        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("piece_slug"), F.replace("p_name", F.lit("e"), F.lit("É")).alias("title"))
+    wanted = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.concat(F.lit("Brand#"), (F.col("s_suppkey") % 25 + 1).cast("string")).alias("cahier"),
+        F.when(F.col("s_nationkey") < 8, F.array(F.lit("Red"), F.lit("plaTe"))).when(F.col("s_nationkey") < 16, F.array(F.lit("gé")))
+        .otherwise(F.array(F.lit("nothing"))).alias("keywords"))
+    return M.find_piece(wanted, declared)
+
+
+@query
+def insert_absent(spark, sf):
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    docs = table(spark, sf, "documents").select("doc_id", F.lit(-1).alias("quality"))
+    return X.insert_absent(lab, docs, ["doc_id"])
+
+
+@query
+def good_leaves(spark, sf):
+    """Stored blobs: pictures open with FF D8, error pages do not."""
+    i = table(spark, sf, "lineitem")
+    code = F.when(F.col("l_returnflag") == "R", "3C68").otherwise("FFD8FFE0")
+    return L.good_leaves(i.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("leaf"), F.unhex(code).alias("content")))
+
+
+@query
+def import_totals(spark, sf):
+    return C.job_totals(import_pages(spark, sf))
+
+
+@query
+def load_catalog(spark, sf):
+    """suppliers as contributors, parts as issue records, conversations as issue texts: the piece table."""
+    p = table(spark, sf, "part")
+    kind = F.initcap(F.lower("p_type"))
+    catalog = p.select(
+        F.floor(F.col("p_partkey") / 50 + 1).cast("int").alias("series"), (F.col("p_partkey") % 50).cast("int").alias("issue"),
+        F.col("p_brand").alias("label"), F.lit("https://e.org").alias("url"),
+        F.concat(F.upper(F.replace("p_name", F.lit(" "), F.lit(" ET "))), F.lit(". Title "), kind, F.lit(". Avis. Title "), kind, F.lit(".")).alias("description"))
+    s = table(spark, sf, "supplier")
+    contributors = s.select(F.col("s_name").alias("name"), F.concat(F.lit("s-"), F.col("s_suppkey").cast("string")).alias("slug"),
+                            F.lit("1873–1914").alias("dates"), F.lit("fr").alias("bio_fr"), F.lit("en").alias("bio_en"))
+    body = F.concat(F.lit("## Title "), F.col("role"), F.lit("\n"), F.col("text"), F.lit("\n## Avis\nShort.\n"))
+    txt = table(spark, sf, "conversations").filter("turn < 2").select(
+        T.issue_key(F.floor(F.col("conv_id") / 50 + 1), F.col("conv_id") % 50).alias("cahier"),
+        F.when(F.col("turn") == 0, "fr").otherwise("en").alias("lang"), F.lit(None).cast("string").alias("date"),
+        F.lit(None).cast("array<struct<title:string,author:string>>").alias("pieces"), body.alias("body"))
+    aliases = rules(spark, [("Red Et Plate", "s-1")], "name string, slug string")
+    out = M.load_catalog(catalog, contributors, txt, aliases, "s-0")
+    return out["pieces"].withColumn("word_count", F.col("word_count").cast("bigint"))

@@ -580,7 +580,7 @@ MARKUP = [
     (r"(?i)<br[^>]*>", "\n"), (r"(?i)<hr[^>]*>", "\n\n* * *\n\n"), (r"(?i)<li[^>]*>", "\n- "),
     (r"(?i)</?(?:p|h[1-6]|div|ul|ol|table|tr|blockquote|article|nav|header|footer|section)(?:\s[^>]*)?>", "\n\n"),
     (r"<[^>]+>", ""),
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 ]
 TIDY = [
     (r"\{[^}]*\}", ""), (r"\[([^\]]*)\]\([^)]*\)", r"\1"), (r"(?m)^:::.*$", ""), (r"(?m)^[\\\s\[\]]*$", ""),
@@ -701,3 +701,115 @@ ORACLES["segment_by_anchor"] = rf"""WITH
 SELECT cahier, pos, 'p' || pos AS piece_slug, start::BIGINT AS start, stop::BIGINT AS "end",
   CASE WHEN start IS NOT NULL THEN trim(text[start + 1 : stop], ' ' || chr(10)) || chr(10) END AS body,
   CASE WHEN bad THEN 'offsets out of order' WHEN no_anchor THEN 'anchor missing' WHEN off IS NULL THEN 'anchor not found' END AS warning FROM fin"""
+
+NESTED = [
+    (r"(?s)<style.*?</style>|<script.*?</script>|<!--.*?-->|<!DOCTYPE[^>]*>", ""),
+    (r'(?s)<span[^>]*class="[^"]*pagenum[^"]*"[^>]*>.*?</span>', ""),
+    (r'(?s)<sup[^>]*class="[^"]*reference[^"]*".*?</sup>', ""),
+    (r"</?(?:html|head|meta|title|body|nav|a|div|article|table|tr|td|span|footer)(?:\s[^>]*)?>", ""),
+]
+NESTED_TEXT = "trim(" + chain(WRAPPED, NESTED + MARKUP + TIDY) + ", ' ' || chr(10) || chr(9))"
+ORACLES["clean_html_nested"] = rf"""WITH t AS (SELECT page_id, {NESTED_TEXT} AS text FROM pages)
+SELECT page_id, text, len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) AS words FROM t"""
+
+SLUG2 = slug(FIRST2)
+LAST2 = slug("array_to_string(string_split(ls[2 * k + 1], ' ')[-2:], ' ')")
+ORACLES["route_sections_one_to_one"] = rf"""WITH RECURSIVE
+  d AS (SELECT doc_id AS cahier, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '\S')) AS ls FROM documents),
+  s AS (SELECT cahier, ls, (len(ls) + 1) // 2 AS n, list_transform(ls, lambda l: {SLUG2}) AS slugs,
+      list_transform(ls, lambda l: {FIRST2}) AS heads FROM d WHERE len(ls) > 0),
+  p AS (SELECT *, list_transform(range(0, n), lambda k: {KEEP_SLUG.format('heads[2 * k + 1]')}) AS ids,
+      list_transform(range(0, n), lambda k: CASE WHEN k % 3 = 0 THEN {LAST2} ELSE slugs[2 * k + 1] END) AS want FROM s),
+  w AS (SELECT cahier, 0 AS i, list_transform(range(0, n), lambda k: -1) AS got FROM p
+    UNION ALL SELECT w.cahier, w.i + 1, list_transform(range(0, p.n), lambda k: CASE WHEN k + 1 = coalesce(list_position(list_transform(
+        range(0, p.n), lambda j: w.got[j + 1] < 0 AND (starts_with(p.slugs[w.i + 1], p.want[j + 1]) OR starts_with(p.want[j + 1], p.slugs[w.i + 1]))), true), 0)
+        THEN w.i ELSE w.got[k + 1] END)
+      FROM w JOIN p USING (cahier) WHERE w.i < len(p.ls)),
+  f AS (SELECT p.*, w.got, list_filter(range(0, len(ls)), lambda k: NOT list_contains(w.got, k)) AS rest,
+      list_filter(range(0, n), lambda k: w.got[k + 1] < 0) AS open FROM w JOIN p USING (cahier) WHERE w.i = len(p.ls)),
+  x AS (SELECT *, unnest(range(0, n)) AS pos FROM f),
+  y AS (SELECT *, got[pos + 1] AS g, rest[list_position(open, pos)] AS fill FROM x)
+SELECT cahier, pos, ids[pos + 1] AS piece_slug,
+  CASE WHEN n = 1 THEN array_to_string(list_transform(range(1, len(ls) + 1), lambda k: '## ' || heads[k] || chr(10) || ls[k]), chr(10))
+    ELSE CASE WHEN g >= 0 THEN trim(ls[g + 1]) WHEN fill IS NOT NULL THEN '## ' || trim(heads[fill + 1]) || chr(10) || trim(ls[fill + 1]) ELSE '' END
+      || CASE WHEN pos = n - 1 AND len(rest) > len(open) THEN chr(10) || chr(10) || array_to_string(list_transform(rest[len(open) + 1:],
+        lambda k: '## ' || trim(heads[k + 1]) || chr(10) || ls[k + 1] || CASE WHEN k = len(ls) - 1 THEN '' ELSE chr(10) END), chr(10) || chr(10)) ELSE '' END END AS body,
+  CASE WHEN n = 1 THEN 'single' WHEN g >= 0 THEN 'slug' WHEN fill IS NOT NULL THEN 'order' END AS matched_by FROM y"""
+
+# --- sources and sinks --------------------------------------------------------------------------
+
+FIRST3 = "array_to_string(string_split(string_split(text, chr(10))[1], ' ')[1:3], ' ')"
+ORACLES["file_keys"] = f"""WITH n AS (SELECT doc_id, lang, 's' || lpad((doc_id % 15 + 1)::VARCHAR, 2, '0') || '-c' ||
+    CASE WHEN doc_id % 120 < 100 THEN lpad((doc_id % 120)::VARCHAR, 2, '0') ELSE (doc_id % 120)::VARCHAR END AS cahier,
+    {slug(FIRST3)} AS piece_slug, lang IN ('fr', 'en') AND doc_id % 120 < 100 AS good FROM documents)
+SELECT doc_id, cahier || '--' || piece_slug || '.' || lang || '.md' AS name, CASE WHEN good THEN cahier END AS cahier,
+  CASE WHEN good THEN piece_slug END AS piece_slug, CASE WHEN good THEN lang END AS lang FROM n"""
+
+HEAD_LINES = """'--' || chr(10) || 'cahier: k' || c_custkey || chr(10) || 'title: first' || chr(10) || 'pieceSlug:   ''' || c_name || '''' || chr(10)
+      || 'author: "n: ' || c_nationkey || '"' || chr(10) || 'word count: 3' || chr(10) || 'no value here' || chr(10) || 'title: "' || c_mktsegment
+      || '"' || chr(10) || 'wordCount: ' || CASE WHEN c_acctbal < 0 THEN 'many' ELSE floor(c_acctbal)::BIGINT::VARCHAR END || chr(10) || '---' || chr(10)"""
+BODY_LINES = "chr(10) || 'Body of ' || c_name || chr(10) || '---' || chr(10) || 'end' || chr(10)"
+ORACLES["parse_headers"] = f"""SELECT c_custkey,
+  CASE WHEN h THEN c_name END AS word_slug, CASE WHEN h THEN c_mktsegment END AS word_title,
+  CASE WHEN h THEN 'n: ' || c_nationkey END AS word_author, NULL::VARCHAR AS word_count,
+  CASE WHEN h THEN c_name END AS colon_slug, CASE WHEN h THEN c_mktsegment END AS colon_title,
+  CASE WHEN h THEN 'n: ' || c_nationkey END AS colon_author, CASE WHEN h THEN '3' END AS colon_count,
+  CASE WHEN h THEN '''' || c_name || '''' END AS raw_slug, CASE WHEN h THEN '"' || c_mktsegment || '"' END AS raw_title,
+  CASE WHEN h THEN '"n: ' || c_nationkey || '"' END AS raw_author, CASE WHEN h THEN '3' END AS raw_count,
+  CASE WHEN h AND c_acctbal >= 0 THEN floor(c_acctbal)::BIGINT END AS wc,
+  CASE WHEN h THEN '' ELSE {HEAD_LINES} END || {BODY_LINES} AS body
+FROM (SELECT *, c_nationkey <> 0 AS h FROM customer)"""
+
+ORACLES["validate_rows"] = """SELECT c_custkey, array_to_string(list_filter([
+    CASE WHEN NOT c_nationkey BETWEEN 1 AND 15 THEN 'series' END, CASE WHEN floor(c_acctbal / 100) < 1 THEN 'issue' END,
+    CASE WHEN c_nationkey = 3 THEN 'title_fr' END, CASE WHEN c_nationkey = 4 THEN 'source_url' END,
+    CASE WHEN c_nationkey IN (6, 7) THEN 'pieces' END], lambda v: v IS NOT NULL), '|') AS violations FROM customer"""
+
+ORACLES["render_documents"] = rf"""SELECT source AS cahier, 'd' || doc_id AS piece_slug, lang,
+  '---' || chr(10) || 'cahier: ' || source || chr(10) || 'pieceSlug: d' || doc_id || chr(10) || 'lang: ' || lang || chr(10) || 'title: ' ||
+  CASE WHEN doc_id % 5 = 0 THEN '"a \"b\": ' || source || '"'
+       WHEN regexp_matches({FIRST3}, '[:#''"]') THEN '"' || replace({FIRST3}, '"', '\"') || '"' ELSE {FIRST3} END
+  || chr(10) || 'author: ' || source || chr(10) || 'isAvertissement: ' || (doc_id % 2 = 0) || chr(10) || 'wordCount: ' ||
+  len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) || chr(10) || '---' || chr(10) || chr(10) || rtrim(text, ' ' || chr(10)) || chr(10) AS text
+FROM documents"""
+
+ORACLES["catalog_records"] = r"""SELECT p_size AS series, p_partkey::INT AS issue, p_brand AS label, 'https://e.org/' || p_partkey AS url,
+  'L''' || p_name || ' d''' || p_type || '. (\)' AS description FROM part"""
+
+CAPS = "array_to_string(list_transform(string_split(replace(p_name, ' ', ' et '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+KIND = "upper(p_type[1]) || lower(p_type[2:])"
+ORACLES["description_pieces"] = f"""WITH p AS (SELECT p_partkey, p_name, p_type, p_size % 3 = 0 AS lead, p_size % 4 > 0 AS one, p_size % 5 > 0 AS two FROM part),
+  t AS (SELECT p_partkey, list_filter(CASE
+      WHEN one THEN [CASE WHEN lead THEN {{'t': {KIND} || ' lead', 'a': ''}} END, {{'t': 'First ' || p_name, 'a': {CAPS}}}, {{'t': 'Second', 'a': {CAPS}}},
+        CASE WHEN two THEN {{'t': 'Third title', 'a': {KIND}}} ELSE {{'t': 'end', 'a': {CAPS}}} END]
+      WHEN two THEN [{{'t': CASE WHEN lead THEN {KIND} || ' lead. ' ELSE '' END || 'Plain', 'a': ''}}, {{'t': 'Third title', 'a': {KIND}}}]
+      ELSE [{{'t': CASE WHEN lead THEN {KIND} || ' lead. ' ELSE '' END || 'Plain end', 'a': ''}}] END, lambda x: x IS NOT NULL) AS ts FROM p),
+  u AS (SELECT p_partkey, (generate_subscripts(ts, 1) - 1)::BIGINT AS pos, unnest(ts) AS z FROM t)
+SELECT p_partkey, pos, z.t AS title, z.a AS author FROM u"""
+
+ORDINALS = quoted((
+    "Premier Deuxième Troisième Quatrième Cinquième Sixième Septième Huitième Neuvième Dixième Onzième Douzième Treizième "
+    "Quatorzième Quinzième Seizième Dix-septième Dix-huitième Dix-neuvième Vingtième Vingt-et-unième Vingt-deuxième Vingt-troisième"
+).split())
+ORACLES["name_fields"] = f"""WITH c AS (SELECT *, c_custkey % 30 AS issue, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS first,
+    replace(c_name, '#', '-') AS last, (c_custkey % 900 + 1000)::VARCHAR AS y, [{ORDINALS}] AS o,
+    ['I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX', 'X', 'XI', 'XII', 'XIII', 'XIV', 'XV'] AS r FROM customer)
+SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN first || ' et Jean ' || last ELSE last || ', ' || first END AS sort_name,
+  y AS born, CASE WHEN c_nationkey % 2 = 0 THEN (c_nationkey || y)[1:4] END AS died,
+  's' || lpad(c_nationkey::VARCHAR, 2, '0') || '-c' || lpad(issue::VARCHAR, 2, '0') AS issue_key,
+  coalesce(CASE WHEN issue > 0 THEN o[issue] END, issue::VARCHAR) || ' cahier de la ' ||
+    lower(coalesce(CASE WHEN c_nationkey > 0 THEN o[c_nationkey] END, c_nationkey::VARCHAR)) || ' série' AS issue_title,
+  coalesce(CASE WHEN c_nationkey > 0 THEN r[c_nationkey] END, c_nationkey::VARCHAR) AS roman, false AS is_notice FROM c"""
+
+ORACLES["find_piece"] = """WITH w AS (SELECT s_suppkey AS id, 'Brand#' || (s_suppkey % 25 + 1) AS cahier,
+    CASE WHEN s_nationkey < 8 THEN ['red', 'plate'] WHEN s_nationkey < 16 THEN ['ge'] ELSE ['nothing'] END AS ks FROM supplier),
+  m AS (SELECT id, cahier, p_partkey, (CASE WHEN contains(p_name, ks[1]) AND contains(p_name, ks[len(ks)]) THEN 0 ELSE 1 END) AS miss
+    FROM w JOIN part ON p_brand = cahier),
+  n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY miss, p_partkey) AS k FROM m)
+SELECT id, cahier, 'p' || p_partkey AS piece_slug FROM n WHERE k = 1"""
+
+ORACLES["insert_absent"] = """SELECT doc_id, coalesce(quality, -1)::INT AS quality FROM documents LEFT JOIN labels USING (doc_id)"""
+
+ORACLES["good_leaves"] = "SELECT l_orderkey AS id, l_linenumber AS leaf FROM lineitem WHERE l_returnflag <> 'R'"
+
+ORACLES["import_totals"] = f"SELECT status, count(*) AS n FROM ({ORACLES['import_pages']}) GROUP BY status"
