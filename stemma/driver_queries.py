@@ -670,7 +670,7 @@ def drop_leading_lines(spark, sf):
 @query
 def import_pages(spark, sf):
     pages = spread(table(spark, sf, "pages")).select(
-        F.floor(F.col("page_id") / 3 * 2).cast("bigint").alias("doc"), F.col("page_id").alias("pos"), "html")
+        F.floor(F.col("page_id") / 3 * 2).cast("bigint").alias("doc"), (F.col("page_id") % 3 % 2).alias("pos"), "html")
     docs = table(spark, sf, "documents").filter("lang <> 'es'").select(
         F.col("doc_id").alias("doc"), F.col("n_chars").alias("word_count"))
     lab = table(spark, sf, "labels")

@@ -17,7 +17,7 @@ def assemble(
     per_segment: int = PARTS_PER_SEGMENT,
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Join parts in order: ``key, segment, body``.
+    """Join parts in order: ``key, segment, body``. Positions count from 0 in each document.
 
     Grouping by document and position range keeps every group bounded, however
     many parts one document has. Segments joined with ``sep`` give the document.

@@ -703,6 +703,7 @@ SELECT cahier, pos, 'p' || pos AS piece_slug, start::BIGINT AS start, stop::BIGI
   CASE WHEN bad THEN 'offsets out of order' WHEN no_anchor THEN 'anchor missing' WHEN off IS NULL THEN 'anchor not found' END AS warning FROM fin"""
 
 NESTED = [
+    ("&amp<", "&<"),
     (r"(?s)<style.*?</style>|<script.*?</script>|<!--.*?-->|<!DOCTYPE[^>]*>", ""),
     (r'(?s)<span[^>]*class="[^"]*pagenum[^"]*"[^>]*>.*?</span>', ""),
     (r'(?s)<sup[^>]*class="[^"]*reference[^"]*".*?</sup>', ""),

@@ -233,24 +233,30 @@ def opening_anchors(docs: DataFrame, catalog: DataFrame) -> DataFrame:
         T.normalise(p["title"]).alias("norm"), T.significant_tokens(p["title"]).alias("toks")
     )))
 
-    # the text from each heading on, so an opening may run past the next heading
+    # the text from each heading on, so an opening may run past the next heading; a later
+    # section gives its heading line at least, so a fixed number of them is enough
+    reach = ANCHOR_CHARS // len("## \n") + 1
+
     def opening(i: Column) -> Column:
-        later = F.slice("_heads", i + 2, F.greatest(F.size("_heads"), F.lit(1)))
-        tail = F.concat(F.get("_heads", i)["body"], F.array_join(
-            F.transform(later, lambda h: F.concat(F.lit("## "), h["head"], F.lit("\n"), h["body"])), ""
+        later = F.transform(F.slice("_heads", i + 2, F.lit(reach)), lambda h: F.concat(
+            F.lit("## "), h["head"], F.lit("\n"), F.substring(h["body"], 1, ANCHOR_CHARS)
         ))
-        prose = F.regexp_replace(tail, r"(?U)\A(?:[^\S\n]*(?:\*(?:[^\n]*\*)?[^\S\n]*)?\n)+", "")
-        return F.when(T.strip_blank(prose) != "", F.substring(prose, 1, ANCHOR_CHARS))
+        prose = F.regexp_replace(
+            F.get("_heads", i)["body"], r"(?U)\A(?:[^\S\n]*(?:\*(?:[^\n]*\*)?[^\S\n]*)?(?:\n|\z))+", ""
+        )
+        return F.concat(F.substring(prose, 1, ANCHOR_CHARS), F.array_join(later, ""))
 
-    def anchor(w: Column) -> Column:
+    def place(w: Column) -> Column:
         named = F.array_position(F.transform("_heads", lambda h: _either_contains(h["norm"], w["norm"])), True)
         near = F.array_position(F.transform("_heads", lambda h: (F.size(w["toks"]) > 0) & (
             T.overlap(w["toks"], h["toks"]) >= F.greatest(F.floor(F.size(w["toks"]) / 2), F.lit(1))
         )), True)
-        at = F.when(named > 0, named).when(near > 0, near)
-        return F.when(at.isNotNull(), opening((at - 1).cast("int")))
+        return (F.coalesce(F.nullif(named, F.lit(0)), F.nullif(near, F.lit(0))) - 1).cast("int")
 
-    return rows.select("cahier", "pieces", F.transform("_want", anchor).alias("anchors"))
+    rows = rows.withColumn("_at", F.transform("_want", place))
+    rows = rows.withColumn("_open", F.transform("_at", lambda i: F.when(i.isNotNull(), opening(i))))
+    anchors = F.transform("_open", lambda o: F.when(T.strip_blank(o) != "", F.substring(o, 1, ANCHOR_CHARS)))
+    return rows.select("cahier", "pieces", anchors.alias("anchors"))
 
 
 def probes_of(anchor: Column) -> Column:
@@ -274,8 +280,11 @@ def segment_by_anchor(clean: DataFrame, anchors: DataFrame) -> DataFrame:
     rows = clean.join(anchors, "cahier")
     flat = F.regexp_replace(F.lower(T.fold_accents(F.col("text"))), rf"[^\p{{L}}\p{{N}}_]", " ")
     rows = rows.withColumn("_flat", flat).withColumn("_norm", F.trim(F.regexp_replace("_flat", " +", " ")))
-    hits = F.transform("anchors", lambda a: F.get(F.filter(
-        probes_of(T.normalise(a)), lambda p: F.col("_norm").contains(p["text"])), F.lit(0)))
+    rows = rows.withColumn("_want", F.transform("anchors", T.normalise))
+    rows = rows.withColumn("_probes", F.transform("_want", probes_of))
+    hits = F.transform("_probes", lambda ps: F.get(
+        F.filter(ps, lambda p: F.col("_norm").contains(p["text"])), F.lit(0)
+    ))
     rows = rows.withColumn("_hits", hits)
 
     def offset(h: Column) -> Column:
