@@ -10,6 +10,7 @@ from stemma.functions import html as H, noise as N, patterns as P, text as T
 from stemma.functions.urls import page_title
 from stemma.operators.assembly import assemble
 from stemma.operators.upsert import size_guard
+from stemma.session import write_out
 
 
 def denoise(docs: DataFrame, passes: int = 1) -> DataFrame:
@@ -17,10 +18,12 @@ def denoise(docs: DataFrame, passes: int = 1) -> DataFrame:
 
     ``docs(doc, body)`` → ``doc, body, kept, dropped``. A header block stays as
     it is. Everything happens inside the document's row. A word broken around a
-    noise line is healed only after that line is gone, hence ``passes``.
+    noise line is healed only after that line is gone, hence ``passes``; the
+    texts are written out between passes.
     """
     out = _denoise_once(docs)
     for _ in range(passes - 1):
+        out = write_out(out, "denoise")
         out = _denoise_once(out.select("doc", "body", F.col("dropped").alias("_before")), ["_before"]).select(
             "doc", "body", "kept", (F.col("dropped") + F.col("_before")).alias("dropped")
         )
