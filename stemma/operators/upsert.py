@@ -93,7 +93,7 @@ def apply_corrections(pieces: DataFrame, rules: DataFrame) -> tuple[DataFrame, D
 
 def insert_absent(table: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
     """Add the rows whose key the table does not hold yet."""
-    return table.unionByName(rows.join(table.select(*key), key, "left_anti"), allowMissingColumns=True)
+    return table.unionByName(rows.join(table.select(*key).distinct(), key, "left_anti"), allowMissingColumns=True)
 
 
 def size_guard(old_words: Column, new_words: Column, exempt: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stemma.functions import noise as N, patterns as P, text as T
 from stemma.operators.lookup import first_contained
 from stemma.operators.ordered import first_per_group, rank_rows
+from stemma.session import write_out
 
 
 # --- ledger and worklist -----------------------------------------------------
@@ -99,7 +100,8 @@ def noise_ledger(
         "score", "garble_pct", "line_pct", "status", "bucket", "doc", "cahier", "piece_slug",
         "lines", "words", "top_flags",
     )
-    return rank_rows(rows, [F.desc("score"), "doc"]) if ranked else rows
+    # written first: placing rows by range evaluates its input twice, the texts are read once
+    return rank_rows(write_out(rows, "ledger"), [F.desc("score"), "doc"]) if ranked else rows
 
 
 def ledger_totals(ledger: DataFrame) -> DataFrame:
@@ -148,7 +150,7 @@ def review_worklist(
         "lines": F.coalesce("lines", F.lit(0)),
         "flags": F.coalesce("flags", F.lit("MISSING")),
     })
-    return rank_rows(rows, [F.desc("score"), "doc"]) if ranked else rows
+    return rank_rows(write_out(rows, "worklist"), [F.desc("score"), "doc"]) if ranked else rows
 
 
 # --- lines -------------------------------------------------------------------
@@ -298,6 +300,7 @@ def flag_report(audit: DataFrame, key: str = "doc", show: int = 50) -> DataFrame
             F.split("flags", r"\|"), lambda f: F.substring_index(f, "(", 1)
         ))).alias("section"),
     ).filter(F.col("section") != "")
+    each = write_out(each, "report")
     shown = first_per_group(each, ["section"], F.col(key), show).select(
         "section", "pos", F.concat(F.lit("- "), "line").alias("line")
     )

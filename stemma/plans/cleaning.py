@@ -56,12 +56,12 @@ def _denoise_once(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 def denoise_preview(docs: DataFrame) -> DataFrame:
     """Dry run: line and word counts before and after, nothing written."""
     before = docs.select(
-        "doc", F.size(F.split("body", "\n")).alias("lines_before"), T.word_count(F.col("body")).alias("words_before")
+        "doc", "body", F.size(F.split("body", "\n")).alias("lines_before"), T.word_count(F.col("body")).alias("words_before")
     )
-    after = denoise(docs).select(
-        "doc", F.col("kept").alias("lines_after"), T.word_count(F.col("body")).alias("words_after"), "dropped"
+    return _denoise_once(before, ["lines_before", "words_before"]).select(
+        "doc", "lines_before", "words_before", F.col("kept").alias("lines_after"),
+        T.word_count(F.col("body")).alias("words_after"), "dropped",
     )
-    return before.join(after, "doc")
 
 
 def heal_report(docs: DataFrame) -> DataFrame:
@@ -118,7 +118,8 @@ def import_pages(
     """
     todo = plan.filter(F.col("action").isin(*actions)).select("doc", "url", F.col("status").alias("level"))
     wanted = pages.join(todo.select("doc"), "doc", "left_semi")
-    texts = to_text(wanted).withColumn("_words", T.word_count(F.col("text")))
+    # written once: the texts serve the totals and the bodies
+    texts = write_out(to_text(wanted).withColumn("_words", T.word_count(F.col("text"))), "pages")
     totals = texts.groupBy("doc").agg(F.sum("_words").alias("word_count"), F.count(F.lit(1)).alias("_pages"))
     held = docs.select("doc", F.col("word_count").alias("_old"), F.lit(True).alias("_exists"))
     rows = todo.join(totals, "doc", "left").join(held, "doc", "left")

@@ -32,7 +32,7 @@ def leaf_manifest(ranges: DataFrame, stored: DataFrame, batch: int = BATCH_LEAVE
     """
     wanted = ranges.select("id", F.posexplode(leaf_range(F.col("leaves"))).alias("_i", "leaf"))
     wanted = wanted.groupBy("id", "leaf").agg((F.floor(F.min("_i") / batch) + 1).cast("int").alias("batch"))
-    return wanted.join(stored.select("id", "leaf"), ["id", "leaf"], "left_anti").select("id", "leaf", "batch")
+    return wanted.join(stored.select("id", "leaf").distinct(), ["id", "leaf"], "left_anti").select("id", "leaf", "batch")
 
 
 def batch_ranges(ranges: DataFrame, batch: int = BATCH_LEAVES) -> DataFrame:

@@ -166,7 +166,7 @@ def author_contributions(
     rows = rows.join(cahiers.select(F.col("slug").alias("cahier"), "series", "issue"), "cahier")
     kind = F.when(F.col("is_editor") & F.col("is_notice"), "notice").otherwise("writing")
     rows = rows.select("author", kind.alias("kind"), "series", "issue", "cahier", "pos", "piece_slug", "fr", "en")
-    idle = known.join(declared.select("author"), "author", "left_anti").select("author")
+    idle = known.join(declared.select("author").distinct(), "author", "left_anti").select("author")
     return rows.unionByName(idle, allowMissingColumns=True)
 
 
