@@ -230,11 +230,12 @@ def audit_declared(
 ) -> DataFrame:
     """``audit_documents`` over an exploded catalog (see ``declared_pieces``)."""
     stats = prose_stats(docs.select("cahier", "piece_slug", "lang", "body"))
-    pair = F.struct("prose_lines", "ratio")
-    files = stats.groupBy("cahier", "piece_slug").agg(
-        F.max(F.when(F.col("lang") == "fr", pair)).alias("fr"),
-        F.max(F.when(F.col("lang") != "fr", pair)).alias("en"),
-    )
+    fr = F.col("lang") == "fr"
+    # one file per piece and language; numeric maxima keep the aggregation hash-based
+    files = stats.groupBy("cahier", "piece_slug").agg(*[
+        F.max(F.when(cond, F.col(c))).alias(f"{side}_{c}")
+        for side, cond in (("fr", fr), ("en", ~fr)) for c in ("prose_lines", "ratio")
+    ])
     known = upstream.groupBy("cahier").agg(F.max(F.col("status") == "placeholder").alias("_placeholder"))
     listed = (
         declared.withColumn("_declared", F.lit(True))
@@ -247,9 +248,8 @@ def audit_declared(
 
     def lang_flag(side: str) -> Column:
         up = side.upper()
-        return F.when(F.col(side).isNull(), f"NO_{up}").otherwise(
-            F.concat(prose_flag(F.col(f"{side}.prose_lines"), F.col(f"{side}.ratio")), F.lit(f"_{up}"))
-        )
+        prose, ratio = F.col(f"{side}_prose_lines"), F.col(f"{side}_ratio")
+        return F.when(prose.isNull(), f"NO_{up}").otherwise(F.concat(prose_flag(prose, ratio), F.lit(f"_{up}")))
 
     expected, author = F.col("_who.slug"), F.coalesce("listed_author", F.lit(""))
     declared_flags = F.array(
@@ -268,7 +268,7 @@ def audit_declared(
     known_side = F.col("_declared").isNotNull()
 
     def shown(side: str) -> list[Column]:
-        prose, ratio = F.col(f"{side}.prose_lines"), F.col(f"{side}.ratio")
+        prose, ratio = F.col(f"{side}_prose_lines"), F.col(f"{side}_ratio")
         return [
             F.when(known_side, F.coalesce(prose, F.lit(0))).alias(f"{side}_prose"),
             F.when(known_side, F.bround(ratio, 2)).alias(f"{side}_ratio"),
