@@ -67,7 +67,7 @@ def actions(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def noise_ledger(spark, sf):
     docs = documents(spark, sf).select("doc", "cahier", "piece_slug", "body")
-    scanned = table(spark, sf, "documents").filter("doc_id % 3 = 0 AND n_chars > 2000").select(
+    scanned = table(spark, sf, "documents").filter("n_chars > 12000").select(
         F.col("source").alias("cahier")
     )
     ledger = A.noise_ledger(docs, actions(spark, sf), scanned, BACK_CUES)
@@ -924,9 +924,10 @@ def load_catalog(spark, sf):
     contributors = s.select(F.col("s_name").alias("name"), F.concat(F.lit("s-"), F.col("s_suppkey").cast("string")).alias("slug"),
                             F.lit("1873–1914").alias("dates"), F.lit("fr").alias("bio_fr"), F.lit("en").alias("bio_en"))
     body = F.concat(F.lit("## Title "), F.col("role"), F.lit("\n"), F.col("text"), F.lit("\n## Avis\nShort.\n"))
-    txt = table(spark, sf, "conversations").filter("turn < 2").select(
-        T.issue_key(F.floor(F.col("conv_id") / 50 + 1), F.col("conv_id") % 50).alias("cahier"),
-        F.when(F.col("turn") == 0, "fr").otherwise("en").alias("lang"), F.lit(None).cast("string").alias("date"),
+    number = F.col("conv_id") * 10 + F.floor(F.col("turn") / 2)
+    txt = table(spark, sf, "conversations").select(
+        T.issue_key(F.floor(number / 50 + 1), number % 50).alias("cahier"),
+        F.when(F.col("turn") % 2 == 0, "fr").otherwise("en").alias("lang"), F.lit(None).cast("string").alias("date"),
         F.lit(None).cast("array<struct<title:string,author:string>>").alias("pieces"), body.alias("body"))
     aliases = rules(spark, [("Red Et Plate", "s-1")], "name string, slug string")
     out = M.load_catalog(catalog, contributors, txt, aliases, "s-0")

@@ -89,7 +89,7 @@ def ledger(scanned: str) -> str:
       doc_id AS doc, source AS cahier, piece_slug, n_lines AS lines, words, top_flags FROM rows)"""
 
 
-ORACLES["noise_ledger"] = f"""WITH {ledger("doc_id % 3 = 0 AND n_chars > 2000")}
+ORACLES["noise_ledger"] = f"""WITH {ledger("n_chars > 12000")}
 SELECT row_number() OVER (ORDER BY score DESC, doc) AS rank, * FROM ledger"""
 
 ORACLES["ledger_totals"] = f"""WITH {ledger("n_chars > 20000")}

@@ -13,6 +13,8 @@ ANCHOR_CHARS = 120
 PROBE_CHARS = 40
 PROBE_STEP = 20
 MAX_BACK_OFF = 50
+# --- end of fixed values -------------------------------------------------------
+NEAR_CHARS = 4000
 
 
 def split_at_anchor(docs: DataFrame, rules: DataFrame) -> DataFrame:
@@ -227,11 +229,9 @@ def opening_anchors(docs: DataFrame, catalog: DataFrame) -> DataFrame:
     """
     rows = docs.join(catalog, "cahier")
     heads = F.transform(sections_of(F.concat(F.lit("\n"), F.col("body")), strict=False), lambda s: F.struct(
-        s["head"].alias("head"), s["body"].alias("body"), T.normalise(s["head"]).alias("norm"), T.significant_tokens(s["head"]).alias("toks")
+        s["head"].alias("head"), s["body"].alias("body"), T.normalise(s["head"]).alias("norm")
     ))
-    rows = rows.withColumn("_heads", heads).withColumn("_want", F.transform("pieces", lambda p: F.struct(
-        T.normalise(p["title"]).alias("norm"), T.significant_tokens(p["title"]).alias("toks")
-    )))
+    rows = rows.withColumn("_heads", heads).withColumn("_want", F.transform("pieces", lambda p: T.normalise(p["title"])))
 
     # the text from each heading on, so an opening may run past the next heading; a later
     # section gives its heading line at least, so a fixed number of them is enough
@@ -246,14 +246,23 @@ def opening_anchors(docs: DataFrame, catalog: DataFrame) -> DataFrame:
         )
         return F.concat(F.substring(prose, 1, ANCHOR_CHARS), F.array_join(later, ""))
 
-    def place(w: Column) -> Column:
-        named = F.array_position(F.transform("_heads", lambda h: _either_contains(h["norm"], w["norm"])), True)
-        near = F.array_position(F.transform("_heads", lambda h: (F.size(w["toks"]) > 0) & (
-            T.overlap(w["toks"], h["toks"]) >= F.greatest(F.floor(F.size(w["toks"]) / 2), F.lit(1))
-        )), True)
-        return (F.coalesce(F.nullif(named, F.lit(0)), F.nullif(near, F.lit(0))) - 1).cast("int")
-
-    rows = rows.withColumn("_at", F.transform("_want", place))
+    def named(want: Column) -> Column:
+        at = F.array_position(F.transform("_heads", lambda h: _either_contains(h["norm"], want)), True)
+        return (F.nullif(at, F.lit(0)) - 1).cast("int")
+
+    def near(toks: Column) -> Column:
+        least = F.greatest(F.floor(F.size(toks) / 2), F.lit(1))
+        at = F.array_position(F.transform("_toks", lambda h: T.overlap(toks, h) >= least), True)
+        return (F.nullif(at, F.lit(0)) - 1).cast("int")
+
+    rows = rows.withColumn("_named", F.transform("_want", named))
+    # tokens are compared only where a title names no heading
+    open_title = F.exists("_named", lambda i: i.isNull())
+    rows = rows.withColumn("_toks", F.when(open_title, F.transform("_heads", lambda h: T.significant_tokens(h["head"]))))
+    rows = rows.withColumn("_at", F.when(open_title, F.transform(
+        F.arrays_zip(F.col("_named").alias("i"), F.col("pieces").alias("p")),
+        lambda z: F.coalesce(z["i"], near(T.significant_tokens(z["p"]["title"]))),
+    )).otherwise(F.col("_named")))
     rows = rows.withColumn("_open", F.transform("_at", lambda i: F.when(i.isNotNull(), opening(i))))
     anchors = F.transform("_open", lambda o: F.when(T.strip_blank(o) != "", F.substring(o, 1, ANCHOR_CHARS)))
     return rows.select("cahier", "pieces", anchors.alias("anchors"))
@@ -278,7 +287,7 @@ def segment_by_anchor(clean: DataFrame, anchors: DataFrame) -> DataFrame:
     ``cahier, pos, piece_slug, start, end, body, warning`` with a 0-based start.
     """
     rows = clean.join(anchors, "cahier")
-    flat = F.regexp_replace(F.lower(T.fold_accents(F.col("text"))), rf"[^\p{{L}}\p{{N}}_]", " ")
+    flat = F.regexp_replace(F.lower(T.fold_accents(F.col("text"))), r"[^\p{L}\p{N}_ ]", " ")
     rows = rows.withColumn("_flat", flat).withColumn("_norm", F.trim(F.regexp_replace("_flat", " +", " ")))
     rows = rows.withColumn("_want", F.transform("anchors", T.normalise))
     rows = rows.withColumn("_probes", F.transform("_want", probes_of))
@@ -287,13 +296,23 @@ def segment_by_anchor(clean: DataFrame, anchors: DataFrame) -> DataFrame:
     ))
     rows = rows.withColumn("_hits", hits)
 
-    def offset(h: Column) -> Column:
+    # a place in the text is never before its place in the normalised text, and seldom far
+    # behind it: look in a short span first, then in the rest
+    spotted = F.transform("_hits", lambda h: F.struct(
+        h["at"].alias("at"),
         # blanks of the window match runs of blanks in the text of equal length
-        spaced = F.regexp_replace(F.regexp_replace(h["text"], "^ ", "(?<=[^ ]) "), " ", " +")
-        at = F.regexp_instr(F.col("_flat"), spaced) - 1
-        return F.when(h.isNotNull(), F.greatest(at - F.least(h["at"], F.lit(MAX_BACK_OFF)), F.lit(0)))
+        F.regexp_replace(F.regexp_replace(h["text"], "^ ", "(?<=[^ ]) "), " ", " +").alias("probe"),
+        F.greatest(F.position(h["text"], F.col("_norm")) - 1, F.lit(1)).alias("from"),
+    ))
+    rows = rows.withColumn("_spots", spotted)
+
+    def offset(s: Column) -> Column:
+        near = F.regexp_instr(F.substring("_flat", s["from"], F.lit(NEAR_CHARS)), s["probe"])
+        far = F.regexp_instr(F.substring("_flat", s["from"], F.length("_flat")), s["probe"])
+        at = s["from"] + F.coalesce(F.nullif(near, F.lit(0)), far) - 2
+        return F.when(s["probe"].isNotNull(), F.greatest(at - F.least(s["at"], F.lit(MAX_BACK_OFF)), F.lit(0)))
 
-    rows = rows.withColumn("_offs", F.transform("_hits", offset))
+    rows = rows.withColumn("_offs", F.transform("_spots", offset))
     present = F.filter("_offs", lambda o: o.isNotNull())
     rows = rows.withColumn("_sorted", F.array_sort(present) == present)
     rows = rows.select("cahier", "text", "anchors", "_offs", "_sorted", F.posexplode("pieces").alias("pos", "_piece"))
