@@ -32,12 +32,14 @@ def denoise(docs: DataFrame, passes: int = 1) -> DataFrame:
 
 def _denoise_once(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     keep = keep or []
-    body = F.regexp_replace(T.body_of(F.col("body")), P.ANY_LINE_BREAK, "\n")
-    healed = N.heal_hyphens(N.heal_page_numbers(body))
-    marked = docs.select(
-        "doc", *keep, T.header_of(F.col("body")).alias("_head"),
-        N.split_noise(T.any_lines_of(healed)).alias("_marked"),
-    )
+    # staged, so that no step is computed twice
+    rows = docs.select("doc", *keep, "body", T.header_of(F.col("body")).alias("_head"))
+    text = F.substring("body", F.length("_head") + 1, F.length("body"))
+    rows = rows.select("doc", *keep, "_head", F.regexp_replace(text, P.ANY_LINE_BREAK, "\n").alias("_text"))
+    rows = rows.select("doc", *keep, "_head", N.heal_page_numbers(F.col("_text")).alias("_text"))
+    rows = rows.select("doc", *keep, "_head", N.heal_hyphens(F.col("_text")).alias("_text"))
+    lines = F.split(F.regexp_replace("_text", r"\n\z", ""), "\n")
+    marked = rows.select("doc", *keep, "_head", N.split_noise(lines).alias("_marked"))
     clean = F.array_join(
         F.transform(F.filter("_marked", lambda m: ~m["noise"]), lambda m: N.repair_line(m["line"])), "\n"
     )

@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-BATCH_LEAVES = 26  # fixed value
+# --- fixed values
+BATCH_LEAVES = 26
+LEAF_FILE = r"^(.+)_(\d{4})\.jpg$"
+
+
+def read_leaves(spark: SparkSession, path: str) -> DataFrame:
+    """Stored leaf files: ``id, leaf, content``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jpg").load(path)
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    return files.filter(name.rlike(LEAF_FILE)).select(
+        F.regexp_extract(name, LEAF_FILE, 1).alias("id"), F.regexp_extract(name, LEAF_FILE, 2).cast("int").alias("leaf"), "content"
+    )
 
 
 def leaf_range(spec: Column) -> Column:

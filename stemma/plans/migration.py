@@ -100,11 +100,18 @@ def find_piece(wanted: DataFrame, declared: DataFrame) -> DataFrame:
 
     ``wanted(id, cahier, keywords)``; returns ``id, cahier, piece_slug``.
     """
-    rows = wanted.join(declared.select("cahier", "pos", "piece_slug", "title"), "cahier")
-    plain = F.lower(T.strip_accents(F.col("title")))
-    miss = (~F.forall("keywords", lambda k: plain.contains(F.lower(T.strip_accents(k))))).cast("int")
-    best = F.min_by("piece_slug", F.struct(miss.alias("miss"), F.col("pos").alias("pos")))
-    return rows.groupBy("id", "cahier").agg(best.alias("piece_slug"))
+    def plain(c: Column) -> Column:
+        return F.lower(T.strip_accents(c))
+
+    asked = wanted.select("id", "cahier", F.transform("keywords", plain).alias("_keys"))
+    titled = declared.select("cahier", "pos", "piece_slug", plain(F.col("title")).alias("_title"))
+    # the test is part of the join, so only matches leave it
+    hits = asked.join(titled, "cahier").filter(F.forall("_keys", lambda k: F.col("_title").contains(k)))
+    best = hits.groupBy("id").agg(F.min_by("piece_slug", "pos").alias("_best"))
+    firsts = declared.groupBy("cahier").agg(F.min_by("piece_slug", "pos").alias("_first"))
+    return asked.join(firsts, "cahier").join(best, "id", "left").select(
+        "id", "cahier", F.coalesce("_best", "_first").alias("piece_slug")
+    )
 
 
 def author_rows(contributors: DataFrame, names: DataFrame, editor: str) -> DataFrame:

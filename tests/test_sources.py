@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from stemma.plans import audit as A, cleaning as C
+from stemma.plans import audit as A, cleaning as C, leaves as L
 from stemma.sources import catalog as K, sinks as W
 from stemma.streaming.incremental import document_stream, write_once
 
@@ -82,3 +82,9 @@ def test_only_new_documents_are_cleaned(spark, tmp_path):
         write_once(C.denoise(document_stream(spark, src)), out, seen).start().awaitTermination()
     got = sorted(map(tuple, spark.read.parquet(out).collect()))
     assert got == [(0, "Il était une fois dans le pays\n", 1, 1), (1, "et la nuit est dans le pays\n", 1, 0)]
+
+
+def test_stored_leaves(spark, tmp_path):
+    for name, blob in {"book_0003.jpg": b"\xff\xd8\xff", "book_0004.jpg": b"<html>", "cover.jpg": b"\xff\xd8"}.items():
+        (tmp_path / name).write_bytes(blob)
+    assert [tuple(r) for r in L.good_leaves(L.read_leaves(spark, str(tmp_path))).collect()] == [("book", 3)]
