@@ -38,7 +38,10 @@ def fold_accents(c: Column) -> Column:
 def strip_accents(c: Column) -> Column:
     """Drop accents and marks, spelling out ligatures and fractions; œ stays."""
     folded = F.translate(c, _FOLD_FROM + _MARKS, _FOLD_TO)
-    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in _SPELLED.items()])
+    # two literal strings, cut once when the plan is optimised
+    pairs = F.arrays_zip(
+        F.split(F.lit("\t".join(_SPELLED)), "\t").alias("k"), F.split(F.lit("\t".join(_SPELLED.values())), "\t").alias("v")
+    )
     spelled = F.aggregate(pairs, folded, lambda acc, p: F.replace(acc, p["k"], p["v"]))
     return (
         F.when(~c.rlike(_NON_ASCII), c)

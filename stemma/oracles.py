@@ -814,3 +814,20 @@ ORACLES["insert_absent"] = """SELECT doc_id, coalesce(quality, -1)::INT AS quali
 ORACLES["good_leaves"] = "SELECT l_orderkey AS id, l_linenumber AS leaf FROM lineitem WHERE l_returnflag <> 'R'"
 
 ORACLES["import_totals"] = f"SELECT status, count(*) AS n FROM ({ORACLES['import_pages']}) GROUP BY status"
+
+# Parts give every issue three titles; the text's own heading matches none of them, "Avis" matches the second.
+ORACLES["load_catalog"] = rf"""WITH
+  t AS (SELECT conv_id * 10 + turn // 2 AS k, CASE WHEN turn % 2 = 0 THEN 'fr' ELSE 'en' END AS lang, role, text FROM conversations),
+  names AS (SELECT p_name, min(p_partkey) AS at_key FROM part GROUP BY p_name),
+  -- a name takes the slug of the first name it contains or is contained in ("old et rod" in "cold et rod")
+  near AS (SELECT a.p_name, arg_min(b.p_name, b.at_key) AS near FROM names a JOIN names b ON b.at_key <= a.at_key
+    AND (contains(a.p_name, b.p_name) OR contains(b.p_name, a.p_name)) AND abs(len(a.p_name) - len(b.p_name)) <= 3 GROUP BY a.p_name),
+  j AS (SELECT 's' || CASE WHEN k // 50 + 1 < 10 THEN '0' ELSE '' END || (k // 50 + 1) || '-c' || lpad((k % 50)::VARCHAR, 2, '0') AS cahier,
+      lang, role, text, {KIND} AS kind, CASE WHEN near = 'red plate' THEN 's-1' ELSE replace(near, ' ', '-et-') END AS author
+    FROM t JOIN part ON p_partkey = k JOIN near USING (p_name)),
+  u AS (SELECT cahier, lang, author, slug, title, body FROM (
+    SELECT *, 'title-' || lower(kind) AS slug, 'Title ' || kind AS title, '## Title ' || role || chr(10) || trim(text, ' ' || chr(10)) AS body FROM j
+    UNION ALL SELECT *, 'avis', 'Avis', 'Short.' FROM j
+    UNION ALL SELECT *, 'title-' || lower(kind) || '-2', 'Title ' || kind, '' FROM j))
+SELECT cahier, slug AS piece_slug, lang, title, author, slug = 'avis' AS is_notice,
+  len(list_filter(regexp_split_to_array(body, '\s+'), lambda w: w <> ''))::BIGINT AS word_count, body FROM u"""
