@@ -60,24 +60,36 @@ def number_slugs(rows: DataFrame, group: str, title: str, by: str) -> DataFrame:
     """``unique_slugs`` for titles in rows of their own: adds ``slug``.
 
     Rows are numbered per (group, slug) over all tasks. Only families where a
-    title already ends in such a number need the sequential rule; these are
-    redone per (group, family).
+    title ends in a number itself (``x``, ``x 2``) need the sequential rule, and
+    of these only the occurrences up to the largest such number; the later ones
+    count on from there.
     """
     based = rows.withColumn("_base", T.slugify(F.col(title)))
     numbered = number_within(based, [group, "_base"], [by], "_n")
-    numbered = numbered.withColumn(
-        "slug", F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", F.col("_n").cast("string")))
-    ).withColumn("_family", F.regexp_replace("_base", r"(-\d+)+$", ""))
+    own = r"^(.*)-([2-9]|[1-9]\d{1,8})$"
+    numbered = numbered.withColumns({
+        "_family": F.regexp_replace("_base", r"(-\d+)+$", ""),
+        "_parent": F.when(F.col("_base").rlike(own), F.regexp_extract("_base", own, 1)),
+        "_own": F.regexp_extract("_base", own, 2).try_cast("int"),
+        "slug": F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", F.col("_n").cast("string"))),
+    })
     numbered = write_out(numbered, "slugs")
+    keep = [*rows.columns, "slug"]
     clash = (
         numbered.groupBy(group, "slug", "_family").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > 1)
         .select(group, "_family").distinct()
     )
-    keep = [*rows.columns, "slug"]
     if clash.isEmpty():
         return numbered.select(*keep)
     calm = numbered.join(clash, [group, "_family"], "left_anti").select(*keep)
-    hot = numbered.join(clash, [group, "_family"], "left_semi")
+    top = numbered.filter(F.col("_parent").isNotNull()).groupBy(group, F.col("_parent").alias("_base")).agg(
+        F.max("_own").alias("_top")
+    )
+    hot = write_out(
+        numbered.join(clash, [group, "_family"], "left_semi").join(top, [group, "_base"], "left")
+        .withColumn("_head", F.col("_n") <= F.coalesce("_top", F.lit(0)) + 1), "slugs",
+    )
+    head = hot.filter("_head").select(group, by, "_base", "_family", "_parent", "_n")
 
     def redo(pdf):
         taken, next_free, out = set(), {}, []
@@ -91,8 +103,19 @@ def number_slugs(rows: DataFrame, group: str, title: str, by: str) -> DataFrame:
             out.append(slug)
         return pdf.assign(slug=out)
 
-    redone = hot.groupBy(group, "_family").applyInPandas(redo, hot.schema)
-    return calm.unionByName(redone.select(*keep))
+    schema = head.withColumn("slug", F.lit("")).schema
+    done = write_out(head.groupBy(group, "_family").applyInPandas(redo, schema), "slugs")
+    first = done.filter("_n = 1")
+    kept_own = F.col("slug") == F.col("_base")
+    held = first.filter(kept_own & F.col("_parent").isNotNull()).groupBy(group, F.col("_parent").alias("_base")).agg(
+        F.count(F.lit(1)).alias("_held")
+    )
+    moved = first.filter(~kept_own).select(group, "_base", F.lit(1).alias("_moved"))
+    tail = hot.filter("NOT _head").join(held, [group, "_base"], "left").join(moved, [group, "_base"], "left")
+    number = F.col("_n") + F.coalesce("_held", F.lit(0)) + F.coalesce("_moved", F.lit(0))
+    tail = tail.withColumn("slug", F.concat_ws("-", "_base", number.cast("string"))).select(*keep)
+    redone = hot.filter("_head").drop("slug").join(done.select(group, by, "slug"), [group, by]).select(*keep)
+    return calm.unionByName(redone).unionByName(tail)
 
 
 def find_piece(wanted: DataFrame, declared: DataFrame) -> DataFrame:

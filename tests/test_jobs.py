@@ -363,6 +363,22 @@ def test_unique_slugs_avoid_titles_that_look_numbered(spark):
     assert [s for _, _, s in got] == want + ["un", "un-2"]
 
 
+def test_numbered_slugs_against_brute_force(spark):
+    rng = random.Random(11)
+    titles = ["Un", "Un", "Un", "Un 2", "Un 3", "Un 5", "Un 2 2", "Un 2 3", "Un 1", "Un 02", "Deux", "Deux 4"]
+    data = [(g, i, rng.choice(titles)) for g in ("a", "b", "c", "d") for i in range(rng.randint(20, 60))]
+    want, used = {}, {}
+    for g, i, t in data:
+        seen, base, n = used.setdefault(g, set()), t.lower().replace(" ", "-"), 2
+        slug = base
+        while slug in seen:
+            slug, n = f"{base}-{n}", n + 1
+        seen.add(slug)
+        want[(g, i)] = slug
+    df = spark.createDataFrame(data, "g string, n int, t string").repartition(5)
+    assert {(g, i): s for g, i, s in rows(M.number_slugs(df, "g", "t", "n").select("g", "n", "slug"))} == want
+
+
 def test_load_catalog(spark):
     cat = spark.createDataFrame([
         (1, 1, "I-1", "https://e.org/1", "(Gallica) JEAN DUPONT. Premier texte. Avis. PAUL ET MARC. Autre texte."),
