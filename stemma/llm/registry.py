@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("queries_tokens", "queries_duplicates")
+_MODULES = ("queries_tokens", "queries_duplicates", "queries_fingerprints")
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 for _name in _MODULES:
