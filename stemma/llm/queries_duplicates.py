@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import jaccard_join
+from stemma.llm import jaccard_join, vector_links
 from stemma.llm.common import read
 
 
@@ -13,6 +13,24 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of near-duplicates and their component."""
+    return vector_links.links(read(spark, sf_dir, "embeddings"))
+
+
+OP3_SQL = """
+with recursive v as materialized (
+  select vec_id, label, embedding::double[] as x from embeddings
+  where label is not null and len(list_filter(embedding, lambda e: e is null or isnan(e) or isinf(e))) = 0
+    and len(list_filter(embedding, lambda e: e <> 0)) > 0),
+links as materialized (
+  select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.x) = len(b.x)
+  where list_cosine_similarity(a.x, b.x) >= 0.93),
+reach as (select vec_id as x, vec_id as y from embeddings union select r.x, l.y from reach r join links l on r.y = l.x),
+counts as (select x, count(*) as n from links group by x)
+select e.vec_id, coalesce(c.n, 0)::bigint as n_links, min(r.y) as component_id, e.vec_id = min(r.y) as kept
+from embeddings e left join counts c on c.x = e.vec_id join reach r on r.x = e.vec_id group by e.vec_id, c.n
+"""
 _WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
 OP4_SQL = f"""
 with recursive words as materialized (select doc_id, {_WORDS} as w from documents),
@@ -29,5 +47,5 @@ reach as (select doc_id as x, doc_id as y from words union select r.x, b.y from
 select w.doc_id, coalesce(s.n, 0)::bigint as n_shingles, min(r.y) as component_id
 from words w left join sizes s on s.doc_id = w.doc_id join reach r on r.x = w.doc_id group by 1, 2
 """
-QUERIES = {f.__name__: f for f in (op4_jaccard_join,)}
-ORACLES = {"op4_jaccard_join": OP4_SQL}
+QUERIES = {f.__name__: f for f in (op3_vector_links, op4_jaccard_join)}
+ORACLES = {"op3_vector_links": OP3_SQL, "op4_jaccard_join": OP4_SQL}
