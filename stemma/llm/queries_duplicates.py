@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stemma.llm import jaccard_join, vector_links
+from stemma.llm import jaccard_join, repeated_bytes, vector_links
 from stemma.llm.common import read
 
 
@@ -13,6 +14,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that repeated strings of 200 bytes cover."""
+    found = repeated_bytes.remove(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its number of near-duplicates and their component."""
     return vector_links.links(read(spark, sf_dir, "embeddings"))
@@ -47,5 +54,5 @@ reach as (select doc_id as x, doc_id as y from words union select r.x, b.y from
 select w.doc_id, coalesce(s.n, 0)::bigint as n_shingles, min(r.y) as component_id
 from words w left join sizes s on s.doc_id = w.doc_id join reach r on r.x = w.doc_id group by 1, 2
 """
-QUERIES = {f.__name__: f for f in (op3_vector_links, op4_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_repeated_bytes, op3_vector_links, op4_jaccard_join)}
 ORACLES = {"op3_vector_links": OP3_SQL, "op4_jaccard_join": OP4_SQL}
