@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stemma.session import write_out
 
@@ -53,6 +54,28 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def annotate(docs: DataFrame, make: Callable[[], Callable[[list], list]], columns: str) -> DataFrame:
+    """Every column of ``docs`` and new ``columns`` (``name type`` pairs) computed from its texts.
+
+    ``make`` gives, once per task, a function from a list of texts (or nulls) to a
+    list of columns. New columns take the place of equally named ones.
+    """
+    small_batches(docs.sparkSession)
+    added = arrow_of(columns)
+    kept = docs.drop(*(n for n in added.names if n != "text"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for batch in batches:
+            new = compute(batch.column(batch.schema.get_field_index("text")).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, type=f.type) for c, f in zip(new, added, strict=True))], names=[*batch.schema.names, *added.names])
+
+    schema = StructType(list(kept.schema.fields))
+    for part in columns.split(", "):
+        schema = schema.add(*part.split(" "))
+    return kept.mapInArrow(run, schema)
+
+
 class Forest:
     """Union-find over any ordered keys; the smallest key is the root."""
 

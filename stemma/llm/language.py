@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stemma.llm import grams
-from stemma.llm.common import arrow_of, batch_of, held_out, rows_of, texts
+from stemma.llm.common import annotate, arrow_of, batch_of, held_out, rows_of
 
 #: Texts learned from and landmarks, of each language at most.
 SAMPLE, LANDMARKS = 600, 60
@@ -27,7 +27,7 @@ UNKNOWN = "und"
 #: A score under this is a rejection, as is an unknown language.
 LEAST = 0.25
 _MODEL = "languages string, weights binary"
-_FOUND = arrow_of("doc_id long, lang_pred string, score double")
+_OWN = ("_language", "_language_score")
 
 
 def features(text: str, marks: grams.Marks) -> np.ndarray:
@@ -90,8 +90,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], bytes]:
     return (model[0][0].split("\n"), model[0][1]) if model else ([], b"")
 
 
-def identify(docs: DataFrame, model: tuple[list[str], bytes]) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row; only the text counts.
+def mark(docs: DataFrame, model: tuple[list[str], bytes], column: str = "lang_pred", score: str = "score") -> DataFrame:
+    """Every row of ``docs`` with its language and score; only the text counts.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text
     when nothing was learned. The score is the best language's value, from -1 to 1,
@@ -99,18 +99,32 @@ def identify(docs: DataFrame, model: tuple[list[str], bytes]) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         names, raw = shared.value
         weights = np.frombuffer(raw, np.float32).reshape(-1, max(1, len(names)))
         marks = grams.Marks(BITS)
-        for ids, bodies in rows_of(batches, "doc_id", "text"):
-            langs, scores = [UNKNOWN] * len(ids), np.zeros(len(ids))
-            worded = [i for i, x in enumerate(bodies) if any(map(str.isalpha, x))] if names else []
+
+        def find(bodies: list) -> list:
+            langs, scores = [UNKNOWN] * len(bodies), np.zeros(len(bodies))
+            worded = [i for i, x in enumerate(bodies) if any(map(str.isalpha, x or ""))] if names else []
             for at in range(0, len(worded), TOGETHER):
                 own = worded[at : at + TOGETHER]
                 values = presence([features(bodies[i], marks) for i in own]) @ weights[:-1] + weights[-1]
                 for i, best, value in zip(own, values.argmax(axis=1), values.max(axis=1), strict=True):
                     langs[i], scores[i] = names[best], min(1.0, max(0.0, (float(value) + 1) / 2))
-            yield batch_of(_FOUND, ids, langs, scores)
+            return [langs, scores]
+
+        return find
+
+    return annotate(docs, make, f"{column} string, {score} double")
+
+
+def identify(docs: DataFrame, model: tuple[list[str], bytes]) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every row."""
+    return mark(docs.select("doc_id", "text"), model).select("doc_id", "lang_pred", "score")
+
 
-    return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language is known and not most unlikely, with their columns."""
+    found = mark(docs, fit(docs), *_OWN)
+    return found.where((F.col(_OWN[0]) != UNKNOWN) & (F.col(_OWN[1]) >= LEAST)).select(docs.columns)

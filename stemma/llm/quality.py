@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import grams
-from stemma.llm.common import arrow_of, batch_of, held_out, rows_of, texts
+from stemma.llm.common import annotate, arrow_of, batch_of, held_out, rows_of, texts
 
 #: Labelled rows that are learned from: at most so many, those whose ids hash lowest.
 SAMPLE = 6000
@@ -27,7 +27,7 @@ BITS, PRIOR, COST, ROUNDS = 17, 1.0, 1.0, 12
 #: A score under this is a rejection.
 THRESHOLD = 0.3
 _MODEL = "weights binary, slope double, offset double"
-_SCORES = arrow_of("doc_id long, score double")
+_OWN = "_quality_score"
 
 
 def features(text: str, marks: grams.Marks) -> np.ndarray:
@@ -129,19 +129,29 @@ def _margin(own: np.ndarray, weights: np.ndarray, scale: np.ndarray) -> float:
     return float(weights[own] @ value) / max(1e-12, float(np.linalg.norm(value)))
 
 
-def score(docs: DataFrame, model: tuple[bytes, float, float]) -> DataFrame:
-    """``doc_id, score`` (0 to 1, higher is better) of every row; only the text counts, null as empty."""
+def mark(docs: DataFrame, model: tuple[bytes, float, float], column: str = "score") -> DataFrame:
+    """Every row of ``docs`` with its score (0 to 1, higher is better); only the text counts, null as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         raw, slope, offset = shared.value
         weights, squares = np.frombuffer(raw).reshape(2, -1)
         marks = grams.Marks(BITS)
-        for ids, bodies in rows_of(batches, "doc_id", "text"):
-            margins = []
-            for text in bodies:
-                own = features(text, marks)
-                margins.append(float(weights[own].sum()) / max(1e-12, float(np.sqrt(squares[own].sum()))))
-            yield batch_of(_SCORES, ids, 1 / (1 + np.exp(-np.clip(slope * np.array(margins) + offset, -30, 30))))
-
-    return texts(docs).mapInArrow(run, "doc_id long, score double")
+
+        def margin(text: str | None) -> float:
+            own = features(text or "", marks)
+            return float(weights[own].sum()) / max(1e-12, float(np.sqrt(squares[own].sum())))
+
+        return lambda bodies: [1 / (1 + np.exp(-np.clip(slope * np.array([margin(x) for x in bodies]) + offset, -30, 30)))]
+
+    return annotate(docs, make, f"{column} double")
+
+
+def score(docs: DataFrame, model: tuple[bytes, float, float]) -> DataFrame:
+    """``doc_id, score`` of every row."""
+    return mark(docs.select("doc_id", "text"), model).select("doc_id", "score")
+
+
+def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that aren't rejected, with their columns."""
+    return mark(docs, fit(docs, labels), _OWN).where(F.col(_OWN) >= THRESHOLD).select(docs.columns)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import arrow_of, batch_of, rows_of, small_batches
+from stemma.llm.common import annotate, arrow_of, batch_of, rows_of, small_batches
 from stemma.llm.deep_sort import sort
 from stemma.llm.shingles import _places, mixed
 from stemma.session import write_out
@@ -277,7 +277,7 @@ def spans(docs: DataFrame) -> DataFrame:
     return joined.select("key", "copies", "size", "spans")
 
 
-def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` with ``n_bytes, n_removed, n_spans, kept`` (the bytes left) in place of equally named columns.
 
     Null texts count as empty and lose nothing, like all texts under ``LENGTH``
@@ -287,8 +287,8 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = spans(docs)
     own = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept", "_key", "_spans")]
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    whole = found.where((F.col("copies") > 1) & (F.col("size") >= length))
-    rest = found.where(~((F.col("copies") > 1) & (F.col("size") >= length)) & F.col("spans").isNotNull())
+    whole = found.where((F.col("copies") > 1) & (F.col("size") >= LENGTH))
+    rest = found.where(~((F.col("copies") > 1) & (F.col("size") >= LENGTH)) & F.col("spans").isNotNull())
     marks = whole.select(F.col("key").alias("_key"), F.lit(b"").alias("_spans")).unionByName(rest.select(F.col("key").alias("_key"), F.col("spans").alias("_spans")))
     rows = docs.select(*own, F.unhex(F.md5(text)).alias("_key")).join(marks, "_key", "left")
     out_schema = rows.drop("_key", "_spans").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
@@ -311,3 +311,19 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(kept, pa.binary())], names=[*own, "n_bytes", "n_removed", "n_spans", "kept"])
 
     return rows.select(*own, "_spans").mapInArrow(cut, out_schema)
+
+
+def shorten(docs: DataFrame) -> DataFrame:
+    """Every row of ``docs`` with the text that is left, and ``n_chars`` of it if there is such a column.
+
+    Parts of a character that is cut through go as well. Rows of which nothing is
+    left stay, with an empty text; null texts stay null.
+    """
+    named = docs.withColumn("_was_null", F.col("text").isNull())
+    cut = remove(named).drop("text").withColumnRenamed("kept", "text")
+    cut = annotate(cut, lambda: lambda kept: [[x.decode("utf-8", "ignore") for x in kept]], "_left string")
+    text = F.when(~F.col("_was_null"), F.col("_left"))
+    values = {"text": text}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.when(F.col("_was_null"), F.col("n_chars")).otherwise(F.length("_left")).cast(docs.schema["n_chars"].dataType)
+    return cut.select(*(values.get(c, F.col(c)).alias(c) for c in docs.columns))
