@@ -100,9 +100,11 @@ def solve(groups: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray,
 
 
 def _runs(members: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:
+    if not len(members):
+        return []
     order = np.lexsort((starts, members))
     members, starts = members[order], starts[order]
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(members) != 0) | (np.diff(starts) > 1)])) if len(members) else np.empty(0, np.int64)
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(members) != 0) | (np.diff(starts) > 1)]))
     return list(zip(members[new].tolist(), starts[new].tolist(), starts[np.append(new[1:], len(starts)) - 1].tolist(), strict=True))
 
 
