@@ -656,8 +656,10 @@ def clean_html(spark, sf):
 
 @query
 def clean_html_nested(spark, sf):
-    """The subtree-aware variant."""
-    return C.page_texts(wrapped_pages(spark, sf), nested=True).select(
+    """The subtree-aware variant, on pages with elements inside blocked ones, tags that hold nothing and references."""
+    extra = '<div class="noprint"><div>in<br>side<p class="pagenum">x</p></div><img src="y"/> z</div><p>5 &lt; 6 a > b &eacute;t&eacute; &oelig;uvre</p>'
+    pages = wrapped_pages(spark, sf).withColumn("html", F.replace("html", F.lit("</p>"), F.lit("</p>" + extra)))
+    return C.page_texts(pages, nested=True).select(
         "page_id", "text", T.word_count(F.col("text")).cast("bigint").alias("words"))
 
 

@@ -702,16 +702,25 @@ SELECT cahier, pos, 'p' || pos AS piece_slug, start::BIGINT AS start, stop::BIGI
   CASE WHEN start IS NOT NULL THEN trim(text[start + 1 : stop], ' ' || chr(10)) || chr(10) END AS body,
   CASE WHEN bad THEN 'offsets out of order' WHEN no_anchor THEN 'anchor missing' WHEN off IS NULL THEN 'anchor not found' END AS warning FROM fin"""
 
-NESTED = [
-    ("&amp<", "&<"),
-    (r"(?s)<style.*?</style>|<script.*?</script>|<!--.*?-->|<!DOCTYPE[^>]*>", ""),
-    (r'(?s)<span[^>]*class="[^"]*pagenum[^"]*"[^>]*>.*?</span>', ""),
-    (r'(?s)<sup[^>]*class="[^"]*reference[^"]*".*?</sup>', ""),
-    (r"</?(?:html|head|meta|title|body|nav|a|div|article|table|tr|td|span|footer)(?:\s[^>]*)?>", ""),
-]
-NESTED_TEXT = "trim(" + chain(WRAPPED, NESTED + MARKUP + TIDY) + ", ' ' || chr(10) || chr(9))"
-ORACLES["clean_html_nested"] = rf"""WITH t AS (SELECT page_id, {NESTED_TEXT} AS text FROM pages)
-SELECT page_id, text, len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) AS words FROM t"""
+NESTED_PAGE = f"""replace({WRAPPED}, '</p>', '</p><div class="noprint"><div>in<br>side<p class="pagenum">x</p></div><img src="y"/> z</div><p>5 &lt; 6 a > b &eacute;t&eacute; &oelig;uvre</p>')"""
+NESTED_TEXT = "trim(" + chain("html", [("&eacute;", "é"), ("&oelig;", "œ")] + MARKUP + TIDY) + ", ' ' || chr(10) || chr(9))"
+# depth follows from tag to tag: a recursive step per token
+ORACLES["clean_html_nested"] = rf"""WITH RECURSIVE
+  k AS MATERIALIZED (SELECT page_id, regexp_extract_all({NESTED_PAGE},
+    '(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|<[!/?a-z][^>]*>|[^<]+|<') AS ks FROM pages),
+  t AS MATERIALIZED (SELECT page_id, i, ks[i] AS x, lower(regexp_extract(ks[i], '^</?([A-Za-z][A-Za-z0-9]*)', 1)) AS name,
+    string_split(regexp_extract(ks[i], '\sclass="([^"]*)"', 1), ' ') AS cls FROM (SELECT *, unnest(range(1, len(ks) + 1)) AS i FROM k)),
+  g AS MATERIALIZED (SELECT *, name <> '' AND name NOT IN ('br', 'img', 'hr', 'meta', 'link', 'input', 'script', 'style') AND NOT ends_with(x, '/>') AS lev,
+    starts_with(x, '</') AS fin, len(list_intersect(cls, ['noprint', 'pagenum', 'reference'])) > 0 AS bad FROM t),
+  w(page_id, i, depth, out) AS (SELECT page_id, 0::BIGINT, 0, false FROM k UNION ALL
+    SELECT w.page_id, g.i, CASE WHEN depth > 0 THEN depth + CASE WHEN lev AND NOT fin THEN 1 WHEN lev AND fin THEN -1 ELSE 0 END
+      WHEN bad AND lev AND NOT fin THEN 1 ELSE 0 END, depth > 0 OR (bad AND NOT fin)
+    FROM w JOIN g ON g.page_id = w.page_id AND g.i = w.i + 1),
+  s AS (SELECT g.page_id, string_agg(CASE WHEN x = '<' THEN '&lt;' WHEN NOT starts_with(x, '<') THEN x
+      WHEN name IN ('p', 'h1', 'h2', 'h3', 'h4', 'blockquote', 'em', 'i', 'strong', 'b', 'br', 'hr', 'ul', 'ol', 'li') THEN x ELSE '' END, '' ORDER BY g.i) AS html
+    FROM g JOIN w ON w.page_id = g.page_id AND w.i = g.i WHERE NOT w.out GROUP BY g.page_id),
+  o AS (SELECT page_id, {NESTED_TEXT} AS text FROM s)
+SELECT k.page_id, coalesce(text, '') AS text, len(regexp_extract_all(coalesce(text, ''), '[\p{{L}}\p{{N}}_]+')) AS words FROM k LEFT JOIN o USING (page_id)"""
 
 SLUG2 = slug(FIRST2)
 LAST2 = slug("array_to_string(string_split(ls[2 * k + 1], ' ')[-2:], ' ')")

@@ -90,8 +90,7 @@ def page_texts(
 ) -> DataFrame:
     """Stored pages as text: replaces ``html`` by ``text``.
 
-    ``nested`` follows nested subtrees (Python, Arrow batches); the default is a
-    chain of built-in expressions.
+    ``nested`` follows nested subtrees; the default is a chain of patterns.
     """
     html = H.drop_blocked_subtrees(F.col("html")) if nested else H.drop_page_furniture(F.col("html"), div_classes)
     text = H.html_to_text(html)

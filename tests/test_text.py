@@ -155,8 +155,20 @@ def test_clean_html(spark):
 
 
 def test_nested_subtrees(spark):
-    page = '<div class="noprint"><div>in <p>side</p></div></div><p class="q">out<script>x()</script></p><div>too &lt;</div>'
-    assert one(spark, page, lambda c: H.drop_blocked_subtrees(c)) == '<p class="q">out</p>too <'
+    nested = lambda page: one(spark, page, lambda c: H.drop_blocked_subtrees(c))
+    page = '<div class="noprint"><div>in <p>side</p></div></div><p class="q">out<script>x("<p>")</script></p><div>too &lt;</div>'
+    assert nested(page) == '<p class="q">out</p>too &lt;'
+    assert nested('<div class="noprint">a<br>b<img src="x"/>c</div>rest <b>bold</b>') == "rest <b>bold</b>"
+    assert nested('<p>a</p><div class="x noprint"><p>never closed') == "<p>a</p>"
+    assert nested('<hr class="noprint">a < b<!-- <p> --><p>c</p>') == "a &lt; b<p>c</p>"
+    assert nested("") == "" and nested(None) is None
+    text = "<p>si 5 &lt; 6 alors oui</p><p>suite > fin</p>"
+    assert one(spark, text, lambda c: H.html_to_text(H.drop_blocked_subtrees(c))) == "si 5 < 6 alors oui\n\nsuite > fin"
+
+
+def test_named_references(spark):
+    text = "&eacute;t&eacute; &oelig;uvre &amp;eacute; &nope; &amp;amp; &#233;&copy;"
+    assert one(spark, text, H.decode_entities) == "été œuvre &eacute; &nope; &amp; é©"
 
 
 def test_drop_leading_lines(spark):
