@@ -1,13 +1,15 @@
 """Documents whose shingle sets have a Jaccard similarity of at least ``SIMILARITY`` per cent, by a prefix-tree join.
 
-Equal sets count once, under their signature. All tasks order shingles in the same
-way: rare ones first, those that many documents share last. Two sets that link
-share one of the first ``n - ceil(n * SIMILARITY / 100) + 1`` shingles of each in
-this order, so each set is listed under these, and what shares a list is joined to
-a block. A list's members in one task are linked there and one of them goes on, so
-no list is longer than there are tasks. Each set then goes to its block once, and
-the block's sets are stored in a trie and joined with it; blocks too large for a
-task are cut into groups, and each two groups meet in a task of their own.
+First each set learns how many sets have each of its shingles: hashes go to
+buckets, packed, and counts come back. A set with fewer shared shingles than any
+link needs takes no further part. Shingles are ordered by these counts, rare ones
+first, so the order is the same in all tasks. Two sets that link share one of the first
+``n - ceil(n * SIMILARITY / 100) + 1`` shingles of each, so each set is listed under
+these, and what shares a list is joined to a block. A list's members in one task
+are linked there and one of them goes on, so no list is longer than there are
+tasks. Each set then goes to its block, where the sets are stored in a trie and
+joined with it; blocks too large for a task are cut into groups, and each two
+groups meet in a task of their own.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,14 +27,18 @@ from stemma.llm.common import Forest, arrow_of, batch_of, components, rows_of, t
 from stemma.session import write_out
 
 SIMILARITY = 75
-#: Shingles that are last in the order: at most so many, those with the highest counts.
-COMMON = 100_000
-#: Shingles counted at a time, and how often one must occur among them to be sent.
-CHUNK, OFTEN = 2_000_000, 4
+#: Shingles held at a time.
+CHUNK = 2_000_000
+#: Shingles whose hashes meet in one bucket, on average, and the bytes of text that give one.
+BUCKET, BYTES_EACH = 2_000_000, 6
+#: Names of sets a task remembers, so that copies are sent once.
+REMEMBERED = 200_000
 #: Shingles of a block that one task takes.
 BLOCK = 1_000_000
-_FIRST_COLUMNS = "doc_id long, name binary, node long, n_shingles long, shingle long, times long"
-_FIRST = arrow_of(_FIRST_COLUMNS)
+_PACKED_COLUMNS = "bucket long, chunk long, docs array<long>, sizes binary, names binary, hashes binary"
+_PACKED = arrow_of(_PACKED_COLUMNS)
+_SETS_COLUMNS = "doc_id long, name binary, node long, n_shingles long, times binary"
+_SETS = arrow_of(_SETS_COLUMNS)
 _LISTED = arrow_of("shingle long, member long, other long")
 _LINKS = arrow_of("a long, b long")
 _NAMES = arrow_of("a binary, b binary")
@@ -42,49 +49,127 @@ def needed(n: int, similarity: int = SIMILARITY) -> int:
     return -(-similarity * n // 100)
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """A row per document with its set's name and size, and rows of often seen shingles; written once."""
+def _buckets(bodies: DataFrame) -> int:
+    """How many buckets the shingles of all texts need."""
+    size = bodies.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(64, -(-size // (BYTES_EACH * BUCKET)))
 
-    def often(held: list[np.ndarray]) -> pa.RecordBatch:
-        found, times = np.unique(np.concatenate(held), return_counts=True)
-        found, times = found[times >= OFTEN].view(np.int64), times[times >= OFTEN]
-        none = [None] * len(found)
-        return batch_of(_FIRST, none, none, none, none, found, times)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for ids, bodies in rows_of(batches, "doc_id", "text"):
-            own = shingles.sets(bodies)
-            none = [None] * len(ids)
-            names = [shingles.signature(x) for x in own]
-            yield batch_of(_FIRST, ids, names, [x and shingles.short_name(x) for x in names], [len(x) for x in own], none, none)
-            held += own
-            size += sum(map(len, own))
+def _counted(bodies: DataFrame, buckets: int, similarity: int) -> DataFrame:
+    """``doc_id, name, node, n_shingles, times`` of every row, written once.
+
+    ``times`` has a byte per shingle, by bucket and hash: how many sets have it, 255
+    at most. Hashes are cut to about 40 bits, so a count may be too high but never
+    too low, and is the same for all sets. ``times`` is null where too few shingles
+    are shared for any link, and for sets that the task has sent before.
+    """
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, held, size, seen = TaskContext.get().partitionId(), 0, [], 0, set()
+
+        def close() -> Iterator[pa.RecordBatch]:
+            chunk = part << 32 | number
+            ids, names, sets = zip(*held, strict=True)
+            sizes = np.array([len(x) for x in sets], "<u4")
+            none = b"".join(name or bytes(16) for name in names)
+            yield batch_of(_PACKED, [-1 - chunk], [chunk], [list(ids)], [sizes.tobytes()], [none], [b""])
+            sent = [x if new else x[:0] for x, new in zip(sets, fresh, strict=True)]
+            hashes, owner = np.concatenate(sent), np.repeat(np.arange(len(sent)), list(map(len, sent)))
+            bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")  # documents stay in order within a bucket
+            hashes, owner = (hashes[order] >> np.uint64(32)).astype("<u4"), owner[order]
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for at in range(0, buckets, 64):
+                own = [(k, ends[k], ends[k + 1]) for k in range(at, min(at + 64, buckets)) if ends[k] < ends[k + 1]]
+                if own:
+                    n = len(own)
+                    yield batch_of(_PACKED, [k for k, _, _ in own], [chunk] * n, [None] * n, [np.bincount(owner[a:b], minlength=len(sent)).astype("<u4").tobytes() for _, a, b in own], [None] * n, [hashes[a:b].tobytes() for _, a, b in own])
+
+        fresh: list[bool] = []
+        for ids, found in rows_of(batches, "doc_id", "text"):
+            for doc, own in zip(ids, shingles.sets(found), strict=True):
+                name = shingles.signature(own)
+                fresh.append(name is not None and name not in seen)
+                if fresh[-1] and len(seen) < REMEMBERED:
+                    seen.add(name)
+                held.append((doc, name, own))
+                size += len(own) + 1
             if size >= CHUNK:
-                yield often(held)
-                held, size = [], 0
-        if size:
-            yield often(held)
+                yield from close()
+                held, fresh, size, number = [], [], 0, number + 1
+        if held:
+            yield from close()
 
-    return write_out(texts(docs).mapInArrow(run, _FIRST_COLUMNS), "jaccard-sets")
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
 
+        def close() -> Iterator[pa.RecordBatch]:
+            _, back, times = np.unique(np.concatenate([np.frombuffer(x[2], "<u4") for x in held]), return_inverse=True, return_counts=True)
+            times, at = np.minimum(times, 255).astype(np.uint8)[back], 0
+            for chunk, sizes, hashes in held:
+                end = at + len(hashes) // 4
+                yield batch_of(_PACKED, [key], [chunk], [None], [sizes], [None], [times[at:end].tobytes()])
+                at = end
 
-def _ordered(own: np.ndarray, common: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A set in the global order: by hash, then the common ones from the least common on."""
-    if not len(common):
-        return own
-    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-    last = common[at] == own
-    return np.concatenate([own[~last], own[last][np.argsort(place[at[last]])]])
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] < 0:
+                    yield batch_of(_PACKED, *([row[c]] for c in _PACKED.names))
+                    continue
+                if row["bucket"] != key and held:
+                    yield from close()
+                    held = []
+                key = row["bucket"]
+                held.append((row["chunk"], row["sizes"], row["hashes"]))
+        if held:
+            yield from close()
 
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, head, owners, counts = None, None, [], []
 
-def _block_links(docs: DataFrame, common: np.ndarray, similarity: int) -> DataFrame:
-    """Links ``a, b`` between short names of sets that share a listed shingle, as one forest per task."""
-    by_hash = np.argsort(common)
-    shared = docs.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))
+        def close() -> pa.RecordBatch:
+            names = [head["names"][i : i + 16] for i in range(0, len(head["names"]), 16)]
+            sizes = np.frombuffer(head["sizes"], "<u4").astype(np.int64)
+            names = [name if n else None for name, n in zip(names, sizes.tolist(), strict=True)]
+            owner = np.concatenate([np.empty(0, np.int64), *owners])
+            order = np.argsort(owner, kind="stable")
+            all_times = np.concatenate([np.empty(0, np.uint8), *counts])[order]
+            ends = np.searchsorted(owner[order], np.arange(len(sizes) + 1))
+            times = [all_times[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            open_to = [len(x) and int((x > 1).sum()) >= needed(n, similarity) for x, n in zip(times, sizes.tolist(), strict=True)]
+            return batch_of(_SETS, head["docs"], names, [x and shingles.short_name(x) for x in names], sizes, [x.tobytes() if y else None for x, y in zip(times, open_to, strict=True)])
 
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["chunk"] != key:
+                    if head is not None:
+                        yield close()
+                    key, head, owners, counts = row["chunk"], None, [], []
+                if row["bucket"] < 0:
+                    head = row
+                else:
+                    own = np.frombuffer(row["sizes"], "<u4")
+                    owners.append(np.repeat(np.arange(len(own)), own))
+                    counts.append(np.frombuffer(row["hashes"], np.uint8))
+        if head is not None:
+            yield close()
+
+    by_bucket = bodies.mapInArrow(send, _PACKED_COLUMNS).repartition("bucket").sortWithinPartitions("bucket")
+    by_chunk = by_bucket.mapInArrow(count, _PACKED_COLUMNS).repartition("chunk").sortWithinPartitions("chunk", "bucket")
+    return write_out(by_chunk.mapInArrow(add, _SETS_COLUMNS), "jaccard-sets")
+
+
+def _ordered(own: np.ndarray, times: bytes, buckets: int) -> np.ndarray:
+    """A set in the global order: by how many sets have a shingle, then by hash."""
+    counts = np.empty(len(own), np.uint8)
+    counts[np.argsort(own % np.uint64(buckets), kind="stable")] = np.frombuffer(times, np.uint8)
+    return own[np.argsort(counts, kind="stable")]
+
+
+def _block_links(bodies: DataFrame, buckets: int, similarity: int) -> DataFrame:
+    """Links ``a, b`` between short names of sets that share a listed shingle, as one forest per task."""
     def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, members, size, seen = [], [], 0, set()
+        held, members, size = [], [], 0
 
         def close() -> pa.RecordBatch:
             grams, owner = np.concatenate(held), np.repeat(np.array(members, np.int64), list(map(len, held)))
@@ -102,15 +187,9 @@ def _block_links(docs: DataFrame, common: np.ndarray, similarity: int) -> DataFr
                 pa.array(np.concatenate([owner[keep], pairs[1]]), mask=np.concatenate([np.ones(keep.sum(), bool), np.zeros(pairs.shape[1], bool)])),
             )
 
-        common, place = shared.value
-        for (bodies,) in rows_of(batches, "text"):
-            for own in shingles.sets(bodies):
-                name = shingles.signature(own)
-                if name is None or name in seen:
-                    continue
-                if len(seen) < CHUNK // 10:
-                    seen.add(name)
-                held.append(_ordered(own, common, place)[: len(own) - needed(len(own), similarity) + 1])
+        for names, found, counts in rows_of(batches, "name", "text", "times"):
+            for name, own, times in zip(names, shingles.sets(found), counts, strict=True):
+                held.append(_ordered(own, times, buckets)[: len(own) - needed(len(own), similarity) + 1])
                 members.append(shingles.short_name(name))
                 size += len(held[-1])
             if size >= CHUNK // 2:
@@ -141,7 +220,7 @@ def _block_links(docs: DataFrame, common: np.ndarray, similarity: int) -> DataFr
         for i in range(0, len(found), 100_000):
             yield batch_of(_LINKS, *zip(*found[i : i + 100_000], strict=True))
 
-    rows = texts(docs).select("text").mapInArrow(listed, "shingle long, member long, other long")
+    rows = bodies.mapInArrow(listed, "shingle long, member long, other long")
     return rows.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(linked, "a long, b long")
 
 
@@ -216,18 +295,14 @@ def _same(p: np.ndarray, q: np.ndarray) -> int:
     return int(differ[0]) if len(differ) else n
 
 
-def _join_blocks(docs: DataFrame, members: DataFrame, similarity: int) -> DataFrame:
-    """Links between names of sets; ``members``: ``doc_id, name, n_shingles, block``, one row per set."""
+def _join_blocks(bodies: DataFrame, members: DataFrame, similarity: int) -> DataFrame:
+    """Links between names of sets; ``members``: ``name, n_shingles, block``, one row per set."""
     sizes = members.groupBy("block").agg(F.sum("n_shingles").alias("all_shingles"))
     split = members.join(sizes, "block").withColumn("groups", F.ceil(F.col("all_shingles") / BLOCK).cast("int"))
-    own = F.pmod(F.xxhash64("name"), F.col("groups")).cast("int")
-    placed = split.select(F.col("doc_id").alias("key"), "name", "block", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("met"))
-    placed = placed.select("key", "name", "block", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"), "own")
-    # the text is joined once per set, then goes to each task that needs it
-    wanted = placed.groupBy("key", "name", "block").agg(F.collect_list(F.struct("low", "high", "own")).alias("places"))
-    bodies = texts(docs)
-    rows = wanted.join(bodies, wanted["key"].eqNullSafe(bodies["doc_id"])).select("block", "name", "text", F.explode("places").alias("p"))
-    rows = rows.select("block", "p.low", "p.high", "p.own", "name", "text").repartition("block", "low", "high").sortWithinPartitions("block", "low", "high", "name")
+    split = split.withColumn("own", F.pmod(F.xxhash64("name"), F.col("groups")).cast("int"))
+    placed = bodies.join(split, "name").select("name", "text", "block", "own", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("met"))
+    rows = placed.select("block", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"), "own", "name", "text")
+    rows = rows.repartition("block", "low", "high").sortWithinPartitions("block", "low", "high", "name")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, names, own, groups = None, [], [], []
@@ -244,7 +319,7 @@ def _join_blocks(docs: DataFrame, members: DataFrame, similarity: int) -> DataFr
                 if here != key:
                     yield from close()
                     key, names, own, groups = here, [], [], []
-                if shingles.signature(x) == name and (not names or names[-1] != name):  # else another row with the same id
+                if not names or names[-1] != name:  # else a repeated row
                     names.append(name)
                     own.append(x)
                     groups.append(group)
@@ -262,18 +337,37 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     a component's name unless no other is there; repeated rows stay rows. Other
     columns are ignored; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    first = _counted(docs)
-    often = first.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times"))
-    # the order: at most COMMON numbers, whatever the input
-    common = [r[0] for r in often.orderBy(F.desc("times"), "shingle").limit(COMMON).collect()][::-1]
-    rows = first.where("n_shingles is not null").select("doc_id", "name", "node", "n_shingles")
-    found = components(_block_links(docs, np.array(common, np.int64).view(np.uint64), similarity), "jaccard-blocks")
-    distinct = rows.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("node").alias("node"))
+    found = texts(docs)
+    buckets = _buckets(found)
+    rows = _counted(found, buckets, similarity)
+    distinct = rows.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("node").alias("node"), F.max("times").alias("times"))
+    # the texts of sets that may link, once each; rows that repeat an id with another text are told apart by name
+    open_to = distinct.where(F.col("times").isNotNull()).select("name", F.col("doc_id").alias("key"), "times")
+    joined = open_to.join(found, open_to["key"].eqNullSafe(found["doc_id"])).select("name", "text", "times")
+
+    def checked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, found, times in rows_of(batches, "name", "text", "times"):
+            keep = [i for i, x in enumerate(shingles.sets(found)) if shingles.signature(x) == names[i]]
+            yield batch_of(arrow_of("name binary, text string, times binary"), *([x[i] for i in keep] for x in (names, found, times)))
+
+    bodies = write_out(joined.mapInArrow(checked, "name binary, text string, times binary"), "jaccard-texts")
+    found = components(_block_links(bodies, buckets, similarity), "jaccard-blocks")
     blocks = found.select("node", "root").unionByName(found.select(F.col("root").alias("node"), "root").distinct())
-    members = distinct.join(blocks, "node").select("doc_id", "name", "n_shingles", F.col("root").alias("block"))
-    linked = components(write_out(_join_blocks(docs, write_out(members, "jaccard-members"), similarity), "jaccard-links"), "jaccard")
-    owner = distinct.drop("node").join(linked.withColumnRenamed("node", "name"), "name", "left").select("name", F.coalesce("root", "name").alias("component"), "doc_id")
+    members = distinct.join(blocks, "node").select("name", "n_shingles", F.col("root").alias("block"))
+    linked = components(write_out(_join_blocks(bodies, write_out(members, "jaccard-members"), similarity), "jaccard-links"), "jaccard")
+    owner = distinct.join(linked.withColumnRenamed("node", "name"), "name", "left").select("name", F.coalesce("root", "name").alias("component"), "doc_id")
     least = owner.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = owner.join(least, "component").select("name", "component_id")
     return rows.join(named, "name", "left").select("doc_id", "n_shingles", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """One document of each component, that of the smallest ``doc_id``, with its columns.
+
+    Rows that repeat an id and its text are one document. Rows without an id are
+    kept if one of them names a component, for they can't be told apart.
+    """
+    found = near_duplicates(docs, similarity).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = write_out(found.groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")), "jaccard-kept")
+    out = docs.join(kept.select("_kept"), docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    return out.dropDuplicates(["doc_id", "text"]) if kept.where("_rows > 1").limit(1).count() else out
