@@ -9,7 +9,6 @@ from stemma.operators import upsert as X
 from stemma.operators.lookup import resolve_names as resolve
 from stemma.plans import audit as A, cleaning as C, leaves as L, migration as M, planning as G, reading as R
 from stemma.plans import segmentation as S
-from stemma.session import spread
 
 QUERIES: dict = {}
 
@@ -24,7 +23,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 # --- rule tables used as the small side --------------------------------------
@@ -249,7 +248,7 @@ def source_inventory(spark, sf):
         F.col("text"), F.lit("tion "), F.lit("tion-\n")), F.lit("er "), F.lit("er7\n")), F.lit(". "), F.lit(" [?] "))
     docs = d.select(F.col("source").alias("cahier"), F.lit("org-piece").alias("type"),
                     F.concat(F.lit("pieces/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), noisy.alias("text"))
-    pages = spread(table(spark, sf, "pages")).select(
+    pages = table(spark, sf, "pages").select(
         F.concat(F.lit("src"), (F.col("page_id") % 20).cast("string")).alias("cahier"), F.lit("com-cahier").alias("type"),
         F.concat(F.lit("texts/"), F.col("page_id").cast("string"), F.lit(".md")).alias("path"), F.col("html").alias("text"))
     conv = table(spark, sf, "conversations").select(
@@ -546,13 +545,16 @@ def corrected(spark, sf):
     swap = lab.filter("quality = 0").select(
         F.col("source").alias("cahier"), slug.alias("piece_slug"), F.lit("title").alias("field"), F.lit("e").alias("from"),
         F.lit("E").alias("to"), F.lit("replace").alias("op"))
-    issue = rules(spark, [("src1", None, "title", "The", "A", "replace"), ("src2", None, "title", "tion", "-", "replace")],
-                  "cahier string, piece_slug string, field string, from string, to string, op string")
+    # a second rule for the same pieces, after the first, and rules for whole issues after both
+    again = swap.withColumns({"from": F.lit("E"), "to": F.lit("3"), "ord": F.lit(2)})
+    issue = rules(spark, [("src1", None, "title", "The", "A", "replace"), ("src2", None, "title", "tion", "-", "replace"), ("src3", None, "title", "3", "", "replace")],
+                  "cahier string, piece_slug string, field string, from string, to string, op string").withColumn("ord", F.lit(3))
     adds = lab.filter("toxic = 1").select(
         F.col("source").alias("cahier"),
         F.explode(F.array(slug, F.concat(F.lit("new-"), slug))).alias("piece_slug"), F.lit("piece").alias("field"),
         F.lit("added").alias("from"), F.concat(F.lit("Added "), slug).alias("to"), F.lit("append").alias("op"))
-    return X.apply_corrections(pieces, set_author.unionByName(swap).unionByName(issue).unionByName(adds))
+    first = set_author.unionByName(swap).unionByName(adds).withColumn("ord", F.lit(1))
+    return X.apply_corrections(pieces, first.unionByName(again).unionByName(issue))
 
 
 def duplicate_rules(spark, sf):
@@ -645,7 +647,7 @@ def wrapped_pages(spark, sf):
     """pages with the furniture of a library page put in."""
     html = F.replace("html", F.lit("<p>"), F.lit('<span class="x pagenum y" id="p">12</span><p>'))
     html = F.replace(html, F.lit("</p>"), F.lit('<sup id="r" class="reference">3</sup>[see](http://x.y/z) {.cls}</p><table><tr><td>n</td></tr></table>'))
-    return spread(table(spark, sf, "pages")).select("page_id", html.alias("html"))
+    return table(spark, sf, "pages").select("page_id", html.alias("html"))
 
 
 @query
@@ -671,7 +673,7 @@ def drop_leading_lines(spark, sf):
 
 @query
 def import_pages(spark, sf):
-    pages = spread(table(spark, sf, "pages")).select(
+    pages = table(spark, sf, "pages").select(
         F.floor(F.col("page_id") / 3 * 2).cast("bigint").alias("doc"), (F.col("page_id") % 3 % 2).alias("pos"), "html")
     docs = table(spark, sf, "documents").filter("lang <> 'es'").select(
         F.col("doc_id").alias("doc"), F.col("n_chars").alias("word_count"))
@@ -717,6 +719,27 @@ def reassemble(spark, sf):
         "doc", F.col("segment").cast("bigint").alias("segment"), "body", F.col("missing").cast("bigint").alias("missing"))
 
 
+@query
+def reassemble_long(spark, sf):
+    """Order lines as the parts of a few very long documents: one row each."""
+    li = table(spark, sf, "lineitem").select(
+        F.concat("l_returnflag", F.lit("-"), "l_linestatus").alias("doc"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("idx"), "l_partkey")
+    li = li.groupBy("doc", "idx").agg(F.max("l_partkey").cast("string").alias("text"))
+    return S.reassemble(li, li).select(
+        "doc", F.col("segment").cast("bigint").alias("segment"), F.md5("body").alias("body_md5"), F.length("body").cast("bigint").alias("body_chars"), F.col("missing").cast("bigint").alias("missing"))
+
+
+@query
+def first_contained(spark, sf):
+    """The first of many rules, the openings of all documents of a language, that a document's first line holds."""
+    from stemma.operators.lookup import first_contained as first
+
+    d = texts(spark, sf).select("doc_id", "lang", F.substring_index("text", "\n", 1).alias("line"))
+    named = d.groupBy("lang", F.substring_index("line", " ", 2).alias("opening")).agg(F.min(F.col("doc_id") % 1000).alias("ord"))
+    named = named.withColumn("opening", F.when(F.col("ord") == 999, "").otherwise(F.col("opening")))
+    return first(d, "line", named, "opening", "ord", ["lang"]).select("doc_id", F.col("hit.opening").alias("opening"), F.col("hit.ord").cast("bigint").alias("ord"))
+
+
 @query
 def seam_join(spark, sf):
     """Turns of a conversation as transcription parts, cut at seams."""
@@ -833,7 +856,10 @@ def render_documents(spark, sf):
     return render_piece(d.select(
         F.col("source").alias("cahier"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("piece_slug"), "lang",
         F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit('a "b": '), F.col("source"))).otherwise(first_words(F.col("text"), 3)).alias("title"),
-        F.col("source").alias("author"), (F.col("doc_id") % 2 == 0).alias("is_notice"), F.col("text").alias("body")))
+        F.col("source").alias("author"), (F.col("doc_id") % 2 == 0).alias("is_notice"), F.col("text").alias("body"),
+        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("d"), F.col("doc_id").cast("string"))).alias("introduces_piece"),
+        F.when(F.col("doc_id") % 4 == 0, "scan").alias("ocr_source"), F.lit("2026-01-01").alias("translation_date"),
+        F.when(F.col("doc_id") % 7 == 0, "see: notes").alias("translation_notes"), F.when(F.col("doc_id") % 2 == 1, "given").alias("source_provenance")))
 
 
 @query

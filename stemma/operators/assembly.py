@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Parts joined into one row. Longer documents come as several numbered segments.
-PARTS_PER_SEGMENT = 1000
-
 
 def assemble(
     parts: DataFrame,
@@ -14,15 +11,17 @@ def assemble(
     pos: str,
     text: str,
     sep: str,
-    per_segment: int = PARTS_PER_SEGMENT,
+    per_segment: int | None = None,
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Join parts in order: ``key, segment, body``. Positions count from 0 in each document.
+    """Join parts in order: ``key, segment, body``, one row per document.
 
-    Grouping by document and position range keeps every group bounded, however
-    many parts one document has. Segments joined with ``sep`` give the document.
+    A document is as large as one row has to hold. With ``per_segment``, positions
+    (from 0) are cut into numbered segments of so many; joined with ``sep`` they
+    give the document.
     """
-    placed = parts.withColumn("segment", F.floor(F.col(pos) / per_segment).cast("int"))
+    segment = F.lit(0) if per_segment is None else F.floor(F.col(pos) / per_segment)
+    placed = parts.withColumn("segment", segment.cast("int"))
     return placed.groupBy(key, "segment").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(text)))), lambda p: p[text]), sep
@@ -38,13 +37,19 @@ def seam_join(parts: Column) -> Column:
     ending without closing punctuation is joined to a lower-case continuation
     with a blank, any other seam is a paragraph break.
     """
-    def add(acc: Column, part: Column) -> Column:
-        lower = part.rlike(r"^\p{Ll}")
+    trimmed = F.transform(parts, lambda p: F.trim(p))
+    first = F.array_position(F.transform(trimmed, lambda p: p != ""), True).cast("int")  # empty parts before it count for nothing
+    trimmed = F.when(first > 0, F.slice(trimmed, F.greatest(first, F.lit(1)), F.greatest(F.size(trimmed), F.lit(1)))).otherwise(F.array().cast("array<string>"))
+
+    def seam(part: Column, following: Column) -> Column:
+        lower = following.rlike(r"^\p{Ll}")
         return (
-            F.when(acc == "", part)
-            .when(acc.rlike(r"\p{L}-$") & lower, F.concat(F.regexp_replace(acc, "-$", ""), part))
-            .when(~acc.rlike(r"[.!?…»:;]$") & lower, F.concat(acc, F.lit(" "), part))
-            .otherwise(F.concat(acc, F.lit("\n\n"), part))
+            F.when(following.isNull(), part)
+            .when(part.rlike(r"\p{L}-$") & lower, F.regexp_replace(part, "-$", ""))
+            .when(~part.rlike(r"[.!?…»:;]$") & lower, F.concat(part, F.lit(" ")))
+            .otherwise(F.concat(part, F.lit("\n\n")))
         )
 
-    return F.aggregate(F.transform(parts, lambda p: F.trim(p)), F.lit(""), add)
+    # a seam depends on the parts beside it alone, so all are set first and joined once
+    shifted = F.transform(F.array(trimmed), lambda a: F.array_join(F.zip_with(a, F.slice(a, 2, F.greatest(F.size(a), F.lit(1))), seam), ""))
+    return shifted[0]

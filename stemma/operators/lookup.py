@@ -5,75 +5,48 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from stemma.functions.text import normalise, slugify, strip_accents
 from stemma.session import write_out
 
-# Rule tables up to this many rows become a literal array inside the expression.
-INLINE_RULES = 500
-
-
-def inline_rules(rules: DataFrame, ord_col: str, limit: int = INLINE_RULES) -> Column | None:
-    """The rules as a literal array in order, or None when there are too many."""
-    rows = rules.orderBy(ord_col).limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    if not rows:
-        return F.array().cast(f"array<{rules.schema.simpleString()}>")
-    kinds = {f.name: f.dataType for f in rules.schema}
-    return F.array(*[
-        F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in rules.columns]) for row in rows
-    ])
+# Letters of a pattern that a text is looked up by before the pattern itself is tested.
+SPAN = 4
 
 
 def first_contained(
     facts: DataFrame,
-    key: str,
     text: str,
     rules: DataFrame,
     pattern: str,
     ord_col: str,
     same: Sequence[str] = (),
     name: str = "hit",
-    inline: int = INLINE_RULES,
 ) -> DataFrame:
-    """Add ``name``: the first rule (by ``ord_col``) whose pattern occurs in ``text``.
+    """Add ``name``: the first rule whose pattern occurs in ``text``, by ``ord_col`` and then by pattern.
 
-    ``same`` lists columns that must be equal on both sides. A small rule table
-    is tested inside the row, without a join. A larger one is joined on the
-    first letters of the pattern, then verified; ``key`` identifies a fact row.
+    ``same`` lists columns that must be equal on both sides; nulls are equal to
+    nothing. An empty pattern occurs in every text, a null pattern or text in
+    none. Each distinct text is looked up once, whatever the number of rules:
+    texts and rules meet on the first letters of the pattern.
     """
-    table = inline_rules(rules, ord_col, inline)
-    if table is not None:
-        def hit(r: Column) -> Column:
-            cond = F.col(text).contains(r[pattern])
-            for c in same:
-                cond = cond & (F.col(c) == r[c])
-            return cond
-
-        return facts.withColumn(name, F.get(F.filter(table, hit), F.lit(0)))
-
-    span = 4
     rule = F.struct(*[F.col(c) for c in rules.columns])
-    heads = rules.filter(F.length(pattern) > 0).select(
-        rule.alias("_rule"), F.least(F.length(pattern), F.lit(span)).alias("_size"),
-        F.substring(F.col(pattern), 1, span).alias("_gram"), *[F.col(c).alias(f"_same_{c}") for c in same],
+    heads = rules.filter(F.col(pattern).isNotNull()).select(
+        rule.alias("_rule"), F.substring(F.col(pattern), 1, SPAN).alias("_gram"),
+        *[F.col(c).alias(f"_same_{c}") for c in same],
     )
+    distinct = facts.filter(F.col(text).isNotNull()).select(text, *same).distinct()
     spots = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
     grams = F.flatten(F.transform(
-        F.array(*[F.lit(k) for k in range(1, span + 1)]),
-        lambda k: F.transform(spots, lambda i: F.struct(k.alias("size"), F.substring(F.col(text), i, k).alias("gram"))),
+        F.sequence(F.lit(1), F.lit(SPAN)), lambda k: F.transform(spots, lambda i: F.substring(F.col(text), i, k))
     ))
-    exploded = facts.select(key, text, *same, F.explode(F.array_distinct(grams)).alias("_g")).select(
-        key, text, *same, F.col("_g.size").alias("_size"), F.col("_g.gram").alias("_gram")
-    )
-    on = ["_gram", "_size"]
-    hits = exploded.join(heads, on)
+    exploded = distinct.select(text, *same, F.explode(F.array_distinct(F.concat(F.array(F.lit("")), grams))).alias("_gram"))
+    on = exploded["_gram"] == heads["_gram"]
     for c in same:
-        hits = hits.filter(F.col(c) == F.col(f"_same_{c}"))
-    hits = hits.filter(F.col(text).contains(F.col("_rule")[pattern]))
-    first = hits.groupBy(key).agg(F.min_by("_rule", F.col("_rule")[ord_col]).alias(name))
-    return facts.join(first, key, "left")
+        on = on & (exploded[c] == heads[f"_same_{c}"])
+    hits = exploded.join(heads, on).filter(F.col(text).contains(F.col("_rule")[pattern]))
+    first = hits.groupBy(text, *same).agg(F.min_by("_rule", F.struct(F.col("_rule")[ord_col], F.col("_rule")[pattern])).alias(name))
+    return facts.join(first, [text, *same], "left").select(*facts.columns, name)
 
 
 # --- names -------------------------------------------------------------------
@@ -95,7 +68,8 @@ def resolve_names(names: DataFrame, known: DataFrame, gap: int = 3) -> DataFrame
     """Map each name to a slug: known name, near name, or a slug of its own.
 
     ``names(name, ord)`` in arrival order; ``known(name, slug, ord)`` holds the
-    registered names and aliases. A name equal to an earlier one takes its
+    registered names and aliases. ``ord`` is a number or, in ``names``, a struct of
+    numbers; registered names come before arrivals, ties go by name. A name equal to an earlier one takes its
     slug; else it takes the slug of the earliest name that contains it or that
     it contains, with at most ``gap`` characters between their lengths; else a
     new slug is made, and later names may match it. Blank names are anonymous.
@@ -106,12 +80,16 @@ def resolve_names(names: DataFrame, known: DataFrame, gap: int = 3) -> DataFrame
     arrivals = names.select(F.when(blank, F.lit("Anonymous")).otherwise(F.col("name")).alias("name"), "ord")
     arrivals = arrivals.withColumn("norm", name_key(F.col("name")))
     spelled = arrivals.select("name", "norm").distinct()
-    seeds = known.select(name_key(F.col("name")).alias("norm"), "slug", F.struct(
-        F.lit(0).alias("late"), F.col("ord").cast("string").alias("tie"), F.col("ord").cast("long").alias("at")
-    ).alias("place"))
+    # registered places have the shape of arrivals, so that both can be compared
+    shape = names.schema["ord"].dataType
+    if isinstance(shape, StructType):
+        at = F.struct(*[(F.col("ord") if i == 0 else F.lit(0)).cast(f.dataType).alias(f.name) for i, f in enumerate(shape)])
+    else:
+        at = F.col("ord").cast(shape)
+    seeds = known.select(name_key(F.col("name")).alias("norm"), "slug", F.struct(at.alias("at"), F.col("slug")).alias("place"))
     seeds = seeds.groupBy("norm").agg(F.min_by("slug", "place").alias("slug"), F.min("place.at").alias("at"))
     fresh = (
-        arrivals.groupBy("norm").agg(F.min_by("name", "ord").alias("name"), F.min("ord").cast("long").alias("at"))
+        arrivals.groupBy("norm").agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("at"))
         .join(seeds.select("norm"), "norm", "left_anti")
     )
     entries = write_out(

@@ -31,37 +31,44 @@ def drop_documents(docs: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def apply_corrections(pieces: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Apply ``set``, ``replace`` and ``append`` rules to pieces.
+    """Apply ``set``, ``replace`` and ``append`` rules to pieces, in order.
 
     ``pieces(cahier, pos, piece_slug, title, author)``; ``rules(cahier,
-    piece_slug, field, from, to, op)``. ``set`` gives ``field`` the value
-    ``to``; ``replace`` swaps ``from`` for ``to`` inside it, in every piece of
-    the issue when ``piece_slug`` is null; ``append`` adds the piece with title
-    ``to`` and author ``from`` after the last one, unless the slug exists.
+    piece_slug, field, from, to, op)`` and optionally ``ord``, the order in which
+    rules apply (rules without one last, ties by their values). ``set`` gives
+    ``field`` the value ``to``; ``replace`` swaps ``from`` for ``to`` inside it.
+    Both hold for every piece of the issue when ``piece_slug`` is null, and only for
+    pieces whose author is ``author`` when there is such a column and it is not
+    null. ``append`` adds the piece with title ``to`` and author ``from`` after the
+    last one, unless the slug exists.
 
     Returns the corrected pieces and the log ``(cahier, piece_slug, field, old, new)``.
     """
-    def pick(op: str, field: str, whole_issue: bool = False) -> DataFrame:
-        hit = rules.filter((F.col("op") == op) & (F.col("field") == field))
-        keys = ["cahier"] if whole_issue else ["cahier", "piece_slug"]
-        hit = hit.filter(F.col("piece_slug").isNull() if whole_issue else F.col("piece_slug").isNotNull())
-        tag = f"_{op}_{field}" + ("_all" if whole_issue else "")
-        return hit.groupBy(*keys).agg(F.max(F.struct("from", "to")).alias(tag))
-
-    out = pieces
-    for field in ("title", "author"):
-        out = (
-            out.join(pick("set", field), ["cahier", "piece_slug"], "left")
-            .join(pick("replace", field), ["cahier", "piece_slug"], "left")
-            .join(pick("replace", field, True), "cahier", "left")
-        )
-        swap = F.coalesce(f"_replace_{field}", f"_replace_{field}_all")
-        new = F.coalesce(
-            F.col(f"_set_{field}.to"),
-            F.when(swap.isNotNull(), F.replace(F.col(field), swap["from"], swap["to"])),
-            F.col(field),
-        )
-        out = out.withColumn(f"_old_{field}", F.col(field)).withColumn(field, new)
+    given = rules
+    for column, kind in (("ord", "long"), ("author", "string")):
+        if column not in rules.columns:
+            given = given.withColumn(column, F.lit(None).cast(kind))
+    edits = given.filter(F.col("op").isin("set", "replace")).withColumn("rule", F.struct(
+        F.coalesce(F.col("ord").cast("long"), F.lit(2**62)).alias("ord"), "op", "field", "from", "to", "author"))
+    # one row per piece and one per issue, each with all its rules
+    own = edits.filter("piece_slug is not null").groupBy("cahier", "piece_slug").agg(F.collect_list("rule").alias("_own"))
+    shared = edits.filter("piece_slug is null").groupBy("cahier").agg(F.collect_list("rule").alias("_shared"))
+    none = F.array().cast(f"array<{edits.schema['rule'].dataType.simpleString()}>")
+    out = pieces.join(own, ["cahier", "piece_slug"], "left").join(shared, "cahier", "left")
+    out = out.withColumn("_rules", F.array_sort(F.concat(F.coalesce("_own", none), F.coalesce("_shared", none))))
+
+    def apply(acc: Column, rule: Column) -> Column:
+        meant = rule["author"].isNull() | rule["author"].eqNullSafe(F.col("_old_author"))
+
+        def new(field: str) -> Column:
+            value = F.when(rule["op"] == "set", rule["to"]).otherwise(F.replace(acc[field], rule["from"], rule["to"]))
+            return F.when(meant & (rule["field"] == field), value).otherwise(acc[field]).alias(field)
+
+        return F.struct(new("title"), new("author"))
+
+    out = out.withColumn("_old_title", F.col("title")).withColumn("_old_author", F.col("author"))
+    out = out.withColumn("_new", F.aggregate("_rules", F.struct("title", "author"), apply))
+    out = out.withColumn("title", F.col("_new.title")).withColumn("author", F.col("_new.author"))
     changed = F.filter(
         F.array(*[
             F.when(~F.col(f).eqNullSafe(F.col(f"_old_{f}")), F.struct(

@@ -437,9 +437,10 @@ FIRST5 = "array_to_string(string_split(string_split(text, chr(10))[1], ' ')[1:5]
 CORRECT = f"""
   p AS (SELECT source AS cahier, 'd' || doc_id AS piece_slug, doc_id AS pos, {FIRST5} AS title, lang AS author,
       quality, toxic FROM documents LEFT JOIN labels USING (doc_id)),
-  c AS (SELECT *, CASE WHEN quality = 0 THEN replace(title, 'e', 'E') WHEN cahier = 'src1' THEN replace(title, 'The', 'A')
-      WHEN cahier = 'src2' THEN replace(title, 'tion', '-') ELSE title END AS new_title,
-      CASE WHEN toxic = 1 THEN 'toxic' ELSE author END AS new_author FROM p),
+  c AS (SELECT *, CASE cahier WHEN 'src1' THEN replace(own_title, 'The', 'A') WHEN 'src2' THEN replace(own_title, 'tion', '-')
+      WHEN 'src3' THEN replace(own_title, '3', '') ELSE own_title END AS new_title,
+      CASE WHEN toxic = 1 THEN 'toxic' ELSE author END AS new_author
+    FROM (SELECT *, CASE WHEN quality = 0 THEN replace(replace(title, 'e', 'E'), 'E', '3') ELSE title END AS own_title FROM p)),
   ends AS (SELECT cahier, max(pos) AS last FROM p GROUP BY cahier),
   adds AS (SELECT cahier, 'new-' || piece_slug AS piece_slug,
       last + row_number() OVER (PARTITION BY cahier ORDER BY 'new-' || piece_slug) AS pos, 'Added ' || piece_slug AS title,
@@ -645,6 +646,14 @@ ORACLES["chunk_words"] = r"""WITH RECURSIVE
 SELECT f.doc, f.idx::BIGINT AS idx, max(f.idx + 1) OVER (PARTITION BY f.doc)::BIGINT AS total, sum(n)::BIGINT AS words,
   string_agg(para, chr(10) || chr(10) ORDER BY f.i) AS text FROM f JOIN w USING (doc, i) GROUP BY f.doc, f.idx"""
 
+ORACLES["reassemble_long"] = """WITH p AS (SELECT l_returnflag || '-' || l_linestatus AS doc, l_orderkey * 8 + l_linenumber AS idx, max(l_partkey)::VARCHAR AS t
+    FROM lineitem GROUP BY ALL),
+  b AS (SELECT doc, string_agg(t, chr(10) || chr(10) ORDER BY idx) AS body FROM p GROUP BY doc)
+SELECT doc, 0::BIGINT AS segment, md5(body) AS body_md5, length(body)::BIGINT AS body_chars, 0::BIGINT AS missing FROM b"""
+ORACLES["first_contained"] = """WITH d AS (SELECT doc_id, lang, string_split(text, chr(10))[1] AS line FROM documents),
+  r AS (SELECT lang, array_to_string(string_split(line, ' ')[1:2], ' ') AS head, min(doc_id % 1000) AS ord FROM d GROUP BY ALL),
+  n AS (SELECT lang, CASE WHEN ord = 999 THEN '' ELSE head END AS opening, ord FROM r)
+SELECT doc_id, arg_min(opening, (n.ord, opening)) AS opening, min(n.ord) AS ord FROM d LEFT JOIN n ON n.lang = d.lang AND contains(line, opening) GROUP BY doc_id"""
 ORACLES["reassemble"] = """SELECT conv_id AS doc, 0::BIGINT AS segment, string_agg(CASE WHEN role = 'system'
     THEN '[[MISSING CHUNK ' || turn || ']]' ELSE trim(text, ' ' || chr(10)) END, chr(10) || chr(10) ORDER BY turn) AS body,
   count(*) FILTER (role = 'system') AS missing FROM conversations GROUP BY conv_id"""
@@ -780,7 +789,10 @@ ORACLES["render_documents"] = rf"""SELECT source AS cahier, 'd' || doc_id AS pie
   CASE WHEN doc_id % 5 = 0 THEN '"a \"b\": ' || source || '"'
        WHEN regexp_matches({FIRST3}, '[:#''"]') THEN '"' || replace({FIRST3}, '"', '\"') || '"' ELSE {FIRST3} END
   || chr(10) || 'author: ' || source || chr(10) || 'isAvertissement: ' || (doc_id % 2 = 0) || chr(10) || 'wordCount: ' ||
-  len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) || chr(10) || '---' || chr(10) || chr(10) || rtrim(text, ' ' || chr(10)) || chr(10) AS text
+  len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) || chr(10)
+  || CASE WHEN doc_id % 2 = 1 THEN 'sourceProvenance: given' || chr(10) ELSE '' END || CASE WHEN doc_id % 4 = 0 THEN 'ocrSource: scan' || chr(10) ELSE '' END
+  || CASE WHEN doc_id % 3 = 0 THEN 'introducesPiece: d' || doc_id || chr(10) ELSE '' END || 'translationDate: 2026-01-01' || chr(10)
+  || CASE WHEN doc_id % 7 = 0 THEN 'translationNotes: "see: notes"' || chr(10) ELSE '' END || '---' || chr(10) || chr(10) || rtrim(text, ' ' || chr(10)) || chr(10) AS text
 FROM documents"""
 
 ORACLES["catalog_records"] = r"""SELECT p_size AS series, p_partkey::INT AS issue, p_brand AS label, 'https://e.org/' || p_partkey AS url,

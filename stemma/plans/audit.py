@@ -243,7 +243,7 @@ def audit_declared(
         .join(known, "cahier", "left")
     )
     named = surnames.filter(~F.col("subject_only")).select("surname", "slug", "ord")
-    listed = first_contained(listed, "_key", "title", named, "surname", "ord", name="_who")
+    listed = first_contained(listed, "title", named, "surname", "ord", name="_who")
     rows = listed.join(files, ["cahier", "piece_slug"], "full_outer")
 
     def lang_flag(side: str) -> Column:

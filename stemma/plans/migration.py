@@ -191,9 +191,11 @@ def load_catalog(
         F.col("_z.p.author").alias("author_name"),
     ).withColumn("is_notice", T.is_notice_title(F.col("title")))
     # arrival order of the names: catalog order, then position
-    arrival = (F.col("series") * 1000 + F.col("issue")).cast("long") * 100000 + F.col("pos")
-    known = contributors.select("name", "slug", F.lit(0).alias("ord")).unionByName(
-        aliases.select("name", "slug", F.lit(1).alias("ord"))
+    arrival = F.struct(*[F.col(c).cast("long").alias(c) for c in ("series", "issue", "pos")])
+    # contributors in their order, if they have one, then the aliases
+    place = F.col("ord").cast("long") if "ord" in contributors.columns else F.lit(0).cast("long")
+    known = contributors.select("name", "slug", place.alias("ord")).unionByName(
+        aliases.select("name", "slug", F.lit(2**62).cast("long").alias("ord"))
     )
     resolved = resolve_names(declared.select(F.col("author_name").alias("name"), arrival.alias("ord")), known)
     resolved = write_out(resolved, "authors")

@@ -69,9 +69,9 @@ def source_plan(
     rows = rows.join(
         defaults.groupBy("author").agg(F.min("action").alias("_default")), "author", "left"
     )
-    rows = first_contained(rows, "doc", "title", skip_titles, "words", "ord", same=["author"], name="_skip")
+    rows = first_contained(rows, "title", skip_titles, "words", "ord", same=["author"], name="_skip")
     part = url_rules.filter(F.col("match") == "contains").select("author", "key", "url", "status", "action", "ord")
-    rows = first_contained(rows, "doc", "piece_slug", part, "key", "ord", same=["author"], name="_part")
+    rows = first_contained(rows, "piece_slug", part, "key", "ord", same=["author"], name="_part")
 
     none = F.lit("")
     choice = (

@@ -67,11 +67,11 @@ def chunk(docs: DataFrame, target: int = CHUNK_WORDS) -> DataFrame:
     rows = rows.withColumn("_starts", chunk_starts(F.transform("_paras", T.token_count), target))
     ends = F.concat(F.slice("_starts", 2, F.size("_starts")), F.array(F.size("_paras")))
     spans = F.arrays_zip(F.col("_starts").alias("a"), ends.alias("b"))
-    rows = rows.select("doc", "_paras", F.size("_starts").alias("total"), F.posexplode(spans).alias("idx", "_s"))
-    text = F.array_join(F.slice("_paras", F.col("_s.a") + 1, F.col("_s.b") - F.col("_s.a")), "\n\n")
-    return rows.select("doc", "idx", "total", text.alias("text")).select(
-        "doc", "idx", "total", T.token_count(F.col("text")).alias("words"), "text"
-    )
+    # finished rows are built inside the document's row, so nothing else is copied to each
+    text = F.transform(spans, lambda s: F.array_join(F.slice("_paras", s["a"] + 1, s["b"] - s["a"]), "\n\n"))
+    out = F.transform(text, lambda t, i: F.struct(i.alias("idx"), T.token_count(t).alias("words"), t.alias("text")))
+    rows = rows.select("doc", F.size("_starts").alias("total"), F.explode(out).alias("_c"))
+    return rows.select("doc", "_c.idx", "total", "_c.words", "_c.text")
 
 
 def reassemble(manifest: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -52,15 +52,3 @@ def write_out(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, bytes_per_slot: int = 32 << 20) -> DataFrame:
-    """Spread an input that is small and stored in few row groups over all cores.
-
-    Text work is bound by the processor, and one row group is read by one task.
-    Inputs that already give every core its share are returned as they are, so
-    large tables are never shuffled here.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(slots) if size < slots * bytes_per_slot else df

@@ -8,6 +8,10 @@ from stemma.functions import text as T
 
 # --- fixed values: key order of a rendered header ------------------------------
 HEADER_ORDER = "cahier pieceSlug lang title author isAvertissement wordCount sourceProvenance ocrSource".split()
+OPTIONAL_KEYS = [
+    ("introduces_piece", "introducesPiece"), ("source_provenance", "sourceProvenance"), ("ocr_source", "ocrSource"),
+    ("translation_date", "translationDate"), ("translation_notes", "translationNotes"),
+]
 
 
 def write_csv(rows: DataFrame, path: str, columns: list[str], sep: str = ",") -> None:
@@ -53,12 +57,18 @@ def set_entry(entries: Column, key: str, value: Column) -> Column:
 
 
 def render_piece(rows: DataFrame) -> DataFrame:
-    """Piece rows as documents: ``cahier, piece_slug, lang, text``."""
+    """Piece rows as documents: ``cahier, piece_slug, lang, text``.
+
+    Optional header values are written where the rows have their columns; nulls
+    are left out.
+    """
+    rows = rows.withColumn("_words", T.word_count(F.col("body")).cast("string"))
     pairs = [
         ("cahier", F.col("cahier")), ("pieceSlug", F.col("piece_slug")), ("lang", F.col("lang")),
         ("title", T.quote_value(F.col("title"))), ("author", F.col("author")),
         ("isAvertissement", F.col("is_notice").cast("string")),
-        ("wordCount", T.word_count(F.col("body")).cast("string")),
+        ("wordCount", F.col("_words")),
+        *((key, T.quote_value(F.col(c).cast("string"))) for c, key in OPTIONAL_KEYS if c in rows.columns),
     ]
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs])
     body = F.regexp_replace("body", r"(?U)\s+\z", "")

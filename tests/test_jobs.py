@@ -81,18 +81,24 @@ def test_seams(spark):
 
 # --- lookups ----------------------------------------------------------------------
 
-def test_contained_rules_agree_on_both_paths(spark):
+def test_contained_rules(spark):
     facts = spark.createDataFrame(
-        [(1, "x", "Vie de Tolstoï"), (2, "x", "La Suarès et Benda"), (3, "y", "Rien"), (4, "y", "Ben"), (5, "x", "")],
+        [(1, "x", "Vie de Tolstoï"), (2, "x", "La Suarès et Benda"), (3, "y", "Rien"), (4, "y", "Ben"), (5, "x", ""), (2, "y", "Suarès"), (6, None, "Benda"), (7, "x", None)],
         "id int, g string, title string")
     rules = spark.createDataFrame(
-        [("Benda", "b", 2, "x"), ("Suarès", "s", 1, "x"), ("Ben", "c", 3, "y"), ("Tolstoï", "t", 4, "y"), ("a", "z", 9, "x")],
+        [("Benda", "b", 2, "x"), ("Suarès", "s", 1, "x"), ("Ben", "c", 3, "y"), ("Tolstoï", "t", 4, "y"), ("a", "z", 9, "x"), ("", "e", 10, "x"), ("En", "v", 3, "y"), (None, "n", 0, "x")],
         "surname string, slug string, ord int, g string")
-    for same in ([], ["g"]):
-        small = rows(first_contained(facts, "id", "title", rules, "surname", "ord", same).select("id", "hit.slug"), "id")
-        large = rows(first_contained(facts, "id", "title", rules, "surname", "ord", same, inline=0).select("id", "hit.slug"), "id")
-        assert small == large
-    assert small == [(1, None), (2, "s"), (3, None), (4, "c"), (5, None)]
+    same = first_contained(facts, "title", rules, "surname", "ord", ["g"]).select("id", "g", "hit.slug")
+    assert sorted(map(tuple, same.collect()), key=repr) == sorted(
+        [(1, "x", "e"), (2, "x", "s"), (3, "y", None), (4, "y", "c"), (5, "x", "e"), (2, "y", None), (6, None, None), (7, "x", None)], key=repr)
+    any_group = first_contained(facts, "title", rules.filter("slug <> 'e'"), "surname", "ord").select("id", "hit.slug")
+    assert sorted(map(tuple, any_group.collect()), key=repr) == sorted([(1, "t"), (2, "s"), (3, None), (4, "c"), (5, None), (2, "s"), (6, "b"), (7, None)], key=repr)
+
+
+def test_long_documents_stay_one_row(spark):
+    parts = spark.range(2500).select(F.lit("d").alias("doc"), F.col("id").alias("idx"), F.col("id").cast("string").alias("text"))
+    whole = rows(S.reassemble(parts, parts))
+    assert len(whole) == 1 and whole[0][2] == "\n\n".join(map(str, range(2500)))
 
 
 def test_names_resolve_in_arrival_order(spark):
@@ -420,6 +426,12 @@ def test_corrections(spark):
     assert rows(fixed.select("cahier", "piece_slug", "pos", "title", "author"), "cahier", "pos") == [
         ("c", "a", 0, "Proscrits", "x"), ("c", "b", 1, "Proscrits II", "x"), ("c", "new", 2, "Post", "auth"), ("d", "a", 0, "T", "z")]
     assert log.count() == 4
+    several = spark.createDataFrame([
+        ("c", "a", "title", "Exilés", "Les Exilés", "replace", 2, None), ("c", "a", "title", "Les", "Des", "replace", 3, None), ("c", None, "title", "É", "E", "replace", 9, None),
+        ("c", "b", "title", None, "Neuf", "set", 1, None), ("c", None, "title", "Des", "No", "replace", 9, "y"), ("d", None, "author", None, "w", "set", None, "y"),
+    ], "cahier string, piece_slug string, field string, from string, to string, op string, ord int, author string")
+    fixed, log = X.apply_corrections(pieces, several)
+    assert rows(fixed.select("cahier", "piece_slug", "title", "author"), "cahier", "piece_slug") == [("c", "a", "Des Exilés", "x"), ("c", "b", "Neuf", "x"), ("d", "a", "T", "w")]
     merge = spark.createDataFrame([("c", "a", "b", "Neuf")], "cahier string, keep_slug string, drop_slug string, new_title string")
     assert rows(X.merge_duplicates(pieces, merge).select("cahier", "piece_slug", "title"), "cahier") == [("c", "a", "Neuf"), ("d", "a", "T")]
 

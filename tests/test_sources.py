@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from stemma.plans import audit as A, cleaning as C, leaves as L
 from stemma.sources import catalog as K, sinks as W
-from stemma.streaming.incremental import document_stream, write_once
 
 
 def test_documents_round_trip(spark, tmp_path):
@@ -75,15 +74,6 @@ def test_overwrite_keeps_the_old_partition(spark, tmp_path):
     assert [tuple(r) for r in spark.read.parquet(backup).select("id", "body", "version").collect()] == [(1, "old", "v1")]
 
 
-def test_only_new_documents_are_cleaned(spark, tmp_path):
-    src, out, seen = (str(tmp_path / n) for n in ("src", "out", "seen"))
-    for turn, text in enumerate(["Il était une fois dans le pays\n145\n", "et la nuit est dans le pays\n"]):
-        spark.createDataFrame([(turn, text)], "doc bigint, body string").write.mode("append").parquet(src)
-        write_once(C.denoise(document_stream(spark, src)), out, seen).start().awaitTermination()
-    got = sorted(map(tuple, spark.read.parquet(out).collect()))
-    assert got == [(0, "Il était une fois dans le pays\n", 1, 1), (1, "et la nuit est dans le pays\n", 1, 0)]
-
-
 def test_stored_leaves(spark, tmp_path):
     for name, blob in {"book_0003.jpg": b"\xff\xd8\xff", "book_0004.jpg": b"<html>", "cover.jpg": b"\xff\xd8"}.items():
         (tmp_path / name).write_bytes(blob)
