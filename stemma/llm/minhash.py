@@ -9,6 +9,7 @@ once in ``2**BITS``, which the likeness takes off.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from stemma.session import write_out
 BINS, BITS = 256, 4
 #: Bins tried in place of an empty one; beyond these the rest is searched in order.
 TRIES = 64
-_ROWS = "part int, kind int, doc_id long, n_chars long, edited binary, fingerprint string, edited_fingerprint string, near_edited double, near_next double, text string"
+_ROWS = "part int, kind int, doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, text string"
 _SCHEMA = arrow_of(_ROWS)
 _DONE, _FIRST, _LAST = 0, 1, 2
 
@@ -61,11 +62,11 @@ def fingerprint(own: np.ndarray) -> np.ndarray | None:
     return (shingles.mixed(values + _SALTS) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 
 
-def packed(bins: np.ndarray | None) -> str:
-    """A fingerprint as text; the empty string for the empty set."""
+def packed(bins: np.ndarray | None) -> bytes:
+    """A fingerprint's bytes; none for the empty set."""
     if bins is None:
-        return ""
-    return (bins if BITS == 8 else bins[0::2] << 4 | bins[1::2]).tobytes().hex()
+        return b""
+    return (bins if BITS == 8 else bins[0::2] << 4 | bins[1::2]).tobytes()
 
 
 def likeness(a: np.ndarray | None, b: np.ndarray | None) -> float:
@@ -82,7 +83,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_of("doc_id long, fingerprint string")
         for ids, bodies in rows_of(batches, "doc_id", "text"):
-            yield batch_of(schema, ids, [packed(fingerprint(x)) for x in shingles.sets(bodies)])
+            yield batch_of(schema, ids, [packed(fingerprint(x)).hex() for x in shingles.sets(bodies)])
 
     return texts(docs).mapInArrow(run, "doc_id long, fingerprint string")
 
@@ -96,7 +97,7 @@ def edited(text: str, following: str) -> str:
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Each document beside its edited text and the next document, by ``doc_id`` (nulls first, then by text).
 
-    Returns ``doc_id, n_chars, edited (UTF-8), fingerprint, edited_fingerprint,
+    Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``. Documents are placed by range and stream through in
     order; only the first and last text of each part are held over and meet the
     neighbouring parts' in a small join. After the last comes the first. Null texts
@@ -110,7 +111,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         prints, others = [fingerprint(x) for x in sets], [fingerprint(x) for x in shingles.sets(changed)]
         n, none = len(docs), [None] * len(docs)
         near = [likeness(a, b) for a, b in zip(prints, others, strict=False)], [likeness(a, b) for a, b in zip(prints, prints[1:], strict=False)]
-        return batch_of(_SCHEMA, none, [_DONE] * n, docs, [len(x) for x in bodies], [x.encode() for x in changed], [packed(x) for x in prints[:n]], [packed(x) for x in others], *near, none)
+        return batch_of(_SCHEMA, none, [_DONE] * n, docs, [len(x) for x in bodies], [hashlib.sha256(x.encode()).digest() for x in changed], [packed(x) for x in prints[:n]], [packed(x) for x in others], *near, none)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = TaskContext.get().partitionId(), None
@@ -140,6 +141,6 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     after = docs.sparkSession.createDataFrame([(a, b) for a, b in zip(parts, [*parts[1:], *parts[:1]], strict=True)], "part int, next_part int")
     first = rows.where(F.col("kind") == _FIRST).select(F.col("part").alias("next_part"), F.col("text").alias("following"))
     last = rows.where(F.col("kind") == _LAST).select("part", "doc_id", "text").join(F.broadcast(after), "part").join(first, "next_part")
-    columns = _SCHEMA.names[2:-1]
+    columns = [F.lower(F.hex(c)).alias(c) if c.endswith(("sha256", "fingerprint")) else c for c in _SCHEMA.names[2:-1]]
     joined = last.select("doc_id", "text", "following").mapInArrow(meet, _ROWS)
     return rows.where(F.col("kind") == _DONE).select(columns).unionByName(joined.select(columns))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stemma.llm import minhash
 from stemma.llm.common import read
@@ -11,8 +10,7 @@ from stemma.llm.common import read
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
-    found = minhash.compare_with_next(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return minhash.compare_with_next(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op9_fingerprints,)}
