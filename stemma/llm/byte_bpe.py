@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from stemma.llm.common import arrow_of, batch_of, rows_of, small_batches, texts
 
 #: Entries a worker remembers of each kind, twice where the older half is kept.
-REMEMBERED = 250_000
+REMEMBERED = 350_000
 #: Transitions a worker remembers.
-STEPS = 200_000
+STEPS = 250_000
 #: Parts of this many characters or more are encoded anew each time.
 LONGEST = 100
 _NONE = -1
