@@ -278,6 +278,36 @@ def probes_of(anchor: Column) -> Column:
     return F.when(F.length(anchor) < PROBE_CHARS, short).otherwise(windows)
 
 
+# Letters that one character can stand for, longest first.
+LIGATURES = [("ffi", "ﬃ"), ("ffl", "ﬄ"), ("ff", "ﬀ"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("st", "ﬆ")]
+MARKS = r"\p{M}*"
+
+
+def probe_pattern(window: Column) -> Column:
+    """A window of normalised text as a pattern for lower-case text in any form.
+
+    Each letter may be followed by marks, pairs of letters may be one ligature, at
+    the window's ends half of one, and a blank is any run of blanks.
+    """
+    s, whole = window, {}
+    for k, (letters, _) in enumerate(LIGATURES):
+        s = F.replace(s, F.lit(letters), F.lit(chr(0xE000 + k)))
+        parts = [letters]
+        for shorter, sign in LIGATURES:  # one ligature inside the letters, or one for all of them
+            parts += [letters.replace(shorter, sign, 1)] if shorter in letters else []
+        whole[chr(0xE000 + k)] = "(?:" + "|".join("".join(c + MARKS for c in part) for part in dict.fromkeys(parts)) + ")"
+    s = F.regexp_replace(s, r"([\p{L}\p{N}_])", r"$1\\p{M}*")
+    ends = {c: "".join(sign for letters, sign in LIGATURES if letters.endswith(c)) for c in "filt"}
+    begins = {c: "".join(sign for letters, sign in LIGATURES if letters.startswith(c)) for c in "fs"}
+    for letter, signs in ends.items():
+        s = F.regexp_replace(s, f"^{letter}(?=.)", f"[{letter}{signs}]") if signs else s
+    for letter, signs in begins.items():
+        s = F.regexp_replace(s, rf"{letter}\\p\{{M\}}\*$", f"[{letter}{signs}]")
+    for sign, pattern in whole.items():
+        s = F.replace(s, F.lit(sign), F.lit(pattern))
+    return F.regexp_replace(F.regexp_replace(s, "^ ", "(?<=[^ ]) "), " ", " +")
+
+
 def segment_by_anchor(clean: DataFrame, anchors: DataFrame) -> DataFrame:
     """Slice clean issue texts at the opening anchors of their pieces.
 
@@ -287,12 +317,14 @@ def segment_by_anchor(clean: DataFrame, anchors: DataFrame) -> DataFrame:
     ``cahier, pos, piece_slug, start, end, body, warning`` with a 0-based start.
     """
     rows = clean.join(anchors, "cahier")
-    flat = F.regexp_replace(F.lower(T.fold_accents(F.col("text"))), r"[^\p{L}\p{N}_ ]", " ")
-    rows = rows.withColumn("_flat", flat).withColumn("_norm", F.trim(F.regexp_replace("_flat", " +", " ")))
+    # the text letter for letter, so a place in it is a place in the text; and the text as anchors are compared with it
+    flat = F.regexp_replace(F.lower(T.fold_accents(F.col("text"))), r"[^\p{L}\p{N}\p{M}_ ]", " ")
+    rows = rows.withColumn("_flat", flat).withColumn("_norm", T.normalise(F.col("text")))
+    rows = rows.withColumn("_longer", F.col("_flat").rlike("[" + "".join(sign for _, sign in LIGATURES) + "]"))
     rows = rows.withColumn("_want", F.transform("anchors", T.normalise))
     rows = rows.withColumn("_probes", F.transform("_want", probes_of))
     hits = F.transform("_probes", lambda ps: F.get(
-        F.filter(ps, lambda p: F.col("_norm").contains(p["text"])), F.lit(0)
+        F.filter(ps, lambda p: F.col("_norm").contains(p["text"]) & (F.regexp_instr(F.col("_flat"), probe_pattern(p["text"])) > 0)), F.lit(0)
     ))
     rows = rows.withColumn("_hits", hits)
 
@@ -300,9 +332,8 @@ def segment_by_anchor(clean: DataFrame, anchors: DataFrame) -> DataFrame:
     # behind it: look in a short span first, then in the rest
     spotted = F.transform("_hits", lambda h: F.struct(
         h["at"].alias("at"),
-        # blanks of the window match runs of blanks in the text of equal length
-        F.regexp_replace(F.regexp_replace(h["text"], "^ ", "(?<=[^ ]) "), " ", " +").alias("probe"),
-        F.greatest(F.position(h["text"], F.col("_norm")) - 1, F.lit(1)).alias("from"),
+        probe_pattern(h["text"]).alias("probe"),
+        F.when(F.col("_longer"), 1).otherwise(F.greatest(F.position(h["text"], F.col("_norm")) - 1, F.lit(1))).alias("from"),
     ))
     rows = rows.withColumn("_spots", spotted)
 

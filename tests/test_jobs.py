@@ -3,6 +3,8 @@
 import random
 
 import pytest
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from stemma.functions import text as T
@@ -436,6 +438,21 @@ def test_corrections(spark):
     assert rows(X.merge_duplicates(pieces, merge).select("cahier", "piece_slug", "title"), "cahier") == [("c", "a", "Neuf"), ("d", "a", "T")]
 
 
+def test_anchors_are_found_in_any_form_of_the_text(spark):
+    anchor = "Les héros final offrent des fleurs et des affiches à l'été, puis l'affluence finit par suffire à tous les effets du fleuve"
+    before = "Avant-propos sans intérêt, plusieurs mots ici. "
+    joined = before + anchor
+    for letters, sign in S.LIGATURES:
+        joined = joined.replace(letters, sign)
+    texts = {"composed": before + anchor, "decomposed": unicodedata.normalize("NFD", before + anchor), "joined": joined, "other": before}
+    clean = spark.createDataFrame(list(texts.items()), "cahier string, text string")
+    given = spark.createDataFrame([(c, [("p0", "T")], [anchor]) for c in texts], "cahier string, pieces array<struct<slug:string,title:string>>, anchors array<string>")
+    found = {r.cahier: r for r in S.segment_by_anchor(clean, given).collect()}
+    assert {c: r.start for c, r in found.items()} == {"composed": len(before), "decomposed": len(unicodedata.normalize("NFD", before)), "joined": len(before), "other": None}
+    assert all(found[c].body.strip() == texts[c][found[c].start :].strip() for c in texts if c != "other")
+    assert found["other"].warning == "anchor not found"
+
+
 # --- reading ----------------------------------------------------------------------------
 
 def test_river_places_undated_issues(spark):
