@@ -1,9 +1,9 @@
 """Jobs on small hand-made tables."""
 
 import random
+import unicodedata
 
 import pytest
-import unicodedata
 
 from pyspark.sql import functions as F
 
