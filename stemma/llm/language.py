@@ -20,6 +20,8 @@ from stemma.llm.common import annotate, arrow_of, batch_of, held_out, rows_of
 
 #: Texts learned from and landmarks, of each language at most.
 SAMPLE, LANDMARKS = 600, 60
+#: Languages learned at most, those with the most documents; with ``SAMPLE`` this bounds what is fitted.
+MOST = 500
 BITS, LONGEST, RIDGE = 16, 4, 0.1
 #: Texts scored by one matrix product.
 TOGETHER = 32
@@ -69,7 +71,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], bytes]:
     that lets about ``2 * sample`` of a language through, then the lowest.
     """
     known = docs.where("lang is not null and text is not null").where(~held_out())
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("all_rows"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("all_rows")).orderBy(F.desc("all_rows"), "lang").limit(MOST)
     hashed = known.select("text", "lang", F.xxhash64("text").alias("hash")).join(F.broadcast(counts), "lang")
     low = hashed.where(F.pmod("hash", F.lit(1 << 30)) * F.col("all_rows") <= 2 * sample * (1 << 30)).groupBy("lang", "hash").agg(F.min("text").alias("text"))
     ranked = low.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(1 << 30)), "hash"))).where(F.col("rank") <= sample)
