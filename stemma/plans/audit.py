@@ -135,7 +135,8 @@ def review_worklist(
 
     ``wanted(doc, action, …)`` is filtered by the caller; ``docs(doc, body)``.
     """
-    scored = with_line_counts(docs.select("doc", T.drop_header(F.col("body")).alias("_body")), True)
+    listed = docs.join(wanted.select("doc").distinct(), "doc", "left_semi")  # only these are scored
+    scored = with_line_counts(listed.select("doc", T.drop_header(F.col("body")).alias("_body")), True)
     counts = [F.col(f"f_{i}") for i in range(len(P.NOISE_FLAGS))]
     back = F.col(f"f_{P.NOISE_FLAGS.index('BACK-MATTER')}")
     score = _flag_sum() / F.col("n_lines") * 100 + F.when(back >= 2, penalty).otherwise(0.0)
@@ -281,11 +282,11 @@ def audit_declared(
 
 
 def flag_histogram(audit: DataFrame) -> DataFrame:
-    """Rows per flag, without the detail in parentheses."""
+    """Rows per flag, most frequent first, without the detail in parentheses."""
     each = audit.select(F.explode(F.split("flags", r"\|")).alias("flag")).filter(F.col("flag") != "")
     return each.select(F.substring_index("flag", "(", 1).alias("flag")).groupBy("flag").agg(
         F.count(F.lit(1)).alias("n")
-    )
+    ).orderBy(F.desc("n"), "flag")
 
 
 def flag_report(audit: DataFrame, key: str = "doc", show: int = 50) -> DataFrame:

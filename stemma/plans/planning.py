@@ -109,7 +109,7 @@ def candidate_verdicts(
     """First acceptable candidate of each wanted title.
 
     ``wanted(wanted, title)``; ``candidates(wanted, rank, title, word_count,
-    categories)``. Returns ``wanted, verdict, best, verdict_order``.
+    categories)``. Returns ``wanted, verdict, best, verdict_order``, best verdicts first.
     """
     joined = candidates.select(
         "wanted", "rank", F.col("title").alias("best"), "word_count", "categories"
@@ -125,4 +125,4 @@ def candidate_verdicts(
     return wanted.join(first, "wanted", "left").select(
         "wanted", verdict.alias("verdict"), F.coalesce("_hit.best", F.lit("")).alias("best"),
         (F.when(order > 0, order).otherwise(10) - 1).cast("int").alias("verdict_order"),
-    )
+    ).orderBy("verdict_order", "wanted")

@@ -156,8 +156,8 @@ def author_contributions(
 ) -> DataFrame:
     """Every author's pieces in catalog order; authors without one keep a row.
 
-    Returns ``author, kind, series, issue, cahier, pos, piece_slug, fr, en,
-    introduces``. The large side is joined to the authors, not the other way
+    Returns ``author, kind, series, issue, cahier, pos, piece_slug, fr, en``,
+    sorted by author, series, issue and position. The large side is joined to the authors, not the other way
     round, so a prolific author can be split over tasks.
     """
     known = authors.select(F.col("slug").alias("author"), "is_editor")
@@ -167,7 +167,7 @@ def author_contributions(
     kind = F.when(F.col("is_editor") & F.col("is_notice"), "notice").otherwise("writing")
     rows = rows.select("author", kind.alias("kind"), "series", "issue", "cahier", "pos", "piece_slug", "fr", "en")
     idle = known.join(declared.select("author").distinct(), "author", "left_anti").select("author")
-    return rows.unionByName(idle, allowMissingColumns=True)
+    return rows.unionByName(idle, allowMissingColumns=True).orderBy("author", "series", "issue", "pos")
 
 
 def contribution_counts(contributions: DataFrame) -> DataFrame:
