@@ -38,6 +38,22 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """What ``make`` gives, kept in this worker for later tasks of the same operator; another operator's is let go."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def letting_go() -> None:
+    """An operator that holds nothing lets go of what another has left in this worker."""
+    _HELD.clear()
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
     """The named columns of each batch as lists."""
     for batch in batches:
@@ -65,6 +81,7 @@ def annotate(docs: DataFrame, make: Callable[[], Callable[[list], list]], column
     kept = docs.drop(*(n for n in added.names if n != "text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()
         compute = make()
         for batch in batches:
             new = compute(batch.column(batch.schema.get_field_index("text")).to_pylist())

@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import shingles
-from stemma.llm.common import Forest, arrow_of, batch_of, components, rows_of, texts
+from stemma.llm.common import Forest, arrow_of, batch_of, components, letting_go, rows_of, texts
 from stemma.session import write_out
 
 SIMILARITY = 75
 #: Shingles held at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Shingles whose hashes meet in one bucket, on average, and the bytes of text that give one.
 BUCKET, BYTES_EACH = 2_000_000, 6
 #: Names of sets a task remembers, so that copies are sent once.
@@ -65,6 +65,7 @@ def _counted(bodies: DataFrame, buckets: int, similarity: int) -> DataFrame:
     """
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()
         part, number, held, size, seen = TaskContext.get().partitionId(), 0, [], 0, set()
 
         def close() -> Iterator[pa.RecordBatch]:
@@ -192,7 +193,7 @@ def _block_links(bodies: DataFrame, buckets: int, similarity: int) -> DataFrame:
                 held.append(_ordered(own, times, buckets)[: len(own) - needed(len(own), similarity) + 1])
                 members.append(shingles.short_name(name))
                 size += len(held[-1])
-            if size >= CHUNK // 2:
+            if size >= CHUNK:
                 yield close()
                 held, members, size = [], [], 0
         if size:

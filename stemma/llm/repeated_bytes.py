@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import annotate, arrow_of, batch_of, rows_of, small_batches
+from stemma.llm.common import annotate, arrow_of, batch_of, letting_go, rows_of, small_batches
 from stemma.llm.deep_sort import sort
 from stemma.llm.shingles import _places, mixed
 from stemma.session import write_out
@@ -122,6 +122,7 @@ def _repeated_anchors(keyed: DataFrame) -> DataFrame:
     """
 
     def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()
         held, names, size, seen = [], [], 0, set()
 
         def close() -> pa.RecordBatch:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import arrow_of, batch_of, rows_of, texts
+from stemma.llm.common import arrow_of, batch_of, held, rows_of, texts
 from stemma.session import write_out
 
 #: Entries a worker remembers; the memory is emptied when it is full.
@@ -81,17 +81,9 @@ class WordIds:
         return out
 
 
-_ENCODERS: dict[str, WordIds] = {}
 _IDS = arrow_of("doc_id long, width int, ids binary")
 
 
-def encoder(path: str) -> WordIds:
-    """One encoder per vocabulary and worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
-
-
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     """``row_id``, ``doc_id`` and ``ids`` of every whole text with ``end_id`` appended, written once.
 
@@ -102,7 +94,7 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
     """
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(vocabulary)
+        known = held(("word ids", vocabulary), lambda: WordIds(vocabulary))
         end = np.array([end_id], dtype=known.kind).tobytes()
         for ids, bodies in rows_of(batches, "doc_id", "text"):
             yield batch_of(_IDS, ids, [known.kind.itemsize] * len(ids), [x + end for x in known.encode(bodies)])
