@@ -21,12 +21,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from stemma.llm.common import arrow_of, batch_of, rows_of, small_batches, texts
+from stemma.llm.common import arrow_of, batch_of, held, rows_of, small_batches, texts
 
 #: Entries a worker remembers of each kind, twice where the older half is kept.
 REMEMBERED = 350_000
 #: Transitions a worker remembers.
 STEPS = 250_000
+#: Bytes of ids decoded at a time.
+CHUNK = 1 << 16
 #: Parts of this many characters or more are encoded anew each time.
 LONGEST = 100
 _NONE = -1
@@ -256,16 +258,20 @@ class Utf8Stream:
         return kept.decode("utf-8", "replace")
 
 
+def _bytes(ids: bytes, bytes_of: Callable[[int], bytes]) -> bytes:
+    return b"".join(map(bytes_of, np.frombuffer(ids, "<u4").tolist()))
+
+
 def decode_stream(chunks: Iterable[bytes], bytes_of: Callable[[int], bytes]) -> Iterator[str]:
     """Text of a stream of little-endian 32-bit ids, a string for each chunk."""
     stream = Utf8Stream()
     for chunk in chunks:
-        yield stream.feed(b"".join(map(bytes_of, np.frombuffer(chunk, "<u4").tolist())))
+        yield stream.feed(_bytes(chunk, bytes_of))
     yield stream.end()
 
 
-_KNOWN: dict[tuple[str, str], ByteIds] = {}
-_TABLES: dict[str, list[bytes]] = {}
+def _known(ranks: str, pattern: str) -> ByteIds:
+    return held(("byte ids", ranks, pattern), lambda: ByteIds(ranks, pattern))
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -277,9 +283,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _KNOWN.get((ranks, pattern))
-        if known is None:
-            known = _KNOWN[ranks, pattern] = ByteIds(ranks, pattern)
+        known = _known(ranks, pattern)
         for ids, bodies in rows_of(batches, "doc_id", "text"):
             yield batch_of(_IDS, ids, list(map(known.encode, bodies)))
 
@@ -291,13 +295,26 @@ def decode(ids: DataFrame, ranks: str) -> DataFrame:
     small_batches(ids.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if ranks not in _TABLES:
-            read = load_ranks(ranks)
-            _TABLES[ranks] = [b""] * (max(read.values()) + 1)
-            for b, r in read.items():
-                _TABLES[ranks][r] = b
-        bytes_of = _TABLES[ranks].__getitem__
+        bytes_of = {r: b for b, r in load_ranks(ranks).items()}.__getitem__
         for docs, found in rows_of(batches, "doc_id", "ids"):
-            yield batch_of(_DECODED, docs, found, [b"".join(map(bytes_of, np.frombuffer(x, "<u4").tolist())) for x in found])
+            yield batch_of(_DECODED, docs, found, [_bytes(x, bytes_of) for x in found])
 
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+
+
+def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """``doc_id, ids, decoded``: as ``decode`` of ``encode``, in one pass.
+
+    Ids are decoded as a stream of chunks; what the stream's states hold back at a
+    chunk's end comes with the next.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _known(ranks, pattern)
+        bytes_of = known.transducer.bytes_of.__getitem__
+        for docs_in, bodies in rows_of(batches, "doc_id", "text"):
+            found = list(map(known.encode, bodies))
+            decoded = ["".join(decode_stream((x[i : i + CHUNK] for i in range(0, len(x), CHUNK)), bytes_of)).encode() for x in found]
+            yield batch_of(_DECODED, docs_in, found, decoded)
+
+    return texts(docs).mapInArrow(run, "doc_id long, ids binary, decoded binary")

@@ -24,8 +24,7 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checksums of every document's byte-level BPE ids and of what they decode to."""
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    found = byte_bpe.decode(byte_bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    found = byte_bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return found.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
