@@ -4,6 +4,12 @@ The kernel of two texts is the number of byte n-grams, of one to ``LONGEST``
 bytes, that both have, over the geometric mean of how many each has. Texts are
 compared with landmarks; a one-versus-rest kernel ridge regression on the
 landmarks' span gives a value for each language.
+
+Those values say which language is best, not whether any fits: they sum to
+2 - n over n languages, so the best is never low. Whether a text is of a learned
+language at all is told by its familiarity: the mean logarithm of the share of
+the language's learning texts that have its n-grams, over a floor that the
+learning texts set, each measured against the others.
 """
 
 from __future__ import annotations
@@ -26,10 +32,12 @@ BITS, LONGEST, RIDGE = 16, 4, 0.1
 #: Texts scored by one matrix product.
 TOGETHER = 32
 UNKNOWN = "und"
-#: A score under this is a rejection, as is an unknown language.
-LEAST = 0.25
+#: A language's floor is the figure that this share of its learning texts is under, times ``SLACK``.
+LOW, SLACK = 0.01, 1.25
+#: Languages with fewer learning texts have no floor; what is taken for one of them is not rejected.
+MEASURED = 20
 _MODEL = "languages string, weights binary"
-_OWN = ("_language", "_language_score")
+_OWN = ("_language", "_language_score", "_language_known")
 
 
 def features(text: str, marks: grams.Marks) -> np.ndarray:
@@ -64,8 +72,19 @@ def regress(rows: list[np.ndarray], targets: np.ndarray, landmarks: np.ndarray)
     return np.concatenate([weights, (mean - middle @ solved)[None]])
 
 
+def familiarity(rows: list[np.ndarray]) -> np.ndarray:
+    """Of texts of one language: for each n-gram the log share of the texts that have it, and the floor (the last number)."""
+    n, counts = len(rows), np.zeros(1 << BITS)
+    for own in rows:
+        counts[own] += 1
+    rest = np.log(np.maximum(counts - 0.5, 0.5) / n)  # as the other texts see it
+    own = [rest[x].mean() for x in rows if len(x)]
+    floor = SLACK * np.quantile(own, LOW) if len(own) >= MEASURED else np.inf
+    return np.append(np.log((counts + 0.5) / (n + 1)), floor)
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], bytes]:
-    """Languages and their n-gram weights, from text and non-null ``lang`` of at most ``sample`` distinct texts of each.
+    """Languages and their n-gram weights, then familiarities, from text and non-null ``lang`` of at most ``sample`` distinct texts of each.
 
     Held-out documents are not read. Texts are chosen by hash: those under a bound
     that lets about ``2 * sample`` of a language through, then the lowest.
@@ -86,39 +105,48 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], bytes]:
         names = sorted({x[0] for x in found})
         targets = np.array([[1.0 if lang == n else -1.0 for n in names] for lang, _, _ in found])
         landmarks = np.array([i for i, (_, rank, _) in enumerate(found) if rank <= LANDMARKS])
-        yield batch_of(arrow_of(_MODEL), ["\n".join(names)], [regress([x[2] for x in found], targets, landmarks).astype(np.float32).tobytes()])
+        weights = regress([x[2] for x in found], targets, landmarks).astype(np.float32)
+        known = np.stack([familiarity([x[2] for x in found if x[0] == n]).astype(np.float32) for n in names], axis=1)
+        yield batch_of(arrow_of(_MODEL), ["\n".join(names)], [np.concatenate([weights, known], axis=1).tobytes()])
 
     model = ranked.select("text", "lang", "rank").repartition(1).mapInArrow(train, _MODEL).collect()
     return (model[0][0].split("\n"), model[0][1]) if model else ([], b"")
 
 
-def mark(docs: DataFrame, model: tuple[list[str], bytes], column: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Every row of ``docs`` with its language and score; only the text counts.
+def mark(docs: DataFrame, model: tuple[list[str], bytes], column: str = "lang_pred", score: str = "score", known: str = "known") -> DataFrame:
+    """Every row of ``docs`` with its language, its score and whether it is of a learned language; only the text counts.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text
     when nothing was learned. The score is the best language's value, from -1 to 1,
-    moved to 0 to 1.
+    moved to 0 to 1. A text is known if it is over the floor of any language, or if
+    its best language has no floor.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         names, raw = shared.value
-        weights = np.frombuffer(raw, np.float32).reshape(-1, max(1, len(names)))
+        weights = np.frombuffer(raw, np.float32).reshape(-1, max(1, 2 * len(names)))
+        floors = weights[-1, len(names) :] if names else None
         marks = grams.Marks(BITS)
 
         def find(bodies: list) -> list:
-            langs, scores = [UNKNOWN] * len(bodies), np.zeros(len(bodies))
+            langs, scores, sure = [UNKNOWN] * len(bodies), np.zeros(len(bodies)), [False] * len(bodies)
             worded = [i for i, x in enumerate(bodies) if any(map(str.isalpha, x or ""))] if names else []
             for at in range(0, len(worded), TOGETHER):
                 own = worded[at : at + TOGETHER]
-                values = presence([features(bodies[i], marks) for i in own]) @ weights[:-1] + weights[-1]
-                for i, best, value in zip(own, values.argmax(axis=1), values.max(axis=1), strict=True):
+                rows = [features(bodies[i], marks) for i in own]
+                both = presence(rows) @ weights[:-1]
+                values = both[:, : len(names)] + weights[-1, : len(names)]
+                sizes = np.sqrt([[max(1, len(x))] for x in rows])
+                over = (both[:, len(names) :] / sizes >= floors).any(axis=1)
+                for i, best, value, fits in zip(own, values.argmax(axis=1), values.max(axis=1), over, strict=True):
                     langs[i], scores[i] = names[best], min(1.0, max(0.0, (float(value) + 1) / 2))
-            return [langs, scores]
+                    sure[i] = bool(fits or np.isinf(floors[best]))
+            return [langs, scores, sure]
 
         return find
 
-    return annotate(docs, make, f"{column} string, {score} double")
+    return annotate(docs, make, f"{column} string, {score} double, {known} boolean")
 
 
 def identify(docs: DataFrame, model: tuple[list[str], bytes]) -> DataFrame:
@@ -127,6 +155,6 @@ def identify(docs: DataFrame, model: tuple[list[str], bytes]) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is known and not most unlikely, with their columns."""
+    """The rows of ``docs`` whose language is learned, with their columns."""
     found = mark(docs, fit(docs), *_OWN)
-    return found.where((F.col(_OWN[0]) != UNKNOWN) & (F.col(_OWN[1]) >= LEAST)).select(docs.columns)
+    return found.where(_OWN[2]).select(docs.columns)

@@ -1,6 +1,7 @@
 """Classifiers by held-out accuracy, fingerprints by true similarity, licences by SQL, and the pipeline."""
 
 import hashlib
+import random
 from collections import Counter
 
 import duckdb
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stemma.llm import grams, language, licenses, minhash, quality, queries_classifiers, queries_fingerprints, queries_licenses, shingles
@@ -71,6 +73,22 @@ def test_language_of_odd_documents(odd_docs, no_docs):
     assert language.keep(odd_docs).columns == odd_docs.columns
 
 
+def test_texts_of_no_learned_language_are_rejected(spark):
+    docs, rnd = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text", "lang"), random.Random(3)
+    noise = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(500)) for _ in range(20)]
+    other = ["Съешь же ещё этих мягких французских булок да выпей чаю.", "Pchnąć w tę łódź jeża lub ośm skrzyń fig i zażółcić gęślą jaźń.", "これは日本語の文章です。", "Köszönöm szépen, de ma már nem kérek többet belőle."]
+    planted = spark.createDataFrame([(-1 - i, x, None) for i, x in enumerate(noise + other)], docs.schema)
+    for missing in ("", "de", "es"):  # a language that is not learned
+        told = docs.withColumn("lang", F.when(F.col("lang") != missing, F.col("lang")))
+        kept = language.keep(told.unionByName(planted)).groupBy(F.col("doc_id") < 0, F.col("lang").isNull()).count().collect()
+        counts = {(r[0], r[1]): r[2] for r in kept}
+        assert counts.get((True, True), 0) == 0
+        assert counts[False, False] >= 0.998 * told.where("lang is not null").count()
+        assert counts.get((False, True), 0) <= 0.1 * told.where("lang is null").count()
+    one = language.keep(docs.withColumn("lang", F.when(F.col("lang") == "en", "en")).unionByName(planted))
+    assert one.where("doc_id < 0").count() == 0 and one.where("lang = 'en'").count() >= 0.998 * docs.where("lang = 'en'").count()
+
+
 def test_landmark_regression_equals_the_kernel_form():
     marks, texts = grams.Marks(language.BITS), ["the cat sat", "a cat and a hat", "der hund und die katze", "ein hund im haus"]
     rows = [language.features(t, marks) for t in texts]
