@@ -49,11 +49,11 @@ def _gram_hashes(raw: np.ndarray, size: int) -> np.ndarray:
     return mixed((total[size:] - total[:-size]) * inverse[: len(raw) - size + 1])
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(raw: np.ndarray, size: int = SLICE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(hash, at, low, high)``: the strings that start from ``low`` to ``high`` have their anchor at ``at``."""
     found = []
-    for begin in range(0, max(0, len(raw) - LENGTH + 1), SLICE):
-        part = raw[begin : begin + SLICE + LENGTH - 1]
+    for begin in range(0, max(0, len(raw) - LENGTH + 1), size):
+        part = raw[begin : begin + size + LENGTH - 1]
         hashes = _gram_hashes(part, GRAM)
         least = (hashes & ~np.uint64((1 << 24) - 1)) | np.arange(len(hashes), dtype=np.uint64)  # ties: the first
         width, reach = LENGTH - GRAM + 1, 1
@@ -143,7 +143,7 @@ def _repeated_anchors(keyed: DataFrame) -> DataFrame:
                     continue
                 if len(seen) < CHUNK:
                     seen.add(key)
-                held.append(anchors(np.frombuffer(text.encode(), np.uint8)))
+                held.append(anchors(np.frombuffer(text.encode(), np.uint8), SLICE))
                 names.append((key, doc))
                 size += len(held[-1][0])
                 if size >= CHUNK:
@@ -243,7 +243,7 @@ def _covered(keyed: DataFrame, found: DataFrame) -> DataFrame:
                     if len(held) >= TOGETHER and held[-1][0] != spot:
                         yield from close(held)
                         held = []
-                    if not held or held[-1][:3] != (spot, key, at):  # else a repeated row
+                    if not held or held[-1][:4] != (spot, key, at, low):  # else a repeated row; slices cut an anchor into rows of other lows
                         held.append((spot, key, at, low, high, body))
             if ready:
                 yield batch_of(_COVERED, *zip(*ready, strict=True))

@@ -154,6 +154,18 @@ def test_repeated_bytes_with_hot_anchors_and_small_slices(spark, monkeypatch):
     assert removed(docs) == Counter(brute_bytes(texts))
 
 
+def test_repeated_bytes_at_every_place_around_a_slice_boundary(spark, monkeypatch):
+    monkeypatch.setattr(repeated_bytes, "SLICE", 1000)
+    rnd = random.Random(6)
+    prose = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    texts = []
+    for at in range(760, 1010, 2):
+        passage = prose(rnd.randint(200, 230))
+        texts += [prose(at) + passage + prose(300), prose(rnd.randint(0, 400)) + passage + prose(rnd.randint(0, 300))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    assert removed(docs) == Counter(brute_bytes(texts))
+
+
 def test_shortened_documents_keep_their_columns(odd_docs):
     out = repeated_bytes.shorten(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
