@@ -157,6 +157,22 @@ def test_licenses_inherit_from_the_nearest_directory(spark):
     assert licenses.scan(spark.createDataFrame([], "file_id long, path string, text string")).collect() == []
 
 
+def test_licenses_of_common_notices_and_whole_texts(spark):
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n"
+    code = "x = 1\n" * 300
+    said = [("MIT", "// SPDX-License-Identifier: MIT"), ("Apache-2.0", "# SPDX-License-Identifier: Apache-2.0"), ("GPL-3.0", "/* SPDX-License-Identifier: GPL-3.0-or-later */"), ("LGPL-2.1", "// SPDX-License-Identifier: LGPL-2.1-only"), ("GPL-3.0", gpl), ("GPL-2.0", gpl.replace("version 3", "version 2")),
+            ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MIT", "Copyright (c) 2020 Jane Doe and others. This file is part of a tool and is licensed under the MIT License; see the file beside it."), (None, "# SPDX-License-Identifier: Zlib"), (None, "You need a license to drive and permission to fish."), (None, "This is licensed under the terms of its own.")]
+    files = [(i, f"/s/{i}.py", line + "\n" + code, 0.0) for i, (_, line) in enumerate(said)] + [(50 + i, "/h/m.py", "// SPDX-License-Identifier: MIT\n" + "y = 2\n" * i, 0.0) for i in range(50)]
+    whole = licenses.whole_texts()
+    files += [(100 + i, f"/w{i}/terms.txt", "Copyright (c) 2021 Jane Doe\n\n" + text, 0.0) for i, (_, text) in enumerate(whole)] + [(200 + i, f"/w{i}/src/a.c", "int x;", 0.0) for i in range(len(whole))]
+    rows = {r.file_id: r for r in licenses.scan(spark.createDataFrame(files, "file_id long, path string, text string, score double")).collect()}
+    assert len(rows) == len(files)
+    assert [rows[i].license for i in range(len(said))] == [name for name, _ in said]
+    assert {(rows[i].license, rows[i].found) for i in range(50, 100)} == {("MIT", "own")}
+    assert [(rows[100 + i].license, rows[100 + i].found) for i in range(len(whole))] == [(name, "own") for name, _ in whole]
+    assert [(rows[200 + i].license, rows[200 + i].found) for i in range(len(whole))] == [(name, "inherited") for name, _ in whole]
+
+
 def test_op6_query_against_sql_and_without_python(spark, sf):
     con = duckdb.connect()
     con.sql(f"create view documents as select * from '{sf}/documents.parquet'")
