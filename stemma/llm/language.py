@@ -87,12 +87,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], bytes]:
     """Languages and their n-gram weights, then familiarities, from text and non-null ``lang`` of at most ``sample`` distinct texts of each.
 
     Held-out documents are not read. Texts are chosen by hash: those under a bound
-    that lets about ``2 * sample`` of a language through, then the lowest.
+    that lets about ``2 * sample`` distinct ones of a language through, however often
+    each occurs, then the lowest.
     """
     known = docs.where("lang is not null and text is not null").where(~held_out())
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("all_rows")).orderBy(F.desc("all_rows"), "lang").limit(MOST)
-    hashed = known.select("text", "lang", F.xxhash64("text").alias("hash")).join(F.broadcast(counts), "lang")
-    low = hashed.where(F.pmod("hash", F.lit(1 << 30)) * F.col("all_rows") <= 2 * sample * (1 << 30)).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    hashed = known.select("text", "lang", F.xxhash64("text").alias("hash"))
+    # copies of a text share a hash, so the bound goes by distinct hashes
+    counts = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("all_rows"), F.approx_count_distinct("hash").alias("all_texts")).orderBy(F.desc("all_rows"), "lang").limit(MOST)
+    hashed = hashed.join(F.broadcast(counts), "lang")
+    low = hashed.where(F.pmod("hash", F.lit(1 << 30)) * F.col("all_texts") <= 2 * sample * (1 << 30)).groupBy("lang", "hash").agg(F.min("text").alias("text"))
     ranked = low.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(1 << 30)), "hash"))).where(F.col("rank") <= sample)
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -89,6 +89,13 @@ def test_texts_of_no_learned_language_are_rejected(spark):
     assert one.where("doc_id < 0").count() == 0 and one.where("lang = 'en'").count() >= 0.998 * docs.where("lang = 'en'").count()
 
 
+def test_a_language_of_one_hot_text_is_learned(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text", "lang")
+    hot = spark.range(400_000).selectExpr("id + 1000000 as doc_id", "'der die das' as text", "'de' as lang")
+    found = language.identify(docs.where("lang = 'de'"), language.fit(docs.unionByName(hot)))
+    assert found.where("lang_pred = 'de'").count() >= 0.98 * found.count()
+
+
 def test_landmark_regression_equals_the_kernel_form():
     marks, texts = grams.Marks(language.BITS), ["the cat sat", "a cat and a hat", "der hund und die katze", "ein hund im haus"]
     rows = [language.features(t, marks) for t in texts]
