@@ -721,7 +721,7 @@ def reassemble(spark, sf):
 
 @query
 def reassemble_long(spark, sf):
-    """Order lines as the parts of a few very long documents: one row each."""
+    """Order lines as the parts of a few very long documents: one row each, which grows with the table (see ``assemble``)."""
     li = table(spark, sf, "lineitem").select(
         F.concat("l_returnflag", F.lit("-"), "l_linestatus").alias("doc"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("idx"), "l_partkey")
     li = li.groupBy("doc", "idx").agg(F.max("l_partkey").cast("string").alias("text"))

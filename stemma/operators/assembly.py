@@ -16,7 +16,8 @@ def assemble(
 ) -> DataFrame:
     """Join parts in order: ``key, segment, body``, one row per document.
 
-    A document is as large as one row has to hold. With ``per_segment``, positions
+    A document is collected in one task and must fit one row: under 2 GB of text,
+    and its parts, sorted and joined, in that task's memory. For larger ones, with ``per_segment``, positions
     (from 0) are cut into numbered segments of so many; joined with ``sep`` they
     give the document.
     """
