@@ -28,6 +28,8 @@ from stemma.llm.common import annotate, arrow_of, batch_of, held_out, rows_of
 SAMPLE, LANDMARKS = 600, 60
 #: Languages learned at most, those with the most documents; with ``SAMPLE`` this bounds what is fitted.
 MOST = 500
+#: Landmarks of all languages together, at most; every language has its even share.
+ALL_LANDMARKS = 3000
 BITS, LONGEST, RIDGE = 16, 4, 0.1
 #: Texts scored by one matrix product.
 TOGETHER = 32
@@ -60,15 +62,18 @@ def regress(rows: list[np.ndarray], targets: np.ndarray, landmarks: np.ndarray)
     the two matrices are multiplied once, here.
     """
     marks = presence([rows[i] for i in landmarks])
-    kernel = np.concatenate([presence(rows[i : i + 256]) @ marks.T for i in range(0, len(rows), 256)]).astype(np.float64)
-    values, vectors = np.linalg.eigh(kernel[landmarks])
+    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     kept = values > 1e-6 * values[-1]
     half = vectors[:, kept] / np.sqrt(values[kept])
-    mapped = kernel @ half
-    middle, mean = mapped.mean(axis=0), targets.mean(axis=0)
-    centred = mapped - middle
-    solved = np.linalg.solve(centred.T @ centred + RIDGE * np.eye(centred.shape[1]), centred.T @ (targets - mean))
-    weights = marks.T.astype(np.float64) @ (half @ solved)
+    mean = targets.mean(axis=0)
+    total, inner, cross = 0, 0, 0  # the kernel of all rows is never held, only its sums
+    for i in range(0, len(rows), 256):
+        mapped = (presence(rows[i : i + 256]) @ marks.T).astype(np.float64) @ half
+        total, inner, cross = total + mapped.sum(axis=0), inner + mapped.T @ mapped, cross + mapped.T @ (targets[i : i + 256] - mean)
+    middle = total / len(rows)
+    solved = np.linalg.solve(inner - len(rows) * np.outer(middle, middle) + RIDGE * np.eye(len(middle)), cross)
+    onto = half @ solved
+    weights = np.concatenate([marks[:, i : i + 4096].T.astype(np.float64) @ onto for i in range(0, marks.shape[1], 4096)])
     return np.concatenate([weights, (mean - middle @ solved)[None]])
 
 
@@ -101,13 +106,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], bytes]:
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, found = grams.Marks(BITS), []
         for bodies, langs, ranks in rows_of(batches, "text", "lang", "rank"):
-            found += [(lang, rank, features(x, marks).astype(np.int32)) for x, lang, rank in zip(bodies, langs, ranks, strict=True)]
+            found += [(lang, rank, features(x, marks).astype(np.uint16)) for x, lang, rank in zip(bodies, langs, ranks, strict=True)]
         if not found:
             return
         found.sort(key=lambda x: x[:2])
         names = sorted({x[0] for x in found})
-        targets = np.array([[1.0 if lang == n else -1.0 for n in names] for lang, _, _ in found])
-        landmarks = np.array([i for i, (_, rank, _) in enumerate(found) if rank <= LANDMARKS])
+        targets = np.array([[1 if lang == n else -1 for n in names] for lang, _, _ in found], np.int8)
+        share = max(1, min(LANDMARKS, ALL_LANDMARKS // len(names)))
+        landmarks = np.array([i for i, (_, rank, _) in enumerate(found) if rank <= share])
         weights = regress([x[2] for x in found], targets, landmarks).astype(np.float32)
         known = np.stack([familiarity([x[2] for x in found if x[0] == n]).astype(np.float32) for n in names], axis=1)
         yield batch_of(arrow_of(_MODEL), ["\n".join(names)], [np.concatenate([weights, known], axis=1).tobytes()])

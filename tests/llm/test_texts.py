@@ -108,6 +108,16 @@ def test_landmark_regression_equals_the_kernel_form():
     assert np.allclose(x @ weights[:-1] + weights[-1], kernel @ (centre @ dual) + (y - kernel @ (centre @ dual)).mean(axis=0), atol=1e-5)
 
 
+def test_landmarks_of_all_languages_are_bounded(spark, monkeypatch):
+    seen = "".join(chr(97 + i) for i in range(20))
+    docs = spark.createDataFrame([(k * 30 + i, f"{c * 3} {c}{i} {c * 2}", c) for k, c in enumerate(seen) for i in range(30)], "doc_id long, text string, lang string")
+    free = language.fit(docs)
+    monkeypatch.setattr(language, "ALL_LANDMARKS", 40)
+    names, raw = language.fit(docs)
+    assert names == list(seen) and raw != free[1]  # two of each language now
+    assert language.identify(docs, (names, raw)).join(docs, "doc_id").where("lang = lang_pred").count() == 600
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(max_size=50))
 def test_marks_are_emptied(text):
