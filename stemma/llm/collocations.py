@@ -6,8 +6,9 @@ shorter parts may be frequent, and the shuffle adds the counts up; those that
 are frequent enough set bits of a filter of fixed size, which
 tells the tasks of the next level what to count. Fingerprints only prune: in a last
 pass each task keeps with every fingerprint that the filters let through a pointer
-to its first occurrence in the bytes at hand, compares all others with that text, and
-hands on phrases and exact counts, so a collision can't merge two phrases.
+to its first occurrence, compares all others with the text there, and only then
+writes these phrases out with exact counts, so a collision can't merge two of
+them. Pointers are followed where the text is: after the shuffle that would move every text again.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from stemma.session import write_out
 SLICE = 1 << 20
 #: Bits of a filter (its size, whatever the corpus) and of the pieces it is put together from.
 BITS, PIECE_BITS = 26, 19
-#: Fingerprints and phrases that a task gathers before it hands them on.
-GATHERED, PHRASES = 1 << 21, 200_000
+#: Fingerprints or phrases that a task gathers before it hands them on.
+GATHERED = 1 << 21
 _BASE = 0x9E6C63D0876A9A47
 _FULL = (1 << 64) - 1
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -108,8 +109,8 @@ class Grams:
         low = _LOWER[raw]
         low[ends] = 0x20
         word[ends] = True
-        #: the words with one blank after each
-        self.text = low[word]
+        #: the words with one blank after each, and eight bytes more
+        self.text = np.concatenate([low[word], np.zeros(8, np.uint8)])
         self.start = np.cumsum(sizes + 1) - sizes - 1
         self.end = self.start + sizes
         firsts = np.cumsum([0, *(len(p.raw) + 1 for p in parts)])[:-1]
@@ -134,20 +135,24 @@ class Grams:
         count = max(0, len(self.start) - n + 1)
         return (self.piece[:count] == self.piece[n - 1 :][:count]) & self.fresh[n - 1 :][:count]
 
-    def same_text(self, start: np.ndarray, end: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Whether the bytes from ``start`` to ``end`` equal those from ``first`` to ``last``, eight at a time."""
-        equal = end - start == last - first
-        padded = np.concatenate([self.text, np.zeros(8, np.uint8)])
-        eights = np.ndarray(len(self.text), "<u8", padded, strides=(1,))
-        left, at = np.flatnonzero(equal), 0
-        while len(left):
-            rest = end[left] - start[left] - at
-            mask = np.where(rest >= 8, np.uint64(_FULL), (np.uint64(1) << (np.minimum(rest, 7) * 8).astype(np.uint64)) - np.uint64(1))
-            differ = (eights[start[left] + at] ^ eights[first[left] + at]) & mask != 0
-            equal[left[differ]] = False
-            at += 8
-            left = left[~differ & (rest > 8)]
-        return equal
+
+def _eights(text: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place of ``text`` on, which has eight bytes more than are used."""
+    return np.ndarray(max(0, len(text) - 7), "<u8", text, strides=(1,))
+
+
+def same_text(one: np.ndarray, start: np.ndarray, other: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether ``sizes`` bytes of ``one`` from ``start`` on equal those of ``other`` from ``first`` on, eight at a time."""
+    equal = np.ones(len(start), bool)
+    left, at, a, b = np.arange(len(start)), 0, _eights(one), _eights(other)
+    while len(left):
+        rest = sizes[left] - at
+        mask = np.where(rest >= 8, np.uint64(_FULL), (np.uint64(1) << (np.minimum(rest, 7) * 8).astype(np.uint64)) - np.uint64(1))
+        differ = (a[start[left] + at] ^ b[first[left] + at]) & mask != 0
+        equal[left[differ]] = False
+        at += 8
+        left = left[~differ & (rest > 8)]
+    return equal
 
 
 def _gathered(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[tuple[list[Chunk], Grams]]:
@@ -240,47 +245,94 @@ def _filter(counted: DataFrame, least: int, bits: int):
     return counted.sparkSession.sparkContext.broadcast(whole.ravel())
 
 
-def verified(grams: Grams, n: int, bits: np.ndarray) -> Iterator[tuple[int, int]]:
-    """The first occurrence of every phrase of ``n`` words that a filter lets through, and how often its text occurs."""
+def verified(grams: Grams, n: int, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pointers to the first occurrence of each phrase of ``n`` words that a filter lets through, and how often its text occurs."""
     prints = grams.fingerprints(n)
     at = np.flatnonzero(grams.phrases(n) & _in_filter(bits, prints))
     while len(at):  # more than once only where fingerprints collide
         _, pointer, which, times = np.unique(prints[at], return_index=True, return_inverse=True, return_counts=True)
-        start, end = grams.start[at], grams.end[at + n - 1]
-        alike = grams.same_text(start, end, start[pointer][which], end[pointer][which]) & (grams.langs[at] == grams.langs[at][pointer][which])
+        start, sizes = grams.start[at], grams.end[at + n - 1] - grams.start[at]
+        alike = (sizes == sizes[pointer][which]) & (grams.langs[at] == grams.langs[at][pointer][which])
+        alike[alike] = same_text(grams.text, start[alike], grams.text, start[pointer][which][alike], sizes[alike])
         if not alike.all():
             times = np.bincount(which[alike], minlength=len(times))
-        yield from zip(at[pointer].tolist(), times.tolist(), strict=True)
+        yield at[pointer], times
         at = at[~alike]
 
 
+class Table:
+    """Phrases that a task has found: fingerprint, count, and where each one's text lies among the texts kept."""
+
+    def __init__(self) -> None:
+        self.prints, self.langs = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.counts, self.words, self.start, self.sizes = (np.empty(0, np.int64) for _ in range(4))
+        self.text, self.used = np.zeros(1 << 16, np.uint8), 0
+        #: phrases whose fingerprint another one has
+        self.others: dict[tuple[int, int, bytes], int] = {}
+
+    def add(self, grams: Grams, n: int, at: np.ndarray, times: np.ndarray) -> None:
+        """Add ``times`` to the phrases of ``n`` words at ``at``, which differ in fingerprint."""
+        prints, langs, start = grams.fingerprints(n)[at], grams.langs[at], grams.start[at]
+        sizes = grams.end[at + n - 1] - start
+        place = np.searchsorted(self.prints, prints)
+        known = np.zeros(len(at), bool)
+        inside = place < len(self.prints)
+        known[inside] = self.prints[place[inside]] == prints[inside]
+        alike = known.copy()
+        there = place[known]
+        alike[known] = (self.sizes[there] == sizes[known]) & (self.langs[there] == langs[known])
+        there = place[alike]
+        alike[alike] = same_text(grams.text, start[alike], self.text, self.start[there], sizes[alike])
+        self.counts[place[alike]] += times[alike]
+        for i in np.flatnonzero(known & ~alike).tolist():
+            key = (int(langs[i]), n, grams.text[start[i] : start[i] + sizes[i]].tobytes())
+            self.others[key] = self.others.get(key, 0) + int(times[i])
+        new = ~known
+        if not new.any():
+            return
+        total = int(sizes[new].sum())
+        while self.used + total + 8 > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros(len(self.text), np.uint8)])
+        to = self.used + np.cumsum(sizes[new]) - sizes[new]
+        inner = np.arange(total) - np.repeat(to - self.used, sizes[new])
+        self.text[self.used : self.used + total] = grams.text[np.repeat(start[new], sizes[new]) + inner]
+        self.used += total
+        put = place[new]
+        self.prints, self.langs = np.insert(self.prints, put, prints[new]), np.insert(self.langs, put, langs[new])
+        self.counts, self.words = np.insert(self.counts, put, times[new]), np.insert(self.words, put, n)
+        self.start, self.sizes = np.insert(self.start, put, to), np.insert(self.sizes, put, sizes[new])
+
+    def rows(self, names: dict[int, str]) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(self.prints), 1 << 15):
+            part = slice(i, i + (1 << 15))
+            texts = [self.text[a : a + n].tobytes().decode() for a, n in zip(self.start[part].tolist(), self.sizes[part].tolist(), strict=True)]
+            yield batch_of(_FOUND, [names[x] for x in self.langs[part].tolist()], texts, self.words[part], self.counts[part])
+        if self.others:
+            yield batch_of(_FOUND, *zip(*((names[lang], phrase.decode(), words, n) for (lang, words, phrase), n in self.others.items()), strict=True))
+
+
 def _exact(docs: DataFrame, filters: list, longest: int) -> DataFrame:
     """``lang, phrase, words, n``: phrases that the filters let through with the times that tasks found them.
 
     All words of a language are counted under a phrase of no words.
     """
 
-    def handed(found: dict) -> Iterator[pa.RecordBatch]:
-        rows = [(lang, phrase.decode(), words, n) for (lang, words, phrase), n in found.items()]
-        found.clear()
-        for i in range(0, len(rows), 20_000):
-            yield batch_of(_FOUND, *zip(*rows[i : i + 20_000], strict=True))
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letting_go()
-        found: dict[tuple[str, int, bytes], int] = {}
+        table, names, total = Table(), {}, {}
         for group, grams in _gathered(batches, longest):
-            text = grams.text.tobytes()
-            for chunk, n in enumerate(np.bincount(grams.chunk[grams.fresh], minlength=len(group)).tolist()):
-                key = (group[chunk].lang, 0, b"")
-                found[key] = found.get(key, 0) + n
+            names |= {salt(c.lang): c.lang for c in group}
+            for lang, n in zip(group, np.bincount(grams.chunk[grams.fresh], minlength=len(group)).tolist(), strict=True):
+                total[lang.lang] = total.get(lang.lang, 0) + n
             for n, bits in enumerate(filters, 1):
-                for at, count in verified(grams, n, bits.value):
-                    key = (group[grams.chunk[at]].lang, n, text[grams.start[at] : grams.end[at + n - 1]])
-                    found[key] = found.get(key, 0) + count
-            if len(found) > PHRASES:
-                yield from handed(found)
-        yield from handed(found)
+                for at, times in verified(grams, n, bits.value):
+                    table.add(grams, n, at, times)
+            if len(table.prints) + len(table.others) > GATHERED:
+                yield from table.rows(names)
+                table = Table()
+        yield from table.rows(names)
+        if total:
+            yield batch_of(_FOUND, list(total), [""] * len(total), [0] * len(total), list(total.values()))
 
     return docs.mapInArrow(run, "lang string, phrase string, words long, n long")
 

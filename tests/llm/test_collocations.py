@@ -91,10 +91,18 @@ def test_colliding_fingerprints_are_told_apart(monkeypatch):
     rows = [(rnd.choice(["en", "de"]), " ".join(rnd.choice(["a", "bb", "cccccccc", "ddddddddd", "ddddddddde"]) for _ in range(60))) for _ in range(8)]
     group = [Chunk(lang, text.encode(), 0) for lang, text in rows]
     monkeypatch.setattr(Grams, "fingerprints", lambda self, n: np.arange(max(0, len(self.start) - n + 1)).astype(np.uint64) % np.uint64(3))
-    grams, found = Grams(group), Counter()
-    for n in range(1, 5):
-        for at, times in collocations.verified(grams, n, np.full(1 << 10, 255, np.uint8)):
-            found[group[grams.chunk[at]].lang, tuple(grams.text[grams.start[at] : grams.end[at + n - 1]].tobytes().decode().split(" "))] += times
+    table, bits = collocations.Table(), np.full(1 << 10, 255, np.uint8)
+    for part in (group[:3], group[3:4], group[4:]):
+        grams = Grams(part)
+        for n in range(1, 5):
+            for at, times in collocations.verified(grams, n, bits):
+                table.add(grams, n, at, times)
+    assert table.others
+    found = Counter()
+    for batch in table.rows({collocations.salt(x): x for x in ("en", "de")}):
+        for row in batch.to_pylist():
+            assert row["words"] == len(row["phrase"].split(" "))
+            found[row["lang"], tuple(row["phrase"].split(" "))] += row["n"]
     assert found == counts(rows)[0]
 
 
