@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.llm.common import arrow_of, batch_of, letting_go, small_batches
+from stemma.session import write_out
 
 #: Fixed values of the ARC format: the fields of a header line by major version.
 FIELDS = {
@@ -277,6 +278,7 @@ def join_by_share(rows: DataFrame, facts: DataFrame, key: str, row_key: str, sha
     is small. ``row_key`` tells rows apart and deals out those that need no join.
     """
     more = [c for c in facts.columns if c not in (key, "n")]
+    facts = write_out(facts, "facts")  # once; its size then tells Spark whether the shuffle can be left out
     total = facts.agg(F.sum("n")).first()[0] or 0
     heavy = facts.where(F.col("n") * share >= total).select(F.col(key).alias("_heavy"), *(F.col(c).alias(f"_heavy_{c}") for c in more))
     light = facts.where(F.col("n") * share < total).select(F.col(key).alias("_light"), *(F.col(c).alias(f"_light_{c}") for c in more))

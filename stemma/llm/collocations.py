@@ -30,6 +30,8 @@ from stemma.session import write_out
 SLICE = 1 << 20
 #: Bits of a filter (its size, whatever the corpus) and of the pieces it is put together from.
 BITS, PIECE_BITS = 26, 19
+#: Ranges of fingerprints in which found phrases are added up, at least; as many as shuffle partitions if those are more.
+LEAST_BUCKETS = 64
 #: Fingerprints or phrases that a task gathers before it hands them on.
 GATHERED = 1 << 21
 _BASE = 0x9E6C63D0876A9A47
@@ -95,6 +97,18 @@ def chunks(lang: str, raw: bytes, longest: int, size: int | None = None) -> Iter
         at = end
 
 
+class Block(NamedTuple):
+    """Phrases in ascending order of fingerprint; each one's bytes lie in ``text``, which has eight bytes more."""
+
+    prints: np.ndarray
+    langs: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
+    text: np.ndarray
+    start: np.ndarray
+    sizes: np.ndarray
+
+
 class Grams:
     """Words of some chunks, one after another, and the fingerprints of their n-grams."""
 
@@ -135,6 +149,10 @@ class Grams:
         count = max(0, len(self.start) - n + 1)
         return (self.piece[:count] == self.piece[n - 1 :][:count]) & self.fresh[n - 1 :][:count]
 
+    def block(self, n: int, at: np.ndarray, times: np.ndarray) -> Block:
+        """The phrases of ``n`` words at ``at``, each found ``times``."""
+        return Block(self.fingerprints(n)[at], self.langs[at], np.full(len(at), n), times, self.text, self.start[at], self.end[at + n - 1] - self.start[at])
+
 
 def _eights(text: np.ndarray) -> np.ndarray:
     """Eight bytes from each place of ``text`` on, which has eight bytes more than are used."""
@@ -267,54 +285,87 @@ class Table:
         self.prints, self.langs = np.empty(0, np.uint64), np.empty(0, np.uint64)
         self.counts, self.words, self.start, self.sizes = (np.empty(0, np.int64) for _ in range(4))
         self.text, self.used = np.zeros(1 << 16, np.uint8), 0
-        #: phrases whose fingerprint another one has
-        self.others: dict[tuple[int, int, bytes], int] = {}
-
-    def add(self, grams: Grams, n: int, at: np.ndarray, times: np.ndarray) -> None:
-        """Add ``times`` to the phrases of ``n`` words at ``at``, which differ in fingerprint."""
-        prints, langs, start = grams.fingerprints(n)[at], grams.langs[at], grams.start[at]
-        sizes = grams.end[at + n - 1] - start
-        place = np.searchsorted(self.prints, prints)
-        known = np.zeros(len(at), bool)
+        #: phrases whose fingerprint another one has: counts by fingerprint, language, words and text
+        self.others: dict[tuple[int, int, int, bytes], int] = {}
+
+    def add(self, block: Block) -> None:
+        """Add the counts of phrases that differ in fingerprint."""
+        place = np.searchsorted(self.prints, block.prints)
+        known = np.zeros(len(block.prints), bool)
         inside = place < len(self.prints)
-        known[inside] = self.prints[place[inside]] == prints[inside]
+        known[inside] = self.prints[place[inside]] == block.prints[inside]
         alike = known.copy()
         there = place[known]
-        alike[known] = (self.sizes[there] == sizes[known]) & (self.langs[there] == langs[known])
+        alike[known] = (self.sizes[there] == block.sizes[known]) & (self.langs[there] == block.langs[known])
         there = place[alike]
-        alike[alike] = same_text(grams.text, start[alike], self.text, self.start[there], sizes[alike])
-        self.counts[place[alike]] += times[alike]
+        alike[alike] = same_text(block.text, block.start[alike], self.text, self.start[there], block.sizes[alike])
+        self.counts[place[alike]] += block.counts[alike]
         for i in np.flatnonzero(known & ~alike).tolist():
-            key = (int(langs[i]), n, grams.text[start[i] : start[i] + sizes[i]].tobytes())
-            self.others[key] = self.others.get(key, 0) + int(times[i])
+            key = (int(block.prints[i]), int(block.langs[i]), int(block.words[i]), block.text[block.start[i] :][: block.sizes[i]].tobytes())
+            self.others[key] = self.others.get(key, 0) + int(block.counts[i])
         new = ~known
-        if not new.any():
-            return
-        total = int(sizes[new].sum())
+        sizes, put = block.sizes[new], place[new]
+        total = int(sizes.sum())
         while self.used + total + 8 > len(self.text):
             self.text = np.concatenate([self.text, np.zeros(len(self.text), np.uint8)])
-        to = self.used + np.cumsum(sizes[new]) - sizes[new]
-        inner = np.arange(total) - np.repeat(to - self.used, sizes[new])
-        self.text[self.used : self.used + total] = grams.text[np.repeat(start[new], sizes[new]) + inner]
+        self.text[self.used : self.used + total] = _joined(block.text, block.start[new], sizes)
+        starts = self.used + np.cumsum(sizes) - sizes
         self.used += total
-        put = place[new]
-        self.prints, self.langs = np.insert(self.prints, put, prints[new]), np.insert(self.langs, put, langs[new])
-        self.counts, self.words = np.insert(self.counts, put, times[new]), np.insert(self.words, put, n)
-        self.start, self.sizes = np.insert(self.start, put, to), np.insert(self.sizes, put, sizes[new])
+        self.prints, self.langs = np.insert(self.prints, put, block.prints[new]), np.insert(self.langs, put, block.langs[new])
+        self.counts, self.words = np.insert(self.counts, put, block.counts[new]), np.insert(self.words, put, block.words[new])
+        self.start, self.sizes = np.insert(self.start, put, starts), np.insert(self.sizes, put, sizes)
+
+    def blocks(self, names: dict[int, str], buckets: int) -> Iterator[pa.RecordBatch]:
+        """All phrases as blocks, one for each range of fingerprints; those with a fingerprint of another come alone."""
+        bounds = np.array([(b << 64) // buckets for b in range(buckets)], np.uint64)
+        ends = [*np.searchsorted(self.prints, bounds[1:]).tolist(), len(self.prints)]
+        for bucket, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+            if b > a:
+                part = slice(a, b)
+                yield _row(names, bucket, Block(self.prints[part], self.langs[part], self.words[part], self.counts[part], self.text, self.start[part], self.sizes[part]))
+        for (print_, lang, words, phrase), n in self.others.items():
+            text = np.frombuffer(phrase + bytes(8), np.uint8)
+            yield _row(names, int(np.searchsorted(bounds, np.uint64(print_), "right")) - 1, Block(np.array([print_], np.uint64), np.array([lang], np.uint64), *(np.array([x], np.int64) for x in (words, n)), text, *(np.array([x], np.int64) for x in (0, len(phrase)))))
+
+    def rows(self, names: dict[int, str], least: int) -> Iterator[pa.RecordBatch]:
+        """``lang, phrase, words, n`` of the phrases that occur ``least`` times, and of those of no words."""
+        wanted = np.flatnonzero((self.counts >= least) | (self.words == 0))
+        for i in range(0, len(wanted), 1 << 15):
+            at = wanted[i : i + (1 << 15)]
+            texts = [self.text[a : a + n].tobytes().decode() for a, n in zip(self.start[at].tolist(), self.sizes[at].tolist(), strict=True)]
+            yield batch_of(_FOUND, [names[x] for x in self.langs[at].tolist()], texts, self.words[at], self.counts[at])
+        others = [(names[lang], phrase.decode(), words, n) for (_, lang, words, phrase), n in self.others.items() if n >= least]
+        if others:
+            yield batch_of(_FOUND, *zip(*others, strict=True))
+
+
+def _joined(text: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Pieces of ``text`` one after another."""
+    total = int(sizes.sum())
+    return text[np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(total)]
 
-    def rows(self, names: dict[int, str]) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(self.prints), 1 << 15):
-            part = slice(i, i + (1 << 15))
-            texts = [self.text[a : a + n].tobytes().decode() for a, n in zip(self.start[part].tolist(), self.sizes[part].tolist(), strict=True)]
-            yield batch_of(_FOUND, [names[x] for x in self.langs[part].tolist()], texts, self.words[part], self.counts[part])
-        if self.others:
-            yield batch_of(_FOUND, *zip(*((names[lang], phrase.decode(), words, n) for (lang, words, phrase), n in self.others.items()), strict=True))
 
+_BLOCK = "bucket long, names array<string>, prints binary, langs binary, words binary, counts binary, sizes binary, text binary"
+_BLOCKS = pa.schema([("bucket", pa.int64()), ("names", pa.list_(pa.string())), *((n, pa.binary()) for n in ("prints", "langs", "words", "counts", "sizes", "text"))])
 
-def _exact(docs: DataFrame, filters: list, longest: int) -> DataFrame:
-    """``lang, phrase, words, n``: phrases that the filters let through with the times that tasks found them.
 
-    All words of a language are counted under a phrase of no words.
+def _row(names: dict[int, str], bucket: int, block: Block) -> pa.RecordBatch:
+    own = [names[x] for x in np.unique(block.langs).tolist()]
+    arrays = (block.prints, block.langs, block.words.astype(np.uint8), block.counts, block.sizes.astype("<u4"), _joined(block.text, block.start, block.sizes))
+    return batch_of(_BLOCKS, [bucket], [own], *([x.tobytes()] for x in arrays))
+
+
+def _block(prints: bytes, langs: bytes, words: bytes, counts: bytes, sizes: bytes, text: bytes) -> Block:
+    size = np.frombuffer(sizes, "<u4").astype(np.int64)
+    return Block(np.frombuffer(prints, "<u8"), np.frombuffer(langs, "<u8"), np.frombuffer(words, np.uint8), np.frombuffer(counts, "<i8"), np.frombuffer(text + bytes(8), np.uint8), np.cumsum(size) - size, size)
+
+
+def _exact(docs: DataFrame, filters: list, longest: int, least: int, buckets: int) -> DataFrame:
+    """``lang, phrase, words, n``: phrases that the filters let through and that occur ``least`` times.
+
+    Each task hands its phrases on in blocks by range of fingerprints; blocks of one range are added up
+    as they come, so a task holds each of the range's phrases once. All words of a language are
+    counted under a phrase of no words.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,19 +373,33 @@ def _exact(docs: DataFrame, filters: list, longest: int) -> DataFrame:
         table, names, total = Table(), {}, {}
         for group, grams in _gathered(batches, longest):
             names |= {salt(c.lang): c.lang for c in group}
-            for lang, n in zip(group, np.bincount(grams.chunk[grams.fresh], minlength=len(group)).tolist(), strict=True):
-                total[lang.lang] = total.get(lang.lang, 0) + n
+            for chunk, n in zip(group, np.bincount(grams.chunk[grams.fresh], minlength=len(group)).tolist(), strict=True):
+                total[salt(chunk.lang)] = total.get(salt(chunk.lang), 0) + n
             for n, bits in enumerate(filters, 1):
                 for at, times in verified(grams, n, bits.value):
-                    table.add(grams, n, at, times)
+                    table.add(grams.block(n, at, times))
             if len(table.prints) + len(table.others) > GATHERED:
-                yield from table.rows(names)
+                yield from table.blocks(names, buckets)
                 table = Table()
-        yield from table.rows(names)
-        if total:
-            yield batch_of(_FOUND, list(total), [""] * len(total), [0] * len(total), list(total.values()))
+        yield from table.blocks(names, buckets)
+        for lang, n in total.items():  # a language's words lie in a bucket of their own choice
+            none = np.zeros(1, np.int64)
+            yield _row(names, lang * buckets >> 64, Block(np.array([lang], np.uint64), np.array([lang], np.uint64), none, np.array([n]), np.zeros(8, np.uint8), none, none))
+
+    def added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()
+        now, table, names = None, Table(), {}
+        for batch in batches:
+            for bucket, own, *arrays in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now:
+                    yield from table.rows(names, least)
+                    now, table, names = bucket, Table(), {}
+                names |= {salt(x): x for x in own}
+                table.add(_block(*arrays))
+        yield from table.rows(names, least)
 
-    return docs.mapInArrow(run, "lang string, phrase string, words long, n long")
+    blocks = docs.mapInArrow(run, _BLOCK).repartition("bucket").sortWithinPartitions("bucket")
+    return blocks.mapInArrow(added, "lang string, phrase string, words long, n long")
 
 
 def frequent(docs: DataFrame, longest: int = 4, least: int = 30, bits: int = BITS) -> DataFrame:
@@ -347,8 +412,8 @@ def frequent(docs: DataFrame, longest: int = 4, least: int = 30, bits: int = BIT
     filters: list = []
     for n in range(1, longest + 1):
         filters.append(_filter(_counted(texts, n, filters[-1] if filters else None, longest), least, bits))
-    found = _exact(texts, filters, longest).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    return write_out(found.where((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
+    buckets = max(LEAST_BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return write_out(_exact(texts, filters, longest, least, buckets), "phrases")
 
 
 def collocations(docs: DataFrame, longest: int = 4, least: int = 30, share: int = 80, top: int = 2000, bits: int = BITS) -> DataFrame:
