@@ -12,8 +12,11 @@ met and remembered.
 
 from __future__ import annotations
 
+import array
 import base64
+import functools
 import struct
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -21,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from stemma.llm.common import arrow_of, batch_of, held, rows_of, small_batches, texts
+from stemma.llm.common import arrow_of, batch_of, held, no_cycles, rows_of, small_batches, texts
 
 #: Entries a worker remembers of each kind, twice where the older half is kept.
 REMEMBERED = 350_000
@@ -32,6 +35,9 @@ CHUNK = 1 << 16
 #: Parts of this many characters or more are encoded anew each time.
 LONGEST = 100
 _NONE = -1
+#: Packs ids as 32-bit numbers; where that isn't little-endian the slower way is taken.
+_packed = functools.partial(array.array, "I")
+_NATIVE = sys.byteorder == "little" and array.array("I").itemsize == 4
 _LATIN_END = "\u0250"
 _IDS = arrow_of("doc_id long, ids binary")
 _DECODED = arrow_of("doc_id long, ids binary, decoded binary")
@@ -68,6 +74,9 @@ class MergeTransducer:
             if len(token) == 1 or self.halves(rank):  # a token that its own bytes don't give is never a part
                 at[node] = rank
         self.ends = [at.get(node, _NONE) for node in range(len(self.trie) + 1)]  # the token that ends at a node
+        self.grows = bytearray(len(self.trie) + 1)  # whether a longer token goes on from a node
+        for key in self.trie:
+            self.grows[key >> 8] = 1
         self.follows: dict[int, bool] = {}
         self.forget()
 
@@ -115,17 +124,16 @@ class MergeTransducer:
         A state's name is the last token emitted and the bytes since; what may be
         under way, pairs of a node and the tokens before it, follows from these.
         """
-        after, trie, ends, same, follows = [], self.trie, self.ends, True, self.follows
+        after, trie, ends, grows, follows = [], self.trie, self.ends, self.grows, self.follows
         last, pending = self.keys[state]
+        whole = None  # the one encoding of all bytes so far
         for node, chain in self.states[state]:
             child = trie.get(node << 8 | byte)
             if child is None:
                 continue
-            after.append((child, chain))
-            if not chain:
-                same = False
-            token = ends[child]
-            if token >= 0:
+            if grows[child]:
+                after.append((child, chain))
+            if whole is None and (token := ends[child]) >= 0:
                 before = chain[-1] if chain else last
                 if before >= 0:
                     known = follows.get(before << 32 | token)
@@ -133,13 +141,18 @@ class MergeTransducer:
                         known = self.may_follow(before, token)
                     if not known:
                         continue
-                after.append((0, (*chain, token)))
+                whole = (*chain, token)
+        after.append((0, whole))
         pending += bytes((byte,))
         certain: tuple[int, ...] = ()
-        if same or len(after) == 1:  # the tokens on which all agree
-            first, n = min((chain for _, chain in after), key=len), 0
-            while n < len(first) and all([chain[n] == first[n] for _, chain in after]):
-                n += 1
+        first = after[0][1]
+        if first:  # the tokens on which all agree
+            n = len(first)
+            for _, chain in after:
+                while chain[:n] != first[:n]:
+                    n -= 1
+                if not n:
+                    break
             if n:
                 certain = first[:n]
                 after = [(node, chain[n:]) for node, chain in after]
@@ -162,8 +175,9 @@ class MergeTransducer:
             state = found[0]
             if found[1]:
                 out += found[1]
-        # what is pending ends at the root: the encoding of the whole
-        return out + list(next(chain for node, chain in self.states[state] if node == 0))
+        # what is pending ends at the root, which stands last: the encoding of the whole
+        out += self.states[state][-1][1]
+        return out
 
 
 class _Memory(dict):
@@ -202,7 +216,7 @@ class ByteIds:
         raw = piece.encode()
         whole = self.ranks.get(raw)
         ids = self.transducer.encode(raw) if whole is None else [whole]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed(ids).tobytes() if _NATIVE else struct.pack(f"<{len(ids)}I", *ids)
 
     def part(self, part: str) -> bytes:
         if not part or part[0].isspace() or part[-1].isspace():
@@ -258,15 +272,33 @@ class Utf8Stream:
         return kept.decode("utf-8", "replace")
 
 
-def _bytes(ids: bytes, bytes_of: Callable[[int], bytes]) -> bytes:
-    return b"".join(map(bytes_of, np.frombuffer(ids, "<u4").tolist()))
+class TokenBytes:
+    """The bytes of all tokens in one array, so that ids are turned to bytes many at a time."""
 
+    def __init__(self, bytes_of: dict[int, bytes]) -> None:
+        self.sizes = np.zeros(max(bytes_of, default=-1) + 1, np.int64)
+        for token, raw in bytes_of.items():
+            self.sizes[token] = len(raw)
+        self.known = np.zeros(len(self.sizes), bool)
+        self.known[list(bytes_of)] = True
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.all = np.frombuffer(b"".join(bytes_of[token] for token in sorted(bytes_of)), np.uint8)
 
-def decode_stream(chunks: Iterable[bytes], bytes_of: Callable[[int], bytes]) -> Iterator[str]:
-    """Text of a stream of little-endian 32-bit ids, a string for each chunk."""
+    def __call__(self, ids: bytes) -> bytes:
+        """Bytes of little-endian 32-bit ids."""
+        tokens = np.frombuffer(ids, "<u4")
+        if not self.known[tokens].all():
+            raise KeyError(int(tokens[~self.known[tokens]][0]))
+        sizes = self.sizes[tokens]
+        ends = np.cumsum(sizes)
+        return self.all[np.repeat(self.starts[tokens] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+
+
+def decode_stream(chunks: Iterable[bytes], bytes_of: Callable[[bytes], bytes]) -> Iterator[str]:
+    """Text of a stream of little-endian 32-bit ids, a string for each chunk; ``bytes_of`` gives the bytes of ids."""
     stream = Utf8Stream()
     for chunk in chunks:
-        yield stream.feed(_bytes(chunk, bytes_of))
+        yield stream.feed(bytes_of(chunk))
     yield stream.end()
 
 
@@ -285,7 +317,9 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(ranks, pattern)
         for ids, bodies in rows_of(batches, "doc_id", "text"):
-            yield batch_of(_IDS, ids, list(map(known.encode, bodies)))
+            with no_cycles():
+                found = list(map(known.encode, bodies))
+            yield batch_of(_IDS, ids, found)
 
     return texts(docs).mapInArrow(run, "doc_id long, ids binary")
 
@@ -295,9 +329,9 @@ def decode(ids: DataFrame, ranks: str) -> DataFrame:
     small_batches(ids.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = {r: b for b, r in load_ranks(ranks).items()}.__getitem__
+        bytes_of = TokenBytes({r: b for b, r in load_ranks(ranks).items()})
         for docs, found in rows_of(batches, "doc_id", "ids"):
-            yield batch_of(_DECODED, docs, found, [_bytes(x, bytes_of) for x in found])
+            yield batch_of(_DECODED, docs, found, list(map(bytes_of, found)))
 
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
 
@@ -311,9 +345,10 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(ranks, pattern)
-        bytes_of = known.transducer.bytes_of.__getitem__
+        bytes_of = TokenBytes(known.transducer.bytes_of)
         for docs_in, bodies in rows_of(batches, "doc_id", "text"):
-            found = list(map(known.encode, bodies))
+            with no_cycles():
+                found = list(map(known.encode, bodies))
             decoded = ["".join(decode_stream((x[i : i + CHUNK] for i in range(0, len(x), CHUNK)), bytes_of)).encode() for x in found]
             yield batch_of(_DECODED, docs_in, found, decoded)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,7 +15,9 @@ from pyspark.sql.types import StructType
 from stemma.session import write_out
 
 #: Rows and bytes of an Arrow batch; texts can be long, so the bytes are what bounds memory.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+#: Bytes that a Parquet writer gathers before it writes them, in each task.
+ROW_GROUP = 16 << 20
 #: A document whose ``crc32(doc_id as text) mod FOLDS`` is 0 is held out of every fit.
 FOLDS = 5
 
@@ -22,7 +27,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches in bytes, for every Python operator here holds one batch of texts at a time."""
+    """Bound Arrow batches and Parquet row groups in bytes, for every Python operator here holds one batch of texts at a time."""
+    spark.conf.set("parquet.block.size", ROW_GROUP)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
@@ -39,19 +45,38 @@ def held_out(doc_id: str = "doc_id"):
 
 
 _HELD: dict = {}
+#: The C library's call that gives idle memory back to the system, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def held(key, make: Callable):
     """What ``make`` gives, kept in this worker for later tasks of the same operator; another operator's is let go."""
     if key not in _HELD:
-        _HELD.clear()
+        letting_go()
         _HELD[key] = make()
     return _HELD[key]
 
 
 def letting_go() -> None:
-    """An operator that holds nothing lets go of what another has left in this worker."""
-    _HELD.clear()
+    """An operator that holds nothing lets go of what another has left in this worker, and of memory that lies idle."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+@contextlib.contextmanager
+def no_cycles() -> Iterator[None]:
+    """Without the collector of cycles, for code that keeps many small objects and makes no cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
@@ -84,8 +109,9 @@ def annotate(docs: DataFrame, make: Callable[[], Callable[[list], list]], column
         letting_go()
         compute = make()
         for batch in batches:
-            new = compute(batch.column(batch.schema.get_field_index("text")).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, type=f.type) for c, f in zip(new, added, strict=True))], names=[*batch.schema.names, *added.names])
+            new = [pa.array(c, type=f.type) for c, f in zip(compute(batch.column(batch.schema.get_field_index("text")).to_pylist()), added, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *added.names])
+            del batch, new  # before the next one comes
 
     schema = StructType(list(kept.schema.fields))
     for part in columns.split(", "):

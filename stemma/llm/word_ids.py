@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections import ChainMap
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 from stemma.llm.common import arrow_of, batch_of, held, rows_of, texts
 from stemma.session import write_out
 
-#: Entries a worker remembers; the memory is emptied when it is full.
+#: Entries a worker remembers of each kind; the memory is emptied when it is full.
 REMEMBERED = 500_000
+#: Strings of this many characters or more are encoded anew each time, so the bytes remembered are bounded too.
+LONGEST = 64
 #: What a token that ends a piece ends with.
 _WORD_END = "</w>"
 #: The id that ends a document.
@@ -52,7 +55,7 @@ class WordIds:
     def by_library(self, strings: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.library.encode_batch(strings, add_special_tokens=False)]
 
-    def learn(self, parts: list[str]) -> None:
+    def learn(self, parts: set[str]) -> None:
         split = {p: _PIECES.findall(p.lower()) for p in parts if _PLAIN.fullmatch(p)}
         new = list({x for pieces in split.values() for x in pieces}.difference(self.pieces))
         if new:
@@ -75,9 +78,14 @@ class WordIds:
                 out += self.by_library([text])
                 continue
             parts = text.split()
-            if new := list(set(parts).difference(self.parts)):
-                self.learn(new)
-            out.append(b"".join(map(self.parts.__getitem__, parts)))
+            known = self.parts
+            if new := set(parts).difference(known):
+                if long := [p for p in new if len(p) >= LONGEST]:
+                    self.learn(new.difference(long))
+                    known = ChainMap(dict(zip(long, self.by_library(long), strict=True)), self.parts)
+                else:
+                    self.learn(new)
+            out.append(b"".join(map(known.__getitem__, parts)))
         return out
 
 

@@ -1,6 +1,7 @@
 """Token files, byte-level BPE and packing against the libraries and exact round trips."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from stemma.llm import byte_bpe, huffman, packing, queries_tokens
+from stemma.llm import byte_bpe, huffman, packing, queries_tokens, word_ids
 from stemma.llm.word_ids import WordIds, token_ids
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -182,3 +183,27 @@ def test_byte_bpe_of_odd_documents(odd_docs, no_docs, tik):
     assert Counter(map(str, apart)) == Counter(map(str, run(odd_docs)))
     want = Counter((r.doc_id, np.array(tik.encode_ordinary(r.text or ""), "<u4").tobytes(), (r.text or "").encode()) for r in odd_docs.collect())
     assert Counter((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in run(odd_docs)) == want
+
+
+def test_long_parts_are_not_remembered(monkeypatch):
+    monkeypatch.setattr(word_ids, "REMEMBERED", 40)
+    known = word_ids.WordIds(WORDS)
+    rnd = random.Random(11)
+    vocabulary = ["".join(rnd.choice("abcéß'1,.") for _ in range(rnd.randint(1, 9))) for _ in range(300)] + ["z" * 5000, "日本" * 400, "Ab1" * 50]
+    texts = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(0, 60))) for _ in range(80)] + ["x" * 400_000]
+    library = Tokenizer.from_file(WORDS)
+    found = [np.frombuffer(x, known.kind).tolist() for i in range(0, len(texts), 10) for x in known.encode(texts[i : i + 10])]
+    assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for kind in ("parts", "pieces"):
+        assert max(map(len, getattr(known, kind)), default=0) < word_ids.LONGEST
+
+
+def test_ids_are_decoded_many_at_a_time():
+    ranks = byte_bpe.load_ranks(RANKS)
+    bytes_of = byte_bpe.TokenBytes({r: b for b, r in ranks.items()})
+    by_rank = {r: b for b, r in ranks.items()}
+    ids = np.random.default_rng(1).integers(0, len(ranks), 5000).astype("<u4")
+    assert bytes_of(ids.tobytes()) == b"".join(by_rank[i] for i in ids.tolist())
+    assert bytes_of(b"") == b""
+    with pytest.raises(KeyError):
+        byte_bpe.TokenBytes({0: b"a", 2: b"b"})(np.array([0, 1], "<u4").tobytes())
