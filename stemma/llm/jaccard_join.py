@@ -329,6 +329,9 @@ def _join_blocks(bodies: DataFrame, members: DataFrame, similarity: int) -> Data
     return rows.mapInArrow(run, "a binary, b binary")
 
 
+_ROW = "_jaccard_row"
+
+
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``.
 
@@ -363,12 +366,13 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """One document of each component, that of the smallest ``doc_id``, with its columns.
+    """One document of each component, that of the smallest ``doc_id`` (null comes last), with its columns.
 
-    Rows that repeat an id and its text are one document. Rows without an id are
-    kept if one of them names a component, for they can't be told apart.
+    Rows are told apart by a number of their own, so where an id repeats with another
+    text only one of the rows counts. Of equal ids in a component one row stays; rows without a shingle all stay.
     """
-    found = near_duplicates(docs, similarity).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = write_out(found.groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")), "jaccard-kept")
-    out = docs.join(kept.select("_kept"), docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"]) if kept.where("_rows > 1").limit(1).count() else out
+    own = write_out(docs.withColumn(_ROW, F.monotonically_increasing_id()), "jaccard-rows")
+    found = near_duplicates(own.select(F.col(_ROW).alias("doc_id"), "text"), similarity).select(F.col("doc_id").alias(_ROW), "component_id")
+    first = own.select(_ROW, F.col("doc_id").cast("long").alias("doc_id")).join(found, _ROW).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _ROW)).alias("least"))
+    kept = write_out(first.select(F.col(f"least.{_ROW}").alias(_ROW)), "jaccard-kept")
+    return own.join(kept, _ROW, "left_semi").select(docs.columns)

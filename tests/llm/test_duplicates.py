@@ -226,3 +226,11 @@ def test_vector_recall(spark):
     frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
     found = vector_links.links(frame).agg({"n_links": "sum"}).first()[0]
     assert 0.98 * want <= found <= want
+
+
+def test_one_stays_where_an_id_repeats_with_other_texts(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, words, "a"), (5, "other " + words.upper() + " b", "b"), (5, words + " more", "c"), (None, words + " x", "d"), (7, None, "e"), (7, "", "f"), (8, "alone here", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    assert sorted(r.name for r in jaccard_join.keep_one(docs).collect()) == ["a", "e", "f", "g"]
+    assert sorted(r.name for r in jaccard_join.keep_one(docs.where("name = 'd'")).collect()) == ["d"]

@@ -118,6 +118,55 @@ def test_landmarks_of_all_languages_are_bounded(spark, monkeypatch):
     assert language.identify(docs, (names, raw)).join(docs, "doc_id").where("lang = lang_pred").count() == 600
 
 
+def test_six_hundred_small_languages_with_odd_names(spark):
+    names = [f"l{i}\nx" for i in range(600)]
+    letters = [chr(0x4E00 + i) for i in range(600)]
+    rows = [(k * 6 + i, f"{c * 2} {c}{i} {c * (i + 1)}", n) for k, (c, n) in enumerate(zip(letters, names, strict=True)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(docs)
+    assert set(model[0]) == set(names)
+    found = language.identify(docs, model).join(docs, "doc_id").selectExpr("count_if(lang = lang_pred) as right", "count(*) as n").first()
+    assert found.right >= 0.99 * found.n
+
+
+def test_noise_is_rejected_though_languages_are_small(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text", "lang").where("lang is not null and length(text) > 200")
+    few = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(25)) == 0)
+    rnd = np.random.default_rng(5)
+    noise = ["".join(rnd.choice(list("qxzjkwvyqhß"), 9)) for _ in range(40)]
+    planted = spark.createDataFrame([(-1 - i, " ".join(rnd.choice(noise, 60)), None) for i in range(10)], "doc_id long, text string, lang string")
+    kept = {r["gone"]: r["n"] for r in language.keep(few.unionByName(planted)).groupBy((F.col("doc_id") < 0).alias("gone")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert kept.get(True, 0) == 0
+    assert kept[False] >= 0.97 * few.count()
+
+
+def test_language_kernel_against_strings():
+    """Values of whole strings' n-gram sets, without hashing, give the same languages and nearly the same values."""
+    rnd = np.random.default_rng(3)
+    vocab = {"a": ["the", "cat", "sat", "hat", "and"], "b": ["der", "hund", "und", "katze", "haus"], "c": ["le", "chat", "et", "chien", "maison"]}
+    texts, langs = [], []
+    for lang, words in vocab.items():
+        for _ in range(12):
+            texts.append(" ".join(rnd.choice(words, 8)))
+            langs.append(lang)
+    marks = grams.Marks(language.BITS)
+    rows = [language.features(t, marks) for t in texts]
+    targets = np.array([[1 if x == n else -1 for n in vocab] for x in langs], float)
+    at = np.arange(0, len(texts), 3)
+    weights = language.regress(rows, targets, at)
+    values = language.presence(rows).astype(float) @ weights[:-1] + weights[-1]
+    sets = [{t.encode()[i : i + n] for n in range(1, language.LONGEST + 1) for i in range(len(t.encode()) - n + 1)} for t in texts]
+    kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in sets] for a in sets])
+    low, vectors = np.linalg.eigh(kernel[np.ix_(at, at)])
+    good = low > 1e-6 * low[-1]
+    mapped = kernel[:, at] @ (vectors[:, good] / np.sqrt(low[good]))
+    mean, middle = targets.mean(axis=0), mapped.mean(axis=0)
+    solved = np.linalg.solve((mapped - middle).T @ (mapped - middle) + language.RIDGE * np.eye(len(middle)), (mapped - middle).T @ (targets - mean))
+    direct = (mapped - middle) @ solved + mean
+    assert np.abs(values - direct).max() < 0.05
+    assert (values.argmax(axis=1) == direct.argmax(axis=1)).all()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(max_size=50))
 def test_marks_are_emptied(text):
