@@ -1,5 +1,10 @@
 """Column functions on hand-made values."""
 
+import math
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +200,56 @@ def test_leaf_ranges(spark):
     assert one(spark, "9-7", L.leaf_range) == []
     assert one(spark, bytearray(b"\xff\xd8\xff"), L.is_jpeg, "binary") is True
     assert one(spark, bytearray(b"<html>"), L.is_jpeg, "binary") is False
+
+
+def walked(page):
+    """Pages by a stack of one number, token after token."""
+    out, depth = [], 0
+    for token in re.findall(H.TOKEN, page):
+        name = re.match(r"</?([A-Za-z][A-Za-z0-9]*)", token)
+        name = name[1].lower() if name else ""
+        found = re.search(r"""(?i)\sclass\s*=\s*["']?([^"'>]*)""", token) if token.startswith("<") else None
+        words = re.split(r"\s+", found[1]) if found else [""]
+        level = name and name not in H.VOID_TAGS and name not in H.BLOCK_TAGS and not token.endswith("/>")
+        closes = token.startswith("</")
+        blocked = name and not closes and set(words) & set(H.BLOCK_CLASSES)
+        if depth:
+            depth += (-1 if closes else 1) if level else 0
+            continue
+        if blocked:
+            depth = 1 if level else 0
+        elif token == "<":
+            out.append("&lt;")
+        elif not token.startswith("<"):
+            out.append(token)
+        elif name in H.KEPT_TAGS:
+            named = " ".join(words)
+            out.append(("" if name in ("br", "hr") else f"</{name}>") if closes else f"<{name}" + (f' class="{named}"' if named else "") + ">")
+    return "".join(out)
+
+
+def test_nested_subtrees_against_a_walk(spark):
+    rnd = random.Random(7)
+    parts = ["<div>", "</div>", '<div class="noprint">', '<span class="x pagenum y">', "</span>", "<p>", "</p>", "<br>", '<hr class="noprint">', "text ", " < ", "<!-- <div> -->", "<script>a</b></script>", '<p class="q">', "<b/>", "</x>"]
+    pages = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 60))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, page string")
+    got = {r["i"]: r["out"] for r in df.select("i", H.drop_blocked_subtrees(F.col("page")).alias("out")).collect()}
+    assert got == {i: walked(p) for i, p in enumerate(pages)}
+
+
+def test_time_of_a_page_doubled_in_length_about_doubles(spark):
+    part = '<div class="noprint">a<div>b</div></div><p class="q">kept <b>x</b></p><br>&eacute;&#233;'
+
+    def seconds(times):
+        df = spark.createDataFrame([(part * times,)] * 8, "page string").repartition(8).cache()
+        df.count()
+        best = math.inf
+        for _ in range(3):
+            start = time.perf_counter()
+            df.select(F.length(H.html_to_text(H.drop_blocked_subtrees(F.col("page")))).alias("n")).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    seconds(50)
+    small, large = seconds(1000), seconds(4000)
+    assert large < 9 * small, (small, large)
