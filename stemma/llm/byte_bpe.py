@@ -59,24 +59,59 @@ def merge(piece: bytes, ranks: dict[bytes, int], below: int = 1 << 40) -> list[i
     return [ranks[p] for p in parts]
 
 
+def double_array(children: list[dict[int, int]]) -> tuple[array.array, array.array, list[int]]:
+    """A trie as two arrays, and the place of each node in them: a child lies at its parent's base plus its byte."""
+    used, bases, at = bytearray(2 * len(children) + 1024), [0] * len(children), 256
+    last = 0
+    for node in sorted((n for n, own in enumerate(children) if own), key=lambda n: -len(children[n])):
+        own = sorted(children[node])
+        if len(own) == 1 < last:
+            at = 256  # nodes of one child fill what the others have left
+        last = len(own)
+        at = used.find(0, at)
+        while any([used[at - own[0] + byte] for byte in own]):
+            at = used.find(0, at + 1)
+        bases[node] = at - own[0]
+        for byte in own:
+            used[bases[node] + byte] = 1
+        if len(used) - at < 1024:
+            used += bytes(1 << 16)
+    place = [0] * len(children)
+    base, check = array.array("i", bytes(4 * len(used))), array.array("i", [_NONE]) * len(used)
+    for node, own in enumerate(children):
+        for byte, child in own.items():
+            place[child] = bases[node] + byte
+    for node, own in enumerate(children):
+        base[place[node]] = bases[node]
+        for child in own.values():
+            check[place[child]] = place[node]
+    return base, check, place
+
+
 class MergeTransducer:
     """Encodes byte strings; a state is a number, its meaning is in ``states``."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks, self.bytes_of = ranks, {r: b for b, r in ranks.items()}
         self.split: dict[int, tuple[int, int] | None] = {}
-        self.trie: dict[int, int] = {}  # node * 256 + byte -> node; 0 is the root
+        children: list[dict[int, int]] = [{}]
         at = {}
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                node = self.trie.setdefault(node << 8 | byte, len(self.trie) + 1)
+                if byte not in children[node]:
+                    children[node][byte] = len(children)
+                    children.append({})
+                node = children[node][byte]
             if len(token) == 1 or self.halves(rank):  # a token that its own bytes don't give is never a part
                 at[node] = rank
-        self.ends = [at.get(node, _NONE) for node in range(len(self.trie) + 1)]  # the token that ends at a node
-        self.grows = bytearray(len(self.trie) + 1)  # whether a longer token goes on from a node
-        for key in self.trie:
-            self.grows[key >> 8] = 1
+        #: the vocabulary's trie: from node ``n`` a byte leads to ``base[n] + byte`` if ``check`` has ``n`` there
+        self.base, self.check, place = double_array(children)
+        self.ends, self.grows = array.array("i", [_NONE]) * len(self.check), bytearray(len(self.check))
+        for node, token in at.items():
+            self.ends[place[node]] = token  # the token that ends at a node
+        for node, own in enumerate(children):
+            self.grows[place[node]] = bool(own)  # whether a longer token goes on from it
         self.follows: dict[int, bool] = {}
         self.forget()
 
@@ -124,12 +159,12 @@ class MergeTransducer:
         A state's name is the last token emitted and the bytes since; what may be
         under way, pairs of a node and the tokens before it, follows from these.
         """
-        after, trie, ends, grows, follows = [], self.trie, self.ends, self.grows, self.follows
+        after, base, check, ends, grows, follows = [], self.base, self.check, self.ends, self.grows, self.follows
         last, pending = self.keys[state]
         whole = None  # the one encoding of all bytes so far
         for node, chain in self.states[state]:
-            child = trie.get(node << 8 | byte)
-            if child is None:
+            child = base[node] + byte
+            if check[child] != node:
                 continue
             if grows[child]:
                 after.append((child, chain))

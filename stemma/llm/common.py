@@ -75,6 +75,7 @@ def no_cycles() -> Iterator[None]:
     try:
         yield
     finally:
+        gc.freeze()  # or the next collection would go through all that is kept
         if was:
             gc.enable()
 
