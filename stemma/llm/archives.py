@@ -37,6 +37,8 @@ FIELDS = {
 #: Fixed values of the WARC format.
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 ARC_END, WARC_END = b"\n", b"\r\n\r\n"
+#: How files are compressed: quickly, for a level more costs far more time than it saves room.
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 #: Digests whose records are at least this share of all are joined without a shuffle; there are at most as many as the inverse says.
 SHARE = 1000
 #: The name space of identifiers made up from a file's path and a record's place in it.
@@ -114,7 +116,7 @@ def write_arc(pages: DataFrame, path: str, date: str = "20000101000000", version
             yield batch_of(schema, out)
 
     rows = pages.select(F.col("key").cast("string"), F.col("url").cast("string"), F.col("payload").cast("binary")).mapInArrow(run, "value binary")
-    rows.select(F.col("value").cast("string")).write.option("lineSep", ARC_END.decode()).option("compression", "gzip").text(path)
+    rows.select(F.col("value").cast("string")).write.option("lineSep", ARC_END.decode()).options(**GZIP).text(path)
 
 
 # ---------------------------------------------------------------- reading records by declared lengths
@@ -330,7 +332,7 @@ def write_warc(records: DataFrame, path: str) -> None:
         F.lit("\r\n"),
     )
     rows = records.select(F.concat(F.encode(head, "UTF-8"), block).cast("string").alias("value"))
-    rows.write.option("lineSep", WARC_END.decode()).option("compression", "gzip").text(path)
+    rows.write.option("lineSep", WARC_END.decode()).options(**GZIP).text(path)
 
 
 def warc_head(piece: bytes) -> tuple[dict[str, str], int] | None:
