@@ -740,6 +740,19 @@ def first_contained(spark, sf):
     return first(d, "line", named, "opening", "ord", ["lang"]).select("doc_id", F.col("hit.opening").alias("opening"), F.col("hit.ord").cast("bigint").alias("ord"))
 
 
+@query
+def opening_anywhere(spark, sf):
+    """The first opening of any document of a language that a document's whole text holds; half of all texts share one."""
+    from stemma.operators.lookup import first_contained as first
+
+    said = F.when(F.col("doc_id") % 2 == 0, "Unless said otherwise. ").otherwise("")
+    d = texts(spark, sf).select("doc_id", "lang", F.concat(said, "text").alias("body"))
+    named = d.groupBy("lang", F.substring_index("body", " ", 3).alias("opening")).agg(F.min("doc_id").alias("ord"))
+    named = named.withColumn("ord", F.when(F.col("opening") == "Unless said otherwise.", F.lit(1 << 40)).otherwise(F.col("ord")))
+    hits = first(d, "body", named, "opening", "ord", ["lang"])
+    return hits.select("doc_id", F.col("hit.opening").alias("opening"), F.col("hit.ord").cast("bigint").alias("ord"))
+
+
 @query
 def seam_join(spark, sf):
     """Turns of a conversation as transcription parts, cut at seams."""

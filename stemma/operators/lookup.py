@@ -10,8 +10,43 @@ from pyspark.sql.types import StructType
 from stemma.functions.text import normalise, slugify, strip_accents
 from stemma.session import write_out
 
-# Letters of a pattern that a text is looked up by before the pattern itself is tested.
+# Letters of the substrings that patterns are filed under.
 SPAN = 4
+# Places that the texts of one substring are spread over.
+SALTS = 16
+
+
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """The distinct substrings of ``text`` with the given numbers of letters, in one walk for each number."""
+    walks = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
+    return F.array_distinct(F.concat(*walks) if len(walks) > 1 else walks[0])
+
+
+def _candidates(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``_key`` and ``_pattern`` where a text has the rarest of a pattern's substrings.
+
+    ``texts(_key, _text)`` and ``patterns(_pattern)`` are distinct, patterns not empty. A pattern
+    is filed under the one of its substrings of ``SPAN`` letters (itself, if it is
+    shorter) that the fewest texts have, so a common opening brings no pairs unless the whole pattern is
+    common. Only keys and substrings move; the texts of a substring are spread over ``SALTS`` places.
+    """
+    short = F.least(F.length("_pattern"), F.lit(SPAN))
+    held = patterns.select("_pattern", F.explode(
+        F.when(F.length("_pattern") >= SPAN, _grams(F.col("_pattern"), [SPAN])).otherwise(F.array("_pattern"))).alias("_gram"))
+    held = write_out(held, "pattern-grams")
+    # which sizes are needed: at most SPAN rows
+    sizes = sorted(r[0] for r in patterns.select(short.alias("n")).distinct().collect())
+    if not sizes:
+        return texts.select("_key", F.lit("").alias("_pattern")).limit(0)
+    wanted = held.select("_gram").distinct()
+    have = texts.select("_key", F.explode(_grams(F.col("_text"), sizes)).alias("_gram"))
+    seen = have.groupBy("_gram").agg(F.count(F.lit(1)).alias("_texts")).join(wanted, "_gram")
+    rarest = held.join(seen, "_gram", "left").groupBy("_pattern").agg(
+        F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_rarest"))
+    filed = rarest.filter("_rarest.n > 0").select("_pattern", F.col("_rarest.gram").alias("_gram"))
+    filed = write_out(filed, "filed-patterns").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = have.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
+    return salted.join(filed, ["_gram", "_salt"]).select("_key", "_pattern")
 
 
 def first_contained(
@@ -27,26 +62,33 @@ def first_contained(
 
     ``same`` lists columns that must be equal on both sides; nulls are equal to
     nothing. An empty pattern occurs in every text, a null pattern or text in
-    none. Each distinct text is looked up once, whatever the number of rules:
-    texts and rules meet on the first letters of the pattern.
+    none. Each distinct text is looked up once, whatever the number of rules, and
+    tested only for patterns whose rarest substring it has. Rules of one pattern (and equal
+    ``same`` columns) come down to the first of them before; empty patterns need no lookup.
     """
     rule = F.struct(*[F.col(c) for c in rules.columns])
-    heads = rules.filter(F.col(pattern).isNotNull()).select(
-        rule.alias("_rule"), F.substring(F.col(pattern), 1, SPAN).alias("_gram"),
-        *[F.col(c).alias(f"_same_{c}") for c in same],
-    )
-    distinct = facts.filter(F.col(text).isNotNull()).select(text, *same).distinct()
-    spots = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    grams = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.lit(SPAN)), lambda k: F.transform(spots, lambda i: F.substring(F.col(text), i, k))
-    ))
-    exploded = distinct.select(text, *same, F.explode(F.array_distinct(F.concat(F.array(F.lit("")), grams))).alias("_gram"))
-    on = exploded["_gram"] == heads["_gram"]
-    for c in same:
-        on = on & (exploded[c] == heads[f"_same_{c}"])
-    hits = exploded.join(heads, on).filter(F.col(text).contains(F.col("_rule")[pattern]))
-    first = hits.groupBy(text, *same).agg(F.min_by("_rule", F.struct(F.col("_rule")[ord_col], F.col("_rule")[pattern])).alias(name))
-    return facts.join(first, [text, *same], "left").select(*facts.columns, name)
+    own = [f"_same_{c}" for c in same]
+    best = rules.filter(F.col(pattern).isNotNull()).select(rule.alias("_rule"), F.col(pattern).alias("_pattern"), *[F.col(c).alias(k) for c, k in zip(same, own)])
+    for k in own:
+        best = best.filter(F.col(k).isNotNull())
+    first = lambda c: F.min_by(c, F.struct(F.col(c)[ord_col], F.col(c)[pattern]))
+    best = write_out(best.groupBy("_pattern", *own).agg(first("_rule").alias("_rule")), "rules")
+    keyed = facts.withColumn("_key", F.sha2(F.col(text), 256))
+    texts = write_out(keyed.filter(F.col(text).isNotNull()).select("_key", F.col(text).alias("_text")).distinct(), "looked-up")
+    named = best.filter("_pattern <> ''")
+    pairs = _candidates(texts, named.select("_pattern").distinct())
+    asked = pairs.groupBy("_key").agg(F.collect_list("_pattern").alias("_patterns"))
+    held = texts.join(asked, "_key").select("_key", F.explode(F.filter("_patterns", lambda p: F.contains(F.col("_text"), p))).alias("_pattern"))
+    groups = keyed.filter(F.col(text).isNotNull()).select("_key", *[F.col(c).alias(k) for c, k in zip(same, own)]).distinct()
+    hits = held.join(groups, "_key") if same else held
+    hits = hits.join(named, ["_pattern", *own]).groupBy("_key", *own).agg(first("_rule").alias("_hit"))
+    # rules without a pattern: one row for each value of ``same``
+    always = best.filter("_pattern = ''").select("_rule", *own).withColumnRenamed("_rule", "_always")
+    out = keyed.select("*", *[F.col(c).alias(k) for c, k in zip(same, own)]).join(hits, ["_key", *own], "left")
+    out = out.join(always, own, "left") if same else out.withColumn("_one", F.lit(1)).join(F.broadcast(always.withColumn("_one", F.lit(1))), "_one", "left")
+    order = lambda c: F.struct(F.col(c)[ord_col], F.col(c)[pattern])
+    hit = F.when(F.col("_hit").isNull(), F.col("_always")).when(F.col("_always").isNull() | (order("_hit") <= order("_always")), F.col("_hit")).otherwise(F.col("_always"))
+    return out.withColumn(name, F.when(F.col(text).isNotNull(), hit)).select(*facts.columns, name)
 
 
 # --- names -------------------------------------------------------------------

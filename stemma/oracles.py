@@ -654,6 +654,10 @@ ORACLES["first_contained"] = """WITH d AS (SELECT doc_id, lang, string_split(tex
   r AS (SELECT lang, array_to_string(string_split(line, ' ')[1:2], ' ') AS head, min(doc_id % 1000) AS ord FROM d GROUP BY ALL),
   n AS (SELECT lang, CASE WHEN ord = 999 THEN '' ELSE head END AS opening, ord FROM r)
 SELECT doc_id, arg_min(opening, (n.ord, opening)) AS opening, min(n.ord) AS ord FROM d LEFT JOIN n ON n.lang = d.lang AND contains(line, opening) GROUP BY doc_id"""
+ORACLES["opening_anywhere"] = """WITH d AS (SELECT doc_id, lang, CASE WHEN doc_id % 2 = 0 THEN 'Unless said otherwise. ' ELSE '' END || text AS body FROM documents),
+  r AS (SELECT lang, array_to_string(string_split(body, ' ')[1:3], ' ') AS opening, min(doc_id) AS least FROM d WHERE body IS NOT NULL GROUP BY ALL),
+  n AS (SELECT lang, opening, CASE WHEN opening = 'Unless said otherwise.' THEN 1099511627776 ELSE least END AS ord FROM r)
+SELECT doc_id, arg_min(opening, (n.ord, opening)) AS opening, min(n.ord)::BIGINT AS ord FROM d LEFT JOIN n ON n.lang = d.lang AND contains(body, opening) GROUP BY doc_id"""
 ORACLES["reassemble"] = """SELECT conv_id AS doc, 0::BIGINT AS segment, string_agg(CASE WHEN role = 'system'
     THEN '[[MISSING CHUNK ' || turn || ']]' ELSE trim(text, ' ' || chr(10)) END, chr(10) || chr(10) ORDER BY turn) AS body,
   count(*) FILTER (role = 'system') AS missing FROM conversations GROUP BY conv_id"""

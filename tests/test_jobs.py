@@ -83,6 +83,29 @@ def test_seams(spark):
 
 # --- lookups ----------------------------------------------------------------------
 
+def test_contained_rules_against_all_pairs(spark):
+    rnd = random.Random(12)
+    letters = "abcé 🙂"
+    word = lambda n: "".join(rnd.choice(letters) for _ in range(n))
+    shared = "the same opening "
+    texts = [(i, rnd.choice(["x", "y", None]), rnd.choice([None, "", shared + word(30), word(rnd.randint(1, 60))])) for i in range(150)]
+    rules = [(rnd.choice(["x", "y", None]), rnd.choice([None, "", word(1), word(2), word(3), word(4), word(6), "the same", "never here"]), rnd.randint(0, 30), f"s{k}") for k in range(60)]
+    facts = spark.createDataFrame(texts, "id int, g string, title string").repartition(5)
+    table = spark.createDataFrame(rules, "g string, words string, ord int, slug string")
+
+    def least(g, title, grouped):
+        hits = [(o, w) for h, w, o, _ in rules if w is not None and title is not None and w in title and (not grouped or (h is not None and h == g))]
+        return min(hits, default=None)
+
+    for grouped in (True, False):
+        found = first_contained(facts, "title", table, "words", "ord", ["g"] if grouped else []).collect()
+        assert len(found) == len(texts)
+        for r in found:
+            assert (None if r.hit is None else (r.hit.ord, r.hit.words)) == least(r.g, r.title, grouped), r
+    none = first_contained(facts, "title", table.limit(0), "words", "ord")
+    assert none.filter("hit is not null").count() == 0 and none.count() == len(texts)
+
+
 def test_contained_rules(spark):
     facts = spark.createDataFrame(
         [(1, "x", "Vie de Tolstoï"), (2, "x", "La Suarès et Benda"), (3, "y", "Rien"), (4, "y", "Ben"), (5, "x", ""), (2, "y", "Suarès"), (6, None, "Benda"), (7, "x", None)],
