@@ -2,7 +2,7 @@
 
 A prefix polynomial over the bytes of many texts gives the fingerprint of every
 n-gram of words at once. Level by level each task counts the fingerprints of n-grams both of whose
-shorter parts may be frequent, and the shuffle adds the counts up; those that
+shorter parts may be frequent, and after the shuffle the counts are added up; those that
 are frequent enough set bits of a filter of fixed size, which
 tells the tasks of the next level what to count. Fingerprints only prune: in a last
 pass each task keeps with every fingerprint that the filters let through a pointer
@@ -28,8 +28,8 @@ from stemma.session import write_out
 
 #: Bytes of text hashed at a time.
 SLICE = 1 << 20
-#: Bits of a filter (its size, whatever the corpus) and of the pieces it is put together from.
-BITS, PIECE_BITS = 26, 19
+#: Bits of a filter (its size, whatever the corpus), and of the fingerprints that are counted for it (whole bytes).
+BITS, PRINT_BITS = 26, 40
 #: Ranges of fingerprints in which found phrases are added up, at least; as many as shuffle partitions if those are more.
 LEAST_BUCKETS = 64
 #: Fingerprints or phrases that a task gathers before it hands them on.
@@ -189,8 +189,9 @@ def _gathered(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[tuple
 
 
 def _in_filter(bits: np.ndarray, found: np.ndarray) -> np.ndarray:
-    at = found & np.uint64(len(bits) * 8 - 1)
-    return bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+    """Whether a filter has the bits that the highest bits of fingerprints name."""
+    at = (found >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)).astype(np.int64)
+    return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
 
 
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,66 +202,91 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
-_COUNTS = arrow_of("fingerprint long, n long")
+_COUNTED = arrow_of("bucket long, prints binary, counts binary")
+_BITS = arrow_of("bucket long, bits binary")
 _FOUND = arrow_of("lang string, phrase string, words long, n long")
 
 
-def _counted(docs: DataFrame, n: int, shorter, longest: int) -> DataFrame:
-    """``fingerprint, n``: how often each n-gram occurs whose two parts of one word less may be frequent."""
+def _planes(numbers: np.ndarray, size: int) -> bytes:
+    """The lowest ``size`` bytes of numbers, first all lowest ones and so on: sorted numbers compress well so."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes()
+
+
+def _from_planes(raw: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(size, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :size] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _filter(docs: DataFrame, n: int, shorter, longest: int, least: int, bits: int, buckets: int):
+    """A broadcast filter of the n-grams that occur ``least`` times and both of whose parts of one word less may do so.
+
+    It has ``2**bits`` bits however many they are. Tasks count the highest ``PRINT_BITS`` bits of
+    fingerprints and send them sorted, in ranges; a range's counts are added up where its bits are set. Fingerprints
+    that agree in these bits can only let more through.
+    """
+    buckets = 1 << min(buckets.bit_length() - 1, bits - 3)
+    shift = np.uint64(PRINT_BITS - buckets.bit_length() + 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letting_go()
         keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         new, size = [], 0
+
+        def handed() -> Iterator[pa.RecordBatch]:
+            bounds = np.searchsorted(keys, np.arange(1, buckets, dtype=np.uint64) << shift).tolist()
+            for bucket, (a, b) in enumerate(zip([0, *bounds], [*bounds, len(keys)], strict=True)):
+                if b > a:
+                    yield batch_of(_COUNTED, [bucket], [_planes(keys[a:b], PRINT_BITS // 8)], [_planes(np.minimum(counts[a:b], least), 4)])
+
         for _, grams in _gathered(batches, longest):
             wanted = grams.phrases(n)
             if n > 1:
                 maybe = _in_filter(shorter.value, grams.fingerprints(n - 1))
                 wanted &= maybe[:-1][: len(wanted)] & maybe[1:][: len(wanted)]
-            new.append(grams.fingerprints(n)[wanted])
+            new.append(grams.fingerprints(n)[wanted] >> np.uint64(64 - PRINT_BITS))
             size += len(new[-1])
             if size > GATHERED // 2:
                 keys, counts = _added(np.concatenate([keys, *new]), np.concatenate([counts, np.ones(size, np.int64)]))
                 new, size = [], 0
                 if len(keys) > GATHERED:
-                    yield from _rows(keys, counts)
+                    yield from handed()
                     keys, counts = keys[:0], counts[:0]
         keys, counts = _added(np.concatenate([keys, *new]), np.concatenate([counts, np.ones(size, np.int64)]))
-        yield from _rows(keys, counts)
-
-    return docs.mapInArrow(run, "fingerprint long, n long")
-
-
-def _rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(keys), 1 << 16):
-        yield batch_of(_COUNTS, keys[i : i + (1 << 16)].view(np.int64), counts[i : i + (1 << 16)])
+        yield from handed()
 
+    def added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()
+        now, keys, counts, size = None, [], [], 0
 
-def _filter(counted: DataFrame, least: int, bits: int):
-    """A broadcast filter of the fingerprints that occur ``least`` times: 2**bits bits, however many they are."""
-    piece_bits = min(PIECE_BITS, bits)
-    frequent = counted.groupBy("fingerprint").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    at = F.col("fingerprint").bitwiseAND(F.lit((1 << bits) - 1))
-    placed = frequent.select(F.shiftright(at, piece_bits).alias("piece"), at.bitwiseAND(F.lit((1 << piece_bits) - 1)).alias("bit")).repartition("piece").sortWithinPartitions("piece")
-    schema = arrow_of("piece long, bits binary")
+        def own() -> Iterator[pa.RecordBatch]:
+            if now is None:
+                return
+            found, n = _added(np.concatenate(keys), np.concatenate(counts))
+            at = (found[n >= least] >> np.uint64(PRINT_BITS - bits)).astype(np.int64) - now * (1 << bits) // buckets
+            on = np.zeros((1 << bits) // buckets, bool)
+            on[at] = True
+            yield batch_of(_BITS, [now], [np.packbits(on, bitorder="little").tobytes()])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own = None, None
         for batch in batches:
-            pieces, places = (c.to_numpy() for c in batch.columns)
-            for at in np.split(np.arange(len(pieces)), np.flatnonzero(np.diff(pieces)) + 1):
-                if len(at) and pieces[at[0]] != now:
-                    if own is not None:
-                        yield batch_of(schema, [now], [own.tobytes()])
-                    now, own = int(pieces[at[0]]), np.zeros(1 << max(0, piece_bits - 3), np.uint8)
-                np.bitwise_or.at(own, places[at] >> 3, (1 << (places[at] & 7)).astype(np.uint8))
-        if own is not None:
-            yield batch_of(schema, [now], [own.tobytes()])
-
-    whole = np.zeros((1 << (bits - piece_bits), 1 << (piece_bits - 3)), np.uint8)
-    for piece, own in placed.mapInArrow(run, "piece long, bits binary").toLocalIterator():  # at most 2**bits bits in all
-        whole[piece] = np.frombuffer(own, np.uint8)
-    return counted.sparkSession.sparkContext.broadcast(whole.ravel())
+            for bucket, prints, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now:
+                    yield from own()
+                    now, keys, counts, size = bucket, [], [], 0
+                keys.append(_from_planes(prints, PRINT_BITS // 8))
+                counts.append(_from_planes(times, 4).astype(np.int64))
+                size += len(keys[-1])
+                if size > 2 * GATHERED:  # those of many tasks are added up as they come
+                    key, n = _added(np.concatenate(keys), np.concatenate(counts))
+                    keys, counts, size = [key], [n], 0
+        yield from own()
+
+    placed = docs.mapInArrow(run, "bucket long, prints binary, counts binary").repartition("bucket").sortWithinPartitions("bucket")
+    whole = np.zeros((buckets, (1 << bits) // buckets // 8), np.uint8)
+    for bucket, own in placed.mapInArrow(added, "bucket long, bits binary").toLocalIterator():  # at most 2**bits bits in all
+        whole[bucket] = np.frombuffer(own, np.uint8)
+    return docs.sparkSession.sparkContext.broadcast(whole.ravel())
 
 
 def verified(grams: Grams, n: int, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -409,10 +435,10 @@ def frequent(docs: DataFrame, longest: int = 4, least: int = 30, bits: int = BIT
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    buckets = max(LEAST_BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     filters: list = []
     for n in range(1, longest + 1):
-        filters.append(_filter(_counted(texts, n, filters[-1] if filters else None, longest), least, bits))
-    buckets = max(LEAST_BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        filters.append(_filter(texts, n, filters[-1] if filters else None, longest, least, bits, buckets))
     return write_out(_exact(texts, filters, longest, least, buckets), "phrases")
 
 
