@@ -8,7 +8,7 @@ from stemma.functions import html as H, text as T, urls as U
 from stemma.operators import upsert as X
 from stemma.operators.lookup import resolve_names as resolve
 from stemma.plans import audit as A, cleaning as C, leaves as L, migration as M, planning as G, reading as R
-from stemma.plans import segmentation as S
+from stemma.plans import long_documents as LD, segmentation as S
 
 QUERIES: dict = {}
 
@@ -712,6 +712,20 @@ def chunk_words(spark, sf):
         "doc", *[F.col(c).cast("bigint").alias(c) for c in ("idx", "total", "words")], "text")
 
 
+@query
+def chunk_rows(spark, sf):
+    """All texts of a language as one document of any length, its lines as paragraphs: chunks without a row per document."""
+    lines = texts(spark, sf).select(F.coalesce("lang", F.lit("und")).alias("doc"), "doc_id", F.posexplode(T.lines_of(F.col("text"))).alias("line", "text"))
+    return LD.chunk_rows(lines, by=("doc_id", "line")).select(
+        "doc", *[F.col(c).cast("bigint").alias(c) for c in ("idx", "total", "words")], "text")
+
+
+@query
+def missing_chunks(spark, sf):
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("idx"), "role", "text")
+    return LD.missing_chunks(c, c.filter("role <> 'system'")).select("doc", F.col("idx").cast("bigint").alias("idx"))
+
+
 @query
 def reassemble(spark, sf):
     c = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("idx"), "role", "text")

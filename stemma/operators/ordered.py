@@ -121,3 +121,14 @@ def carry_forward(placed: DataFrame, column: str, name: str) -> DataFrame:
     return rows.join(F.broadcast(carried), _PART).withColumn(
         name, F.coalesce("_here", "_carried")
     ).drop("_here", "_carried")
+
+
+def running_sum(placed: DataFrame, column: str, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``column`` over all rows up to this one."""
+    within = Window.partitionBy(_PART).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, 0)
+    sums = placed.groupBy(_PART).agg(F.sum(column).alias("_sum"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(_PART, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carried"))
+    return placed.withColumn("_here", F.sum(column).over(within)).join(F.broadcast(offsets), _PART).withColumn(
+        name, F.col("_here") + F.col("_carried")
+    ).drop("_here", "_carried")

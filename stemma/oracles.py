@@ -646,6 +646,21 @@ ORACLES["chunk_words"] = r"""WITH RECURSIVE
 SELECT f.doc, f.idx::BIGINT AS idx, max(f.idx + 1) OVER (PARTITION BY f.doc)::BIGINT AS total, sum(n)::BIGINT AS words,
   string_agg(para, chr(10) || chr(10) ORDER BY f.i) AS text FROM f JOIN w USING (doc, i) GROUP BY f.doc, f.idx"""
 
+ORACLES["chunk_rows"] = r"""WITH RECURSIVE
+  p AS (SELECT coalesce(lang, 'und') AS doc, doc_id, unnest(string_split(text, chr(10))) AS para,
+      generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents),
+  w AS (SELECT *, len(list_filter(regexp_split_to_array(para, '\s+'), lambda t: t <> '')) AS n FROM p WHERE regexp_matches(para, '\S')),
+  s AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY doc_id, line, para) AS i,
+      sum(n) OVER (PARTITION BY doc ORDER BY doc_id, line, para ROWS UNBOUNDED PRECEDING) AS upto FROM w),
+  x AS MATERIALIZED (SELECT a.doc, a.i, greatest(b.i, a.i + 1) AS following FROM s a ASOF JOIN s b ON a.doc = b.doc AND a.upto - a.n + 2500 < b.upto),
+  f AS (SELECT DISTINCT doc, 1::BIGINT AS i, 0 AS idx FROM s
+    UNION ALL SELECT f.doc, x.following, f.idx + 1 FROM f JOIN x ON x.doc = f.doc AND x.i = f.i
+      WHERE x.following <= (SELECT max(i) FROM s WHERE s.doc = f.doc)),
+  c AS (SELECT s.doc, s.n, s.para, s.i, f.idx FROM s ASOF JOIN f ON s.doc = f.doc AND s.i >= f.i)
+SELECT doc, idx::BIGINT AS idx, (max(idx) OVER (PARTITION BY doc) + 1)::BIGINT AS total, sum(n)::BIGINT AS words,
+  string_agg(para, chr(10) || chr(10) ORDER BY i) AS text FROM c GROUP BY doc, idx"""
+ORACLES["missing_chunks"] = r"""SELECT DISTINCT conv_id AS doc, turn::BIGINT AS idx FROM conversations m WHERE NOT EXISTS (
+  SELECT 1 FROM conversations c WHERE c.conv_id = m.conv_id AND c.turn = m.turn AND c.role <> 'system' AND regexp_matches(c.text, '\S'))"""
 ORACLES["reassemble_long"] = """WITH p AS (SELECT l_returnflag || '-' || l_linestatus AS doc, l_orderkey * 8 + l_linenumber AS idx, max(l_partkey)::VARCHAR AS t
     FROM lineitem GROUP BY ALL),
   b AS (SELECT doc, string_agg(t, chr(10) || chr(10) ORDER BY idx) AS body FROM p GROUP BY doc)
