@@ -1,4 +1,4 @@
-"""Documents larger than a row: chunks, missing chunks and prints over paragraph rows.
+"""Documents larger than a row: chunks and missing chunks over rows.
 
 No job here holds a document in a row, a group or a task. Rows are placed by
 range of document and position, so one document may lie in any number of
@@ -14,14 +14,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stemma.functions import text as T
-from stemma.operators.ordered import carry_forward, neighbours, number_within, place, running_sum
+from stemma.operators.ordered import carry_forward, neighbours, place, running_sum
 from stemma.plans.segmentation import CHUNK_WORDS
 from stemma.session import write_out
 
 #: rows that one task looks at together; the result doesn't depend on it
 BLOCK = 1 << 14
-#: modulus and base of the print; products of two remainders fit a long
-PRIME, BASE = (1 << 31) - 1, 1_000_003
 
 
 def _opens() -> Column:
@@ -47,26 +45,29 @@ def chunk_rows(paragraphs: DataFrame, target: int = CHUNK_WORDS, by: Sequence[st
     block, and these links are followed in doubling steps.
     """
     rows = paragraphs.select("doc", *by, "text").filter(T.strip_blank(F.col("text")) != "")
-    placed = place(rows.withColumn("words", T.token_count(F.col("text")).cast("long")), ["doc", *by, "text"])
-    sums = neighbours(placed.select("_part", "_slot", "row_no", "doc", "words"), ["doc"]).withColumn("opens", _opens())
+    placed = place(rows, ["doc", *by, "text"])
+    # words are counted once, after the placing, which evaluates its rows twice
+    narrow = write_out(placed.select("_part", "_slot", "row_no", "doc", T.token_count(F.col("text")).cast("long").alias("words")), "narrow")
+    sums = neighbours(narrow, ["doc"]).withColumn("opens", _opens()).drop("prev_doc", "next_doc")
     sums = running_sum(sums.withColumn("_step", F.col("words") + F.when(F.col("opens"), target + 1).otherwise(0)), "_step", "upto")
-    sums = write_out(sums.select("row_no", "words", "opens", "upto", F.floor((F.col("row_no") - 1) / block).alias("block")), "sums")
-    hops = write_out(sums.groupBy("block").applyInPandas(
+    sums = write_out(sums.drop("_step").withColumn("block", F.floor((F.col("row_no") - 1) / block)), "sums")
+    hops = write_out(sums.select("row_no", "words", "opens", "upto", "block").groupBy("block").applyInPandas(
         _hops(target), "row_no long, block long, opens boolean, next long, tail long, reach long"), "hops")
-    starts = write_out(_starts(hops, _entered(hops, _exits(sums, hops))), "starts")
-
-    # each paragraph's chunk is the last start up to it; texts move by row number, then by chunk
-    marks = placed.select("_part", "_slot", "row_no").join(starts.select("row_no", F.col("row_no").alias("start")), "row_no", "left")
-    chunk_of = carry_forward(marks, "start", "chunk").select("row_no", "chunk")
-    chunks = placed.select("row_no", "doc", "words", "text").join(chunk_of, "row_no").groupBy("chunk").agg(
-        F.first("doc").alias("doc"), F.sum("words").cast("int").alias("words"),
+    starts = _starts(hops, _entered(hops, _exits(sums, hops))).withColumn("start", F.lit(1))
+
+    # chunks are numbered over all documents, then from each document's first
+    marks = write_out(sums.drop("upto", "block").join(starts, "row_no", "left").fillna(0, ["start"]), "marks")
+    marks = running_sum(marks, "start", "chunk")
+    marks = carry_forward(marks.withColumn("_head", F.when(F.col("opens"), F.col("chunk"))), "_head", "head")
+    marks = marks.select("row_no", "doc", "words", "start", "chunk", (F.col("chunk") - F.col("head")).cast("int").alias("idx"))
+    marks = write_out(marks, "chunk_of")
+    totals = marks.groupBy(F.col("doc").alias("_doc")).agg((F.max("idx") + 1).alias("total"))
+    named = marks.filter("start = 1").join(totals, F.col("doc").eqNullSafe(F.col("_doc"))).select("chunk", "doc", "idx", "total")
+    # texts move by row number, then by chunk; names come to the chunks, which stay where they are
+    texts = placed.select("row_no", "text").join(marks.select("row_no", "words", "chunk"), "row_no").groupBy("chunk").agg(
+        F.sum("words").cast("int").alias("words"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "text"))), lambda p: p["text"]), "\n\n").alias("text"))
-    named = starts.join(placed.select("row_no", "doc"), "row_no").withColumnRenamed("row_no", "chunk")
-    named = number_within(named, ["doc"], ["chunk"], "seq")
-    totals = named.groupBy(F.col("doc").alias("_doc")).agg(F.count(F.lit(1)).cast("int").alias("total"))
-    named = named.join(totals, F.col("doc").eqNullSafe(F.col("_doc"))).select(
-        "chunk", (F.col("seq") - 1).alias("idx"), "total")
-    return chunks.join(named, "chunk").select("doc", "idx", "total", "words", "text")
+    return texts.join(named, "chunk").select("doc", "idx", "total", "words", "text")
 
 
 def _hops(target: int):
