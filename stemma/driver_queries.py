@@ -805,6 +805,20 @@ def route_sections_one_to_one(spark, sf):
         "cahier", F.col("pos").cast("bigint").alias("pos"), "piece_slug", "body", "matched_by")
 
 
+@query
+def route_section_rows(spark, sf):
+    """The sections and pieces of ``headed`` as rows, routed one-to-one: a row per section, whatever an issue holds."""
+    from stemma.plans.routing import route_rows
+
+    lines = F.filter(F.split("text", "\n"), lambda l: l.rlike(r"\S"))
+    rows = texts(spark, sf).select(F.col("doc_id").alias("cahier"), F.posexplode(lines).alias("sec", "body"))
+    rows = rows.withColumn("head", F.substring_index("body", " ", 2))
+    pieces = rows.filter("sec % 2 = 0").withColumn("pos", F.floor(F.col("sec") / 2)).select(
+        "cahier", "pos", T.slugify_keep_accents(F.col("head")).alias("piece_slug"),
+        F.when(F.col("pos") % 3 == 0, F.substring_index("body", " ", -2)).otherwise(F.col("head")).alias("title"))
+    return route_rows(rows, pieces).withColumn("sec", F.col("sec").cast("bigint"))
+
+
 @query
 def segment_by_anchor(spark, sf):
     """Every third line of a document opens a piece; the headed text differs in accents and punctuation."""

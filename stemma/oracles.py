@@ -774,6 +774,15 @@ SELECT cahier, pos, ids[pos + 1] AS piece_slug,
         lambda k: '## ' || trim(heads[k + 1]) || chr(10) || ls[k + 1] || CASE WHEN k = len(ls) - 1 THEN '' ELSE chr(10) END), chr(10) || chr(10)) ELSE '' END END AS body,
   CASE WHEN n = 1 THEN 'single' WHEN g >= 0 THEN 'slug' WHEN fill IS NOT NULL THEN 'order' END AS matched_by FROM y"""
 
+ORACLES["route_section_rows"] = ORACLES["route_sections_one_to_one"].split("\nSELECT cahier, pos")[0] + """,
+  r AS (SELECT cahier, pos, ids[pos + 1] AS piece_slug, 0::BIGINT AS seq, CASE WHEN g >= 0 THEN g ELSE fill END AS sec,
+      CASE WHEN g >= 0 THEN 'slug' WHEN fill IS NOT NULL THEN 'order' END AS matched_by FROM y WHERE n > 1
+    UNION ALL SELECT cahier, n - 1, ids[n], unnest(range(1, len(rest) - len(open) + 1)), unnest(rest[len(open) + 1:]), 'rest'
+      FROM f WHERE n > 1 AND len(rest) > len(open)
+    UNION ALL SELECT cahier, 0, ids[1], unnest(range(0, len(ls))), unnest(range(0, len(ls))), 'single' FROM f WHERE n = 1)
+SELECT r.cahier, pos::BIGINT AS pos, piece_slug, CASE WHEN sec IS NOT NULL THEN seq END AS seq, sec::BIGINT AS sec,
+  heads[sec + 1] AS head, ls[sec + 1] AS body, matched_by FROM r JOIN s USING (cahier)"""
+
 # --- sources and sinks --------------------------------------------------------------------------
 
 FIRST3 = "array_to_string(string_split(string_split(text, chr(10))[1], ' ')[1:3], ' ')"
