@@ -7,6 +7,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stemma.operators.ordered import number_within
 
 
+def last_per_key(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``key, *columns``: one row per key, the last by ``ord``.
+
+    Without a column ``ord``, or among rows equal in it, the row with the
+    greatest values in the order of ``columns`` is taken; nulls come first.
+    Combined in each task before rows travel, so a hot key is one row from each.
+    """
+    order = ["ord"] if "ord" in rows.columns else []
+    last = rows.groupBy(key).agg(F.max(F.struct(*order, *columns)).alias("_last"))
+    return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in columns])
+
+
 def merge_duplicates(pieces: DataFrame, rules: DataFrame) -> DataFrame:
     """Drop the listed duplicates and retitle the rows kept.
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stemma.functions import noise as N, patterns as P, text as T
 from stemma.operators.lookup import first_contained
 from stemma.operators.ordered import first_per_group, rank_rows
+from stemma.operators.upsert import last_per_key
 from stemma.session import write_out
 
 
@@ -79,14 +80,14 @@ def noise_ledger(
 ) -> DataFrame:
     """Worst-first ledger of all documents.
 
-    ``docs(doc, cahier, piece_slug, body)``, ``actions(doc, action)``,
-    ``scanned(cahier)``. ``bucket`` sorts the documents still to be redone into
+    ``docs(doc, cahier, piece_slug, body)``, ``actions(doc, action)`` with an
+    optional ``ord``, of which a document's last counts, ``scanned(cahier)``. ``bucket`` sorts the documents still to be redone into
     ``scanned``, ``unscanned`` and ``back-matter``; it is null for the others.
     """
     held = scanned.select("cahier").distinct().withColumn("_held", F.lit(True))
     rows = (
         noise_scores(docs, mode)
-        .join(actions.select("doc", "action"), "doc", "left")
+        .join(last_per_key(actions, "doc", ["action"]), "doc", "left")
         .withColumn("status", source_status(F.col("has_provenance"), F.coalesce("action", F.lit("?"))))
         .join(held, "cahier", "left")
     )

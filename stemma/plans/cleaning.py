@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stemma.functions import html as H, noise as N, patterns as P, text as T
 from stemma.functions.urls import page_title
 from stemma.operators.assembly import assemble
-from stemma.operators.upsert import size_guard
+from stemma.operators.upsert import last_per_key, size_guard
 from stemma.session import write_out
 
 
@@ -113,11 +113,12 @@ def import_pages(
     """Replace documents by the text of their stored pages, with a size guard.
 
     ``docs(doc, word_count)``, ``pages(doc, pos, html)``, ``plan(doc, url,
-    status, action)``. One row per planned document and text segment: ``doc,
+    status, action)``, of a document's rows with such an action the last by an
+    optional ``ord`` (else the greatest). One row per planned document and text segment: ``doc,
     segment, body, word_count, status, message, provenance``. A document of
     several pages, or ``force``, is exempt from the guard.
     """
-    todo = plan.filter(F.col("action").isin(*actions)).select("doc", "url", F.col("status").alias("level"))
+    todo = last_per_key(plan.filter(F.col("action").isin(*actions)), "doc", ["url", "status"]).withColumnRenamed("status", "level")
     wanted = pages.join(todo.select("doc"), "doc", "left_semi")
     # written once: the texts serve the totals and the bodies
     texts = write_out(to_text(wanted).withColumn("_words", T.word_count(F.col("text"))), "pages")

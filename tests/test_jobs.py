@@ -277,10 +277,20 @@ def test_import_guard(spark):
     assert got[2].provenance == "Wikisource (Té_2, status=proofread); pulled 2026-01-01"
     assert got[3].message == "no stored page" and got[5].message == "no URL" and got[7].message == "no existing document"
     assert got[4].status == "ok" and 6 not in got
+    again = plan.withColumn("ord", F.lit(0)).unionByName(plan.filter("doc = 4").withColumn("ord", F.lit(1)).withColumn("status", F.lit("maybe")))
+    twice = [r for r in C.import_pages(docs, pages, again, "2026-01-01").collect() if r.doc == 4]
+    assert len(twice) == 1 and "status=maybe" in twice[0].provenance
     forced = {r.doc: r.status for r in C.import_pages(docs, pages, plan, "2026-01-01", force=True).collect()}
     assert forced[1] == "ok"
 
 
+def test_last_action_counts(spark):
+    rows = spark.createDataFrame([(1, "skip", 2), (1, "use", 1), (2, None, 1), (2, "b", None), (None, "x", 1)], "doc int, action string, ord int")
+    last = lambda df: {r.doc: r.action for r in X.last_per_key(df, "doc", ["action"]).collect()}
+    assert last(rows) == {1: "skip", 2: None, None: "x"}
+    assert last(rows.drop("ord")) == {1: "use", 2: "b", None: "x"}
+
+
 # --- planning -------------------------------------------------------------------------
 
 def test_text_stats(spark):
