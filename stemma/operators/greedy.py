@@ -30,8 +30,9 @@ _NEVER = 1 << 62
 
 
 def _key(group: Column | str, key: Column | str) -> Column:
-    return F.sha2(F.to_json(F.struct(F.col(group).alias("g") if isinstance(group, str) else group.alias("g"),
-                                     F.col(key).alias("k") if isinstance(key, str) else key.alias("k"))), 256)
+    """The class of a group and key, in 16 bytes."""
+    pair = F.struct(F.col(group).alias("g") if isinstance(group, str) else group.alias("g"), F.col(key).alias("k") if isinstance(key, str) else key.alias("k"))
+    return F.substring(F.unhex(F.sha2(F.to_json(pair), 256)), 1, 16)
 
 
 def _ranked(rows: DataFrame, name: str) -> DataFrame:
@@ -131,7 +132,7 @@ def _small(edges: DataFrame, l_rows: DataFrame, r_rows: DataFrame, small: int) -
     parts = rooted.select("root", F.lit(0).alias("kind"), F.col("l").alias("c"), F.col("r").alias("other"), F.lit(-1).cast("long").alias("row"))
     for kind, side, ranked in ((1, "l", l_rows), (2, "r", r_rows)):
         of = rooted.select("root", F.col(side).alias("c")).distinct()
-        parts = parts.unionByName(ranked.join(of, "c").select("root", F.lit(kind).alias("kind"), "c", F.lit(None).cast("string").alias("other"), "row"))
+        parts = parts.unionByName(ranked.join(of, "c").select("root", F.lit(kind).alias("kind"), "c", F.lit(None).cast("binary").alias("other"), "row"))
     parts = write_out(parts, "parts")
     few = write_out(parts.groupBy("root").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= small).select("root"), "few")
     done = parts.join(few, "root", "left_semi").groupBy("root").applyInPandas(_follow, "taker long, offer long")
@@ -149,8 +150,8 @@ def prefix_matches(takers: DataFrame, offers: DataFrame, small: int = SMALL) ->
     l_rows, r_rows = _ranked(takers, "takers"), _ranked(offers, "offers")
     edges = _fitting(takers, offers)
     spark = edges.sparkSession
-    none = spark.createDataFrame([], "l string, r string, l_used long, r_used long, k long, centre string")
-    found, l_used, r_used = [none], *(spark.createDataFrame([], "c string, used long") for _ in range(2))
+    none = spark.createDataFrame([], "l binary, r binary, l_used long, r_used long, k long, centre string")
+    found, l_used, r_used = [none], *(spark.createDataFrame([], "c binary, used long") for _ in range(2))
     done = None
     while True:
         edges = write_out(_heads(_heads(edges, l_used, l_rows, "l"), r_used, r_rows, "r"), "edges")
@@ -191,8 +192,9 @@ def prefix_matches(takers: DataFrame, offers: DataFrame, small: int = SMALL) ->
 def _offsets(spans: DataFrame, ranked: DataFrame, side: str) -> DataFrame:
     """``span, at, row``: the place of each row in the span that its rank falls in."""
     # a span is named by its first rows, one about a centre by the centre
-    name = F.when(F.col("centre") == "l", F.concat(F.lit("l"), "l")).when(F.col("centre") == "r", F.concat(F.lit("r"), "r")).otherwise(
-        F.concat(F.lit("s"), "l", F.col("l_used").cast("string")))
+    sign = {n: F.lit(n).cast("binary") for n in "lrs"}
+    name = F.when(F.col("centre") == "l", F.concat(sign["l"], "l")).when(F.col("centre") == "r", F.concat(sign["r"], "r")).otherwise(
+        F.concat(sign["s"], "l", F.col("l_used").cast("string").cast("binary")))
     leaf = F.col("centre").isNotNull() & (F.col("centre") != side)
     opened = spans.select(F.col(side).alias("c"), F.col(f"{side}_used").alias("rank"), F.struct(
         F.col(side).alias("c"), F.col(f"{side}_used").alias("start"), "k", name.alias("span"), leaf.alias("leaf")).alias("opens")).distinct()
