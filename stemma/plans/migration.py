@@ -127,10 +127,14 @@ def find_piece(wanted: DataFrame, declared: DataFrame) -> DataFrame:
         return F.lower(T.strip_accents(c))
 
     asked = wanted.select("id", "cahier", F.transform("keywords", plain).alias("_keys"))
-    titled = declared.select("cahier", "pos", "piece_slug", plain(F.col("title")).alias("_title"))
+    # the same question is asked once, and a title that an issue has many times is looked at once
+    titled = declared.groupBy("cahier", "title").agg(F.min("pos").alias("_pos"), F.min_by(F.struct("piece_slug"), "pos").alias("_piece"))
+    titled = titled.select("cahier", "_pos", "_piece", plain(F.col("title")).alias("_title"))
+    questions = asked.select("cahier", "_keys").distinct()
     # the test is part of the join, so only matches leave it
-    hits = asked.join(titled, "cahier").filter(F.forall("_keys", lambda k: F.col("_title").contains(k)))
-    best = hits.groupBy("id").agg(F.min_by("piece_slug", "pos").alias("_best"))
+    hits = questions.join(titled, "cahier").filter(F.forall("_keys", lambda k: F.col("_title").contains(k)))
+    answers = hits.groupBy("cahier", "_keys").agg(F.min("_pos").alias("_pos"), F.min_by("_piece", "_pos").alias("_piece"))
+    best = asked.join(answers, ["cahier", "_keys"]).groupBy("id").agg(F.min_by("_piece.piece_slug", "_pos").alias("_best"))
     firsts = declared.groupBy("cahier").agg(F.min_by("piece_slug", "pos").alias("_first"))
     return asked.join(firsts, "cahier").join(best, "id", "left").select(
         "id", "cahier", F.coalesce("_best", "_first").alias("piece_slug")
