@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # --- fixed values
 BATCH_LEAVES = 26
+# Leaves, wanted and stored, that one task compares, about.
+TASK_LEAVES = 1_000_000
 LEAF_FILE = r"^(.+)_(\d{4})\.jpg$"
 
 
@@ -35,15 +37,22 @@ def good_leaves(blobs: DataFrame) -> DataFrame:
     return blobs.filter(is_jpeg(F.col("content"))).select("id", "leaf")
 
 
-def leaf_manifest(ranges: DataFrame, stored: DataFrame, batch: int = BATCH_LEAVES) -> DataFrame:
+def leaf_manifest(ranges: DataFrame, stored: DataFrame, batch: int = BATCH_LEAVES, task: int = TASK_LEAVES) -> DataFrame:
     """Leaves still to be fetched: ``id, leaf, batch``.
 
     ``ranges(id, leaves)``, ``stored(id, leaf)``. Batches of ``batch`` leaves
-    are counted from the first leaf of the range.
+    are counted from the first leaf of the range. A small table of ranges can
+    name many leaves, so their number says over how many tasks they are dealt:
+    one for each ``task`` rows.
     """
-    wanted = ranges.select("id", F.posexplode(leaf_range(F.col("leaves"))).alias("_i", "leaf"))
-    wanted = wanted.groupBy("id", "leaf").agg((F.floor(F.min("_i") / batch) + 1).cast("int").alias("batch"))
-    return wanted.join(stored.select("id", "leaf").distinct(), ["id", "leaf"], "left_anti").select("id", "leaf", "batch")
+    leaves = leaf_range(F.col("leaves"))
+    listed = ranges.agg(F.sum(F.size(leaves).cast("long"))).first()[0] or 0
+    tasks = max(1, -(-(listed + stored.count()) // task))
+    wanted = ranges.select("id", "leaves").repartition(tasks).select("id", F.posexplode(leaves).alias("_i", "leaf"))
+    # dealt by both keys before they are combined, so no task combines what a whole file holds
+    wanted = wanted.repartition(tasks, "id", "leaf").groupBy("id", "leaf").agg((F.floor(F.min("_i") / batch) + 1).cast("int").alias("batch"))
+    held = stored.select("id", "leaf").repartition(tasks, "id", "leaf").distinct()
+    return wanted.join(held, ["id", "leaf"], "left_anti").select("id", "leaf", "batch")
 
 
 def batch_ranges(ranges: DataFrame, batch: int = BATCH_LEAVES) -> DataFrame:
