@@ -2,51 +2,165 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from stemma.functions.text import normalise, slugify, strip_accents
 from stemma.session import write_out
 
-# Letters of the substrings that patterns are filed under.
-SPAN = 4
+# Bytes of the longest substrings that patterns are filed under; shorter patterns are filed under 1, 2, 4, ... bytes.
+SPAN = 32
+# Substrings of a pattern that are looked at, evenly spread over it.
+WINDOWS = 4
+# Bits of a filter of substrings, whatever their number (16 MB).
+BITS = 27
+# Bytes of an Arrow batch of texts.
+BATCH_BYTES = 4 << 20
 # Places that the texts of one substring are spread over.
 SALTS = 16
+# Bytes of text that are hashed together.
+_BLOCK = 1 << 20
+_FACTOR = 0x9E3779B97F4A7C15
 
 
-def _grams(text: Column, sizes: Sequence[int]) -> Column:
-    """The distinct substrings of ``text`` with the given numbers of letters, in one walk for each number."""
-    walks = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
-    return F.array_distinct(F.concat(*walks) if len(walks) > 1 else walks[0])
+def _prints(data: np.ndarray, sizes: Sequence[int]) -> Iterator[np.ndarray]:
+    """64-bit fingerprints of all substrings of each of ``sizes`` bytes (ascending powers of two); the highest bits are mixed best."""
+    h = data.astype(np.uint64) + np.uint64(1)
+    step, n = 0xD6E8FEB86659FD93, 1
+    for size in sizes:
+        while n < size:
+            h = h[:-n] * np.uint64(step) + h[n:] if len(h) > n else h[:0]
+            step, n = step * step % (1 << 64), n * 2
+        mixed = ((h ^ (h >> np.uint64(32))) + np.uint64(size)) * np.uint64(_FACTOR)
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        yield mixed
 
 
-def _candidates(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+def _size(n: int, span: int) -> int:
+    """The largest power of two up to ``n`` and ``span``."""
+    return min(1 << (n.bit_length() - 1), span)
+
+
+def _filter(prints: DataFrame, bits: int) -> np.ndarray:
+    """The ``bits`` highest bits of ``prints(_print)`` as a set; tasks send their own sets, cut into 64 ranges."""
+    ranges = 64
+
+    def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        on = np.zeros((1 << bits) // 8, np.uint8)
+        for batch in batches:
+            at = np.unique(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+            np.bitwise_or.at(on, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        for k, part in enumerate(on.reshape(ranges, -1)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([part.tobytes()], pa.binary())], ["range", "bits"])
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(part, np.uint8)
+                sums[k] = sums[k] | part if k in sums else part
+        for k, part in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([part.tobytes()], pa.binary())], ["range", "bits"])
+
+    schema = "range long, bits binary"
+    found = prints.select("_print").mapInArrow(collect, schema).repartition("range").mapInArrow(add, schema)
+    whole = np.zeros((ranges, (1 << bits) // ranges // 8), np.uint8)
+    for k, part in found.collect():  # of fixed size in all
+        whole[k] = np.frombuffer(part, np.uint8)
+    return whole.ravel()
+
+
+def _of_texts(texts: DataFrame, sizes: Sequence[int], filtered: np.ndarray, bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[tuple[pa.Array, np.ndarray]]]:
+    """A function of batches ``_key, _text`` that gives keys and fingerprints, those of each text that the filter has once."""
+    shared = texts.sparkSession.sparkContext.broadcast(filtered)
+
+    def found(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray]]:
+        on, longest = shared.value, max(sizes)
+        for batch in batches:
+            prints = []
+            for text in batch.column(1):
+                data = np.frombuffer(text.as_buffer(), np.uint8)
+                own = [np.zeros(0, np.uint64)]
+                for start in range(0, len(data), _BLOCK):  # blocks overlap by the longest substring
+                    block = data[start : start + _BLOCK + longest - 1]
+                    for h in _prints(block, sizes):
+                        at = (h >> np.uint64(64 - bits)).astype(np.int64)
+                        own.append(h[on[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1])
+                prints.append(np.unique(np.concatenate(own)))
+            if prints:
+                yield batch.column(0).take(pa.array(np.repeat(np.arange(len(prints)), list(map(len, prints))))), np.concatenate(prints)
+
+    return found
+
+
+def _candidates(texts: DataFrame, patterns: DataFrame, span: int = SPAN, bits: int = BITS) -> DataFrame:
     """``_key`` and ``_pattern`` where a text has the rarest of a pattern's substrings.
 
     ``texts(_key, _text)`` and ``patterns(_pattern)`` are distinct, patterns not empty. A pattern
-    is filed under the one of its substrings of ``SPAN`` letters (itself, if it is
-    shorter) that the fewest texts have, so a common opening brings no pairs unless the whole pattern is
-    common. Only keys and substrings move; the texts of a substring are spread over ``SALTS`` places.
+    is filed under the one of ``WINDOWS`` substrings that the fewest texts have, so a common opening brings no pairs unless
+    the whole pattern is common. The substrings have the largest power of two of bytes that fits the pattern, half of it at least,
+    so few texts have them by chance; they are known by 64-bit fingerprints. A text sends only fingerprints that
+    filters of fixed size let through, first those of any pattern, to be counted, then those that patterns are filed under.
+    Only keys and fingerprints move; the texts of a fingerprint are spread over ``SALTS`` places.
     """
-    short = F.least(F.length("_pattern"), F.lit(SPAN))
-    held = patterns.select("_pattern", F.explode(
-        F.when(F.length("_pattern") >= SPAN, _grams(F.col("_pattern"), [SPAN])).otherwise(F.array("_pattern"))).alias("_gram"))
-    held = write_out(held, "pattern-grams")
-    # which sizes are needed: at most SPAN rows
-    sizes = sorted(r[0] for r in patterns.select(short.alias("n")).distinct().collect())
+    # batches are bounded in bytes, for texts can be long
+    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, of = [], []
+            for pattern in batch.column(0):
+                data = np.frombuffer(pattern.as_buffer(), np.uint8)
+                of.append(_size(len(data), span))
+                (h,) = _prints(data, [of[-1]])
+                found.append(h[np.unique(np.linspace(0, len(h) - 1, WINDOWS).astype(np.int64))])
+            if found:
+                at = np.repeat(np.arange(len(found)), list(map(len, found)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(at)), pa.array(np.array(of)[at]), pa.array(np.concatenate(found).view(np.int64))], ["_pattern", "_size", "_print"])
+
+    spread = patterns.select("_pattern").repartition(texts.sparkSession.sparkContext.defaultParallelism)
+    held = write_out(spread.mapInArrow(cut, "_pattern string, _size long, _print long"), "pattern-prints")
+    sizes = sorted(r[0] for r in held.select("_size").distinct().collect())  # a row for each power of two
     if not sizes:
         return texts.select("_key", F.lit("").alias("_pattern")).limit(0)
-    wanted = held.select("_gram").distinct()
-    have = texts.select("_key", F.explode(_grams(F.col("_text"), sizes)).alias("_gram"))
-    seen = have.groupBy("_gram").agg(F.count(F.lit(1)).alias("_texts")).join(wanted, "_gram")
-    rarest = held.join(seen, "_gram", "left").groupBy("_pattern").agg(
-        F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_rarest"))
-    filed = rarest.filter("_rarest.n > 0").select("_pattern", F.col("_rarest.gram").alias("_gram"))
-    filed = write_out(filed, "filed-patterns").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = have.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
-    return salted.join(filed, ["_gram", "_salt"]).select("_key", "_pattern")
+    texts = texts.select("_key", "_text")
+    any_of = _of_texts(texts, sizes, _filter(held, bits), bits)
+
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, n = [], 0
+
+        def told() -> pa.RecordBatch:
+            h, times = np.unique(np.concatenate(some), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(times.astype(np.int64))], ["_print", "_texts"])
+
+        for _, h in any_of(batches):
+            some.append(h)
+            n += len(h)
+            if n >= _BLOCK:
+                yield told()
+                some, n = [], 0
+        if some:
+            yield told()
+
+    seen = texts.mapInArrow(counted, "_print long, _texts long").groupBy("_print").agg(F.sum("_texts").alias("_texts"))
+    rarest = held.join(seen, "_print").groupBy("_pattern").agg(F.min(F.struct(F.col("_texts").alias("n"), F.col("_print").alias("print"))).alias("_rarest"))
+    filed = write_out(rarest.select("_pattern", F.col("_rarest.print").alias("_print")), "filed-patterns")
+    filed_under = _of_texts(texts, sizes, _filter(filed, bits), bits)
+
+    def have(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, h in filed_under(batches):
+            yield pa.RecordBatch.from_arrays([keys, pa.array(h.view(np.int64))], ["_key", "_print"])
+
+    salted = texts.mapInArrow(have, "_key binary, _print long").withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
+    spread = filed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(spread, ["_print", "_salt"]).select("_key", "_pattern")
 
 
 def first_contained(
@@ -73,7 +187,7 @@ def first_contained(
         best = best.filter(F.col(k).isNotNull())
     first = lambda c: F.min_by(c, F.struct(F.col(c)[ord_col], F.col(c)[pattern]))
     best = write_out(best.groupBy("_pattern", *own).agg(first("_rule").alias("_rule")), "rules")
-    keyed = facts.withColumn("_key", F.sha2(F.col(text), 256))
+    keyed = facts.withColumn("_key", F.unhex(F.sha2(F.col(text), 256)))
     texts = write_out(keyed.filter(F.col(text).isNotNull()).select("_key", F.col(text).alias("_text")).distinct(), "looked-up")
     named = best.filter("_pattern <> ''")
     pairs = _candidates(texts, named.select("_pattern").distinct())
@@ -87,8 +201,9 @@ def first_contained(
     out = keyed.select("*", *[F.col(c).alias(k) for c, k in zip(same, own)]).join(hits, ["_key", *own], "left")
     out = out.join(always, own, "left") if same else out.withColumn("_one", F.lit(1)).join(F.broadcast(always.withColumn("_one", F.lit(1))), "_one", "left")
     order = lambda c: F.struct(F.col(c)[ord_col], F.col(c)[pattern])
+    # the key is null where the text is, and the text needn't travel for it
     hit = F.when(F.col("_hit").isNull(), F.col("_always")).when(F.col("_always").isNull() | (order("_hit") <= order("_always")), F.col("_hit")).otherwise(F.col("_always"))
-    return out.withColumn(name, F.when(F.col(text).isNotNull(), hit)).select(*facts.columns, name)
+    return out.withColumn(name, F.when(F.col("_key").isNotNull(), hit)).select(*facts.columns, name)
 
 
 # --- names -------------------------------------------------------------------

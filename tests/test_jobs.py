@@ -2,6 +2,7 @@
 
 import random
 import unicodedata
+from collections import Counter
 
 import pytest
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from stemma.functions import text as T
 from stemma.operators import upsert as X
 from stemma.operators.assembly import assemble, seam_join
+from stemma.operators import lookup
 from stemma.operators.lookup import first_contained, resolve_names
 from stemma.operators.ordered import carry_forward, neighbours, number_within, place, rank_rows
 from stemma.plans import audit as A, cleaning as C, leaves as L, migration as M, planning as G, reading as R
@@ -532,3 +534,55 @@ def test_leaf_manifest_and_batches(spark):
     results = spark.createDataFrame([("a", 2, True, False), ("a", 2, True, False), ("b", 2, True, False), ("c", 1, False, True)],
                                     "id string, batches int, ok boolean, blocked boolean")
     assert rows(L.batch_status(results).select("id", "status"), "id") == [("a", "done"), ("b", "batch-failed"), ("c", "filter-blocked")]
+
+
+def test_leaves_of_a_few_wide_ranges_are_dealt_over_tasks(spark):
+    ranges = spark.createDataFrame([("a", "1-5000"), ("b", "1-3000"), ("b", "2000-4000"), ("c", None)], "id string, leaves string").coalesce(1)
+    stored = spark.createDataFrame([("a", 7), ("a", 7), ("b", 3500), (None, 1)], "id string, leaf int").coalesce(1)
+    found = L.leaf_manifest(ranges, stored, task=1000)
+    assert Counter(r.id for r in found.collect()) == {"a": 4999, "b": 3999}
+    per_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) > 8 and max(per_task) < 1500
+
+
+def test_patterns_of_common_letters_bring_few_candidates(spark):
+    """Every four letters of these patterns are in most texts; a pattern itself is in one text."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice(("an", "on", "in")) for _ in range(12))
+    bodies = ["\u00e9 ".join(word() for _ in range(30)) for _ in range(120)]
+    texts = spark.createDataFrame([(str(i).encode(), x) for i, x in enumerate(bodies)], "_key binary, _text string").repartition(5)
+    patterns = [x.split(" ")[0][:24] for x in bodies]
+    for span, bits in ((lookup.SPAN, lookup.BITS), (8, 6 + 6)):
+        asked = spark.createDataFrame([(p,) for p in set(patterns)], "_pattern string")
+        pairs = [(bytes(r._key), r._pattern) for r in lookup._candidates(texts, asked, span, bits).collect()]
+        true = {(str(i).encode(), p) for i, x in enumerate(bodies) for p in set(patterns) if p in x}
+        assert true <= set(pairs) and len(pairs) == len(set(pairs))
+        if span == lookup.SPAN:
+            assert len(pairs) < 3 * len(true)
+
+
+def test_patterns_across_blocks_of_a_long_text(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "_BLOCK", 64)
+    text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(1000))
+    rules = spark.createDataFrame([(i, text[i : i + 40]) for i in range(0, 900, 13)] + [(5000, "zz not there")], "ord int, p string")
+    facts = spark.createDataFrame([(1, text), (2, None), (3, "x" * 300)], "id int, t string")
+    keyed = facts.filter("t is not null").select(F.encode(F.col("id").cast("string"), "utf-8").alias("_key"), F.col("t").alias("_text"))
+    pairs = lookup._candidates(keyed, rules.select(F.col("p").alias("_pattern"))).filter("_key = X'31'")
+    assert {r._pattern for r in pairs.collect()} >= {text[i : i + 40] for i in range(0, 900, 13)}
+    assert {r.id: r.hit and r.hit.ord for r in first_contained(facts, "t", rules, "p", "ord").collect()} == {1: 0, 2: None, 3: None}
+
+
+def test_equal_questions_are_asked_once(spark):
+    declared = spark.createDataFrame(
+        [("c", 2, "two", "Le G\u00e9ant"), ("c", 1, "one", "le geant"), ("c", 0, "zero", "Avis"), ("c", None, "none", "Le G\u00e9ant"), ("d", 5, None, "geant"), ("d", 4, "four", "x")],
+        "cahier string, pos int, piece_slug string, title string")
+    wanted = spark.createDataFrame(
+        [(1, "c", ["GEANT"]), (2, "c", ["g\u00e9ant"]), (3, "c", ["none"]), (4, "c", None), (5, "d", ["geant"]), (6, "e", ["x"]), (7, "c", ["geant"]), (7, "c", ["avis"]), (None, "c", ["geant"])],
+        "id int, cahier string, keywords array<string>")
+    found = M.find_piece(wanted, declared)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [(1, "c", "one"), (2, "c", "one"), (3, "c", "zero"), (4, "c", "zero"), (5, "d", "four"), (7, "c", "zero"), (7, "c", "zero"), (None, "c", "zero")], key=repr)
+    # both sides are combined before titles are searched
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    search = plan[plan.index("forall(") :]
+    assert search.count("Aggregate") >= 2
