@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import arrow_of, batch_of, rows_of, small_batches
+from stemma.llm.common import arrow_of, batch_of, letting_go, rows_of, small_batches
 from stemma.session import write_out
 
 CAPACITY = 2048
@@ -123,6 +123,7 @@ def plan(ids: DataFrame, capacity: int = CAPACITY, window: int = WINDOW) -> Data
     """
 
     def full(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()  # what the encoder remembers
         for rows, sizes in rows_of(batches, "row_id", "n_tokens"):
             n = np.array(sizes, np.int64) // capacity
             rank = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -154,6 +155,7 @@ def pack(ids: DataFrame, capacity: int = CAPACITY, window: int = WINDOW) -> Data
     cuts = pieces.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("cuts"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()
         for docs, found, widths, all_cuts in rows_of(batches, "doc_id", "ids", "width", "cuts"):
             out = []
             for doc, x, width, own in zip(docs, found, widths, all_cuts, strict=True):

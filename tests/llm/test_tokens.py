@@ -198,6 +198,18 @@ def test_long_parts_are_not_remembered(monkeypatch):
         assert max(map(len, getattr(known, kind)), default=0) < word_ids.LONGEST
 
 
+def test_only_pieces_are_remembered_and_common_ones_stay(monkeypatch):
+    monkeypatch.setattr(word_ids, "REMEMBERED", 30)
+    known = word_ids.WordIds(WORDS)
+    library = Tokenizer.from_file(WORDS)
+    for k in range(8):
+        texts = [f"same word{'abcdefgh'[i % 8]}{'!' * (i % 5)}{i},\u00a0{k}\u2003Same's \u65e5{i}" for i in range(40)]
+        found = [np.frombuffer(x, known.kind).tolist() for x in known.encode(texts)]
+        assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert "same" in known.pieces and len(known.pieces) <= 40
+    assert all(not p.isascii() for p in known.parts)  # parts that are cut into pieces aren't kept beside them
+
+
 def test_ids_are_decoded_many_at_a_time():
     ranks = byte_bpe.load_ranks(RANKS)
     bytes_of = byte_bpe.TokenBytes({r: b for b, r in ranks.items()})
