@@ -6,26 +6,31 @@ round. Both sides prefer the other's earlier rows, so a taker and an offer that
 are each other's first choice are matched by the rule whatever the rest does;
 matching all such pairs at once and repeating gives the rule's result.
 
-Rows of one group and key act alike and are used up in order, so rounds run
-over such classes and the pairs of classes that fit, not over rows: a round
+Groups of few rows follow the rule itself, as a sorted stream of groups. In
+others rows of one group and key act alike and are used up in order, so rounds
+run over such classes and the pairs of classes that fit, not over rows: a round
 matches whole runs of rows, and what is left of a component in which all takers
 want one class only (or all offers are wanted by one) is matched by rank, in no
-round at all. Components of few rows follow the rule itself, each in one task.
-No group, however many rows it has, comes together in one task.
+round at all. Components of few rows follow the rule like small groups.
+No group of many rows comes together in one task.
 """
 
 from __future__ import annotations
 
-import heapq
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stemma.operators.ordered import carry_forward, number_within, place
 from stemma.session import write_out
 
-#: rows and fitting pairs of classes that one task follows the rule over; the result doesn't depend on it
+#: rows of a group or component that a task follows the rule over; the result doesn't depend on it
 SMALL = 50_000
+#: matches of an Arrow batch
+_BATCH = 10_000
 _NEVER = 1 << 62
 
 
@@ -37,8 +42,8 @@ def _key(group: Column | str, key: Column | str) -> Column:
 
 def _ranked(rows: DataFrame, name: str) -> DataFrame:
     """``c, rank, row``: the class of each row and its number there, from 0."""
-    named = rows.select(_key("grp", "key").alias("c"), "row")
-    return write_out(number_within(named, ["c"], ["row"], "_n").select("c", (F.col("_n") - 1).cast("long").alias("rank"), "row"), name)
+    named = rows.select(_key("grp", "key").alias("c"), "row", "key")
+    return write_out(number_within(named, ["c"], ["row"], "_n").select("c", (F.col("_n") - 1).cast("long").alias("rank"), "row", "key"), name)
 
 
 def _fitting(takers: DataFrame, offers: DataFrame) -> DataFrame:
@@ -98,45 +103,120 @@ def _rooted(edges: DataFrame) -> DataFrame:
     return near.withColumn("root", F.col("_least.c")).drop("_least")
 
 
-def _follow(rows: pd.DataFrame) -> pd.DataFrame:
-    """The rule over one component: ``kind`` 0 rows are fitting classes (c, other), 1 takers and 2 offers (c, row)."""
-    rows = rows.sort_values("row")
-    fits, free = {}, {}
-    for c, other in rows.loc[rows["kind"] == 0, ["c", "other"]].itertuples(index=False):
-        fits.setdefault(c, []).append(other)
-    for c, row in rows.loc[rows["kind"] == 2, ["c", "row"]].itertuples(index=False):
-        free.setdefault(c, []).append(row)
-    at, queues, out = dict.fromkeys(free, 0), {}, []
-    for c, row in rows.loc[rows["kind"] == 1, ["c", "row"]].itertuples(index=False):
-        # the next offers of the classes that fit; one taken meanwhile is replaced by its class's next
-        if c not in queues:
-            queues[c] = [(free[r][at[r]], r) for r in fits[c] if at.get(r, 0) < len(free.get(r, ()))]
-            heapq.heapify(queues[c])
-        queue = queues[c]
-        while queue:
-            offer, r = queue[0]
-            if at[r] >= len(free[r]):
-                heapq.heappop(queue)
-            elif free[r][at[r]] != offer:
-                heapq.heapreplace(queue, (free[r][at[r]], r))
-            else:
-                at[r] += 1
-                out.append((row, offer))
-                break
-    return pd.DataFrame(out, columns=["taker", "offer"], dtype="int64")
+class _Offers:
+    """The free offers of one group, found by the keys of takers.
+
+    The classes that a key is a prefix of are a stretch of the sorted keys, whose
+    first free row a tree of least rows tells; those that are prefixes of it are
+    looked up, one for each length that occurs. No pair of classes is listed.
+    """
+
+    def __init__(self, offers: list[tuple[str, int]]) -> None:
+        self.rows: dict[str, list[int]] = {}
+        for key, row in offers:
+            self.rows.setdefault(key, []).append(row)
+        self.keys = sorted(self.rows)
+        self.sizes = sorted({len(k) for k in self.keys})
+        self.at = {k: i for i, k in enumerate(self.keys)}
+        self.used = [0] * len(self.keys)
+        self.least = [_NEVER] * len(self.keys) + [self.rows[k][0] for k in self.keys]
+        for i in range(len(self.keys) - 1, 0, -1):
+            self.least[i] = min(self.least[2 * i], self.least[2 * i + 1])
+        self.known: dict[str, tuple[int, int, list[int]]] = {}
+
+    def classes(self, key: str) -> tuple[int, int, list[int]]:
+        """The stretch of classes that start with the key, and those it starts with."""
+        n = len(key)
+        low = bisect_left(self.keys, key)
+        high = bisect_right(self.keys, key, low, key=lambda k: k[:n])
+        sizes = self.sizes[: bisect_left(self.sizes, n)]
+        return low, high, [i for i in (self.at.get(key[:s]) for s in sizes) if i is not None]
+
+    def take(self, key: str) -> int | None:
+        """The first free row that fits, which is free no longer."""
+        if key not in self.known:
+            self.known[key] = self.classes(key)
+        low, high, shorter = self.known[key]
+        n, least = len(self.keys), self.least
+        best, node = _NEVER, 0
+        for i in shorter:
+            if least[n + i] < best:
+                best, node = least[n + i], n + i
+        low, high = low + n, high + n
+        while low < high:
+            if low & 1:
+                if least[low] < best:
+                    best, node = least[low], low
+                low += 1
+            if high & 1:
+                high -= 1
+                if least[high] < best:
+                    best, node = least[high], high
+            low, high = low >> 1, high >> 1
+        if not node:
+            return None
+        while node < n:  # down to the class that holds it
+            node = 2 * node if least[2 * node] == best else 2 * node + 1
+        i = node - n
+        self.used[i] += 1
+        rows = self.rows[self.keys[i]]
+        least[node] = rows[self.used[i]] if self.used[i] < len(rows) else _NEVER
+        while node > 1:
+            node >>= 1
+            least[node] = min(least[2 * node], least[2 * node + 1])
+        return best
+
+
+def _rule(rows: Iterable[tuple[int, str, int]]) -> Iterator[tuple[int, int]]:
+    """The rule over the rows ``kind, key, row`` of one group, offers (kind 0) before takers, each in order."""
+    offers, free = [], None
+    for kind, key, row in rows:
+        if kind == 0:
+            offers.append((key, row))
+        elif not offers:
+            return
+        else:
+            free = free or _Offers(offers)
+            if (offer := free.take(key)) is not None:
+                yield row, offer
+
+
+def _stream(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    found: list[tuple[int, int]] = []
+
+    def batch() -> pa.RecordBatch:
+        columns = [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)]
+        found.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["taker", "offer"])
+
+    for _, group in groupby(rows, key=lambda r: r[0]):
+        for pair in _rule(r[1:] for r in group):
+            found.append(pair)
+            if len(found) >= _BATCH:
+                yield batch()
+    if found:
+        yield batch()
+
+
+def _follow(rows: DataFrame, name: str) -> DataFrame:
+    """The rule over rows ``part, kind, key, row``, each part in one task; kind is 0 for offers and 1 for takers."""
+    dealt = rows.select("part", "kind", "key", "row").repartition("part").sortWithinPartitions("part", "kind", "row")
+    return write_out(dealt.mapInArrow(_stream, "taker long, offer long"), name)
 
 
 def _small(edges: DataFrame, l_rows: DataFrame, r_rows: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """The matches of components of up to ``small`` rows and pairs, and the edges of the others."""
+    """The matches of components of up to ``small`` rows, and the edges of the others."""
     rooted = write_out(_rooted(edges), "rooted")
-    parts = rooted.select("root", F.lit(0).alias("kind"), F.col("l").alias("c"), F.col("r").alias("other"), F.lit(-1).cast("long").alias("row"))
-    for kind, side, ranked in ((1, "l", l_rows), (2, "r", r_rows)):
-        of = rooted.select("root", F.col(side).alias("c")).distinct()
-        parts = parts.unionByName(ranked.join(of, "c").select("root", F.lit(kind).alias("kind"), "c", F.lit(None).cast("binary").alias("other"), "row"))
+    parts = None
+    for kind, side, ranked in ((0, "r", r_rows), (1, "l", l_rows)):
+        of = rooted.select(F.col("root").alias("part"), F.col(side).alias("c")).distinct()
+        rows = ranked.join(of, "c").select("part", F.lit(kind).alias("kind"), "key", "row")
+        parts = rows if parts is None else parts.unionByName(rows)
     parts = write_out(parts, "parts")
-    few = write_out(parts.groupBy("root").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= small).select("root"), "few")
-    done = parts.join(few, "root", "left_semi").groupBy("root").applyInPandas(_follow, "taker long, offer long")
-    return write_out(done, "followed"), rooted.join(few, "root", "left_anti").select("l", "r")
+    few = write_out(parts.groupBy("part").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= small).select("part"), "few")
+    done = _follow(parts.join(few, "part", "left_semi"), "followed")
+    return done, rooted.join(few.withColumnRenamed("part", "root"), "root", "left_anti").select("l", "r")
 
 
 def prefix_matches(takers: DataFrame, offers: DataFrame, small: int = SMALL) -> DataFrame:
@@ -147,6 +227,21 @@ def prefix_matches(takers: DataFrame, offers: DataFrame, small: int = SMALL) ->
     an empty key fits every key of its group. Each row is in one pair at most.
     """
     takers, offers = (write_out(d.select("row", "grp", "key").dropna(), "narrow") for d in (takers, offers))
+    # groups known by what their classes are made of; those of many rows are few
+    part = F.to_json(F.struct("grp"))
+    rows = offers.select(part.alias("part"), F.lit(0).alias("kind"), "key", "row").unionByName(
+        takers.select(part.alias("part"), F.lit(1).alias("kind"), "key", "row"))
+    large = write_out(rows.groupBy("part").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > small).select("part"), "large")
+    if large.isEmpty():
+        return _follow(rows, "matches")
+    done = _follow(rows.join(large, "part", "left_anti"), "matches")
+    takers, offers = (d.withColumn("part", part).join(large, "part", "left_semi").drop("part") for d in (takers, offers))
+    return done.unionByName(_large_matches(takers, offers, small))
+
+
+def _large_matches(takers: DataFrame, offers: DataFrame, small: int) -> DataFrame:
+    """``prefix_matches`` of groups of more than ``small`` rows."""
+    takers, offers = (write_out(d, "many") for d in (takers, offers))
     l_rows, r_rows = _ranked(takers, "takers"), _ranked(offers, "offers")
     edges = _fitting(takers, offers)
     spark = edges.sparkSession

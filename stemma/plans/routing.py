@@ -28,13 +28,15 @@ def route_rows(sections: DataFrame, pieces: DataFrame) -> DataFrame:
     slug and title. Rows of null or unlisted issues are left out; a title
     or heading that is null or without a letter counts as ``untitled``.
     """
+    # slugs are made once, where the rows are written: placing reads its rows twice
     kept = write_out(sections.filter(F.col("cahier").isNotNull()).select(
-        F.monotonically_increasing_id().alias("_id"), "cahier", "sec", "head", "body"), "sections")
-    lean = kept.select("_id", "cahier", "sec", F.when(F.col("head").isNotNull(), T.slugify(F.col("head"))).alias("key"),
-                       F.xxhash64("head", "body").alias("_mark"))
-    lean = place(lean, ["cahier", "sec", "key", "_mark", "_id"]).select(F.col("row_no").alias("section"), "_id", "cahier", "key")
-    listed = place(pieces.filter(F.col("cahier").isNotNull()).select("cahier", "pos", "piece_slug", "title"),
-                   ["cahier", "pos", "piece_slug", "title"]).drop("_part", "_slot")
+        F.monotonically_increasing_id().alias("_id"), "cahier", "sec", "head", "body",
+        F.when(F.col("head").isNotNull(), T.slugify(F.col("head"))).alias("_key"), F.xxhash64("head", "body").alias("_mark")), "sections")
+    lean = place(kept.select("_id", "cahier", "sec", F.col("_key").alias("key"), "_mark"), ["cahier", "sec", "key", "_mark", "_id"]).select(
+        F.col("row_no").alias("section"), "_id", "cahier", "key")
+    listed = write_out(pieces.filter(F.col("cahier").isNotNull()).select(
+        "cahier", "pos", "piece_slug", "title", T.slugify(F.col("title")).alias("key")), "pieces")
+    listed = place(listed, ["cahier", "pos", "piece_slug", "title"]).drop("_part", "_slot")
     # what is known of an issue is one narrow row
     count = listed.groupBy("cahier").agg(F.count(F.lit(1)).alias("n"), F.min("row_no").alias("first"), F.max("row_no").alias("last"))
     headings = lean.groupBy("cahier").agg(F.max(F.col("key").isNotNull()).alias("headed"))
@@ -43,7 +45,7 @@ def route_rows(sections: DataFrame, pieces: DataFrame) -> DataFrame:
     many = lean.filter("n > 1 AND headed AND key IS NOT NULL")
     takers = many.select(F.col("section").alias("row"), F.col("cahier").alias("grp"), "key")
     offers = listed.join(many.select("cahier").distinct(), "cahier", "left_semi").select(
-        F.col("row_no").alias("row"), F.col("cahier").alias("grp"), T.slugify(F.col("title")).alias("key"))
+        F.col("row_no").alias("row"), F.col("cahier").alias("grp"), "key")
     offers = write_out(offers, "offers")
     matched = write_out(prefix_matches(takers, offers), "matched")
 
@@ -66,7 +68,7 @@ def route_rows(sections: DataFrame, pieces: DataFrame) -> DataFrame:
     told = write_out(told.join(lean.select("section", "_id"), "section").drop("section"), "told")
 
     named = listed.select(F.col("row_no").alias("piece"), "cahier", "pos", "piece_slug")
-    routed = told.join(named, "piece").drop("piece").join(kept.drop("cahier"), "_id")
+    routed = told.join(named, "piece").drop("piece").join(kept.select("_id", "sec", "head", "body"), "_id")
     empty = named.join(told.select("piece").distinct(), "piece", "left_anti")
     columns = ["cahier", "pos", "piece_slug", "seq", "sec", "head", "body", "matched_by"]
     return routed.select(*columns).unionByName(empty.select("cahier", "pos", "piece_slug"), allowMissingColumns=True)

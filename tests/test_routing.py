@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stemma.operators import greedy
 from stemma.operators.greedy import prefix_matches
 from stemma.plans import routing, segmentation as S
 
@@ -62,6 +63,28 @@ def test_many_rows_of_one_group(spark):
         assert matches(spark, takers, offers, small) == by_rule(takers, offers)
 
 
+def test_groups_of_few_rows_need_no_classes(spark, monkeypatch):
+    monkeypatch.setattr(greedy, "_fitting", None)
+    rng = random.Random(3)
+    takers, offers = ([(i, f"g{rng.randrange(30)}", rng.choice(KEYS)) for i in range(n)] for n in (200, 150))
+    assert matches(spark, takers, offers) == by_rule(takers, offers)
+
+
+def test_groups_of_few_and_of_many_rows_together(spark):
+    rng = random.Random(4)
+    takers, offers = ([(i, rng.choice(["hot", "hot", f"g{rng.randrange(9)}"]), rng.choice(KEYS)) for i in range(n)] for n in (90, 70))
+    assert matches(spark, takers, offers, 40) == by_rule(takers, offers)
+
+
+def test_rule_over_one_group_of_any_keys():
+    rng = random.Random(6)
+    for _ in range(500):
+        keys = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 4))) for _ in range(rng.randint(1, 9))]
+        takers, offers = ([(i, "g", rng.choice(keys)) for i in range(rng.randint(0, 12))] for _ in range(2))
+        rows = [(0, k, i) for i, _, k in offers] + [(1, k, i) for i, _, k in takers]
+        assert sorted(greedy._rule(rows)) == by_rule(takers, offers)
+
+
 def test_null_and_empty(spark):
     assert matches(spark, [], []) == []
     assert matches(spark, [(0, None, "a"), (1, "g", None), (2, "g", "")], [(0, "g", "x"), (1, None, "a")]) == [(2, 0)]
