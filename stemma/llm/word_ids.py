@@ -49,12 +49,14 @@ class WordIds:
         # the same model for pieces, which are normalized and cut already
         self.model = Tokenizer(self.library.model)
         self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         vocabulary = self.library.get_vocab()
+        self.kind = np.dtype("<u2" if max(vocabulary.values()) < (1 << 16) - 1 else "<u4")
+        self.mark = np.iinfo(self.kind).max  # stands for a line feed, no id
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.line = np.array([self.mark], self.kind).tobytes()
+        self.pieces: dict[str, bytes] = {"\n": self.line}
 
     def by_library(self, strings: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.library.encode_batch_fast(strings, add_special_tokens=False)]
@@ -71,24 +73,23 @@ class WordIds:
 
     def by_pieces(self, parts: pa.Array) -> pa.Array:
         """Ids of plain parts in lower case."""
-        self.pieces["\n"] = b""
         # a line feed after each; joined by Arrow, which makes no string of each part
         lines = pc.binary_join(pa.ListArray.from_arrays([0, len(parts)], parts), "\n")[0].as_py() + "\n" * bool(len(parts))
         pieces = _PIECES.findall(lines)
-        if new := list(set(pieces).difference(self.pieces)):
+        seen = set(pieces)
+        if new := list(seen.difference(self.pieces)):
             ids = np.array(self.model.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, dtype=self.kind)
             ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
             ids = ids.tobytes()
-            self.pieces.update(zip(new, map(lambda a, b: ids[a:b], [0, *ends], ends), strict=True))
-        found = list(map(self.pieces.__getitem__, pieces))
+            self.pieces.update(zip(new, [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        # the line feeds' places tell where a part's ids end
+        found = np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), self.kind)
         if len(self.pieces) > REMEMBERED:
-            self.pieces = dict(zip(pieces, found, strict=True))
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        ends = ends[np.fromiter(map("\n".__eq__, pieces), bool, len(pieces))]
-        offsets = np.concatenate([np.zeros(1, np.int64), ends])
-        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(found))])
+            kept = {p: self.pieces[p] for p in seen} if len(seen) <= REMEMBERED else {}
+            self.pieces = {**kept, "\n": self.line}
+        at = np.flatnonzero(found == self.mark)
+        offsets = np.concatenate([np.zeros(1, np.int64), at - np.arange(len(at))]) * self.kind.itemsize
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(found[found != self.mark])])
 
     def encode(self, strings: list[str] | pa.Array) -> list[bytes]:
         """Little-endian ids of each text, two bytes an id where the vocabulary allows."""

@@ -210,6 +210,17 @@ def test_only_pieces_are_remembered_and_common_ones_stay(monkeypatch):
     assert all(not p.isascii() for p in known.parts)  # parts that are cut into pieces aren't kept beside them
 
 
+def test_ends_of_parts_are_told_by_marks_and_not_piece_by_piece(monkeypatch):
+    monkeypatch.setattr(word_ids, "REMEMBERED", 5)
+    known = word_ids.WordIds(WORDS)
+    assert known.mark not in Tokenizer.from_file(WORDS).get_vocab().values()
+    monkeypatch.setattr(np, "fromiter", None)  # pieces were walked one by one for their sizes
+    library = Tokenizer.from_file(WORDS)
+    for texts in (["it's a b2b deal", "", "a b-c!"], ["one two three four five six seven"], [], ["", " "], ["it's seven"]):
+        found = [np.frombuffer(x, known.kind).tolist() for x in known.encode(texts)]
+        assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_ids_are_decoded_many_at_a_time():
     ranks = byte_bpe.load_ranks(RANKS)
     bytes_of = byte_bpe.TokenBytes({r: b for b, r in ranks.items()})
