@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm.common import arrow_of, batch_of, rows_of, small_batches
+from stemma.llm.common import arrow_of, batch_of, letting_go, rows_of, small_batches
 from stemma.llm.word_ids import as_array
 
 #: Longest code in bits. A vocabulary of more than 2**LIMIT used ids is refused.
@@ -105,6 +105,7 @@ def count_ids(ids: DataFrame) -> DataFrame:
     """``id``, ``n``: how often each id occurs in all rows; each task sends a row per id at most."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()  # what the encoder remembers
         total = np.zeros(1, np.int64)
         for found, widths in rows_of(batches, "ids", "width"):
             for width in set(widths):
@@ -134,6 +135,7 @@ def write(ids: DataFrame, path: str, limit: int = LIMIT, block: int = BLOCK) ->
     book = spark.sparkContext.broadcast((symbols, lengths))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()
         codes, part = Codes(*book.value, limit), TaskContext.get().partitionId()
         docs, held, size, seq, before = [], [], 0, 0, 0
 
@@ -170,6 +172,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     shared = spark.sparkContext.broadcast((np.array([r[0] for r in book], np.int64), np.array([r[1] for r in book], np.int64), before))
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letting_go()
         ids, lengths, offsets = shared.value
         codes = Codes(ids, lengths, max(LIMIT, int(lengths.max(initial=0))))
         for rows in rows_of(batches, *_BLOCKS.names):

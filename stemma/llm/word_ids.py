@@ -19,6 +19,8 @@ from stemma.session import write_out
 REMEMBERED = 300_000
 #: Strings of this many characters or more are encoded anew each time, so the bytes remembered are bounded too.
 LONGEST = 64
+#: Rows that a Parquet reader decodes at once; it holds their texts or ids in one array, which doubles as it grows.
+READ_ROWS = 512
 #: What a token that ends a piece ends with.
 _WORD_END = "</w>"
 #: The id that ends a document.
@@ -135,6 +137,7 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
             ids, bodies = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text"))
             yield batch_of(_IDS, ids, [known.kind.itemsize] * len(ids), [x + end for x in known.encode(bodies)])
 
+    docs.sparkSession.conf.set("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)
     found = texts(docs).mapInArrow(encode, "doc_id long, width int, ids binary")
     return write_out(found.withColumn("row_id", F.monotonically_increasing_id()), "token-ids")
 

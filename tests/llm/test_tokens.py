@@ -1,11 +1,14 @@
 """Token files, byte-level BPE and packing against the libraries and exact round trips."""
 
 import hashlib
+import os
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -111,6 +114,35 @@ def test_files_hold_all_documents_in_order(spark, odd_docs, no_docs, library, tm
         assert [r.start for r in found] == np.cumsum([0, *sizes])[:-1].tolist()
 
 
+def holders(spark):
+    """Workers that hold an encoder, and all that were looked at."""
+
+    def look(batches):
+        from stemma.llm import common
+
+        rows = sum(b.num_rows for b in batches)
+        time.sleep(0.3)  # so that each worker gets a task
+        yield pa.RecordBatch.from_arrays([pa.array([os.getpid()] * rows), pa.array([bool(common._HELD)] * rows)], ["pid", "holds"])
+
+    found = spark.range(0, 24, 1, 24).mapInArrow(look, "pid long, holds boolean").collect()
+    return {r.pid for r in found if r.holds}, {r.pid for r in found}
+
+
+def test_steps_after_the_encoder_let_go_of_it(spark, odd_docs, tmp_path):
+    huffman.write(token_ids(odd_docs, WORDS), f"{tmp_path}/files", block=500)
+    files = spark.read.parquet(f"{tmp_path}/files/blocks").repartition(16)
+    files.write.parquet(f"{tmp_path}/many/blocks")
+    spark.read.parquet(f"{tmp_path}/files/codebook").write.parquet(f"{tmp_path}/many/codebook")
+    steps = (lambda ids: huffman.count_ids(ids.repartition(16)).collect(), lambda ids: huffman.write(ids, f"{tmp_path}/again", block=500), lambda ids: huffman.read_ids(spark, f"{tmp_path}/many").collect())
+    for step in steps:
+        ids = token_ids(odd_docs, WORDS)
+        before, _ = holders(spark)
+        step(ids)
+        after, seen = holders(spark)
+        assert before and (before & seen) - after
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) == word_ids.READ_ROWS
+
+
 def check_pieces(pieces, want):
     sequences, whole = defaultdict(list), Counter()
     for r in pieces:
