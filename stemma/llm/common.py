@@ -62,6 +62,11 @@ def letting_go() -> None:
     if _HELD:
         _HELD.clear()
         gc.collect()
+    giving_back()
+
+
+def giving_back() -> None:
+    """Memory that lies idle in this worker goes back to the system; what is held stays."""
     pa.default_memory_pool().release_unused()
     if _TRIM:
         _TRIM(0)

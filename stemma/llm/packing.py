@@ -130,6 +130,7 @@ def plan(ids: DataFrame, capacity: int = CAPACITY, window: int = WINDOW) -> Data
             yield batch_of(_FULL, np.repeat(np.array(rows, np.int64), n), rank * capacity, np.full(len(rank), capacity), np.zeros(len(rank), np.int64))
 
     def packed(key, rows: pd.DataFrame) -> pd.DataFrame:
+        letting_go()
         base = dict(zip(rows["row_id"], rows["base"], strict=True))
         found = pack_window(rows["row_id"].tolist(), rows["length"].tolist(), capacity)
         return pd.DataFrame([(r, base[r] + a, n, 2 * ((int(key[0]) << 31) + s), at) for r, a, n, s, at in found], columns=["row_id", "start", "length", "sequence_id", "offset"], dtype="int64")

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.common import arrow_of, batch_of, held, texts
+from stemma.llm.common import arrow_of, batch_of, giving_back, held, texts
 from stemma.session import write_out
 
 #: Entries a worker remembers of each kind; a full memory keeps the pieces of the last batch, if they are fewer.
@@ -136,6 +136,8 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
         for batch in batches:
             ids, bodies = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text"))
             yield batch_of(_IDS, ids, [known.kind.itemsize] * len(ids), [x + end for x in known.encode(bodies)])
+        batch = ids = bodies = None
+        giving_back()  # an executor can have more workers than tasks at a time; the others wait
 
     docs.sparkSession.conf.set("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)
     found = texts(docs).mapInArrow(encode, "doc_id long, width int, ids binary")

@@ -143,6 +143,24 @@ def test_steps_after_the_encoder_let_go_of_it(spark, odd_docs, tmp_path):
     assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) == word_ids.READ_ROWS
 
 
+def test_a_worker_gives_idle_memory_back_when_its_task_ends(monkeypatch, odd_docs):
+    taken, calls = [], []
+
+    def take(self, function, schema):
+        taken.append(function)
+        raise InterruptedError
+
+    monkeypatch.setattr(type(odd_docs), "mapInArrow", take)
+    with pytest.raises(InterruptedError):
+        token_ids(odd_docs, WORDS)
+    monkeypatch.setattr(word_ids, "giving_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b", ""]})
+    found = taken[0](iter([batch, batch]))
+    assert [next(found).num_rows, next(found).num_rows, calls] == [2, 2, []]
+    assert not list(found) and calls == [1]
+    assert not list(taken[0](iter([])))
+
+
 def check_pieces(pieces, want):
     sequences, whole = defaultdict(list), Counter()
     for r in pieces:
