@@ -280,3 +280,41 @@ def test_ids_are_decoded_many_at_a_time():
     assert bytes_of(b"") == b""
     with pytest.raises(KeyError):
         byte_bpe.TokenBytes({0: b"a", 2: b"b"})(np.array([0, 1], "<u4").tobytes())
+
+
+def test_new_words_are_read_side_by_side_and_not_byte_by_byte(monkeypatch, tik):
+    rnd = random.Random(23)
+    words = ["".join(rnd.choice(["the", "tion", "er", "é", "q", "日本", "x"]) for _ in range(rnd.randint(3, 8))) for _ in range(400)]
+    known = byte_bpe.ByteIds(RANKS, public_tokenizers.PATTERN)
+    monkeypatch.setattr(byte_bpe.MergeTransducer, "step", None)  # took most of the time, a call for nearly every byte of a new word
+    text = " ".join(words)
+    assert np.frombuffer(known.encode(text), "<u4").tolist() == tik.encode_ordinary(text)
+
+
+def test_strings_side_by_side_give_the_merges_whatever_is_forgotten(monkeypatch, bytes_known):
+    rnd = random.Random(29)
+    letters = lambda n: bytes(rnd.choice(b"  aabetinorsh-=\n\xc3\xa9") for _ in range(n))
+    strings = [letters(rnd.randint(0, 40)) for _ in range(200)] + [rnd.randbytes(rnd.randint(0, 30)) for _ in range(80)] + [b"", b" " * 200, b"=" * 150, b"a" * 256, b"ab" * 90, b"a"]
+    want = [byte_bpe.merge(x, bytes_known.ranks) if x else [] for x in strings]
+    as_ids = lambda found: [np.frombuffer(x, "<u4").tolist() for x in found]
+    assert as_ids(bytes_known.side_by_side.encode(strings)) == want
+    assert as_ids(bytes_known.side_by_side.encode(strings[::-1])) == want[::-1]
+    assert bytes_known.side_by_side.encode([]) == []
+    for name, value in (("SLOTS", 5), ("STATES", 50), ("READ", 300)):
+        monkeypatch.setattr(byte_bpe, name, value)
+    few = byte_bpe.SideBySide(bytes_known.transducer)
+    assert as_ids(few.encode(strings)) == want
+    assert len(few.pending) <= 50 + 300 + 256
+
+
+def test_rounds_of_texts_give_the_librarys_ids(monkeypatch, tik):
+    for name, value in (("REMEMBERED", 40), ("TOGETHER", 300), ("LONGEST", 12), ("SIDE_BY_SIDE", 3), ("SIDE_BY_SIDE_BYTES", 20)):
+        monkeypatch.setattr(byte_bpe, name, value)
+    known = byte_bpe.ByteIds(RANKS, public_tokenizers.PATTERN)
+    rnd = random.Random(31)
+    words = ["".join(rnd.choice("aebtionérs") for _ in range(rnd.randint(1, 9))) + rnd.choice(["", "", ",", ".", "'s", ".\nTo", "\n", "-9"]) for _ in range(200)] + ["", "it's", "z" * 50, "日本語" * 9, "\t"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 30))) for _ in range(120)] + ["", " ", "\n", " a", "a ", "  a  b", "\u00a0", "a"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in known.encode_all(texts)] == [tik.encode_ordinary(x) for x in texts]
+    assert known.encode_all([]) == []
+    for memory in (known.parts, known.pieces):
+        assert len(memory.ids) <= 40 and max(map(len, [*memory.ids, *memory.older]), default=0) < 12
